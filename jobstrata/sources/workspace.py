@@ -1,0 +1,32 @@
+"""Where jobs put intermediate results: the checkpoint folder all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a fresh temporary one only in local mode."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="run-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path below the work folder."""
+    return f"{work_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the checkpoint folder and cut its lineage."""
+    work_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
