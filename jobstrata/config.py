@@ -28,6 +28,7 @@ class TableConfig:
     source_file: str = "job_postings.csv"
     schema: T.StructType = RAW
     partitioned_by: tuple[str, ...] = ()
+    dynamic_partitions: bool = True
     contract_path: str | None = None
 
 

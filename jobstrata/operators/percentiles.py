@@ -30,7 +30,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobstrata.sources.workspace import materialise
+from jobstrata.workspace import materialise
 
 CELLS_PER_OCTAVE = 32
 # Above CELLS_PER_OCTAVE * 1075, so that the cell of every positive double is positive.

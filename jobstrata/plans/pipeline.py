@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from jobstrata import config as names
 from jobstrata.config import HIVE_AVRO, LakeConfig, TableConfig
-from jobstrata.contract import FUNCTIONAL, load_avro_contract
+from jobstrata.contract import FUNCTIONAL, load_avro_contract, string_schema
 from jobstrata.operators.aggregates import impact_aggregate
 from jobstrata.operators.projections import curated_postings, lowercase_columns, partition_last
 from jobstrata.operators.quality import header_problems, refuse_empty
@@ -34,20 +33,11 @@ class StepReport:
         return self.rows_read_back in (None, self.rows_written)
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def _prepare(spark: SparkSession, cfg: LakeConfig, layer: str) -> None:
     if cfg.use_catalog:
         catalog.ensure_database(spark, cfg.database(layer), cfg.layer_path(layer))
 
 
-def _stored_format(cfg: LakeConfig, layer: str) -> str:
-    return cfg.landing_format if layer == names.LANDING else "parquet"
-
-
 def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -> DataFrame:
     """The stored table of a layer."""
     name = cfg.aggregate(table) if layer == names.FUNCTIONAL else table.name
@@ -56,7 +46,11 @@ def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -
     path = cfg.table_path(layer, name)
     if layer == names.WORKLOAD:
         return readers.read_lossless_csv(spark, path, table.schema)
-    return spark.read.format(_stored_format(cfg, layer)).load(path)
+    if layer == names.LANDING:
+        # The contract keeps partition values from being read back as numbers.
+        contract = string_schema(name.lower() for name in table.schema.names)
+        return spark.read.format(cfg.landing_format).schema(contract).load(path)
+    return spark.read.parquet(path)
 
 
 def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
@@ -67,30 +61,29 @@ def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Step
         raise ValueError(f"{source}: " + "; ".join(problems))
     _prepare(spark, cfg, names.WORKLOAD)
     rows = readers.read_raw_csv(spark, source, table.schema, multi_line=cfg.multi_line_source)
-    rows, seen = _counted(rows)
     path = cfg.table_path(names.WORKLOAD, table.name)
-    if cfg.use_catalog:
-        target = cfg.table(names.WORKLOAD, table.name)
-        catalog.create_text_table(spark, target, path, table.schema)
-        catalog.insert_overwrite(rows, target)
-    else:
-        writers.write_lossless_csv(rows, path)
-    return StepReport(names.WORKLOAD, table.name, seen.get["rows"])
+    if not cfg.use_catalog:
+        written = writers.write_lossless_csv(rows, path)
+        return StepReport(names.WORKLOAD, table.name, written)
+    target = cfg.table(names.WORKLOAD, table.name)
+    catalog.create_text_table(spark, target, path, table.schema)
+    return StepReport(names.WORKLOAD, table.name, catalog.insert_overwrite(rows, target))
 
 
 def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
-    """Raw layer into the typed-by-contract landing table."""
+    """Raw layer into the landing table of the contract, whole or partition by partition."""
     _prepare(spark, cfg, names.LANDING)
-    rows, seen = _counted(load(spark, cfg, names.WORKLOAD, table))
+    rows = load(spark, cfg, names.WORKLOAD, table)
     keys = tuple(name.lower() for name in table.partitioned_by)
-    schema = table.schema
-    if table.contract_path:
-        schema = load_avro_contract(spark, table.contract_path, table.schema)
+    dynamic = table.dynamic_partitions
     path = cfg.table_path(names.LANDING, table.name)
     if not cfg.use_catalog:
         rows = partition_last(lowercase_columns(rows), *keys)
-        writers.write_folder(rows, path, cfg.landing_format, keys)
-        return StepReport(names.LANDING, table.name, seen.get["rows"])
+        written = writers.write_folder(rows, path, cfg.landing_format, keys, dynamic=dynamic)
+        return StepReport(names.LANDING, table.name, written)
+    schema = table.schema
+    if table.contract_path:
+        schema = load_avro_contract(spark, table.contract_path, table.schema)
     target = cfg.table(names.LANDING, table.name)
     if cfg.landing_format == HIVE_AVRO:
         catalog.create_hive_avro_table(
@@ -100,23 +93,25 @@ def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
         catalog.create_source_table(
             spark, target, path, schema, cfg.landing_format, partitioned_by=keys
         )
-    catalog.insert_overwrite(rows, target, keys)
-    return StepReport(names.LANDING, table.name, seen.get["rows"])
+    written = catalog.insert_overwrite(rows, target, keys, dynamic=dynamic)
+    if cfg.landing_format in ("avro", HIVE_AVRO):
+        catalog.require_avro(spark, target)
+    return StepReport(names.LANDING, table.name, written)
 
 
 def _store_parquet(
     spark: SparkSession, cfg: LakeConfig, layer: str, name: str, df: DataFrame
 ) -> StepReport:
     _prepare(spark, cfg, layer)
-    df, seen = _counted(df)
     if cfg.use_catalog:
-        writers.save_parquet_table(df, cfg.table(layer, name))
+        written = writers.save_parquet_table(df, cfg.table(layer, name))
     else:
-        writers.write_folder(df, cfg.table_path(layer, name))
-    return StepReport(layer, name, seen.get["rows"])
+        written = writers.write_folder(df, cfg.table_path(layer, name))
+    return StepReport(layer, name, written)
 
 
 def build_curated(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
+    """Landing into the cleaned table, whose rows are counted once more."""
     curated = curated_postings(load(spark, cfg, names.LANDING, table))
     report = _store_parquet(spark, cfg, names.CURATED, table.name, curated)
     return _read_back(report, load(spark, cfg, names.CURATED, table))
@@ -125,6 +120,7 @@ def build_curated(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
 def build_functional(
     spark: SparkSession, cfg: LakeConfig, table: TableConfig, landing_rows: int | None = None
 ) -> StepReport:
+    """Landing into the aggregate; ``landing_rows`` is the row count of landing, if known."""
     landing = load(spark, cfg, names.LANDING, table)
     aggregate = impact_aggregate(landing, numeric=cfg.numeric, known_rows=landing_rows)
     return _store_parquet(spark, cfg, names.FUNCTIONAL, cfg.aggregate(table), aggregate)
@@ -139,9 +135,8 @@ def export_gold(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Ste
     functional = refuse_empty(load(spark, cfg, names.FUNCTIONAL, table), "functional table")
     name = cfg.aggregate(table)
     path = cfg.table_path(names.GOLD, f"{name}_csv")
-    rows, seen = _counted(functional)
-    writers.export_csv(rows, path, single_file=cfg.single_csv)
-    report = StepReport(names.GOLD, f"{name}_csv", seen.get["rows"])
+    written = writers.export_csv(functional, path, single_file=cfg.single_csv)
+    report = StepReport(names.GOLD, f"{name}_csv", written)
     return _read_back(report, readers.read_csv_export(spark, path, FUNCTIONAL))
 
 
@@ -149,10 +144,11 @@ def publish_documents(spark: SparkSession, cfg: LakeConfig, table: TableConfig)
     """Functional table to the document collection, straight from the table."""
     functional = refuse_empty(load(spark, cfg, names.FUNCTIONAL, table), "functional table")
     name = cfg.aggregate(table)
-    rows, seen = _counted(functional)
     path = cfg.table_path(names.GOLD, name) if cfg.document_format == "json" else None
     options = cfg.document_options
-    writers.write_documents(rows, cfg.document_format, path=path, options=options)
+    written = writers.write_documents(
+        functional, cfg.document_format, path=path, options=options
+    )
     stored = readers.read_documents(
         spark,
         cfg.document_format,
@@ -160,7 +156,7 @@ def publish_documents(spark: SparkSession, cfg: LakeConfig, table: TableConfig)
         schema=FUNCTIONAL if path else None,
         options=options,
     )
-    return _read_back(StepReport(names.GOLD, name, seen.get["rows"]), stored)
+    return _read_back(StepReport(names.GOLD, name, written), stored)
 
 
 STEPS = (

@@ -29,7 +29,7 @@ from jobstrata.functions import (
 from jobstrata.operators import aggregates, exploration, projections, quality
 from jobstrata.plans.standin import posting_bound, postings, postings_sql
 from jobstrata.sources import readers, writers
-from jobstrata.sources.workspace import new_path
+from jobstrata.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from jobstrata.contract import avro_contract
 from jobstrata.operators.projections import lowercase_columns, partition_last
 from jobstrata.sources.readers import LOSSLESS_CSV
-from jobstrata.sources.writers import ROWS_PER_TEXT_FILE
+from jobstrata.sources.writers import ROWS_PER_TEXT_FILE, counted_write
 
 
 def _name(identifier: str) -> str:
@@ -126,20 +126,23 @@ def create_source_table(
     )
 
 
-def insert_overwrite(df: DataFrame, table: str, partitioned_by: Sequence[str] = ()) -> None:
-    """Overwrite a table by position; a different number of columns is an error.
+def insert_overwrite(
+    df: DataFrame, table: str, partitioned_by: Sequence[str] = (), *, dynamic: bool = True
+) -> int:
+    """Overwrite a table by position and return the rows written; a different number of
+    columns is an error.
 
-    With partition columns only the partitions present in ``df`` are replaced. Those rows
-    are rebalanced by partition value, which AQE splits where one value is large.
+    With partition columns and ``dynamic`` only the partitions present in ``df`` are
+    replaced, otherwise the whole table is. Rows are rebalanced by partition value, which
+    AQE splits where one value is large.
     """
     df = lowercase_columns(df)
-    if not partitioned_by:
-        df.write.insertInto(table, overwrite=True)
-        return
     keys = [name.lower() for name in partitioned_by]
-    rows = partition_last(df, *keys).hint("rebalance", *keys)
-    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        rows.write.insertInto(table, overwrite=True)
+    if keys:
+        df = partition_last(df, *keys).hint("rebalance", *keys)
+    mode = "dynamic" if keys and dynamic else "static"
+    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", mode):
+        return counted_write(df, lambda writer: writer.insertInto(table, overwrite=True))
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
@@ -165,3 +168,11 @@ def describe_value(spark: SparkSession, table: str, entry: str) -> str | None:
 def storage_format(spark: SparkSession, table: str) -> str | None:
     """Hive input format of a SerDe table, else the data source of the table."""
     return describe_value(spark, table, "InputFormat") or describe_value(spark, table, "Provider")
+
+
+def require_avro(spark: SparkSession, table: str) -> str:
+    """Storage format of a landing table, or raise when it is not Avro."""
+    stored = storage_format(spark, table) or ""
+    if "avro" not in stored.lower():
+        raise ValueError(f"{table} is stored as {stored or 'unknown'}, not Avro")
+    return stored

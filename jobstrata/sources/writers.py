@@ -1,10 +1,16 @@
-"""Sinks: lossless text, partitioned folders, Parquet tables, CSV exports, documents."""
+"""Sinks: lossless text, partitioned folders, Parquet tables, CSV exports, documents.
+
+Every sink overwrites and returns the number of rows it wrote. The count is taken by the
+write's own last stage, so it needs no further pass and repeated upstream tasks do not add
+to it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import functions as F
 
 from jobstrata.sources.readers import LOSSLESS_CSV
 
@@ -14,50 +20,68 @@ ROWS_PER_TEXT_FILE = 1_000_000
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def write_lossless_csv(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with quoted text that reads back exactly, in files of bounded size."""
-    (
-        df.write.mode("overwrite")
+def counted_write(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
+    """Run ``write`` on the writer of ``df`` and return the rows that passed through."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")).write)
+    return seen.get["rows"]
+
+
+def write_lossless_csv(df: DataFrame, path: str) -> int:
+    """Quoted text that reads back exactly, in files of bounded size."""
+    return counted_write(
+        df,
+        lambda writer: writer.mode("overwrite")
         .options(**LOSSLESS_CSV)
         .option("maxRecordsPerFile", ROWS_PER_TEXT_FILE)
-        .csv(path)
+        .csv(path),
     )
 
 
 def write_folder(
-    df: DataFrame, path: str, fmt: str = "parquet", partitioned_by: Sequence[str] = ()
-) -> None:
-    """Overwrite a table folder; with partition columns only partitions present in ``df``."""
-    if not partitioned_by:
-        df.write.mode("overwrite").format(fmt).option("compression", "snappy").save(path)
-        return
-    (
-        df.hint("rebalance", *partitioned_by)
-        .write.mode("overwrite")
-        .format(fmt)
-        .option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitioned_by)
-        .save(path)
-    )
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partitioned_by: Sequence[str] = (),
+    *,
+    dynamic: bool = True,
+) -> int:
+    """A table folder with Snappy output.
 
+    With partition columns and ``dynamic`` only partitions present in ``df`` are replaced,
+    otherwise the whole folder is. Rows are rebalanced by partition value, which AQE splits
+    where one value is large.
+    """
+    if partitioned_by:
+        df = df.hint("rebalance", *partitioned_by)
 
-def save_parquet_table(df: DataFrame, table: str) -> None:
-    """Overwrite a managed Parquet table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    def write(writer: DataFrameWriter) -> None:
+        writer = writer.mode("overwrite").format(fmt).option("compression", "snappy")
+        if partitioned_by:
+            mode = "dynamic" if dynamic else "static"
+            writer = writer.option("partitionOverwriteMode", mode).partitionBy(*partitioned_by)
+        writer.save(path)
+
+    return counted_write(df, write)
+
+
+def save_parquet_table(df: DataFrame, table: str) -> int:
+    """A managed Parquet table."""
+    return counted_write(
+        df, lambda writer: writer.mode("overwrite").format("parquet").saveAsTable(table)
+    )
 
 
 def export_csv(
     df: DataFrame, path: str, *, single_file: bool = False, single_file_rows: int = SINGLE_FILE_ROWS
-) -> bool:
-    """Overwrite a CSV export with header. Returns whether it is a single file.
+) -> int:
+    """A CSV export with header, in parallel files.
 
-    ``single_file`` is honoured up to ``single_file_rows`` rows, which are counted first;
-    a larger table is exported whole in several files.
+    ``single_file`` is honoured up to ``single_file_rows`` rows, which are counted first; a
+    larger table is exported whole in several files.
     """
     single = single_file and df.count() <= single_file_rows
-    write_lossless_csv(df.repartition(1) if single else df, path)
-    return single
+    return write_lossless_csv(df.repartition(1) if single else df, path)
 
 
 def write_documents(
@@ -66,7 +90,11 @@ def write_documents(
     *,
     path: str | None = None,
     options: Mapping[str, str] | None = None,
-) -> None:
-    """Overwrite a document collection; ``fmt`` names the connector, JSON lines by default."""
-    writer = df.write.format(fmt).mode("overwrite").options(**(options or {}))
-    writer.save(path) if path else writer.save()
+) -> int:
+    """A document collection; ``fmt`` names the connector, JSON lines by default."""
+
+    def write(writer: DataFrameWriter) -> None:
+        writer = writer.format(fmt).mode("overwrite").options(**(options or {}))
+        writer.save(path) if path else writer.save()
+
+    return counted_write(df, write)

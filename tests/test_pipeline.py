@@ -63,7 +63,7 @@ def _check(spark, cfg, raw, table):
 
 
 def test_folders_twice(spark, folder, source, raw):
-    table = TableConfig(partitioned_by=("industry",))
+    table = TableConfig(partitioned_by=("posting_year",))
     cfg = LakeConfig(
         source, base_path=folder, tables=(table,), use_catalog=False, landing_format="parquet",
         numeric="decimal", single_csv=True,

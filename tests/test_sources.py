@@ -62,15 +62,19 @@ def test_lossless_text(spark, folder):
 def test_export_by_glob(spark, folder):
     df = spark.range(0, 50, 1, 4).selectExpr("id", "id / 4 AS share", "concat('n,', id) AS name")
     path = os.path.join(folder, "csv")
-    assert writers.export_csv(df, path) is False
-    assert writers.export_csv(df, path, single_file=True) is True
-    assert len([name for name in os.listdir(path) if name.startswith("part-")]) == 1
+
+    def files():
+        return len([name for name in os.listdir(path) if name.startswith("part-")])
+
+    assert (writers.export_csv(df, path), files()) == (50, 4)
+    assert (writers.export_csv(df, path, single_file=True), files()) == (50, 1)
     back = readers.read_csv_export(spark, f"{path}/part-*.csv", df.schema)
     assert _rows(back) == _rows(df)
     inferred = readers.read_csv_export(spark, f"{path}/part-*.csv", None)
     assert [kind for _, kind in inferred.dtypes] == ["int", "double", "string"]
     # Past the bound the table is exported whole, in several files.
-    assert writers.export_csv(df, path, single_file=True, single_file_rows=49) is False
+    assert writers.export_csv(df, path, single_file=True, single_file_rows=49) == 50
+    assert files() == 4
     assert readers.read_csv_export(spark, path, df.schema).count() == 50
 
 
@@ -89,8 +93,10 @@ def test_partitioned_folder_keeps_other_partitions(spark, folder):
     writers.write_folder(first, path, partitioned_by=["p"])
     second = spark.createDataFrame([(9, "y"), (8, "z")], "n int, p string")
     for _ in range(2):
-        writers.write_folder(second, path, partitioned_by=["p"])
+        assert writers.write_folder(second, path, partitioned_by=["p"]) == 2
         assert _rows(spark.read.parquet(path)) == [(1, "x"), (2, "x"), (8, "z"), (9, "y")]
+    writers.write_folder(second, path, partitioned_by=["p"], dynamic=False)
+    assert _rows(spark.read.parquet(path)) == [(8, "z"), (9, "y")]
 
 
 def test_small_scans_are_spread(spark, folder):
@@ -148,18 +154,21 @@ def test_catalog_tables(spark, folder):
     catalog.insert_overwrite(first, parted, ["B"])
     second = spark.createDataFrame([("3", "q", "y"), ("4", "r", "y")], schema)
     for _ in range(2):
-        catalog.insert_overwrite(second, parted, ["B"])
+        assert catalog.insert_overwrite(second, parted, ["B"]) == 2
         expected = [("1", "x", "p"), ("3", "y", "q"), ("4", "y", "r")]
         assert _rows(spark.table(parted)) == expected
     partitions = [row[0] for row in catalog.list_partitions(spark, parted).collect()]
     assert partitions == ["b=p", "b=q", "b=r"]
 
+    catalog.insert_overwrite(first, parted, ["B"], dynamic=False)
+    assert _rows(spark.table(parted)) == [("1", "x", "p"), ("2", "x", "q")]
+
     names = {row.tableName for row in catalog.list_tables(spark, database).collect()}
     assert {"texts", "parted"} <= names
     assert catalog.storage_format(spark, parted) == "parquet"
     assert catalog.describe_value(spark, parted, "no such entry") is None
     with pytest.raises(ValueError, match="not Avro"):
-        quality.require_avro(spark, parted)
+        catalog.require_avro(spark, parted)
 
     catalog.ensure_database(spark, database, os.path.join(folder, database), reset=True)
     assert catalog.list_tables(spark, database).where("NOT isTemporary").count() == 0
@@ -176,6 +185,14 @@ def test_hive_avro_definition(spark, url):
     assert "PARTITIONED BY (`b` string)" in ddl
     if url is None:
         assert '"name": "b"' not in ddl
-    plan = spark.sql(f"EXPLAIN {ddl}").first()[0]
+    plan = "\n".join(row[0] for row in spark.sql(f"EXPLAIN {ddl}").collect())
     assert "NOT_SUPPORTED_COMMAND_WITHOUT_HIVE_SUPPORT" in plan
     assert "AvroSerDe" in plan
+
+
+@pytest.mark.parametrize(
+    "stored", ["avro", "org.apache.hadoop.hive.ql.io.avro.AvroContainerInputFormat"]
+)
+def test_avro_storage_is_recognised(spark, monkeypatch, stored):
+    monkeypatch.setattr(catalog, "storage_format", lambda *_: stored)
+    assert catalog.require_avro(spark, "any.table") == stored
