@@ -40,7 +40,7 @@ class LakeConfig:
     folder below the layer's path. ``reset`` drops a layer's database before it is built.
     """
 
-    source_path: str
+    source_path: str = ""
     env: str = "dev"
     username: str = "hadoop"
     base_path: str = "/user"
@@ -55,6 +55,11 @@ class LakeConfig:
     document_format: str = "json"
     document_options: Mapping[str, str] = field(default_factory=dict)
 
+    def source(self, table: TableConfig) -> str:
+        """Path of a table's source text; without ``source_path`` the file is a full path."""
+        folder = self.source_path.rstrip("/")
+        return f"{folder}/{table.source_file}" if folder else table.source_file
+
     def database(self, layer: str) -> str:
         return f"{self.env}_{layer}".lower()
 

@@ -55,7 +55,7 @@ def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -
 
 def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
     """Source text into the raw layer, every value as it stands."""
-    source = f"{cfg.source_path.rstrip('/')}/{table.source_file}"
+    source = cfg.source(table)
     problems = header_problems(spark, source, table.schema)
     if problems:
         raise ValueError(f"{source}: " + "; ".join(problems))

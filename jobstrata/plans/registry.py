@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobstrata.config import LakeConfig, TableConfig
 from jobstrata.contract import (
     FUNCTIONAL,
     GROUP_COLUMNS,
@@ -27,6 +28,7 @@ from jobstrata.functions import (
     to_year,
 )
 from jobstrata.operators import aggregates, exploration, projections, quality
+from jobstrata.plans.pipeline import load, run_pipeline
 from jobstrata.plans.standin import posting_bound, postings, postings_sql
 from jobstrata.sources import readers, writers
 from jobstrata.workspace import new_path
@@ -312,14 +314,80 @@ def sample_rows(spark, sf_dir):
     return quality.sample_rows(postings(spark, sf_dir))
 
 
+def _source_text(df: DataFrame, name: str) -> str:
+    """Write ``df`` as the kind of text the pipeline is fed with: a header, quotes only where
+    a value needs them, blanks kept."""
+    path = new_path(df.sparkSession, name)
+    df.write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    return path
+
+
 @_register("raw_csv_scan", _curated_select())
 def raw_csv_scan(spark, sf_dir):
     """Postings as plain header-bearing text, scanned without inference and cleaned."""
-    path = new_path(spark, "source")
-    postings(spark, sf_dir).write.option("header", True).csv(path)
-    raw = readers.read_raw_csv(spark, path)
-    # Plain text drops the blanks around a value, which the cleaning drops as well.
-    return projections.curated_postings(raw)
+    return projections.curated_postings(
+        readers.read_raw_csv(spark, _source_text(postings(spark, sf_dir), "postings"))
+    )
+
+
+def _loose_text_select() -> str:
+    """All raw columns; numbers as numbers, as their text form differs between engines."""
+    columns = [_number(name) if name in MEASURE_COLUMNS else name for name in RAW_COLUMNS]
+    return f"SELECT {', '.join(columns)} FROM postings"
+
+
+@_register("lossless_text_roundtrip", _loose_text_select())
+def lossless_text_roundtrip(spark, sf_dir):
+    """Postings through the raw layer's quoted text: blanks, commas and nulls survive."""
+    path = new_path(spark, "text")
+    writers.write_lossless_csv(postings(spark, sf_dir), path)
+    back = readers.read_lossless_csv(spark, path, RAW)
+    return back.withColumns({name: to_double(F.col(name)) for name in MEASURE_COLUMNS})
+
+
+@_register(
+    "partition_overwrite",
+    """
+SELECT industry, city, count(*) AS job_count FROM postings
+WHERE city <> 'city_3' OR industry = 'building'
+GROUP BY ALL""",
+)
+def partition_overwrite(spark, sf_dir):
+    """A folder by city whose partition ``city_3`` is written again with one industry only."""
+    path = new_path(spark, "partitions")
+    rows = projections.partition_last(postings(spark, sf_dir).select("city", "industry"), "city")
+    writers.write_folder(rows, path, partitioned_by=["city"])
+    again = rows.where("city = 'city_3' AND industry = 'building'")
+    writers.write_folder(again, path, partitioned_by=["city"])
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return aggregates.group_count(stored, ["industry", "city"])
+
+
+@_register("documents_roundtrip", _IMPACT)
+def documents_roundtrip(spark, sf_dir):
+    """The functional table written as JSON documents and read back."""
+    path = new_path(spark, "documents")
+    writers.write_documents(impact_aggregate(spark, sf_dir), path=path)
+    return readers.read_documents(spark, path=path, schema=FUNCTIONAL)
+
+
+@_register("all_layers", _IMPACT)
+def all_layers(spark, sf_dir):
+    """Source text through every layer; the functional table as stored. Landing is Parquet,
+    as a plain session has no Avro source."""
+    lake = new_path(spark, "lake")
+    table = TableConfig(source_file=_source_text(postings(spark, sf_dir), "lake-source"))
+    cfg = LakeConfig(
+        base_path=lake,
+        tables=(table,),
+        use_catalog=False,
+        landing_format="parquet",
+        numeric="decimal",
+    )
+    run_pipeline(spark, cfg)
+    return load(spark, cfg, "functional", table)
 
 
 @_register("csv_export_roundtrip", _IMPACT)

@@ -91,6 +91,8 @@ def test_partitioned_folder_keeps_other_partitions(spark, folder):
     path = os.path.join(folder, "parts")
     first = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "n int, p string")
     writers.write_folder(first, path, partitioned_by=["p"])
+    written = os.listdir(os.path.join(path, "p=y"))
+    assert any(name.endswith(".snappy.parquet") for name in written)
     second = spark.createDataFrame([(9, "y"), (8, "z")], "n int, p string")
     for _ in range(2):
         assert writers.write_folder(second, path, partitioned_by=["p"]) == 2
