@@ -18,7 +18,7 @@ equals ``percentile`` (linear interpolation) on every group, nulls left out.
 
 The built-in still does the work wherever its buffer is proven small: in a single pass when
 the caller knows that the whole input has at most ``single_pass_rows`` rows, and in the
-second pass when the histogram shows that no group has more.
+second pass when the histogram shows that no group has more than ``GROUP_ROWS``.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from jobstrata.workspace import materialise
@@ -36,12 +36,17 @@ CELLS_PER_OCTAVE = 32
 # Above CELLS_PER_OCTAVE * 1075, so that the cell of every positive double is positive.
 CELL_OFFSET = 40_000
 SPLIT_CELLS = 1 << 16
-# Most rows of a group for which the built-in is used; bounds its buffer.
+# Most input rows for which the built-in is used in a single pass.
 SINGLE_PASS_ROWS = 1 << 20
+# Most rows of any group for which the built-in is used on an input of any size. A task
+# holds up to 128 groups before it sorts, at some 64 bytes a value: about 256 MB.
+GROUP_ROWS = 1 << 15
 # Most rows a single sorted window may see.
 WINDOW_ROWS = 4_000_000
 # Most bytes of located cells that are sent to every executor; more are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
+# Size of one located cell in a broadcast set of 64-bit hashes.
+HASH_BYTES = 32
 SALTS = 32
 
 
@@ -97,17 +102,24 @@ def _join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how="inner
 
 
 def _points(
-    rows: DataFrame, cells: DataFrame, keys: Sequence[str], key_bytes: int, broadcast_bytes: int
+    rows: DataFrame, cells: DataFrame, keys: Sequence[str], size: Row, broadcast_bytes: int
 ) -> DataFrame:
-    """Distinct values with counts inside ``cells``."""
+    """Distinct values with counts inside ``cells``.
+
+    Cells that are too large together to be broadcast as rows may still fit as hashes. These
+    drop most rows before the shuffle; the join behind it is exact.
+    """
     at = [*keys, "_cell"]
     cells = cells.drop("_n")
-    if key_bytes <= broadcast_bytes:
+    if size["bytes"] <= broadcast_bytes:
         return (
             _join_on(rows, F.broadcast(cells), at)
             .groupBy(*keys, "_lo", "_hi", "_below", "_ranks", "_value")
             .agg(F.count(F.lit(1)).alias("_n"))
         )
+    if size["cells"] * HASH_BYTES <= broadcast_bytes:
+        hashes = cells.select(F.xxhash64(*at).alias("_hash")).distinct()
+        rows = rows.join(F.broadcast(hashes), F.xxhash64(*at) == F.col("_hash"), "left_semi")
     salted = rows.groupBy(*at, "_value").agg(F.count(F.lit(1)).alias("_n"))
     salted = salted.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(SALTS)))
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
@@ -162,8 +174,9 @@ def grouped_percentiles(
 
     ``known_rows`` is an upper bound of the input rows where the caller has one, such as a
     Parquet footer count or the count of the write before. Without one, or above
-    ``single_pass_rows``, ``df`` is read twice and the histogram is materialised in the
-    checkpoint folder.
+    ``single_pass_rows``, ``df`` is read twice, so it must give the same rows each time, and
+    the histogram is materialised in the checkpoint folder. ``single_pass_rows=0`` takes the
+    located way whatever the size.
     """
     keys = list(keys)
     builtin = [F.percentile(value, share).alias(name) for name, share in fractions.items()]
@@ -196,7 +209,7 @@ def grouped_percentiles(
         F.col(f"_sum_{name}").alias(name) for name in (sums or {})
     ]
     largest = groups.agg(F.max("value_count")).first()[0] or 0
-    if largest <= single_pass_rows:
+    if largest <= min(single_pass_rows, GROUP_ROWS):
         second = df.groupBy(*keys).agg(*builtin)
         return _join_on(groups, second, keys).select(*keys, *fractions, *finished)
     total = F.sum("_n").over(Window.partitionBy(*keys))
@@ -213,13 +226,17 @@ def grouped_percentiles(
     answered = [ranked.where(~open_cell).select(*keys, "_ranks", F.col("_lo").alias("_value"))]
     size = (
         ranked.where(open_cell)
-        .agg(F.max("_n").alias("widest"), F.sum(_row_bytes(keys)).alias("bytes"))
+        .agg(
+            F.max("_n").alias("widest"),
+            F.count(F.lit(1)).alias("cells"),
+            F.sum(_row_bytes(keys)).alias("bytes"),
+        )
         .first()
     )
     widest = size["widest"]
     if widest is not None:
         rows = valued.where("_value IS NOT NULL").select(*keys, "_cell", "_value")
-        points = _points(rows, ranked.where(open_cell), keys, size["bytes"], broadcast_bytes)
+        points = _points(rows, ranked.where(open_cell), keys, size, broadcast_bytes)
         while widest is not None and widest > window_rows:
             points = materialise(points)
             finer, points = _split(points, keys)
