@@ -208,8 +208,8 @@ def grouped_percentiles(
     finished = ["value_count", "value_min", "value_max"] + [
         F.col(f"_sum_{name}").alias(name) for name in (sums or {})
     ]
-    largest = groups.agg(F.max("value_count")).first()[0] or 0
-    if largest <= min(single_pass_rows, GROUP_ROWS):
+    group_rows = min(single_pass_rows, GROUP_ROWS)
+    if group_rows and (groups.agg(F.max("value_count")).first()[0] or 0) <= group_rows:
         second = df.groupBy(*keys).agg(*builtin)
         return _join_on(groups, second, keys).select(*keys, *fractions, *finished)
     total = F.sum("_n").over(Window.partitionBy(*keys))

@@ -6,16 +6,22 @@ the write itself.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from jobstrata import config as names
 from jobstrata.config import HIVE_AVRO, LakeConfig, TableConfig
 from jobstrata.contract import FUNCTIONAL, load_avro_contract, string_schema
 from jobstrata.operators.aggregates import impact_aggregate
 from jobstrata.operators.projections import curated_postings, lowercase_columns, partition_last
-from jobstrata.operators.quality import header_problems, refuse_empty
+from jobstrata.operators.quality import (
+    MALFORMED_LINE,
+    header_problems,
+    refuse_empty,
+    scan_with_arity,
+)
 from jobstrata.sources import catalog, readers, writers
 
 
@@ -27,6 +33,7 @@ class StepReport:
     table: str
     rows_written: int
     rows_read_back: int | None = None
+    malformed_rows: int = 0
 
     @property
     def matches(self) -> bool:
@@ -54,20 +61,32 @@ def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -
 
 
 def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
-    """Source text into the raw layer, every value as it stands."""
+    """Source text into the raw layer, every value as it stands.
+
+    A header that differs from the contract is refused. Rows with too few or too many values
+    are padded or cut, as in ``readers.read_raw_csv``, and counted in the report.
+    """
     source = cfg.source(table)
     problems = header_problems(spark, source, table.schema)
     if problems:
         raise ValueError(f"{source}: " + "; ".join(problems))
     _prepare(spark, cfg, names.WORKLOAD)
-    rows = readers.read_raw_csv(spark, source, table.schema, multi_line=cfg.multi_line_source)
+    seen = Observation()
+    rows = (
+        scan_with_arity(spark, source, table.schema, multi_line=cfg.multi_line_source)
+        .observe(seen, F.count(MALFORMED_LINE).alias("malformed"))
+        .drop(MALFORMED_LINE)
+    )
     path = cfg.table_path(names.WORKLOAD, table.name)
-    if not cfg.use_catalog:
+    if cfg.use_catalog:
+        target = cfg.table(names.WORKLOAD, table.name)
+        catalog.create_text_table(spark, target, path, table.schema)
+        written = catalog.insert_overwrite(rows, target)
+    else:
         written = writers.write_lossless_csv(rows, path)
-        return StepReport(names.WORKLOAD, table.name, written)
-    target = cfg.table(names.WORKLOAD, table.name)
-    catalog.create_text_table(spark, target, path, table.schema)
-    return StepReport(names.WORKLOAD, table.name, catalog.insert_overwrite(rows, target))
+    return StepReport(
+        names.WORKLOAD, table.name, written, malformed_rows=seen.get["malformed"]
+    )
 
 
 def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
@@ -127,7 +146,7 @@ def build_functional(
 
 
 def _read_back(report: StepReport, stored: DataFrame) -> StepReport:
-    return StepReport(report.layer, report.table, report.rows_written, stored.count())
+    return replace(report, rows_read_back=stored.count())
 
 
 def export_gold(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:

@@ -92,6 +92,25 @@ def test_wrong_header_is_refused(spark, folder):
         run_pipeline(spark, cfg)
 
 
+@pytest.mark.parametrize("use_catalog", [False, True])
+def test_rows_of_the_wrong_length_are_counted(spark, folder, use_catalog):
+    from jobstrata.contract import RAW_COLUMNS
+    from jobstrata.plans.pipeline import ingest_raw
+
+    full = [f"v{i}" for i in range(22)]
+    lines = [list(RAW_COLUMNS), full, full[:21], [*full, "extra"], full]
+    with open(os.path.join(folder, "job_postings.csv"), "w") as out:
+        out.write("".join(",".join(line) + "\n" for line in lines))
+    cfg = LakeConfig(folder, env="arity", base_path=folder, use_catalog=use_catalog)
+    report = ingest_raw(spark, cfg, cfg.tables[0])
+    assert (report.rows_written, report.malformed_rows) == (4, 2)
+    stored = load(spark, cfg, config.WORKLOAD, cfg.tables[0])
+    assert stored.columns == list(RAW_COLUMNS)
+    assert stored.where("industry_ai_adoption_stage IS NULL").count() == 1
+    if use_catalog:
+        spark.sql("DROP DATABASE arity_workload CASCADE")
+
+
 def test_empty_gold_is_refused(spark, folder):
     cfg = LakeConfig("unused", base_path=folder, use_catalog=False)
     path = cfg.table_path(config.FUNCTIONAL, cfg.aggregate_name)

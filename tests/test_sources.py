@@ -101,6 +101,21 @@ def test_partitioned_folder_keeps_other_partitions(spark, folder):
     assert _rows(spark.read.parquet(path)) == [(8, "z"), (9, "y")]
 
 
+def test_empty_tables_are_written_and_counted(spark, folder):
+    schema = "a string, b string, c string"
+    empties = [
+        spark.createDataFrame([], schema),
+        spark.createDataFrame(AWKWARD, THREE).where("a = 'no such value'"),
+        spark.createDataFrame(AWKWARD, THREE).where("1 = 0"),
+    ]
+    for at, df in enumerate(empties):
+        path = os.path.join(folder, str(at))
+        assert writers.write_folder(df, path) == 0
+        assert writers.write_folder(df, path, partitioned_by=["c"]) == 0
+        assert writers.write_lossless_csv(df, path) == 0
+        assert readers.read_lossless_csv(spark, path, THREE).count() == 0
+
+
 def test_small_scans_are_spread(spark, folder):
     path = os.path.join(folder, "one")
     spark.range(100).coalesce(1).write.parquet(path)
