@@ -10,12 +10,17 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobstrata import config as names
 from jobstrata.config import HIVE_AVRO, LakeConfig, TableConfig
 from jobstrata.contract import FUNCTIONAL, load_avro_contract, string_schema
 from jobstrata.operators.aggregates import impact_aggregate
-from jobstrata.operators.projections import curated_postings, lowercase_columns, partition_last
+from jobstrata.operators.projections import (
+    align_by_position,
+    curated_postings,
+    partition_last,
+)
 from jobstrata.operators.quality import (
     MALFORMED_LINE,
     header_problems,
@@ -45,6 +50,10 @@ def _prepare(spark: SparkSession, cfg: LakeConfig, layer: str) -> None:
         catalog.ensure_database(spark, cfg.database(layer), cfg.layer_path(layer))
 
 
+def _landing_contract(table: TableConfig) -> T.StructType:
+    return string_schema(name.lower() for name in table.schema.names)
+
+
 def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -> DataFrame:
     """The stored table of a layer."""
     name = cfg.aggregate(table) if layer == names.FUNCTIONAL else table.name
@@ -55,7 +64,7 @@ def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -
         return readers.read_lossless_csv(spark, path, table.schema)
     if layer == names.LANDING:
         # The contract keeps partition values from being read back as numbers.
-        contract = string_schema(name.lower() for name in table.schema.names)
+        contract = _landing_contract(table)
         return spark.read.format(cfg.landing_format).schema(contract).load(path)
     return spark.read.parquet(path)
 
@@ -97,7 +106,7 @@ def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
     dynamic = table.dynamic_partitions
     path = cfg.table_path(names.LANDING, table.name)
     if not cfg.use_catalog:
-        rows = partition_last(lowercase_columns(rows), *keys)
+        rows = partition_last(align_by_position(rows, _landing_contract(table)), *keys)
         written = writers.write_folder(rows, path, cfg.landing_format, keys, dynamic=dynamic)
         return StepReport(names.LANDING, table.name, written)
     schema = table.schema

@@ -411,7 +411,8 @@ def arity_violations(spark, sf_dir):
     rows = postings(spark, sf_dir)
     part = F.split_part("job_id", F.lit("-"), F.lit(2)).cast("bigint")
     # Quoted because the keyword column holds commas.
-    values = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in rows.columns]
+    quote = F.lit('"')
+    values = [F.concat(quote, F.coalesce(F.col(c), F.lit("")), quote) for c in rows.columns]
     line = (
         F.when(part % 17 == 0, F.concat_ws(",", *values, F.lit('"extra"')))
         .when(part % 13 == 0, F.concat_ws(",", *values[:-1]))

@@ -50,7 +50,9 @@ def register_view(df: DataFrame, view: str) -> None:
     df.createOrReplaceTempView(view)
 
 
-def create_text_table(spark: SparkSession, table: str, location: str, schema: T.StructType) -> None:
+def create_text_table(
+    spark: SparkSession, table: str, location: str, schema: T.StructType
+) -> None:
     """External all-string ``,`` text table. Values are quoted, so commas, quotes, newlines,
     blanks, empty strings and nulls read back as written."""
     columns = ", ".join(f"{_name(field.name)} STRING" for field in schema.fields)
@@ -96,13 +98,22 @@ def hive_avro_ddl(
     )
 
 
-def create_hive_avro_table(spark: SparkSession, table: str, location: str, schema, **layout) -> None:
+def create_hive_avro_table(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    schema: T.StructType,
+    *,
+    schema_url: str | None = None,
+    partitioned_by: Sequence[str] = (),
+) -> None:
     """Create the table of :func:`hive_avro_ddl`; needs a session with Hive support."""
     # Hive takes the output codec and the dynamic-partition mode from the session.
     spark.conf.set("hive.exec.compress.output", "true")
     spark.conf.set("avro.output.codec", "snappy")
     spark.conf.set("hive.exec.dynamic.partition", "true")
     spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
+    layout = {"schema_url": schema_url, "partitioned_by": partitioned_by}
     spark.sql(hive_avro_ddl(table, location, schema, **layout))
 
 

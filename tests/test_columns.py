@@ -1,4 +1,5 @@
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -42,6 +43,20 @@ def test_year_equals_the_non_ansi_cast(spark):
     assert relaxed == strict
 
 
+def test_year_equals_the_non_ansi_cast_on_random_texts(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("0123459+-.. eE\tx", k=rng.randint(0, 8))) for _ in range(4000)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        legacy = _column(spark, texts, F.col("x").cast("int"))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    ours = _column(spark, texts, to_year(F.col("x")))
+    assert [row for row in zip(texts, ours, legacy) if row[1] != row[2]] == []
+    assert sum(value is not None for value in legacy) > 200
+
+
 def test_double_takes_malformed_text_as_null(spark):
     got = _column(spark, ["1.5", " 2 ", "x", "", "1e3", None, "NaN"], to_double(F.col("x")))
     assert got[:6] == [1.5, 2.0, None, None, 1000.0, None]

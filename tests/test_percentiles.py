@@ -74,7 +74,16 @@ def _plain(df):
         {"single_pass_rows": 0, "window_rows": 1, "broadcast_bytes": 0},
         {"single_pass_rows": 100, "known_rows": 10_000, "window_rows": 50},
     ],
-    ids=["single-pass", "small-groups", "refined", "shuffled", "hashed", "split", "split-all", "known-large"],
+    ids=[
+        "single-pass",
+        "small-groups",
+        "refined",
+        "shuffled",
+        "hashed",
+        "split",
+        "split-all",
+        "known-large",
+    ],
 )
 def test_equals_the_builtin(table, expected, limits):
     got = grouped_percentiles(

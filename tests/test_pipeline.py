@@ -83,6 +83,53 @@ def test_catalog_with_reset(spark, folder, source, raw):
         spark.sql(f"DROP DATABASE {cfg.database(layer)} CASCADE")
 
 
+def _text_source(folder, name, records):
+    from jobstrata.contract import RAW_COLUMNS
+
+    lines = [RAW_COLUMNS, *[[record.get(c, "") for c in RAW_COLUMNS] for record in records]]
+    with open(os.path.join(folder, name), "w") as out:
+        out.write("".join(",".join(line) + "\n" for line in lines))
+
+
+def test_several_tables(spark, folder):
+    _text_source(folder, "a.csv", [{"job_id": "1", "industry": "it", "salary_usd": "10"}] * 3)
+    _text_source(folder, "b.csv", [{"job_id": "2", "industry": "it", "salary_usd": "20"}] * 2)
+    tables = (TableConfig("First", "a.csv"), TableConfig("Second", "b.csv"))
+    cfg = LakeConfig(
+        folder, base_path=folder, tables=tables, use_catalog=False, landing_format="parquet"
+    )
+    reports = run_pipeline(spark, cfg)
+    assert [report.rows_written for report in reports] == [3, 2, 3, 2, 1, 1, 3, 2, 1, 1, 1, 1]
+    medians = [
+        load(spark, cfg, config.FUNCTIONAL, table).first().median_salary_usd for table in tables
+    ]
+    assert medians == [10.0, 20.0]
+
+
+@pytest.mark.parametrize("use_catalog", [False, True])
+def test_landing_keeps_partitions_that_are_not_in_the_input(spark, folder, use_catalog):
+    from jobstrata.plans.pipeline import build_landing, ingest_raw
+
+    table = TableConfig(partitioned_by=("industry",))
+    cfg = LakeConfig(
+        folder, env="parts", base_path=folder, tables=(table,), use_catalog=use_catalog,
+        landing_format="parquet",
+    )
+    loads = [
+        [{"job_id": "1", "industry": "it"}, {"job_id": "2", "industry": "007"}],
+        [{"job_id": "3", "industry": "it"}, {"job_id": "4", "industry": "law"}],
+    ]
+    for records in loads:
+        _text_source(folder, "job_postings.csv", records)
+        ingest_raw(spark, cfg, table)
+        assert build_landing(spark, cfg, table).rows_written == 2
+    landing = load(spark, cfg, config.LANDING, table).select("job_id", "industry")
+    assert sorted(map(tuple, landing.collect())) == [("2", "007"), ("3", "it"), ("4", "law")]
+    if use_catalog:
+        spark.sql("DROP DATABASE parts_workload CASCADE")
+        spark.sql("DROP DATABASE parts_landing CASCADE")
+
+
 def test_wrong_header_is_refused(spark, folder):
     os.makedirs(os.path.join(folder, "in"))
     with open(os.path.join(folder, "in", "job_postings.csv"), "w") as out:

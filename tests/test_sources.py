@@ -1,11 +1,13 @@
 import json
 import os
+import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
-from jobstrata import contract
+from jobstrata import contract, workspace
 from jobstrata.operators import quality
 from jobstrata.sources import catalog, readers, writers
 
@@ -59,6 +61,22 @@ def test_lossless_text(spark, folder):
         assert _rows(readers.read_lossless_csv(spark, path, THREE)) == _rows(df)
 
 
+def test_lossless_text_of_random_values(spark, folder):
+    rng = random.Random(11)
+    letters = '",\\\n\r\t \'N;|#é漢aB0'
+
+    def value():
+        return None if rng.random() < 0.1 else "".join(rng.choices(letters, k=rng.randint(0, 6)))
+
+    data = [(value(), value(), value()) for _ in range(3000)]
+    # The sentinel for null is the one text that does not survive.
+    data = [tuple(None if v == readers.NULL_TEXT else v for v in row) for row in data]
+    df = spark.createDataFrame(data, THREE)
+    path = os.path.join(folder, "random")
+    writers.write_lossless_csv(df, path)
+    assert _rows(readers.read_lossless_csv(spark, path, THREE)) == sorted(data, key=repr)
+
+
 def test_export_by_glob(spark, folder):
     df = spark.range(0, 50, 1, 4).selectExpr("id", "id / 4 AS share", "concat('n,', id) AS name")
     path = os.path.join(folder, "csv")
@@ -119,11 +137,11 @@ def test_empty_tables_are_written_and_counted(spark, folder):
 def test_small_scans_are_spread(spark, folder):
     path = os.path.join(folder, "one")
     spark.range(100).coalesce(1).write.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
+    wanted = min(spark.sparkContext.defaultParallelism, readers.SPREAD_SPLITS)
     spread = readers.spread_small_scan(spark.read.parquet(path))
     assert spread.count() == 100
-    wide = spark.range(0, 100, 1, cores + 1)
-    assert readers.spread_small_scan(wide) is wide or cores == 1
+    wide = spark.range(0, 100, 1, wanted)
+    assert readers.spread_small_scan(wide) is wide
 
 
 def test_avro_contract_round_trip(spark, folder):
@@ -213,3 +231,24 @@ def test_hive_avro_definition(spark, url):
 def test_avro_storage_is_recognised(spark, monkeypatch, stored):
     monkeypatch.setattr(catalog, "storage_format", lambda *_: stored)
     assert catalog.require_avro(spark, "any.table") == stored
+
+
+def test_inline_contract_is_valid_avro(spark):
+    text = contract.avro_contract(contract.RAW, "job_postings")
+    parsed = spark._jvm.org.apache.avro.Schema.Parser().parse(text)
+    assert parsed.getFields().size() == 22
+
+
+def test_work_folder_is_never_local_on_a_cluster():
+    def session(master, setting=None, known=None):
+        context = SimpleNamespace(
+            master=master, getCheckpointDir=lambda: known, setCheckpointDir=lambda folder: None
+        )
+        conf = SimpleNamespace(get=lambda key, default: setting or default)
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    assert workspace.work_folder(session("yarn", "hdfs:///work")) == "hdfs:///work"
+    assert workspace.work_folder(session("yarn", known="hdfs:///set")) == "hdfs:///set"
+    assert "run-" in workspace.work_folder(session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.work_folder(session("yarn"))
