@@ -52,6 +52,7 @@ class LakeConfig:
     numeric: str = "double"
     multi_line_source: bool = False
     single_csv: bool = False
+    plain_csv: bool = False
     document_format: str = "json"
     document_options: Mapping[str, str] = field(default_factory=dict)
 

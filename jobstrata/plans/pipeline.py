@@ -163,9 +163,12 @@ def export_gold(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Ste
     functional = refuse_empty(load(spark, cfg, names.FUNCTIONAL, table), "functional table")
     name = cfg.aggregate(table)
     path = cfg.table_path(names.GOLD, f"{name}_csv")
-    written = writers.export_csv(functional, path, single_file=cfg.single_csv)
+    written = writers.export_csv(
+        functional, path, plain=cfg.plain_csv, single_file=cfg.single_csv
+    )
     report = StepReport(names.GOLD, f"{name}_csv", written)
-    return _read_back(report, readers.read_csv_export(spark, path, FUNCTIONAL))
+    stored = readers.read_csv_export(spark, path, FUNCTIONAL, plain=cfg.plain_csv)
+    return _read_back(report, stored)
 
 
 def publish_documents(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:

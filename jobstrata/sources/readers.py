@@ -25,6 +25,15 @@ LOSSLESS_CSV = {
 }
 
 
+PLAIN_CSV = {
+    "header": "true",
+    "sep": ",",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "encoding": "UTF-8",
+}
+
 # Most splits a scan is spread to; one with more, some 8 GB at Spark's default split size, is
 # left alone.
 SPREAD_SPLITS = 64
@@ -60,12 +69,15 @@ def read_lossless_csv(spark: SparkSession, path: str, schema: T.StructType) -> D
     return spark.read.options(**LOSSLESS_CSV, multiLine="true").schema(schema).csv(path)
 
 
-def read_csv_export(spark: SparkSession, pattern: str, schema: T.StructType | None) -> DataFrame:
+def read_csv_export(
+    spark: SparkSession, pattern: str, schema: T.StructType | None, *, plain: bool = False
+) -> DataFrame:
     """Exported CSV by path or glob. Without a schema the types are inferred, at the cost of
     a second pass over the text."""
-    if schema is not None:
-        return read_lossless_csv(spark, pattern, schema)
-    return spark.read.options(**LOSSLESS_CSV, multiLine="true", inferSchema="true").csv(pattern)
+    reader = spark.read.options(**(PLAIN_CSV if plain else LOSSLESS_CSV), multiLine="true")
+    if schema is None:
+        return reader.option("inferSchema", "true").csv(pattern)
+    return reader.schema(schema).csv(pattern)
 
 
 def read_documents(

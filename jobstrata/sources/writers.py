@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
-from jobstrata.sources.readers import LOSSLESS_CSV
+from jobstrata.sources.readers import LOSSLESS_CSV, PLAIN_CSV
 
 # Bounds a text file, which is read by one task because quoted newlines are allowed.
 ROWS_PER_TEXT_FILE = 1_000_000
@@ -27,17 +27,21 @@ def counted_write(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> in
     return seen.get["rows"]
 
 
-def write_lossless_csv(df: DataFrame, path: str) -> int:
-    """Quoted text that reads back exactly, in files of bounded size."""
+def _write_text(df: DataFrame, path: str, options: Mapping[str, str]) -> int:
     return counted_write(
         df,
         lambda writer: writer.mode("overwrite")
-        .options(**LOSSLESS_CSV)
+        .options(**options)
         .option("maxRecordsPerFile", ROWS_PER_TEXT_FILE)
         .csv(path),
     )
 
 
+def write_lossless_csv(df: DataFrame, path: str) -> int:
+    """Quoted text that reads back exactly, in files of bounded size."""
+    return _write_text(df, path, LOSSLESS_CSV)
+
+
 def write_folder(
     df: DataFrame,
     path: str,
@@ -73,15 +77,23 @@ def save_parquet_table(df: DataFrame, table: str) -> int:
 
 
 def export_csv(
-    df: DataFrame, path: str, *, single_file: bool = False, single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame,
+    path: str,
+    *,
+    plain: bool = False,
+    single_file: bool = False,
+    single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> int:
     """A CSV export with header, in parallel files.
 
-    ``single_file`` is honoured up to ``single_file_rows`` rows, which are counted first; a
-    larger table is exported whole in several files.
+    ``plain`` writes what a consumer without our options expects: quotes only where needed
+    and nothing for null, which an empty text cannot be told from. ``single_file`` is honoured
+    up to ``single_file_rows`` rows, which are counted first; a larger table is exported whole
+    in several files.
     """
     single = single_file and df.count() <= single_file_rows
-    return write_lossless_csv(df.repartition(1) if single else df, path)
+    options = PLAIN_CSV if plain else LOSSLESS_CSV
+    return _write_text(df.repartition(1) if single else df, path, options)
 
 
 def write_documents(

@@ -96,6 +96,19 @@ def test_export_by_glob(spark, folder):
     assert readers.read_csv_export(spark, path, df.schema).count() == 50
 
 
+def test_plain_export(spark, folder):
+    schema = "k string, x double, t string"
+    df = spark.createDataFrame([("a", 1.5, 'x,"y"\n'), (None, None, "z")], schema)
+    path = os.path.join(folder, "plain")
+    assert writers.export_csv(df, path, plain=True, single_file=True) == 2
+    part = next(name for name in os.listdir(path) if name.startswith("part-"))
+    with open(os.path.join(path, part)) as text:
+        assert text.read() == 'k,x,t\na,1.5,"x,""y""\n"\n,,z\n'
+    back = readers.read_csv_export(spark, path, df.schema, plain=True)
+    assert _rows(back) == _rows(df)
+    assert readers.read_csv_export(spark, path, None, plain=True).dtypes[1] == ("x", "double")
+
+
 def test_documents(spark, folder):
     df = spark.createDataFrame([("a", 1, 0.5), (None, 2, None)], "k string, n int, x double")
     path = os.path.join(folder, "docs")
