@@ -5,7 +5,7 @@ buffer. A group may hold a third of all rows, so that buffer has no bound. Here
 ranks are located in steps:
 
 1. Histogram. Values fall into logarithmic cells (monotone in the value). One aggregate by
-   group and cell counts them, with map-side combine; a group has at most some 69,000
+   group and cell counts them, with map-side combine; a group has at most some 135,000
    cells. A running count over the cells of a group says which cell holds which rank.
 2. Points. Only rows of a cell that holds a wanted rank are read again, as distinct values
    with counts.
@@ -38,8 +38,8 @@ CELL_OFFSET = 40_000
 SPLIT_CELLS = 1 << 16
 # Most input rows for which the built-in is used in a single pass.
 SINGLE_PASS_ROWS = 1 << 20
-# Most rows of any group for which the built-in is used on an input of any size. A task
-# holds up to 128 groups before it sorts, at some 64 bytes a value: about 256 MB.
+# Most rows of any group for which the built-in is used on an input of any size. With Spark's
+# default a task holds 128 groups before it sorts, at some 64 bytes a value: about 256 MB.
 GROUP_ROWS = 1 << 15
 # Most rows a single sorted window may see.
 WINDOW_ROWS = 4_000_000
@@ -101,6 +101,32 @@ def _join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how="inner
     return left.join(other, same, how).drop(*[f"_r{name}" for name in names])
 
 
+def _size(cells: DataFrame, keys: Sequence[str]) -> Row:
+    """Rows of the widest cell (null without cells), cells, and an upper estimate of their
+    bytes: UTF-8 keys and fixed-width columns."""
+    text = F.octet_length(F.concat_ws("", *[F.col(key).cast("string") for key in keys]))
+    return cells.agg(
+        F.max("_n").alias("widest"),
+        F.count(F.lit(1)).alias("cells"),
+        F.coalesce(F.sum(text + 64 * (len(keys) + 4)), F.lit(0)).alias("bytes"),
+    ).first()
+
+
+def _in_cells(
+    rows: DataFrame, cells: DataFrame, at: Sequence[str], size: Row, broadcast_bytes: int
+) -> DataFrame:
+    """Rows whose ``at`` columns name one of ``cells``, with the columns of the cell."""
+    cells = cells.drop("_n")
+    if size["bytes"] <= broadcast_bytes:
+        return _join_on(rows, F.broadcast(cells), at)
+    salt = F.pmod(F.xxhash64("_value"), F.lit(SALTS))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    salted = _join_on(
+        rows.withColumn("_salt", salt), cells.withColumn("_salt", copies), [*at, "_salt"]
+    )
+    return salted.drop("_salt")
+
+
 def _points(
     rows: DataFrame, cells: DataFrame, keys: Sequence[str], size: Row, broadcast_bytes: int
 ) -> DataFrame:
@@ -110,44 +136,30 @@ def _points(
     drop most rows before the shuffle; the join behind it is exact.
     """
     at = [*keys, "_cell"]
-    cells = cells.drop("_n")
+    count = F.count(F.lit(1)).alias("_n")
     if size["bytes"] <= broadcast_bytes:
-        return (
-            _join_on(rows, F.broadcast(cells), at)
-            .groupBy(*keys, "_lo", "_hi", "_below", "_ranks", "_value")
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
+        inside = _in_cells(rows, cells, at, size, broadcast_bytes)
+        return inside.groupBy(*keys, "_lo", "_hi", "_below", "_ranks", "_value").agg(count)
     if size["cells"] * HASH_BYTES <= broadcast_bytes:
         hashes = cells.select(F.xxhash64(*at).alias("_hash")).distinct()
         rows = rows.join(F.broadcast(hashes), F.xxhash64(*at) == F.col("_hash"), "left_semi")
-    salted = rows.groupBy(*at, "_value").agg(F.count(F.lit(1)).alias("_n"))
-    salted = salted.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(SALTS)))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    return _join_on(salted, cells.withColumn("_salt", copies), [*at, "_salt"]).drop("_salt")
+    distinct = rows.groupBy(*at, "_value").agg(count)
+    return _in_cells(distinct, cells, at, size, broadcast_bytes).drop("_cell")
 
 
 def _split(points: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Divide every cell; returns the finer cells holding ranks and the points with cells."""
     cell = _linear_cell(F.col("_value"), F.col("_lo"), F.col("_hi"))
     points = points.withColumn("_cell", cell).withColumnRenamed("_lo", "_parent")
-    finer = (
-        points.groupBy(*keys, "_parent", "_below", "_ranks", "_cell")
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.min("_value").alias("_lo"),
-            F.max("_value").alias("_hi"),
-        )
+    finer = points.groupBy(*keys, "_parent", "_below", "_ranks", "_cell").agg(
+        F.sum("_n").alias("_n"),
+        F.min("_value").alias("_lo"),
+        F.max("_value").alias("_hi"),
     )
     points = points.select(*keys, "_parent", "_cell", "_value", "_n")
     return _keep_ranked(finer, [*keys, "_parent"], "_cell"), points
 
 
-def _row_bytes(keys: Sequence[str]) -> Column:
-    """Upper estimate of the size of one located cell: UTF-8 keys and fixed-width columns."""
-    text = F.concat_ws("", *[F.col(key).cast("string") for key in keys])
-    return F.octet_length(text) + 64 * (len(keys) + 4)
-
-
 def _interpolated(at: Column, total: Column, fraction: float) -> Column:
     position = _position(total, fraction)
     low_rank, high_rank = F.floor(position), F.ceil(position)
@@ -224,31 +236,21 @@ def grouped_percentiles(
     ranked = materialise(ranked)
     open_cell = F.col("_lo") < F.col("_hi")
     answered = [ranked.where(~open_cell).select(*keys, "_ranks", F.col("_lo").alias("_value"))]
-    size = (
-        ranked.where(open_cell)
-        .agg(
-            F.max("_n").alias("widest"),
-            F.count(F.lit(1)).alias("cells"),
-            F.sum(_row_bytes(keys)).alias("bytes"),
-        )
-        .first()
-    )
-    widest = size["widest"]
-    if widest is not None:
+    size = _size(ranked.where(open_cell), keys)
+    if size["widest"] is not None:
         rows = valued.where("_value IS NOT NULL").select(*keys, "_cell", "_value")
         points = _points(rows, ranked.where(open_cell), keys, size, broadcast_bytes)
-        while widest is not None and widest > window_rows:
-            points = materialise(points)
-            finer, points = _split(points, keys)
+        while size["widest"] is not None and size["widest"] > window_rows:
+            finer, points = _split(materialise(points), keys)
             finer = materialise(finer)
             answered.append(
                 finer.where(~open_cell).select(*keys, "_ranks", F.col("_lo").alias("_value"))
             )
             finer = finer.where(open_cell)
-            widest = finer.agg(F.max("_n")).first()[0]
-            points = _join_on(points, finer.drop("_n"), [*keys, "_parent", "_cell"])
-            points = points.drop("_parent", "_cell")
-        if widest is not None:
+            size = _size(finer, keys)
+            at = [*keys, "_parent", "_cell"]
+            points = _in_cells(points, finer, at, size, broadcast_bytes).drop("_parent", "_cell")
+        if size["widest"] is not None:
             picked = _keep_ranked(points, [*keys, "_lo"], "_value")
             answered.append(picked.select(*keys, "_ranks", "_value"))
 
