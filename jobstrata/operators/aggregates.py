@@ -12,10 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.contract import FUNCTIONAL, GROUP_COLUMNS
-from jobstrata.functions import is_flagged, share_percent, to_double
+from jobstrata.contract import FUNCTIONAL, GROUP_COLUMNS, MEASURE_COLUMNS
+from jobstrata.functions import (
+    FUNCTIONAL_RISK,
+    is_flagged,
+    risk_tier,
+    share_percent,
+    to_double,
+)
 from jobstrata.operators.percentiles import SINGLE_PASS_ROWS, grouped_percentiles
-from jobstrata.operators.projections import with_risk_tier
+from jobstrata.operators.projections import RISK_SCORE
 
 # Output column -> (input column, decimals).
 MEANS = {
@@ -32,11 +38,20 @@ def _check(numeric: str) -> None:
         raise ValueError(f"numeric must be 'double' or 'decimal', not {numeric!r}")
 
 
-def measure(name: str, numeric: str) -> Column:
-    """A text measure as a number of the chosen arithmetic, malformed text as null."""
+def with_numbers(df: DataFrame, names: Sequence[str], numeric: str) -> DataFrame:
+    """Add every measure as a number, so that text is parsed once however often the number is
+    used. Malformed text is null. Read the columns with :func:`number`."""
     _check(numeric)
-    value = to_double(F.col(name))
-    return value.try_cast(EXACT) if numeric == "decimal" else value
+    df = df.withColumns({f"_double_{name}": to_double(F.col(name)) for name in names})
+    if numeric == "decimal":
+        exact = {f"_decimal_{name}": number(name, "double").try_cast(EXACT) for name in names}
+        df = df.withColumns(exact)
+    return df
+
+
+def number(name: str, numeric: str) -> Column:
+    """A measure added by :func:`with_numbers`; its double is there in either arithmetic."""
+    return F.col(f"_{numeric}_{name}")
 
 
 def rounded(value: Column, digits: int, numeric: str) -> Column:
@@ -46,11 +61,12 @@ def rounded(value: Column, digits: int, numeric: str) -> Column:
 
 
 def mean_parts(numeric: str, means=MEANS) -> dict[str, Column]:
-    """Additive parts of the means: a sum and a non-null count per output column."""
+    """Additive parts of the means, after :func:`with_numbers`: a sum and a non-null count
+    per output column."""
     parts = {}
     for output, (name, _) in means.items():
-        parts[f"{output}_sum"] = F.sum(measure(name, numeric))
-        parts[f"{output}_n"] = F.count(measure(name, numeric))
+        parts[f"{output}_sum"] = F.sum(number(name, numeric))
+        parts[f"{output}_n"] = F.count(number(name, numeric))
     return parts
 
 
@@ -74,7 +90,8 @@ def group_means(
 ) -> DataFrame:
     """Rounded means of the four measures per group; null where a group has no number."""
     return (
-        df.groupBy(*keys)
+        with_numbers(df, MEASURE_COLUMNS, numeric)
+        .groupBy(*keys)
         .agg(*[column.alias(name) for name, column in mean_parts(numeric).items()])
         .select(
             *keys,
@@ -143,10 +160,12 @@ def impact_aggregate(
     histogram share one shuffle. See :func:`nonnull_titles` for ``unique_job_titles`` and
     :func:`grouped_percentiles` for ``known_rows`` and ``single_pass_rows``.
     """
+    parsed = with_numbers(raw, MEASURE_COLUMNS, numeric)
+    tier = risk_tier(number(RISK_SCORE, "double"), FUNCTIONAL_RISK)
     summary = grouped_percentiles(
-        with_risk_tier(raw),
+        parsed.withColumn("risk_category", tier),
         GROUP_COLUMNS,
-        to_double(F.col("salary_usd")),
+        number("salary_usd", "double"),
         {"median": 0.5},
         {
             **mean_parts(numeric),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.contract import MEASURE_COLUMNS, YEAR_COLUMN
 from jobstrata.functions import share_percent
-from jobstrata.operators.aggregates import mean_of_parts, mean_parts, rounded
+from jobstrata.operators.aggregates import mean_of_parts, mean_parts, rounded, with_numbers
 from jobstrata.operators.percentiles import SINGLE_PASS_ROWS, grouped_percentiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -45,7 +45,8 @@ def salary_distribution(
 def _mean_risk(curated: DataFrame, keys: list[str], numeric: str) -> DataFrame:
     parts = [column.alias(name) for name, column in mean_parts(numeric, _RISK).items()]
     return (
-        curated.groupBy(*keys)
+        with_numbers(curated, ["automation_risk_score"], numeric)
+        .groupBy(*keys)
         .agg(*parts, F.count(F.lit(1)).alias("job_count"))
         .select(
             *keys,

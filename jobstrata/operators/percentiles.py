@@ -191,6 +191,8 @@ def grouped_percentiles(
     located way whatever the size.
     """
     keys = list(keys)
+    df = df.withColumn("_value", value)
+    value = F.col("_value")
     builtin = [F.percentile(value, share).alias(name) for name, share in fractions.items()]
     if known_rows is not None and known_rows <= single_pass_rows:
         return df.groupBy(*keys).agg(
@@ -201,13 +203,13 @@ def grouped_percentiles(
             *[column.alias(name) for name, column in (sums or {}).items()],
         )
     wanted = list(fractions.values())
-    valued = df.withColumn("_value", value).withColumn("_cell", _log_cell(F.col("_value")))
+    valued = df.withColumn("_cell", _log_cell(value))
     extra = {f"_sum_{name}": column for name, column in (sums or {}).items()}
     histogram = materialise(
         valued.groupBy(*keys, "_cell").agg(
-            F.count("_value").alias("_n"),
-            F.min("_value").alias("_lo"),
-            F.max("_value").alias("_hi"),
+            F.count(value).alias("_n"),
+            F.min(value).alias("_lo"),
+            F.max(value).alias("_hi"),
             *[column.alias(name) for name, column in extra.items()],
         )
     )

@@ -114,9 +114,20 @@ def test_double_mode_is_the_plain_aggregate(spark, single_pass_rows):
         assert ((left - right).abs().fillna(0) <= unit / 2 + 1e-9).all(), name
 
 
-def test_measures_reject_an_unknown_arithmetic():
-    with pytest.raises(ValueError):
-        aggregates.measure("salary_usd", "float")
+def test_an_unknown_arithmetic_is_refused(rows):
+    with pytest.raises(ValueError, match="'float'"):
+        aggregates.impact_aggregate(rows(), numeric="float")
+    with pytest.raises(ValueError, match="'float'"):
+        aggregates.rounded(F.lit(1.0), 2, "float")
+
+
+def test_text_is_parsed_once(spark):
+    """Each measure is cast in one projection below the aggregate, whose scan is pruned."""
+    aggregate = aggregates.impact_aggregate(postings(spark, SMALL_DATA), known_rows=6000)
+    plan = aggregate._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Aggregate(" in line:
+            assert "try_cast" not in line.split("output=")[0]
 
 
 def test_exploration_of_an_empty_table(rows):
