@@ -116,6 +116,10 @@ def test_documents(spark, folder):
         writers.write_documents(df, path=path, options={"compression": "gzip"})
         assert _rows(readers.read_documents(spark, path=path, schema=df.schema)) == _rows(df)
     assert set(readers.read_documents(spark, path=path).columns) == {"k", "n", "x"}
+    # Another connector is a matter of its name and options.
+    where = {"path": os.path.join(folder, "other")}
+    assert writers.write_documents(df, "orc", options=where) == 2
+    assert _rows(readers.read_documents(spark, "orc", options=where)) == _rows(df)
 
 
 def test_partitioned_folder_keeps_other_partitions(spark, folder):
