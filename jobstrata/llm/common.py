@@ -59,7 +59,7 @@ def map_arrow(df: DataFrame, make: Callable, schema: str, *args) -> DataFrame:
 
 
 def uniform(*parts: Column | str | int) -> Column:
-    """A number in [0, 1) that depends on its arguments alone."""
+    """A number in [0, 1) that depends on its arguments, columns or constants, alone."""
     columns = [p if isinstance(p, Column) else F.lit(p) for p in parts]
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
 

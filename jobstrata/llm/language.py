@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobstrata.llm.common import map_arrow, stored, text_batches
+from jobstrata.llm.common import map_arrow, stored, text_batches, uniform
 
 # Families of ISO 639-1 codes. A label not listed is a family of its own.
 FAMILIES = {
@@ -148,13 +148,18 @@ def _fit(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
-    """The model, from ``doc_id``, ``text`` and ``lang``: per language the ``per_language``
-    documents whose ids have the smallest hashes; rows without text or lang teach nothing."""
+    """The model, from ``doc_id``, ``text`` and ``lang``: up to ``per_language`` documents
+    of each language, chosen by hashes of their ids; rows without text or lang teach nothing."""
     known = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
-    hashed = F.xxhash64("doc_id")
-    by_hash = Window.partitionBy("lang").orderBy(hashed, "doc_id")
+    # Per label, hashes below a limit that leaves about twice as many; the window that picks
+    # the smallest then sees only those, however common the label.
+    limits = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        known.select("doc_id", "lang", F.row_number().over(by_hash).alias("place"))
+        known.select("doc_id", "lang", uniform("sample", F.col("doc_id")).alias("draw"))
+        .join(limits, "lang")
+        .where(F.col("draw") * F.col("rows") < 2 * per_language)
+        .select("doc_id", "lang", F.row_number().over(by_hash).alias("place"))
         .where(F.col("place") <= per_language)
         .dropDuplicates(["doc_id", "lang"])
     )

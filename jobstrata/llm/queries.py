@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, mixing
+from jobstrata.llm import language, mixing, neighbours, topk
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,52 @@ def op4_mixing(spark, sf_dir):
         (F.col("copies") * F.col("size")).alias("taken"),
         "source",
     )
+
+
+@_register(
+    "op8_topk",
+    """
+WITH rows AS (
+    SELECT vec_id, [floor(64 * x) for x in CAST(embedding AS DOUBLE[])] AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id, CAST(list_dot_product(q.v, r.v) AS BIGINT) AS score
+    FROM rows q JOIN rows r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
+), ranked AS (
+    SELECT query_id, vec_id, score, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+)
+def op8_topk(spark, sf_dir):
+    """The 20 largest integer inner products of every 20th vector."""
+    table = read_table(spark, sf_dir, "embeddings")
+    return topk.top_inner_products(table, F.col("id") % 20 == 0, 20)
+
+
+@_register(
+    "op9_neighbours",
+    """
+WITH rows AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x for x in embedding if x <> 0]) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id,
+           sqrt(list_sum([(q.v[i] - r.v[i]) * (q.v[i] - r.v[i]) for i in range(1, len(q.v) + 1)]))
+               AS score
+    FROM rows q JOIN rows r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
+), ranked AS (
+    SELECT query_id, vec_id, score, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
+)
+def op9_neighbours(spark, sf_dir):
+    """The 10 nearest vectors of every 100th vector."""
+    table = read_table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(table, F.col("id") % 100 == 0, 10)
