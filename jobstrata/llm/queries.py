@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, mixing, neighbours, topk
+from jobstrata.llm import language, mixing, neighbours, tokens, topk
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,11 @@ def op9_neighbours(spark, sf_dir):
     """The 10 nearest vectors of every 100th vector."""
     table = read_table(spark, sf_dir, "embeddings")
     return neighbours.nearest_neighbours(table, F.col("id") % 100 == 0, 10)
+
+
+@_register("op10_tokens")
+def op10_tokens(spark, sf_dir):
+    """Byte-level BPE tokens of every document, and whether they pass 512."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.count_tokens(docs, path, 512, ["doc_id"])
