@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, mixing, neighbours, tokens, topk
+from jobstrata.llm import language, mixing, neighbours, packing, tokens, topk
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,23 @@ def op10_tokens(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.json")
     return tokens.count_tokens(docs, path, 512, ["doc_id"])
+
+
+@_register("op7_packing")
+def op7_packing(spark, sf_dir):
+    """Pieces of all documents in sequences of 4096 tokens."""
+    return packed_digest(read_table(spark, sf_dir, "documents"))
+
+
+def packed_digest(docs: DataFrame) -> DataFrame:
+    """Packed pieces with a checksum in place of their ids."""
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, 2)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
