@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, mixing, neighbours, packing, tokens, topk
+from jobstrata.llm import language, mixing, neighbours, packing, tokens, topk, warc
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,24 @@ def packed_digest(docs: DataFrame) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@_register(
+    "op3_warc",
+    """
+WITH heads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+           sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM heads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first_id
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts""",
+)
+def op3_warc(spark, sf_dir):
+    """All pages through deduplicated archives."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
