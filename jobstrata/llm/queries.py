@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, mixing, neighbours, packing, tokens, topk, warc
+from jobstrata.llm import language, lines, mixing, neighbours, packing, tokens, topk, warc
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,46 @@ FROM firsts""",
 def op3_warc(spark, sf_dir):
     """All pages through deduplicated archives."""
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+@_register(
+    "op5_lines",
+    r"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place
+    FROM documents
+), counted AS (
+    SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM split
+), placed AS (
+    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY place) AS through
+    FROM counted WHERE words > 0
+), framed AS (
+    SELECT doc_id, place AS first, max(place) OVER w AS last,
+           string_agg(line, chr(10)) OVER w AS content, sum(words) OVER w AS words
+    FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY through - words
+                             RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+    UNION ALL
+    SELECT doc_id, min(place) OVER w, place,
+           string_agg(line, chr(10)) OVER w, sum(words) OVER w
+    FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY through
+                             RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+), later AS (
+    SELECT *, min((doc_id, first)) OVER (PARTITION BY content) AS original
+    FROM framed WHERE words >= 50
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(first, last)) AS place
+    FROM later WHERE (doc_id, first) <> original
+), marked AS (
+    SELECT s.doc_id, s.line, s.place, g.place IS NOT NULL AS gone
+    FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.place = g.place
+)
+SELECT doc_id, CAST(count(CASE WHEN gone THEN 1 END) AS INTEGER) AS removed_lines,
+       coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text
+FROM marked GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, text FROM documents WHERE text IS NULL""",
+)
+def op5_lines(spark, sf_dir):
+    """All documents without their repeated runs of 50 words or more."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_repeated_runs(docs)
