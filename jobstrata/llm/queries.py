@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, lines, mixing, neighbours, packing, tokens, topk, warc
+from jobstrata.llm import language, lines, mixing, neardup, neighbours, packing, tokens, topk, warc
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,40 @@ def op5_lines(spark, sf_dir):
     """All documents without their repeated runs of 50 words or more."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.remove_repeated_runs(docs)
+
+
+@_register(
+    "op2_neardup",
+    r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(
+        CASE WHEN coalesce(len(w), 0) = 0 THEN []
+             WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS s
+    FROM words
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+), smallest AS (
+    SELECT x, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM sets s JOIN smallest m ON s.doc_id = m.x""",
+)
+def op2_neardup(spark, sf_dir):
+    """Components of near-duplicate documents."""
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
