@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, lines, mixing, neardup, neighbours, packing, tokens, topk, warc
+from jobstrata.llm import language, lines, mixing, neardup, neighbours, packing, surrogates, tokens, topk, warc
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,10 @@ FROM sets s JOIN smallest m ON s.doc_id = m.x""",
 def op2_neardup(spark, sf_dir):
     """Components of near-duplicate documents."""
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@_register("op6_surrogates")
+def op6_surrogates(spark, sf_dir):
+    """All documents with surrogates for personal data."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_personal_data(docs, "documents-2024")
