@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobstrata.llm import language, mixing
-from jobstrata.llm.common import read_table, stored
+from jobstrata.llm import language, lines, mixing, neardup
+from jobstrata.llm.common import read_table, stored, word_count
+from jobstrata.llm.queries import packed_digest
 
 # Below this belief in its language a document is not used.
 MIN_LANGUAGE_SCORE = 0.34
@@ -16,17 +18,42 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.confident(docs, language.learn(docs), MIN_LANGUAGE_SCORE)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without runs of lines that occurred before; those that held nothing else go."""
+    shorter = lines.remove_repeated_runs(docs)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = F.col("removed_lines") > 0
+        shorter = shorter.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
+    left = (F.col("removed_lines") == 0) | (word_count(F.col("text")) > 0)
+    return shorter.where(left).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the smallest id."""
+    gone = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(stored(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix by source weights takes them."""
     return mixing.mix(docs)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with checksums of their ids."""
+    return packed_digest(docs)
+
+
 STAGES = [
     ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("mixing_sources", mixing_sources),
+    ("packing", packing),
 ]
 
-# Trained models, hash signatures and seeded draws are beyond SQL.
+# Trained models, signatures, seeded draws and tokens are beyond SQL.
 ORACLE_SQL = None
 
 
