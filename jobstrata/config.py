@@ -38,6 +38,7 @@ class LakeConfig:
 
     With ``use_catalog`` every layer is a database with tables; otherwise a table is a
     folder below the layer's path. ``reset`` drops a layer's database before it is built.
+    ``on_mismatch`` is ``"raise"`` or ``"warn"``: what to do when a sink's row count differs.
     """
 
     source_path: str = ""
@@ -49,7 +50,7 @@ class LakeConfig:
     use_catalog: bool = True
     reset: bool = False
     landing_format: str = "avro"
-    numeric: str = "double"
+    on_mismatch: str = "raise"
     multi_line_source: bool = False
     single_csv: bool = False
     plain_csv: bool = False

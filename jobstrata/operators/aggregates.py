@@ -1,8 +1,9 @@
 """The functional aggregate and its parts.
 
-``numeric`` selects the arithmetic of means and roundings. ``"double"`` averages and rounds
-doubles. ``"decimal"`` takes the inputs through DECIMAL(18, 6), which makes sums independent
-of row order and ties exact; NaN and numbers beyond that range count as null.
+Means and roundings are exact: inputs go through DECIMAL(28, 6), so that sums do not depend
+on row order, nor on the plan that a size calls for, and ties round alike everywhere. What
+does not fit, from 10^22 up, and NaN and infinities are summed as doubles and added: a group
+that holds NaN or an infinity has the mean that doubles give.
 """
 
 from __future__ import annotations
@@ -30,54 +31,54 @@ MEANS = {
     "avg_automation_risk": ("automation_risk_score", 3),
     "avg_displacement_risk": ("ai_job_displacement_risk", 3),
 }
-EXACT = "decimal(18,6)"
+EXACT = "decimal(28,6)"
 
 
-def _check(numeric: str) -> None:
-    if numeric not in ("double", "decimal"):
-        raise ValueError(f"numeric must be 'double' or 'decimal', not {numeric!r}")
-
-
-def with_numbers(df: DataFrame, names: Sequence[str], numeric: str) -> DataFrame:
+def with_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Add every measure as a number, so that text is parsed once however often the number is
     used. Malformed text is null. Read the columns with :func:`number`."""
-    _check(numeric)
     df = df.withColumns({f"_double_{name}": to_double(F.col(name)) for name in names})
-    if numeric == "decimal":
-        exact = {f"_decimal_{name}": number(name, "double").try_cast(EXACT) for name in names}
-        df = df.withColumns(exact)
-    return df
+    return df.withColumns({f"_decimal_{name}": _fitting(number(name)) for name in names})
+
 
+def number(name: str, kind: str = "double") -> Column:
+    """A measure added by :func:`with_numbers`, as ``double`` or, where it fits, ``decimal``."""
+    return F.col(f"_{kind}_{name}")
 
-def number(name: str, numeric: str) -> Column:
-    """A measure added by :func:`with_numbers`; its double is there in either arithmetic."""
-    return F.col(f"_{numeric}_{name}")
 
+def _fitting(value: Column) -> Column:
+    # Infinities are kept from the cast, which raises on them.
+    return F.when(F.abs(value) < 1e22, value).try_cast(EXACT)
 
-def rounded(value: Column, digits: int, numeric: str) -> Column:
-    """Round half up to ``digits`` places; the result is a double either way."""
-    _check(numeric)
-    return F.round(value.try_cast(EXACT) if numeric == "decimal" else value, digits).cast("double")
 
+def rounded(value: Column, digits: int) -> Column:
+    """Round half up to ``digits`` places, as a double; what does not fit a decimal has no
+    places left to round."""
+    return F.coalesce(F.round(_fitting(value), digits).cast("double"), value)
 
-def mean_parts(numeric: str, means=MEANS) -> dict[str, Column]:
-    """Additive parts of the means, after :func:`with_numbers`: a sum and a non-null count
-    per output column."""
+
+def mean_parts(means=MEANS) -> dict[str, Column]:
+    """Additive parts of the means, after :func:`with_numbers`: an exact sum, the sum of what
+    does not fit and a non-null count per output column."""
     parts = {}
     for output, (name, _) in means.items():
-        parts[f"{output}_sum"] = F.sum(number(name, numeric))
-        parts[f"{output}_n"] = F.count(number(name, numeric))
+        exact, value = number(name, "decimal"), number(name)
+        parts[f"{output}_sum"] = F.sum(exact)
+        parts[f"{output}_rest"] = F.sum(F.when(exact.isNull(), value))
+        parts[f"{output}_n"] = F.count(value)
     return parts
 
 
-def mean_of_parts(output: str, digits: int, numeric: str) -> Column:
+def mean_of_parts(output: str, digits: int) -> Column:
     """Rounded mean from its parts; null where no value was counted."""
-    total, count = F.col(f"{output}_sum"), F.col(f"{output}_n")
-    if numeric == "decimal":
-        quotient = total.cast("decimal(28,6)") / F.nullif(count, F.lit(0)).cast("decimal(18,0)")
-    else:
-        quotient = total / F.nullif(count, F.lit(0))
-    return F.round(quotient, digits).cast("double")
+    total, rest = F.col(f"{output}_sum"), F.col(f"{output}_rest")
+    count = F.nullif(F.col(f"{output}_n"), F.lit(0))
+    whole = count.cast("decimal(18,0)")
+    # The narrower type leaves the quotient more places to round from.
+    narrow = F.round(total.try_cast(EXACT) / whole, digits).cast("double")
+    exact = F.coalesce(narrow, F.round(total / whole, digits).cast("double"))
+    loose = (F.coalesce(total.cast("double"), F.lit(0.0)) + rest) / count
+    return F.when(rest.isNull(), exact).otherwise(loose)
 
 
 def group_keys(df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS) -> DataFrame:
@@ -85,17 +86,15 @@ def group_keys(df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def group_means(
-    df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS, *, numeric: str = "double"
-) -> DataFrame:
+def group_means(df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS) -> DataFrame:
     """Rounded means of the four measures per group; null where a group has no number."""
     return (
-        with_numbers(df, MEASURE_COLUMNS, numeric)
+        with_numbers(df, MEASURE_COLUMNS)
         .groupBy(*keys)
-        .agg(*[column.alias(name) for name, column in mean_parts(numeric).items()])
+        .agg(*[column.alias(name) for name, column in mean_parts().items()])
         .select(
             *keys,
-            *[mean_of_parts(out, places, numeric).alias(out) for out, (_, places) in MEANS.items()],
+            *[mean_of_parts(out, places).alias(out) for out, (_, places) in MEANS.items()],
         )
     )
 
@@ -104,7 +103,6 @@ def group_median(
     df: DataFrame,
     keys: Sequence[str] = GROUP_COLUMNS,
     *,
-    numeric: str = "double",
     known_rows: int | None = None,
     single_pass_rows: int = SINGLE_PASS_ROWS,
 ) -> DataFrame:
@@ -120,7 +118,7 @@ def group_median(
         known_rows=known_rows,
         single_pass_rows=single_pass_rows,
     )
-    return medians.select(*keys, rounded(F.col("median"), 2, numeric).alias("median_salary_usd"))
+    return medians.select(*keys, rounded(F.col("median"), 2).alias("median_salary_usd"))
 
 
 def group_count(df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS) -> DataFrame:
@@ -128,12 +126,10 @@ def group_count(df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS) -> DataFrame
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("job_count"))
 
 
-def pct_flagged(
-    df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS, *, numeric: str = "double"
-) -> DataFrame:
+def pct_flagged(df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS) -> DataFrame:
     """Share of rows whose ``ai_mentioned`` is exactly ``True``, in percent, 2 places."""
     share = share_percent(F.count(is_flagged(F.col("ai_mentioned"))), F.count(F.lit(1)))
-    return df.groupBy(*keys).agg(rounded(share, 2, numeric).alias("pct_ai_mentioned"))
+    return df.groupBy(*keys).agg(rounded(share, 2).alias("pct_ai_mentioned"))
 
 
 def nonnull_titles(df: DataFrame, keys: Sequence[str] = GROUP_COLUMNS) -> DataFrame:
@@ -150,7 +146,6 @@ def row_count(df: DataFrame) -> DataFrame:
 def impact_aggregate(
     raw: DataFrame,
     *,
-    numeric: str = "double",
     known_rows: int | None = None,
     single_pass_rows: int = SINGLE_PASS_ROWS,
 ) -> DataFrame:
@@ -160,15 +155,15 @@ def impact_aggregate(
     histogram share one shuffle. See :func:`nonnull_titles` for ``unique_job_titles`` and
     :func:`grouped_percentiles` for ``known_rows`` and ``single_pass_rows``.
     """
-    parsed = with_numbers(raw, MEASURE_COLUMNS, numeric)
-    tier = risk_tier(number(RISK_SCORE, "double"), FUNCTIONAL_RISK)
+    parsed = with_numbers(raw, MEASURE_COLUMNS)
+    tier = risk_tier(number(RISK_SCORE), FUNCTIONAL_RISK)
     summary = grouped_percentiles(
         parsed.withColumn("risk_category", tier),
         GROUP_COLUMNS,
-        number("salary_usd", "double"),
+        number("salary_usd"),
         {"median": 0.5},
         {
-            **mean_parts(numeric),
+            **mean_parts(),
             "job_count": F.count(F.lit(1)),
             "flagged": F.count(is_flagged(F.col("ai_mentioned"))),
             "unique_job_titles": F.count("job_title"),
@@ -177,11 +172,9 @@ def impact_aggregate(
         single_pass_rows=single_pass_rows,
     )
     computed = {
-        **{out: mean_of_parts(out, places, numeric) for out, (_, places) in MEANS.items()},
-        "median_salary_usd": rounded(F.col("median"), 2, numeric),
-        "pct_ai_mentioned": rounded(
-            share_percent(F.col("flagged"), F.col("job_count")), 2, numeric
-        ),
+        **{out: mean_of_parts(out, places) for out, (_, places) in MEANS.items()},
+        "median_salary_usd": rounded(F.col("median"), 2),
+        "pct_ai_mentioned": rounded(share_percent(F.col("flagged"), F.col("job_count")), 2),
     }
     return summary.select(
         *[computed.get(name, F.col(name)).alias(name) for name in FUNCTIONAL.names]

@@ -20,7 +20,6 @@ _RISK = {"avg_automation_risk": ("automation_risk_score", 3)}
 def salary_distribution(
     curated: DataFrame,
     *,
-    numeric: str = "double",
     known_rows: int | None = None,
     single_pass_rows: int = SINGLE_PASS_ROWS,
 ) -> DataFrame:
@@ -36,42 +35,42 @@ def salary_distribution(
     return boxes.select(
         "industry",
         F.col("value_count").alias("salary_count"),
-        rounded(F.col("value_min"), 2, numeric).alias("min_salary_usd"),
-        *[rounded(F.col(name), 2, numeric).alias(f"{name}_salary_usd") for name in QUARTILES],
-        rounded(F.col("value_max"), 2, numeric).alias("max_salary_usd"),
+        rounded(F.col("value_min"), 2).alias("min_salary_usd"),
+        *[rounded(F.col(name), 2).alias(f"{name}_salary_usd") for name in QUARTILES],
+        rounded(F.col("value_max"), 2).alias("max_salary_usd"),
     )
 
 
-def _mean_risk(curated: DataFrame, keys: list[str], numeric: str) -> DataFrame:
-    parts = [column.alias(name) for name, column in mean_parts(numeric, _RISK).items()]
+def _mean_risk(curated: DataFrame, keys: list[str]) -> DataFrame:
+    parts = [column.alias(name) for name, column in mean_parts(_RISK).items()]
     return (
-        with_numbers(curated, ["automation_risk_score"], numeric)
+        with_numbers(curated, ["automation_risk_score"])
         .groupBy(*keys)
         .agg(*parts, F.count(F.lit(1)).alias("job_count"))
         .select(
             *keys,
-            mean_of_parts("avg_automation_risk", 3, numeric).alias("avg_automation_risk"),
+            mean_of_parts("avg_automation_risk", 3).alias("avg_automation_risk"),
             "job_count",
         )
     )
 
 
-def risk_by_industry(curated: DataFrame, *, numeric: str = "double") -> DataFrame:
+def risk_by_industry(curated: DataFrame) -> DataFrame:
     """Mean automation risk and postings per industry."""
-    return _mean_risk(curated, ["industry"], numeric)
+    return _mean_risk(curated, ["industry"])
 
 
-def risk_heatmap(curated: DataFrame, *, numeric: str = "double") -> DataFrame:
+def risk_heatmap(curated: DataFrame) -> DataFrame:
     """Mean automation risk per industry and year, one row per cell."""
-    return _mean_risk(curated, ["industry", YEAR_COLUMN], numeric)
+    return _mean_risk(curated, ["industry", YEAR_COLUMN])
 
 
-def adoption_by_year(curated: DataFrame, *, numeric: str = "double") -> DataFrame:
+def adoption_by_year(curated: DataFrame) -> DataFrame:
     """Share of postings per year that mention AI."""
     flagged = F.count(F.when(F.col("ai_mentioned") == "YES", 1))
     return curated.groupBy(YEAR_COLUMN).agg(
         F.count(F.lit(1)).alias("job_count"),
-        rounded(share_percent(flagged, F.count(F.lit(1))), 2, numeric).alias("pct_ai_mentioned"),
+        rounded(share_percent(flagged, F.count(F.lit(1))), 2).alias("pct_ai_mentioned"),
     )
 
 

@@ -47,7 +47,8 @@ WINDOW_ROWS = 4_000_000
 BROADCAST_BYTES = 64 << 20
 # Size of one located cell in a broadcast set of 64-bit hashes.
 HASH_BYTES = 32
-SALTS = 32
+# Rows of a cell that a salted join leaves together.
+SALT_ROWS = 1 << 17
 
 
 def _log_cell(value: Column) -> Column:
@@ -101,6 +102,14 @@ def _join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how="inner
     return left.join(other, same, how).drop(*[f"_r{name}" for name in names])
 
 
+def _merged(groups: DataFrame, more: DataFrame, keys: Sequence[str], *gathered: Column):
+    """One row per group with the columns of ``groups`` and what ``gathered`` makes of the
+    rows of ``more``: one aggregate, to which a null key is a key like any other."""
+    both = groups.unionByName(more, allowMissingColumns=True)
+    own = [F.max(name).alias(name) for name in groups.columns if name not in keys]
+    return both.groupBy(*keys).agg(*own, *gathered)
+
+
 def _size(cells: DataFrame, keys: Sequence[str]) -> Row:
     """Rows of the widest cell (null without cells), cells, and an upper estimate of their
     bytes: UTF-8 keys and fixed-width columns."""
@@ -119,8 +128,9 @@ def _in_cells(
     cells = cells.drop("_n")
     if size["bytes"] <= broadcast_bytes:
         return _join_on(rows, F.broadcast(cells), at)
-    salt = F.pmod(F.xxhash64("_value"), F.lit(SALTS))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    salts = max(1, -(-size["widest"] // SALT_ROWS))
+    salt = F.pmod(F.xxhash64("_value"), F.lit(salts))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     salted = _join_on(
         rows.withColumn("_salt", salt), cells.withColumn("_salt", copies), [*at, "_salt"]
     )
@@ -193,15 +203,20 @@ def grouped_percentiles(
     keys = list(keys)
     df = df.withColumn("_value", value)
     value = F.col("_value")
-    builtin = [F.percentile(value, share).alias(name) for name, share in fractions.items()]
+    # One buffer of values per group, however many fractions.
+    builtin = F.percentile(value, F.array(*map(F.lit, map(float, fractions.values()))))
+    picked = [F.col("_all")[at].alias(name) for at, name in enumerate(fractions)]
     if known_rows is not None and known_rows <= single_pass_rows:
-        return df.groupBy(*keys).agg(
-            *builtin,
+        single = df.groupBy(*keys).agg(
+            builtin.alias("_all"),
             F.count(value).alias("value_count"),
             F.min(value).alias("value_min"),
             F.max(value).alias("value_max"),
             *[column.alias(name) for name, column in (sums or {}).items()],
         )
+        return single.select(
+            *keys, *picked, "value_count", "value_min", "value_max", *(sums or {})
+        )
     wanted = list(fractions.values())
     valued = df.withColumn("_cell", _log_cell(value))
     extra = {f"_sum_{name}": column for name, column in (sums or {}).items()}
@@ -224,8 +239,10 @@ def grouped_percentiles(
     ]
     group_rows = min(single_pass_rows, GROUP_ROWS)
     if group_rows and (groups.agg(F.max("value_count")).first()[0] or 0) <= group_rows:
-        second = df.groupBy(*keys).agg(*builtin)
-        return _join_on(groups, second, keys).select(*keys, *fractions, *finished)
+        second = df.groupBy(*keys).agg(builtin.alias("_all"))
+        return _merged(groups, second, keys, F.max("_all").alias("_all")).select(
+            *keys, *picked, *finished
+        )
     total = F.sum("_n").over(Window.partitionBy(*keys))
     ranked = _keep_ranked(
         histogram.where("_n > 0")
@@ -260,11 +277,11 @@ def grouped_percentiles(
     ranks = reduce(DataFrame.unionByName, answered).select(
         *keys, F.explode("_ranks").alias("_rank"), "_value"
     )
-    by_rank = ranks.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at")
-    )
+    entry = F.when(F.col("_rank").isNotNull(), F.struct("_rank", "_value"))
     at, total = F.col("_at"), F.col("value_count")
-    return _join_on(groups, by_rank, keys, "left").select(
+    return _merged(
+        groups, ranks, keys, F.map_from_entries(F.collect_list(entry)).alias("_at")
+    ).select(
         *keys,
         *[_interpolated(at, total, share).alias(name) for name, share in fractions.items()],
         *finished,

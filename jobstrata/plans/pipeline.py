@@ -6,6 +6,7 @@ the write itself.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,6 +46,21 @@ class StepReport:
         return self.rows_read_back in (None, self.rows_written)
 
 
+def refuse_mismatch(report: StepReport, cfg: LakeConfig) -> None:
+    """Raise where a step's sink holds other than what was written to it, or, with
+    ``on_mismatch="warn"``, warn."""
+    if report.matches:
+        return
+    problem = (
+        f"{report.layer} {report.table}: {report.rows_written} rows written, "
+        f"{report.rows_read_back} found"
+    )
+    if cfg.on_mismatch == "warn":
+        warnings.warn(problem)
+    else:
+        raise ValueError(problem)
+
+
 def _prepare(spark: SparkSession, cfg: LakeConfig, layer: str) -> None:
     if cfg.use_catalog:
         catalog.ensure_database(spark, cfg.database(layer), cfg.layer_path(layer))
@@ -150,8 +166,9 @@ def build_functional(
 ) -> StepReport:
     """Landing into the aggregate; ``landing_rows`` is the row count of landing, if known."""
     landing = load(spark, cfg, names.LANDING, table)
-    aggregate = impact_aggregate(landing, numeric=cfg.numeric, known_rows=landing_rows)
-    return _store_parquet(spark, cfg, names.FUNCTIONAL, cfg.aggregate(table), aggregate)
+    aggregate = impact_aggregate(landing, known_rows=landing_rows)
+    report = _store_parquet(spark, cfg, names.FUNCTIONAL, cfg.aggregate(table), aggregate)
+    return _read_back(report, load(spark, cfg, names.FUNCTIONAL, table))
 
 
 def _read_back(report: StepReport, stored: DataFrame) -> StepReport:
@@ -212,6 +229,9 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig) -> list[StepReport]:
             else:
                 report = step(spark, cfg, table)
             if step is build_landing:
-                landed[table.name] = report.rows_written
+                # Dynamic partitions leave older rows in the table beside the written ones.
+                whole = not (table.partitioned_by and table.dynamic_partitions)
+                landed[table.name] = report.rows_written if whole else None
+            refuse_mismatch(report, cfg)
             reports.append(report)
     return reports

@@ -1,7 +1,6 @@
 """Registered queries and their independent SQL checks, by name.
 
-Every query reads the whole stand-in postings. Queries with rounding use the decimal
-arithmetic, which is the same in both engines.
+Every query reads the whole stand-in postings.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from jobstrata.operators import aggregates, exploration, projections, quality
 from jobstrata.plans.pipeline import load, run_pipeline
 from jobstrata.plans.standin import posting_bound, postings, postings_sql
 from jobstrata.sources import readers, writers
-from jobstrata.workspace import new_path
+from jobstrata.workspace import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,16 +139,20 @@ def _curated_select() -> str:
 @_register("impact_aggregate", _IMPACT)
 def impact_aggregate(spark, sf_dir):
     return aggregates.impact_aggregate(
-        postings(spark, sf_dir), numeric="decimal", known_rows=posting_bound(spark, sf_dir)
+        postings(spark, sf_dir), known_rows=posting_bound(spark, sf_dir)
     )
 
 
 @_register("impact_aggregate_refined", _IMPACT)
 def impact_aggregate_refined(spark, sf_dir):
     """The same table the way a large input takes, whatever its size."""
-    return aggregates.impact_aggregate(
-        postings(spark, sf_dir), numeric="decimal", single_pass_rows=0
-    )
+    return aggregates.impact_aggregate(postings(spark, sf_dir), single_pass_rows=0)
+
+
+@_register("impact_aggregate_unknown_rows", _IMPACT)
+def impact_aggregate_unknown_rows(spark, sf_dir):
+    """The same table without a bound of the rows."""
+    return aggregates.impact_aggregate(postings(spark, sf_dir))
 
 
 @_register("curated_postings", _curated_select())
@@ -210,18 +213,15 @@ def risk_tier_functional(spark, sf_dir):
     return _tiered(spark, sf_dir).select("job_id", "risk_category")
 
 
-@_register("lowercase_columns", "SELECT job_id, city, industry FROM postings")
+@_register("lowercase_columns", "SELECT * FROM postings")
 def lowercase_columns(spark, sf_dir):
-    shouted = postings(spark, sf_dir).select(
-        F.col("job_id").alias("JOB_ID"), F.col("city").alias("City"), F.col("industry")
-    )
-    return projections.lowercase_columns(shouted)
+    table = postings(spark, sf_dir)
+    return projections.lowercase_columns(table.toDF(*[name.upper() for name in table.columns]))
 
 
-@_register("partition_last", "SELECT job_id, city, job_title, country FROM postings")
+@_register("partition_last", "SELECT * EXCLUDE (country), country FROM postings")
 def partition_last(spark, sf_dir):
-    rows = postings(spark, sf_dir).select("job_id", "country", "city", "job_title")
-    return projections.partition_last(rows, "country")
+    return projections.partition_last(postings(spark, sf_dir), "country")
 
 
 @_register(
@@ -240,7 +240,7 @@ def round_half_up(spark, sf_dir):
     return postings(spark, sf_dir).select(
         "job_id",
         *[
-            aggregates.rounded(to_double(F.col(name)) / 8, digits, "decimal").alias(alias)
+            aggregates.rounded(to_double(F.col(name)) / 8, digits).alias(alias)
             for alias, (name, digits) in eighth.items()
         ],
     )
@@ -256,20 +256,20 @@ def group_keys(spark, sf_dir):
 
 @_register("group_means", f"SELECT {_KEYS},\n       {_MEANS} FROM postings GROUP BY ALL")
 def group_means(spark, sf_dir):
-    return aggregates.group_means(_tiered(spark, sf_dir), numeric="decimal")
+    return aggregates.group_means(_tiered(spark, sf_dir))
 
 
 @_register("group_median", f"SELECT {_KEYS}, {_MEDIAN} FROM postings GROUP BY ALL")
 def group_median(spark, sf_dir):
     return aggregates.group_median(
-        _tiered(spark, sf_dir), numeric="decimal", known_rows=posting_bound(spark, sf_dir)
+        _tiered(spark, sf_dir), known_rows=posting_bound(spark, sf_dir)
     )
 
 
 @_register("group_median_refined", f"SELECT {_KEYS}, {_MEDIAN} FROM postings GROUP BY ALL")
 def group_median_refined(spark, sf_dir):
     """The median the way a large input takes, whatever its size."""
-    return aggregates.group_median(_tiered(spark, sf_dir), numeric="decimal", single_pass_rows=0)
+    return aggregates.group_median(_tiered(spark, sf_dir), single_pass_rows=0)
 
 
 @_register("group_count", f"SELECT {_KEYS}, count(*) AS job_count FROM postings GROUP BY ALL")
@@ -279,7 +279,7 @@ def group_count(spark, sf_dir):
 
 @_register("pct_flagged", f"SELECT {_KEYS}, {_STRICT} FROM postings GROUP BY ALL")
 def pct_flagged(spark, sf_dir):
-    return aggregates.pct_flagged(_tiered(spark, sf_dir), numeric="decimal")
+    return aggregates.pct_flagged(_tiered(spark, sf_dir))
 
 
 @_register(
@@ -303,15 +303,23 @@ def row_count(spark, sf_dir):
     "SELECT count(*) AS source_rows, count(*) AS sink_rows, true AS matches FROM postings",
 )
 def write_reconcile(spark, sf_dir):
-    """Curated table written as Parquet, counted against its source."""
+    """Curated table written as Parquet: rows that the write counted against rows stored."""
     path = new_path(spark, "curated")
-    writers.write_folder(_curated(spark, sf_dir), path)
-    return quality.reconcile(postings(spark, sf_dir), spark.read.parquet(path))
+    written = writers.write_folder(_curated(spark, sf_dir), path)
+    return quality.reconcile(written, spark.read.parquet(path))
 
 
-@_register("sample_rows")
+@_register(
+    "sample_rows",
+    "SELECT least(count(*), 10) AS sampled_rows, CAST(0 AS BIGINT) AS foreign_rows FROM postings",
+)
 def sample_rows(spark, sf_dir):
-    return quality.sample_rows(postings(spark, sf_dir))
+    """Size of the sample and how many of its rows the table lacks."""
+    table = postings(spark, sf_dir)
+    # Stored, as any ten rows may come back each time it is computed.
+    sample = materialise(quality.sample_rows(table), "sample")
+    foreign = sample.join(table, "job_id", "left_anti").agg(F.count("*").alias("foreign_rows"))
+    return sample.agg(F.count("*").alias("sampled_rows")).join(foreign)
 
 
 def _source_text(df: DataFrame, name: str) -> str:
@@ -384,7 +392,7 @@ def all_layers(spark, sf_dir):
         tables=(table,),
         use_catalog=False,
         landing_format="parquet",
-        numeric="decimal",
+       
     )
     run_pipeline(spark, cfg)
     return load(spark, cfg, "functional", table)
@@ -398,6 +406,18 @@ def csv_export_roundtrip(spark, sf_dir):
     return readers.read_csv_export(spark, f"{path}/part-*.csv", FUNCTIONAL)
 
 
+@_register("csv_export_single", _IMPACT + "\n-- one file")
+def csv_export_single(spark, sf_dir):
+    """The functional table in its plain form as exactly one file, read back."""
+    path = new_path(spark, "export-single")
+    writers.export_csv(impact_aggregate(spark, sf_dir), path, plain=True, single_file=True)
+    back = readers.read_csv_export(spark, path, FUNCTIONAL, plain=True)
+    files = back.select(F.input_file_name()).distinct().count()
+    if files != 1:
+        raise ValueError(f"{files} files, 1 expected")
+    return back
+
+
 @_register(
     "arity_violations",
     """
@@ -442,7 +462,7 @@ _RISK_MEAN = _mean("automation_risk_score", 3, "avg_automation_risk")
 @_register("salary_distribution", _BOX)
 def salary_distribution(spark, sf_dir):
     return exploration.salary_distribution(
-        _curated(spark, sf_dir), numeric="decimal", known_rows=posting_bound(spark, sf_dir)
+        _curated(spark, sf_dir), known_rows=posting_bound(spark, sf_dir)
     )
 
 
@@ -450,7 +470,7 @@ def salary_distribution(spark, sf_dir):
 def salary_distribution_refined(spark, sf_dir):
     """The box-plot statistics the way a large input takes, whatever its size."""
     return exploration.salary_distribution(
-        _curated(spark, sf_dir), numeric="decimal", single_pass_rows=0
+        _curated(spark, sf_dir), single_pass_rows=0
     )
 
 
@@ -459,7 +479,7 @@ def salary_distribution_refined(spark, sf_dir):
     f"SELECT {_INDUSTRY}, {_RISK_MEAN}, count(*) AS job_count FROM postings GROUP BY ALL",
 )
 def risk_by_industry(spark, sf_dir):
-    return exploration.risk_by_industry(_curated(spark, sf_dir), numeric="decimal")
+    return exploration.risk_by_industry(_curated(spark, sf_dir))
 
 
 @_register(
@@ -467,7 +487,7 @@ def risk_by_industry(spark, sf_dir):
     f"SELECT {_YEAR}, count(*) AS job_count, {_LENIENT} FROM postings GROUP BY ALL",
 )
 def adoption_by_year(spark, sf_dir):
-    return exploration.adoption_by_year(_curated(spark, sf_dir), numeric="decimal")
+    return exploration.adoption_by_year(_curated(spark, sf_dir))
 
 
 def _correlation_sql() -> str:
@@ -491,4 +511,4 @@ def measure_correlation(spark, sf_dir):
     f"SELECT {_INDUSTRY}, {_YEAR}, {_RISK_MEAN}, count(*) AS job_count FROM postings GROUP BY ALL",
 )
 def risk_heatmap(spark, sf_dir):
-    return exploration.risk_heatmap(_curated(spark, sf_dir), numeric="decimal")
+    return exploration.risk_heatmap(_curated(spark, sf_dir))

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobstrata.sources.readers import spread_small_scan
-
 TABLES = ("lineitem", "orders", "customer", "nation", "region", "supplier", "part")
 
 POSTINGS_SQL = """
@@ -57,7 +55,6 @@ JOIN {part} AS part ON l_partkey = p_partkey
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in as a DataFrame. Join strategies are left to Spark's own size checks."""
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
-    tables["lineitem"] = spread_small_scan(tables["lineitem"])
     return spark.sql(POSTINGS_SQL, **tables)
 
 

@@ -34,21 +34,6 @@ PLAIN_CSV = {
     "encoding": "UTF-8",
 }
 
-# Most splits a scan is spread to; one with more, some 8 GB at Spark's default split size, is
-# left alone.
-SPREAD_SPLITS = 64
-
-
-def spread_small_scan(scan: DataFrame) -> DataFrame:
-    """Spread a small scan that has fewer input splits than the cluster has cores.
-
-    A file with a single row group is one task however many cores are free. A table of many
-    splits is left as it is, without a shuffle.
-    """
-    wanted = min(scan.sparkSession.sparkContext.defaultParallelism, SPREAD_SPLITS)
-    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
-
-
 def read_raw_csv(
     spark: SparkSession, path: str, schema: T.StructType = RAW, *, multi_line: bool = False
 ) -> DataFrame:

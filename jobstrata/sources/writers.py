@@ -16,8 +16,6 @@ from jobstrata.sources.readers import LOSSLESS_CSV, PLAIN_CSV
 
 # Bounds a text file, which is read by one task because quoted newlines are allowed.
 ROWS_PER_TEXT_FILE = 1_000_000
-# Most rows that an export may put into a single file, and so through a single task.
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def counted_write(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
@@ -27,12 +25,17 @@ def counted_write(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> in
     return seen.get["rows"]
 
 
-def _write_text(df: DataFrame, path: str, options: Mapping[str, str]) -> int:
+def _write_text(
+    df: DataFrame,
+    path: str,
+    options: Mapping[str, str],
+    rows_per_file: int = ROWS_PER_TEXT_FILE,
+) -> int:
     return counted_write(
         df,
         lambda writer: writer.mode("overwrite")
         .options(**options)
-        .option("maxRecordsPerFile", ROWS_PER_TEXT_FILE)
+        .option("maxRecordsPerFile", rows_per_file)
         .csv(path),
     )
 
@@ -82,18 +85,17 @@ def export_csv(
     *,
     plain: bool = False,
     single_file: bool = False,
-    single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> int:
     """A CSV export with header, in parallel files.
 
     ``plain`` writes what a consumer without our options expects: quotes only where needed
-    and nothing for null, which an empty text cannot be told from. ``single_file`` is honoured
-    up to ``single_file_rows`` rows, which are counted first; a larger table is exported whole
-    in several files.
+    and nothing for null, which an empty text cannot be told from. ``single_file``
+    writes exactly one file, whatever the size, and so through one task.
     """
-    single = single_file and df.count() <= single_file_rows
     options = PLAIN_CSV if plain else LOSSLESS_CSV
-    return _write_text(df.repartition(1) if single else df, path, options)
+    if single_file:
+        return _write_text(df.repartition(1), path, options, rows_per_file=0)
+    return _write_text(df, path, options)
 
 
 def write_documents(

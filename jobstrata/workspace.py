@@ -26,7 +26,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the checkpoint folder and cut its lineage."""
-    work_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str = "step") -> DataFrame:
+    """Compute ``df`` once into the work folder, as Parquet, and read it from there."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

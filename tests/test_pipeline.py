@@ -33,7 +33,7 @@ def expected(spark):
     return {
         "raw": _rows(raw),
         "curated": _rows(curated_postings(raw)),
-        "functional": _rows(impact_aggregate(raw, numeric="decimal", known_rows=6000)),
+        "functional": _rows(impact_aggregate(raw, known_rows=6000)),
     }
 
 
@@ -69,7 +69,7 @@ def test_folders_twice(spark, folder, source, expected):
     table = TableConfig(partitioned_by=("posting_year",))
     cfg = LakeConfig(
         source, base_path=folder, tables=(table,), use_catalog=False, landing_format="parquet",
-        numeric="decimal", single_csv=True,
+        single_csv=True,
     )
     assert _check(spark, cfg, expected, table) == _check(spark, cfg, expected, table)
 
@@ -78,7 +78,7 @@ def test_catalog_with_reset(spark, folder, source, expected):
     table = TableConfig()
     cfg = LakeConfig(
         source, env="Pipe", base_path=folder, tables=(table,), landing_format="parquet",
-        numeric="decimal", reset=True, plain_csv=True,
+        reset=True, plain_csv=True,
     )
     assert _check(spark, cfg, expected, table) == _check(spark, cfg, expected, table)
     assert spark.catalog.databaseExists("pipe_landing")

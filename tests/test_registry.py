@@ -5,8 +5,9 @@ from collections import Counter
 import duckdb
 import pytest
 
-import __spark_entry__ as registered
+import __spark_entry__ as entry_point
 from conftest import SMALL_DATA
+from jobstrata.plans import registry
 from jobstrata.plans.standin import TABLES
 
 
@@ -20,21 +21,22 @@ def duck():
 
 
 def test_names_agree():
-    assert set(registered.queries()) - set(registered.oracle_sql()) == {"sample_rows"}
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_equals_its_sql(spark, duck, name):
-    df = registered.queries()[name](spark, SMALL_DATA)
+    df = registry.QUERIES[name](spark, SMALL_DATA)
     columns = sorted(df.columns)
     got = Counter(tuple(row) for row in df.select(*columns).collect())
-    result = duck.execute(registered.oracle_sql()[name])
+    result = duck.execute(registry.ORACLE[name])
     assert sorted(c[0] for c in result.description) == columns
     order = [[c[0] for c in result.description].index(name) for name in columns]
     want = Counter(tuple(row[i] for i in order) for row in result.fetchall())
     assert got and got == want
 
 
-def test_sample_and_entry(spark):
-    assert registered.queries()["sample_rows"](spark, SMALL_DATA).count() == 10
-    assert registered.entry(spark).columns[0] == "posting_year"
+def test_entry(spark):
+    assert entry_point.entry(spark).columns[0] == "posting_year"

@@ -90,10 +90,10 @@ def test_export_by_glob(spark, folder):
     assert _rows(back) == _rows(df)
     inferred = readers.read_csv_export(spark, f"{path}/part-*.csv", None)
     assert [kind for _, kind in inferred.dtypes] == ["int", "double", "string"]
-    # Past the bound the table is exported whole, in several files.
-    assert writers.export_csv(df, path, single_file=True, single_file_rows=49) == 50
-    assert files() == 4
-    assert readers.read_csv_export(spark, path, df.schema).count() == 50
+    # One file is one file, beyond the size that parallel files are kept to as well.
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(writers, "ROWS_PER_TEXT_FILE", 10)
+        assert (writers.export_csv(df, path, single_file=True), files()) == (50, 1)
 
 
 def test_plain_export(spark, folder):
@@ -151,16 +151,6 @@ def test_empty_tables_are_written_and_counted(spark, folder):
         assert readers.read_lossless_csv(spark, path, THREE).count() == 0
 
 
-def test_small_scans_are_spread(spark, folder):
-    path = os.path.join(folder, "one")
-    spark.range(100).coalesce(1).write.parquet(path)
-    wanted = min(spark.sparkContext.defaultParallelism, readers.SPREAD_SPLITS)
-    spread = readers.spread_small_scan(spark.read.parquet(path))
-    assert spread.count() == 100
-    wide = spark.range(0, 100, 1, wanted)
-    assert readers.spread_small_scan(wide) is wide
-
-
 def test_avro_contract_round_trip(spark, folder):
     text = contract.avro_contract(contract.RAW, "job_postings")
     assert len(json.loads(text)["fields"]) == 22
