@@ -31,6 +31,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that a step's own columns can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

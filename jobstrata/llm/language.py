@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobstrata.llm.common import map_arrow, stored, text_batches, uniform
+from jobstrata.llm.common import as_row, map_arrow, stored, text_batches, uniform
 
 # Families of ISO 639-1 codes. A label not listed is a family of its own.
 FAMILIES = {
@@ -275,10 +275,6 @@ def learn(docs: DataFrame) -> dict:
 
 def confident(docs: DataFrame, model: dict, min_score: float) -> DataFrame:
     """The rows of ``docs`` whose language is found with ``min_score`` at least."""
-    names = docs.columns
-    rows = docs.withColumn("__text", F.col("text"))
-    judged = identify(rows, model, [c for c in rows.columns if c != "text"])
-    back = judged.withColumnRenamed("__text", "text")
-    return back.where(
-        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
-    ).select(*names)
+    judged = identify(docs.select(as_row(docs), "text"), model)
+    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
+    return judged.where(sure).select("row.*")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobstrata.llm.common import stored, word_count
+from jobstrata.llm.common import as_row, stored, word_count
 
 LEAST_WORDS = 50
 _KEY = ("doc_id", "text_hash")
@@ -98,35 +98,27 @@ def repeated_places(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
 
 def remove_repeated_runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with shortened texts and a column removed_lines."""
-    names = [c for c in docs.columns if c not in ("text", "removed_lines")]
-    places = repeated_places(docs, least).select(
-        F.col("doc_id").alias("__doc"),
-        F.col("text_hash").alias("__hash"),
-        F.col("places").alias("__places"),
-    )
-    matched = docs.select(*names, "text").join(
+    places = repeated_places(docs, least)
+    rows = docs.select(as_row(docs), F.xxhash64("text").alias("hash"))
+    matched = rows.join(
         places,
-        F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash")),
+        F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")),
         "left",
     )
     # The one-element array binds the split lines, so that they are split once per text.
-    held = F.array(F.struct(F.split("text", "\n", -1).alias("lines"), F.col("__places")))
+    held = F.array(F.struct(F.split("row.text", "\n", -1).alias("lines"), "places"))
 
     def rebuilt(held):
         every = F.sequence(F.lit(0), F.size(held["lines"]) - 1)
-        kept = F.array_except(every, held["__places"])
+        kept = F.array_except(every, held["places"])
         return F.array_join(F.transform(kept, lambda i: F.get(held["lines"], i)), "\n")
 
-    text = F.when(F.col("__places").isNull(), F.col("text")).otherwise(
+    whole = F.col("places").isNull()
+    text = F.when(whole, F.col("row.text")).otherwise(
         F.get(F.transform(held, rebuilt), F.lit(0))
     )
-    removed = F.when(F.col("__places").isNull(), F.lit(0)).otherwise(F.size("__places"))
-    result = matched.withColumns({"__text": text, "removed_lines": removed})
-    return result.select(
-        *[
-            F.col("__text").alias("text") if c == "text" else c
-            for c in docs.columns
-            if c != "removed_lines"
-        ],
-        "removed_lines",
+    names = [c for c in docs.columns if c != "removed_lines"]
+    return matched.select(
+        *[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in names],
+        F.when(whole, F.lit(0)).otherwise(F.size("places")).alias("removed_lines"),
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobstrata.llm.common import stored, word_count
+from jobstrata.llm.common import as_row, stored, word_count
 
 # Most copies of a document, and so the most a source can grow.
 MOST = 3
@@ -171,19 +171,12 @@ def copies(docs: DataFrame, seed: int = 1, most: int = MOST) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 1, most: int = MOST) -> DataFrame:
     """``docs`` as the mix takes it: each row as often as its copies say."""
     taken = copies(docs, seed, most).where("copies > 0")
-    keys = taken.select(
-        F.col("doc_id").alias("__doc"),
-        F.col("source").alias("__source"),
-        F.col("size").alias("__size"),
-        F.col("copies").cast("int").alias("__copies"),
+    rows = docs.select(as_row(docs), word_count(F.col("text")).alias("words"))
+    matched = rows.join(
+        taken,
+        F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+        & F.col("row.source").eqNullSafe(F.col("source"))
+        & (F.col("words") == F.col("size")),
     )
-    names = docs.columns
-    size = word_count(F.col("text"))
-    matched = docs.join(
-        keys,
-        F.col("doc_id").eqNullSafe(F.col("__doc"))
-        & F.col("source").eqNullSafe(F.col("__source"))
-        & (size == F.col("__size")),
-    )
-    repeated = F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")
-    return matched.select(*names, repeated).select(*names)
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return matched.select("row", each).select("row.*")

@@ -57,7 +57,7 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     # Bytes are translated in place: all six blanks to spaces, A-Z to a-z.
     _, offsets, data = texts.buffers()
-    low = pa.py_buffer(data.to_pybytes().translate(_LOWER)) if data else None
+    low = pa.py_buffer(data.to_pybytes().translate(_LOWER) if data else b"")
     plain = pa.Array.from_buffers(
         pa.large_string(), len(texts), [None, offsets, low], offset=texts.offset
     )

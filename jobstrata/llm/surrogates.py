@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.llm.common import stored
+from jobstrata.llm.common import as_row, stored
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _LABELS = r"(?:password|passwd|pwd|token|secret|api[_-]?key)"
@@ -52,6 +52,7 @@ PATTERNS = {
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?:(?<!\w)\+\d{1,3}[ .-]?)?(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?<!\w)\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
     r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
     "card": r"(?<![A-Za-z0-9])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}"
     r"|\d{4}[ -]\d{6}[ -]\d{5})(?![A-Za-z0-9])",
@@ -255,7 +256,6 @@ def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
 
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in their texts and a column n_entities."""
-    pieces = F.split("text", ANY, -1)
     found = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     exploded = (
         docs.where(F.col("text").rlike(HINT))
@@ -278,26 +278,30 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     placed = F.sort_array(F.collect_list(F.struct("place", "surrogate")))
     by_document = (
         mentions.join(rendered, ["kind", "mention"], "left")
-        .groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"))
-        .agg(F.transform(placed, lambda x: x["surrogate"]).alias("__new"))
-        .where(F.exists("__new", lambda x: x.isNotNull()))
+        .groupBy("doc_id", "text_hash")
+        .agg(F.transform(placed, lambda x: x["surrogate"]).alias("new"))
+        .where(F.exists("new", lambda x: x.isNotNull()))
     )
-    names = [c for c in docs.columns if c != "n_entities"]
-    matched = docs.select(*names).join(
+    rows = docs.select(as_row(docs), F.xxhash64("text").alias("hash"))
+    matched = rows.join(
         by_document,
-        F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash")),
+        F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")),
         "left",
     )
+    found = F.regexp_extract_all("row.text", F.lit(ANY), F.lit(0))
     mixed = F.zip_with(
-        pieces,
-        F.zip_with(found, "__new", lambda old, new: F.coalesce(new, old)),
+        F.split("row.text", ANY, -1),
+        F.zip_with(found, "new", lambda old, new: F.coalesce(new, old)),
         lambda piece, value: F.concat(piece, F.coalesce(value, F.lit(""))),
     )
-    text = F.when(F.col("__new").isNull(), F.col("text")).otherwise(F.array_join(mixed, ""))
-    count = F.when(F.col("__new").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("__new", lambda x: x.isNotNull()))
-    )
-    result = matched.withColumns({"__text": text, "n_entities": count})
-    return result.select(
-        *[F.col("__text").alias("text") if c == "text" else c for c in names], "n_entities"
+    same = F.col("new").isNull()
+    text = F.when(same, F.col("row.text")).otherwise(F.array_join(mixed, ""))
+    count = F.size(F.filter("new", lambda x: x.isNotNull()))
+    return matched.select(
+        *[
+            text.alias(c) if c == "text" else F.col(f"row.`{c}`")
+            for c in docs.columns
+            if c != "n_entities"
+        ],
+        F.when(same, F.lit(0)).otherwise(count).alias("n_entities"),
     )

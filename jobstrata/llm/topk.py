@@ -73,6 +73,9 @@ def _block(limit: int):
                 if len(row_ids) > limit + 1:
                     ranked = np.where(own, -np.inf, lower.astype(np.float64))
                     border = np.partition(ranked, -limit, axis=1)[:, -limit]
+                    if kind is object:
+                        # Sums beyond this type's exact range were rounded.
+                        border -= np.abs(border) * 1e-12
                     open_rows &= upper >= border[:, None]
                 done = open_rows.sum(1) <= max(FEW * len(row_ids), limit)
                 if depth is None:
