@@ -22,13 +22,18 @@ HIVE_AVRO = "hive-avro"
 
 @dataclass(frozen=True)
 class TableConfig:
-    """One source table and how the landing layer lays it out."""
+    """One source table and how the landing layer lays it out.
+
+    ``quote_escape`` is what escapes a quote in the source: a backslash, or a quote where
+    quotes are doubled.
+    """
 
     name: str = "job_postings"
     source_file: str = "job_postings.csv"
     schema: T.StructType = RAW
     partitioned_by: tuple[str, ...] = ()
     dynamic_partitions: bool = True
+    quote_escape: str = "\\"
     contract_path: str | None = None
 
 
@@ -39,6 +44,8 @@ class LakeConfig:
     With ``use_catalog`` every layer is a database with tables; otherwise a table is a
     folder below the layer's path. ``reset`` drops a layer's database before it is built.
     ``on_mismatch`` is ``"raise"`` or ``"warn"``: what to do when a sink's row count differs.
+    ``keep_rejects`` stores malformed source lines beside the raw table, and more than
+    ``most_malformed_rows`` of them refuse the load.
     """
 
     source_path: str = ""
@@ -51,6 +58,8 @@ class LakeConfig:
     reset: bool = False
     landing_format: str = "avro"
     on_mismatch: str = "raise"
+    keep_rejects: bool = False
+    most_malformed_rows: int | None = None
     multi_line_source: bool = False
     single_csv: bool = False
     plain_csv: bool = False

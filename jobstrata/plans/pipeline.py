@@ -26,6 +26,7 @@ from jobstrata.operators.quality import (
     MALFORMED_LINE,
     header_problems,
     refuse_empty,
+    row_arity,
     scan_with_arity,
 )
 from jobstrata.sources import catalog, readers, writers
@@ -88,18 +89,37 @@ def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -
 def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
     """Source text into the raw layer, every value as it stands.
 
-    A header that differs from the contract is refused. Rows with too few or too many values
-    are padded or cut, as in ``readers.read_raw_csv``, and counted in the report.
+    A header that differs from the contract, in any file, is refused. Rows with too few or too
+    many values are padded or cut, as in ``readers.read_raw_csv``, and counted in the report;
+    their lines can be kept, and their number limited, by the settings.
     """
     source = cfg.source(table)
-    problems = header_problems(spark, source, table.schema)
+    problems = header_problems(spark, source, table.schema, multi_line=cfg.multi_line_source)
     if problems:
         raise ValueError(f"{source}: " + "; ".join(problems))
+    scanned = scan_with_arity(
+        spark,
+        source,
+        table.schema,
+        multi_line=cfg.multi_line_source,
+        quote_escape=table.quote_escape,
+    )
+    limit = cfg.most_malformed_rows
+    if limit is not None:
+        malformed = row_arity(scanned).first()["malformed_rows"]
+        if malformed > limit:
+            raise ValueError(f"{source}: {malformed} malformed rows, at most {limit} allowed")
+    if cfg.keep_rejects:
+        # The first column is read along, as the parser needs one to tell malformed lines.
+        rejects = scanned.where(F.col(MALFORMED_LINE).isNotNull()).select(
+            MALFORMED_LINE, scanned.columns[0]
+        )
+        path = cfg.table_path(names.WORKLOAD, f"{table.name}_rejects")
+        writers.write_lossless_csv(rejects, path)
     _prepare(spark, cfg, names.WORKLOAD)
     seen = Observation()
     rows = (
-        scan_with_arity(spark, source, table.schema, multi_line=cfg.multi_line_source)
-        .observe(seen, F.count(MALFORMED_LINE).alias("malformed"))
+        scanned.observe(seen, F.count(MALFORMED_LINE).alias("malformed"))
         .drop(MALFORMED_LINE)
     )
     path = cfg.table_path(names.WORKLOAD, table.name)
@@ -129,7 +149,12 @@ def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
     if table.contract_path:
         schema = load_avro_contract(spark, table.contract_path, table.schema)
     target = cfg.table(names.LANDING, table.name)
+    settings = {}
     if cfg.landing_format == HIVE_AVRO:
+        if keys and not dynamic:
+            # Hive replaces the partitions that it writes, whatever the setting.
+            raise ValueError("a partitioned Hive table can't be overwritten as a whole")
+        settings = catalog.HIVE_AVRO_SETTINGS
         catalog.create_hive_avro_table(
             spark, target, path, schema, schema_url=table.contract_path, partitioned_by=keys
         )
@@ -137,7 +162,7 @@ def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
         catalog.create_source_table(
             spark, target, path, schema, cfg.landing_format, partitioned_by=keys
         )
-    written = catalog.insert_overwrite(rows, target, keys, dynamic=dynamic)
+    written = catalog.insert_overwrite(rows, target, keys, dynamic=dynamic, settings=settings)
     if cfg.landing_format in ("avro", HIVE_AVRO):
         catalog.require_avro(spark, target)
     return StepReport(names.LANDING, table.name, written)

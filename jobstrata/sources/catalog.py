@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,15 +28,26 @@ def _pairs(properties: dict[str, str]) -> str:
     return ", ".join(f"{_text(key)} = {_text(value)}" for key, value in properties.items())
 
 
+# What Hive takes from the session when it writes: output codec and dynamic partitions.
+HIVE_AVRO_SETTINGS = {
+    "hive.exec.compress.output": "true",
+    "avro.output.codec": "snappy",
+    "hive.exec.dynamic.partition": "true",
+    "hive.exec.dynamic.partition.mode": "nonstrict",
+}
+
+
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Session setting for the duration of one write; ``insertInto`` takes no option for it."""
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the duration of one write; ``insertInto`` takes no options."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def ensure_database(spark: SparkSession, database: str, location: str, *, reset=False) -> None:
@@ -108,11 +119,6 @@ def create_hive_avro_table(
     partitioned_by: Sequence[str] = (),
 ) -> None:
     """Create the table of :func:`hive_avro_ddl`; needs a session with Hive support."""
-    # Hive takes the output codec and the dynamic-partition mode from the session.
-    spark.conf.set("hive.exec.compress.output", "true")
-    spark.conf.set("avro.output.codec", "snappy")
-    spark.conf.set("hive.exec.dynamic.partition", "true")
-    spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
     layout = {"schema_url": schema_url, "partitioned_by": partitioned_by}
     spark.sql(hive_avro_ddl(table, location, schema, **layout))
 
@@ -138,21 +144,28 @@ def create_source_table(
 
 
 def insert_overwrite(
-    df: DataFrame, table: str, partitioned_by: Sequence[str] = (), *, dynamic: bool = True
+    df: DataFrame,
+    table: str,
+    partitioned_by: Sequence[str] = (),
+    *,
+    dynamic: bool = True,
+    settings: Mapping[str, str] | None = None,
 ) -> int:
     """Overwrite a table by position and return the rows written; a different number of
     columns is an error.
 
     With partition columns and ``dynamic`` only the partitions present in ``df`` are
     replaced, otherwise the whole table is. Rows are rebalanced by partition value, which
-    AQE splits where one value is large.
+    AQE splits where one value is large. ``settings`` hold for the write alone; a Hive table
+    needs ``HIVE_AVRO_SETTINGS``, and replaces only partitions present in ``df`` either way.
     """
     df = lowercase_columns(df)
     keys = [name.lower() for name in partitioned_by]
     if keys:
         df = partition_last(df, *keys).hint("rebalance", *keys)
     mode = "dynamic" if keys and dynamic else "static"
-    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", mode):
+    values = {"spark.sql.sources.partitionOverwriteMode": mode, **(settings or {})}
+    with _settings(df.sparkSession, values):
         return counted_write(df, lambda writer: writer.insertInto(table, overwrite=True))
 
 
@@ -181,9 +194,24 @@ def storage_format(spark: SparkSession, table: str) -> str | None:
     return describe_value(spark, table, "InputFormat") or describe_value(spark, table, "Provider")
 
 
-def require_avro(spark: SparkSession, table: str) -> str:
-    """Storage format of a landing table, or raise when it is not Avro."""
-    stored = storage_format(spark, table) or ""
-    if "avro" not in stored.lower():
-        raise ValueError(f"{table} is stored as {stored or 'unknown'}, not Avro")
+def storage_codec(spark: SparkSession, table: str) -> str | None:
+    """Compression codec named in a table's properties or storage options."""
+    properties = describe_table(spark, table).where(
+        F.col("col_name").isin("Table Properties", "Storage Properties")
+    )
+    codec = F.regexp_extract("data_type", r"(?:avro\.output\.codec|compression)=(\w+)", 1)
+    row = properties.select(codec.alias("codec")).where("codec <> ''").first()
+    return row[0].lower() if row else None
+
+
+def require_storage(spark: SparkSession, table: str, fmt: str, codec: str = "snappy") -> str:
+    """Storage format of a table, or raise when it is not ``fmt`` with ``codec``."""
+    stored, packed = storage_format(spark, table) or "unknown", storage_codec(spark, table)
+    if fmt not in stored.lower() or packed != codec:
+        raise ValueError(f"{table} is stored as {stored} with {packed}, not {fmt} with {codec}")
     return stored
+
+
+def require_avro(spark: SparkSession, table: str) -> str:
+    """Storage format of a landing table, or raise when it is not Avro with Snappy."""
+    return require_storage(spark, table, "avro")

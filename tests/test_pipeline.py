@@ -1,6 +1,7 @@
 import os
 import tempfile
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 
@@ -142,6 +143,104 @@ def test_wrong_header_is_refused(spark, folder):
         run_pipeline(spark, cfg)
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_the_header_of_every_file_counts(spark, folder, multi_line):
+    from jobstrata.contract import RAW_COLUMNS
+    from jobstrata.plans.pipeline import ingest_raw
+
+    swapped = list(RAW_COLUMNS)
+    swapped[2:4] = swapped[3], swapped[2]
+    for name, header in (("a.csv", RAW_COLUMNS), ("b.csv", swapped)):
+        os.makedirs(os.path.join(folder, "in"), exist_ok=True)
+        with open(os.path.join(folder, "in", name), "w") as out:
+            out.write(",".join(header) + "\n" + ",".join(f"v{i}" for i in range(22)) + "\n")
+    table = TableConfig(source_file=os.path.join(folder, "in"))
+    cfg = LakeConfig(
+        base_path=folder, tables=(table,), use_catalog=False, multi_line_source=multi_line
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest_raw(spark, cfg, table)
+
+
+def test_rejects_are_kept_and_limited(spark, folder):
+    from jobstrata.contract import RAW_COLUMNS
+    from jobstrata.plans.pipeline import ingest_raw
+
+    lines = [RAW_COLUMNS, ["short"] * 3, ["v"] * 22, ["long"] * 23]
+    with open(os.path.join(folder, "job_postings.csv"), "w") as out:
+        out.write("".join(",".join(line) + "\n" for line in lines))
+    cfg = LakeConfig(folder, base_path=folder, use_catalog=False, keep_rejects=True)
+    assert ingest_raw(spark, cfg, cfg.tables[0]).malformed_rows == 2
+    path = cfg.table_path(config.WORKLOAD, "job_postings_rejects")
+    kept = readers.read_lossless_csv(spark, path, "line string, job_id string")
+    assert {r.line.split(",")[0] for r in kept.collect()} == {"short", "long"}
+    with pytest.raises(ValueError, match="2 malformed rows, at most 1"):
+        ingest_raw(spark, replace(cfg, most_malformed_rows=1), cfg.tables[0])
+
+
+@pytest.mark.parametrize("escape, value", [("\\", '"say ""hi"", yes"'), ('"', 'say "hi", yes')])
+def test_doubled_quotes(spark, folder, escape, value):
+    from jobstrata.contract import RAW_COLUMNS
+    from jobstrata.plans.pipeline import ingest_raw
+
+    row = ["1", '"say ""hi"", yes"', *["v"] * 20]
+    with open(os.path.join(folder, "job_postings.csv"), "w") as out:
+        out.write(",".join(RAW_COLUMNS) + "\n" + ",".join(row) + "\n")
+    table = TableConfig(quote_escape=escape)
+    cfg = LakeConfig(folder, base_path=folder, tables=(table,), use_catalog=False)
+    ingest_raw(spark, cfg, table)
+    got = load(spark, cfg, config.WORKLOAD, table).first()
+    assert (got[1] == value) == (escape == '"')
+
+
+def test_lost_rows_stop_the_run(spark, folder, monkeypatch):
+    from jobstrata.sources import writers
+
+    whole = writers.write_folder
+
+    def lossy(df, path, *args, **kwargs):
+        written = whole(df, path, *args, **kwargs)
+        if "curated" in path:
+            whole(df.limit(1), path)
+        return written
+
+    _text_source(folder, "job_postings.csv", [{"job_id": str(i)} for i in range(3)])
+    cfg = LakeConfig(folder, base_path=folder, use_catalog=False, landing_format="parquet")
+    monkeypatch.setattr(writers, "write_folder", lossy)
+    with pytest.raises(ValueError, match="3 rows written, 1 found"):
+        run_pipeline(spark, cfg)
+    with pytest.warns(UserWarning, match="3 rows written, 1 found"):
+        run_pipeline(spark, replace(cfg, on_mismatch="warn"))
+
+
+def test_row_bound_only_after_whole_writes(spark, folder, monkeypatch):
+    """A daily load beside older partitions gives no bound of the rows in landing."""
+    from jobstrata.plans import pipeline
+
+    bounds = []
+    aggregate = pipeline.impact_aggregate
+    monkeypatch.setattr(
+        pipeline,
+        "impact_aggregate",
+        lambda df, known_rows=None: bounds.append(known_rows) or aggregate(df),
+    )
+    _text_source(folder, "job_postings.csv", [{"job_id": "1", "industry": "it"}])
+    for table in (
+        TableConfig(partitioned_by=("industry",)),
+        TableConfig(partitioned_by=("industry",), dynamic_partitions=False),
+        TableConfig(),
+    ):
+        cfg = LakeConfig(
+            folder,
+            base_path=os.path.join(folder, str(len(bounds))),
+            tables=(table,),
+            use_catalog=False,
+            landing_format="parquet",
+        )
+        run_pipeline(spark, cfg)
+    assert bounds == [None, 1, 1]
+
+
 @pytest.mark.parametrize("use_catalog", [False, True])
 def test_rows_of_the_wrong_length_are_counted(spark, folder, use_catalog):
     from jobstrata.contract import RAW_COLUMNS

@@ -209,8 +209,12 @@ def test_catalog_tables(spark, folder):
     assert {"texts", "parted"} <= names
     assert catalog.storage_format(spark, parted) == "parquet"
     assert catalog.describe_value(spark, parted, "no such entry") is None
-    with pytest.raises(ValueError, match="not Avro"):
+    assert catalog.storage_codec(spark, parted) == "snappy"
+    assert catalog.require_storage(spark, parted, "parquet") == "parquet"
+    with pytest.raises(ValueError, match="parquet with snappy, not avro"):
         catalog.require_avro(spark, parted)
+    with pytest.raises(ValueError, match="not parquet with zstd"):
+        catalog.require_storage(spark, parted, "parquet", "zstd")
 
     catalog.ensure_database(spark, database, os.path.join(folder, database), reset=True)
     assert catalog.list_tables(spark, database).where("NOT isTemporary").count() == 0
@@ -232,14 +236,6 @@ def test_hive_avro_definition(spark, url):
     assert "AvroSerDe" in plan
 
 
-@pytest.mark.parametrize(
-    "stored", ["avro", "org.apache.hadoop.hive.ql.io.avro.AvroContainerInputFormat"]
-)
-def test_avro_storage_is_recognised(spark, monkeypatch, stored):
-    monkeypatch.setattr(catalog, "storage_format", lambda *_: stored)
-    assert catalog.require_avro(spark, "any.table") == stored
-
-
 def test_inline_contract_is_valid_avro(spark):
     text = contract.avro_contract(contract.RAW, "job_postings")
     parsed = spark._jvm.org.apache.avro.Schema.Parser().parse(text)
