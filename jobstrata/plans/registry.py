@@ -27,6 +27,7 @@ from jobstrata.functions import (
     to_year,
 )
 from jobstrata.operators import aggregates, exploration, projections, quality
+from jobstrata.plans import catalog_queries
 from jobstrata.plans.pipeline import load, run_pipeline
 from jobstrata.plans.standin import posting_bound, postings, postings_sql
 from jobstrata.sources import readers, writers
@@ -512,3 +513,8 @@ def measure_correlation(spark, sf_dir):
 )
 def risk_heatmap(spark, sf_dir):
     return exploration.risk_heatmap(_curated(spark, sf_dir))
+
+
+# --- Catalog -----------------------------------------------------------------------------
+
+catalog_queries.add(_register, _curated_select(), _loose_text_select())
