@@ -27,7 +27,7 @@ from jobstrata.llm.common import map_arrow, ranges, stored, text_batches
 
 OPEN_WINDOWS = 16
 # Tasks, or groups of the level below, whose open windows are merged in one task.
-FAN_IN = 64
+FAN_IN = 16
 # Bound of the words that a worker remembers, as written and in plain form.
 WORDS_KEPT = 400_000
 _PIECE = (
