@@ -30,6 +30,7 @@ from jobstrata.operators.quality import (
     scan_with_arity,
 )
 from jobstrata.sources import catalog, readers, writers
+from jobstrata.workspace import scratch
 
 
 @dataclass(frozen=True)
@@ -191,8 +192,9 @@ def build_functional(
 ) -> StepReport:
     """Landing into the aggregate; ``landing_rows`` is the row count of landing, if known."""
     landing = load(spark, cfg, names.LANDING, table)
-    aggregate = impact_aggregate(landing, known_rows=landing_rows)
-    report = _store_parquet(spark, cfg, names.FUNCTIONAL, cfg.aggregate(table), aggregate)
+    with scratch(spark):
+        aggregate = impact_aggregate(landing, known_rows=landing_rows)
+        report = _store_parquet(spark, cfg, names.FUNCTIONAL, cfg.aggregate(table), aggregate)
     return _read_back(report, load(spark, cfg, names.FUNCTIONAL, table))
 
 

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def work_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a fresh temporary one only in local mode."""
@@ -22,8 +27,23 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the work folder."""
-    return f"{work_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """An unused path below the work folder, or below the scratch folder in use."""
+    folder = _SCRATCH.get() or work_folder(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the steps of one job, removed at its end. What is computed from them has
+    to be stored elsewhere before."""
+    path = new_path(spark, "scratch")
+    outer = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(outer)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:

@@ -92,6 +92,28 @@ def test_equals_the_builtin(table, expected, limits):
     assert _plain(got) == expected
 
 
+def test_ranks_come_back_without_a_join(table):
+    """Groups and picked ranks meet in one aggregate: no join above it, and so no second
+    shuffle of null-safe keys."""
+    got = grouped_percentiles(table, KEYS, F.col("v"), SHARES, single_pass_rows=0)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    top = plan.split("Aggregate")[0]
+    assert "Union" in plan and "Join" not in top
+
+
+def test_steps_are_removed(table, spark):
+    import os
+
+    from jobstrata.workspace import scratch, work_folder
+
+    folder = work_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    with scratch(spark) as path:
+        rows = grouped_percentiles(table, KEYS, F.col("v"), SHARES, single_pass_rows=0).count()
+        assert rows == 11 and os.listdir(path.removeprefix("file://"))
+    assert set(os.listdir(folder)) == before
+
+
 def test_located_cells_are_few(table):
     """The histogram of a group is bounded by the exponent range, not by its rows."""
     from jobstrata.operators.percentiles import CELL_OFFSET, CELLS_PER_OCTAVE, _log_cell
