@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobstrata.workspace import new_path
 
@@ -41,12 +42,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """A column, or, written with a dot, a field of a struct column."""
+    name, _, field = column.partition(".")
+    return batch.column(name).field(field) if field else batch.column(name)
+
+
 def text_batches(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``limit`` bytes of ``column``."""
+    """The same rows in batches of about ``limit`` bytes of ``column``, as for ``texts_of``."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(False)
+        sizes = pc.fill_null(pc.binary_length(texts_of(batch, column)), 0).to_numpy(False)
         group = np.cumsum(sizes, dtype=np.int64) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
         for start, end in zip(cuts[:-1], cuts[1:]):
@@ -54,11 +61,13 @@ def text_batches(
                 yield batch.slice(start, end - start)
 
 
-def map_arrow(df: DataFrame, make: Callable, schema: str, *args) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable, schema: str | T.StructType, *args) -> DataFrame:
     """``mapInArrow`` with a worker made from plain arguments inside the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from make(batches, *args)
+        # A worker goes on to other tasks; what this one held is given back.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

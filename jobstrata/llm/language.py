@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from jobstrata.llm.common import as_row, map_arrow, stored, text_batches, uniform
+from jobstrata.llm.common import as_row, map_arrow, stored, text_batches, texts_of, uniform
 
 # Families of ISO 639-1 codes. A label not listed is a family of its own.
 FAMILIES = {
@@ -204,19 +205,21 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
     return {"families": families, "weights": weights}
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _predict(
+    batches: Iterator[pa.RecordBatch], shared, column: str
+) -> Iterator[pa.RecordBatch]:
     model = shared.value
     families, weights = model["families"], model["weights"]
     names = list(weights)
     matrix = np.stack([weights[n] for n in names]).T if names else np.zeros((FEATURES, 0))
-    column = {n: i for i, n in enumerate(names)}
-    for batch in text_batches(batches, "text", 1 << 20):
-        rows = _features(batch.column("text").to_pylist())
+    place = {n: i for i, n in enumerate(names)}
+    for batch in text_batches(batches, column, 1 << 20):
+        rows = _features(texts_of(batch, column).to_pylist())
         found = rows.any(1)
         margins = rows @ matrix
         langs, scores = [], []
         for margin, ok in zip(margins, found):
-            lang, score = _decide(families, column, margin) if ok else (UNKNOWN, 0.0)
+            lang, score = _decide(families, place, margin) if ok else (UNKNOWN, 0.0)
             langs.append(lang)
             scores.append(score)
         kept = [(n, c) for n, c in zip(batch.schema.names, batch.columns) if n != "text"]
@@ -252,15 +255,18 @@ def _decide(families: dict, column: dict, margin: np.ndarray) -> tuple[str, floa
     return lang, chances[best] * inside
 
 
+def _judged(rows: DataFrame) -> T.StructType:
+    return T.StructType(rows.schema.fields).add("lang_pred", "string").add("score", "double")
+
+
 def identify(docs: DataFrame, model: dict, keep: list[str] | None = None) -> DataFrame:
     """``docs`` without its text (or only the columns ``keep``) with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     columns = [c for c in kept if c != "text"]
     rows = docs.select(*columns, "text")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*columns).schema]
-    schema = ", ".join([*fields, "lang_pred string", "score double"])
-    return map_arrow(rows, _predict, schema, shared)
+    schema = _judged(rows.drop("text"))
+    return map_arrow(rows, _predict, schema, shared, "text")
 
 
 def held_out() -> Column:
@@ -275,6 +281,8 @@ def learn(docs: DataFrame) -> dict:
 
 def confident(docs: DataFrame, model: dict, min_score: float) -> DataFrame:
     """The rows of ``docs`` whose language is found with ``min_score`` at least."""
-    judged = identify(docs.select(as_row(docs), "text"), model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(as_row(docs))
+    judged = map_arrow(rows, _predict, _judged(rows), shared, "row.text")
     sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
     return judged.where(sure).select("row.*")

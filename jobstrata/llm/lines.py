@@ -77,7 +77,8 @@ def windows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
         window(onward, place, F.max("place").over(onward)),
         F.when(F.col("words") < least, window(back, F.min("place").over(back), place)),
     )
-    rows = _lines(docs).select(*_KEY, both.alias("both")).select(*_KEY, F.explode("both").alias("w"))
+    paired = _lines(docs).select(*_KEY, both.alias("both"))
+    rows = paired.select(*_KEY, F.explode("both").alias("w"))
     return rows.where(F.col("w.all_words") >= least).select(*_KEY, "w.*").drop("all_words")
 
 

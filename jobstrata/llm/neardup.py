@@ -42,7 +42,7 @@ MATCHES = 28
 # Links: intersection * 100 >= PERCENT * union.
 PERCENT = 85
 # Classes in a block of a list or component, and shingles in a block of a component.
-BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 _FACTORS = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _PLACES = mix64(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
 
@@ -214,7 +214,8 @@ def _blocked(rows: DataFrame, key: str, blocks) -> DataFrame:
     own = F.pmod(F.xxhash64("node"), F.col("__blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__blocks") - 1))
     names = rows.columns
-    dealt = rows.withColumn("__blocks", blocks.cast("long")).select(*names, own.alias("__own"), "__blocks")
+    counted = rows.withColumn("__blocks", blocks.cast("long"))
+    dealt = counted.select(*names, own.alias("__own"), "__blocks")
     paired = dealt.select(*names, "__own", other.alias("__other")).select(
         *names,
         F.least("__own", "__other").alias("block_a"),
@@ -243,9 +244,8 @@ def candidates(classes: DataFrame) -> DataFrame:
     shared = stored(shared, "postings")
     # Rarest first: of the postings that can matter, all but the last MATCHES - 1.
     prefix = F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1)
-    rows = shared.select(
-        "node", F.explode(prefix).alias("at"), F.transform("lists", lambda x: x["key"]).alias("keys")
-    ).select("node", F.col("at.key").alias("list"), F.col("at.length").alias("length"), "keys")
+    keys = F.transform("lists", lambda x: x["key"]).alias("keys")
+    rows = shared.select("node", F.explode(prefix).alias("at"), keys).select("node", F.col("at.key").alias("list"), F.col("at.length").alias("length"), "keys")
     dealt = _blocked(rows, "list", F.ceil(F.col("length") / BLOCK)).drop("length")
     return map_arrow(dealt, _colliding, "a long, b long")
 
@@ -275,7 +275,7 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     column = np.cumsum(np.r_[False, value[1:] != value[:-1]])
     shared = np.bincount(column)[column] > 1
     column, row = column[shared], row[shared]
-    common = np.zeros((len(sets), len(sets)), np.float64)
+    common = np.zeros((len(sets), len(sets)), np.float32)
     if len(column):
         column = np.cumsum(np.r_[False, column[1:] != column[:-1]])
     width = 2048
@@ -299,8 +299,13 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [np.frombuffer(s, np.uint64) for s in raw]
             size = np.array([len(s) for s in sets], np.float64)
             common = _overlaps(sets)
-            union = size[:, None] + size[None, :] - common
-            a, b = np.nonzero(np.triu(100 * common >= PERCENT * union, 1))
+            pairs = []
+            for i in range(len(sets) - 1):
+                both = common[i, i + 1 :].astype(np.float64)
+                near = 100 * both >= PERCENT * (size[i] + size[i + 1 :] - both)
+                pairs.append(np.flatnonzero(near) + i + 1)
+            a = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
+            b = np.concatenate(pairs)
             if len(a):
                 yield _spanning(nodes[x:y], _roots(y - x, a, b))
 
@@ -313,7 +318,8 @@ def links(docs: DataFrame, parts: DataFrame, sizes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("nodes"), F.sum("n_shingles").alias("total")
     )
     blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
-    wanted = stored(sized.join(totals, "part").select("node", "part", blocks.alias("blocks")), "parts")
+    wanted = sized.join(totals, "part").select("node", "part", blocks.alias("blocks"))
+    wanted = stored(wanted, "parts")
     text = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     # An id that repeats brings its texts into the same comparison.
     sets = map_arrow(

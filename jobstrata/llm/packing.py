@@ -28,8 +28,8 @@ from jobstrata.llm.common import map_arrow, ranges, stored, text_batches
 OPEN_WINDOWS = 16
 # Tasks, or groups of the level below, whose open windows are merged in one task.
 FAN_IN = 16
-# Bound of the words that a worker remembers, as written and in plain form.
-WORDS_KEPT = 400_000
+# Bounds of the words that a worker remembers, as written and in plain form.
+WRITTEN_KEPT, PLAIN_KEPT = 100_000, 400_000
 _PIECE = (
     "start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, "
     "node long, open boolean"
@@ -97,9 +97,9 @@ class Words:
             out[i] = (new[low] if low in new else plain[low]) + self.stops[stop]
         for i, ids in zip(others, self._encoded([words[i] for i in others]), strict=True):
             out[i] = ids
-        if len(plain) < WORDS_KEPT:
+        if len(plain) < PLAIN_KEPT:
             plain.update((w, ids) for w, ids in new.items() if len(w) < 64)
-        if len(known) < WORDS_KEPT:
+        if len(known) < WRITTEN_KEPT:
             seen = [*(i for i, _, _ in letters), *others]
             known.update((words[i], out[i]) for i in seen if len(words[i]) < 64)
         return out

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobstrata.llm.common import map_arrow, text_batches
 
@@ -311,6 +312,6 @@ def count_tokens(
     ]
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     rows = docs.select(*kept, size, "text")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema]
-    counted = map_arrow(rows, _count, ", ".join([*fields, "n_tokens long"]), path)
+    schema = T.StructType(rows.drop("text").schema.fields).add("n_tokens", "long")
+    counted = map_arrow(rows, _count, schema, path)
     return counted.select("*", (F.col("n_tokens") > limit).alias("over_limit"))
