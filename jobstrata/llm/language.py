@@ -256,7 +256,7 @@ def _decide(families: dict, column: dict, margin: np.ndarray) -> tuple[str, floa
 
 
 def _judged(rows: DataFrame) -> T.StructType:
-    return T.StructType(rows.schema.fields).add("lang_pred", "string").add("score", "double")
+    return T.StructType([*rows.schema.fields]).add("lang_pred", "string").add("score", "double")
 
 
 def identify(docs: DataFrame, model: dict, keep: list[str] | None = None) -> DataFrame:

@@ -312,6 +312,6 @@ def count_tokens(
     ]
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     rows = docs.select(*kept, size, "text")
-    schema = T.StructType(rows.drop("text").schema.fields).add("n_tokens", "long")
+    schema = T.StructType([*rows.drop("text").schema.fields]).add("n_tokens", "long")
     counted = map_arrow(rows, _count, schema, path)
     return counted.select("*", (F.col("n_tokens") > limit).alias("over_limit"))
