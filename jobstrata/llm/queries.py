@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import language, lines, mixing, neardup, neighbours, packing, surrogates, tokens, topk, warc
+from jobstrata.llm import (
+    language,
+    lines,
+    mixing,
+    neardup,
+    neighbours,
+    packing,
+    surrogates,
+    tokens,
+    topk,
+    warc,
+)
 from jobstrata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -47,7 +47,8 @@ PATTERNS = {
     r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_WORD}(?: {_WORD})?",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": rf"(?i:{_LABELS})\s{{0,3}}[=:]\s{{0,3}}[\"']?(?=[^\s\"']*\d)[A-Za-z0-9+/_-]{{6,}}",
+    "secret": rf"(?i:{_LABELS})\s{{0,3}}[=:]\s{{0,3}}[\"']?"
+    r"(?=[^\s\"']*\d)[A-Za-z0-9+/_-]{6,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -96,7 +97,8 @@ def _luhn_sum(digits: Column, skip_last: bool) -> Column:
     def term(value, place):
         value = F.when((place == 0) & F.lit(skip_last), 0).otherwise(value)
         twice = value * 2
-        return F.when(place % 2 == 1, F.when(twice > 9, twice - 9).otherwise(twice)).otherwise(value)
+        folded = F.when(twice > 9, twice - 9).otherwise(twice)
+        return F.when(place % 2 == 1, folded).otherwise(value)
 
     return F.aggregate(F.transform(values, term), F.lit(0), lambda a, b: a + b)
 
@@ -241,7 +243,9 @@ def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
         made = _surrogate(F.col("kind"), F.col("identity"), F.col("attempt"), key)
         state = stored(state.select("kind", "identity", "attempt", made.alias("surrogate")), "pii")
         owners = state.groupBy("kind", "surrogate").agg(F.min("identity").alias("owner"))
-        originals = state.select("kind", F.col("identity").alias("surrogate"), F.lit(1).alias("real"))
+        originals = state.select(
+            "kind", F.col("identity").alias("surrogate"), F.lit(1).alias("real")
+        )
         judged = state.join(owners, ["kind", "surrogate"]).join(
             originals, ["kind", "surrogate"], "left"
         )

@@ -121,8 +121,8 @@ def _parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         lines = data[at:end].decode("utf-8").split(_END)
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record at byte {at}")
-        fields = dict(line.split(": ", 1) if ": " in line else (line[:-1], "") for line in lines[1:])
-        fields = {k.lower(): v for k, v in fields.items()}
+        named = (line.partition(":") for line in lines[1:])
+        fields = {name.lower(): value.strip() for name, _, value in named}
         start = end + 4
         at = start + int(fields["content-length"])
         yield fields, data[start:at]

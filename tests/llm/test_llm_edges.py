@@ -361,9 +361,8 @@ def test_surrogates_keep_form(spark):
 
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """With a digest that collides at first, names are drawn again until all differ."""
-    names = [(i, f"Mr. {a}{b} Smith") for i, (a, b) in enumerate(
-        (x, y) for x in "ABCDEFGHIJKLMNOP" for y in ("be", "co", "du", "fi", "go")
-    )]
+    given = [x + y for x in "ABCDEFGHIJKLMNOP" for y in ("be", "co", "du", "fi", "go")]
+    names = [(i, f"Mr. {name} Smith") for i, name in enumerate(given)]
     monkeypatch.setitem(surrogates.SYLLABLES, "latin", "ba do")
     df = spark.createDataFrame(names, "doc_id long, text string")
     got = [r.text for r in surrogates.replace_personal_data(df, "key").collect()]
