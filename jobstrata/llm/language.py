@@ -154,7 +154,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
     known = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     # Per label, hashes below a limit that leaves about twice as many; the window that picks
     # the smallest then sees only those, however common the label.
-    limits = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    limits = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         known.select("doc_id", "lang", uniform("sample", F.col("doc_id")).alias("draw"))

@@ -245,7 +245,10 @@ def candidates(classes: DataFrame) -> DataFrame:
     # Rarest first: of the postings that can matter, all but the last MATCHES - 1.
     prefix = F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1)
     keys = F.transform("lists", lambda x: x["key"]).alias("keys")
-    rows = shared.select("node", F.explode(prefix).alias("at"), keys).select("node", F.col("at.key").alias("list"), F.col("at.length").alias("length"), "keys")
+    posted = shared.select("node", F.explode(prefix).alias("at"), keys)
+    rows = posted.select(
+        "node", F.col("at.key").alias("list"), F.col("at.length").alias("length"), "keys"
+    )
     dealt = _blocked(rows, "list", F.ceil(F.col("length") / BLOCK)).drop("length")
     return map_arrow(dealt, _colliding, "a long, b long")
 

@@ -29,7 +29,7 @@ OPEN_WINDOWS = 16
 # Tasks, or groups of the level below, whose open windows are merged in one task.
 FAN_IN = 16
 # Bounds of the words that a worker remembers, as written and in plain form.
-WRITTEN_KEPT, PLAIN_KEPT = 100_000, 400_000
+WRITTEN_KEPT, PLAIN_KEPT = 100_000, 300_000
 _PIECE = (
     "start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, "
     "node long, open boolean"
@@ -216,7 +216,7 @@ def _pack_task(
         _WORDS[path] = Words(path)
     task = TaskContext.get().partitionId()
     packer, held = Packer(length, task << 32), None
-    for batch in text_batches(batches, "text", 4 << 20):
+    for batch in text_batches(batches, "text", 3 << 20):
         tokens, bounds = _WORDS[path].ids(batch.column("text"), end_id)
         # Documents of the windows still open come before those of this batch.
         keys = batch.column("doc_id")
