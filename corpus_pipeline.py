@@ -11,6 +11,8 @@ from jobstrata.llm.queries import packed_digest
 
 # Below this belief in its language a document is not used.
 MIN_LANGUAGE_SCORE = 0.34
+# From this similarity on, in hundredths, documents are near-duplicates.
+NEAR_PERCENT = 85
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the document with the smallest id."""
-    gone = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    found = neardup.near_duplicates(docs, NEAR_PERCENT)
+    gone = found.where("NOT kept").select("doc_id").distinct()
     return docs.join(stored(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
 
 

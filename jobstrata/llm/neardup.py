@@ -3,17 +3,18 @@
 1. Documents become sets of shingles (hashed), a hash of the whole set and a signature of
    ``COORDINATES`` minima. Documents with equal sets are one class from here on.
 2. Every class is posted under each (coordinate, value). Lists of one are dropped; a class
-   that has fewer than ``MATCHES`` other postings cannot reach that many collisions with
+   that has fewer than ``matches`` other postings cannot reach that many collisions with
    anything, and is dropped too.
-3. Two classes with ``MATCHES`` collisions meet in the list of one of the
-   ``COORDINATES - MATCHES + 1`` rarest postings of both; only these lists are merged, the
+3. Two classes with ``matches`` collisions meet in the list of one of the
+   ``COORDINATES - matches + 1`` rarest postings of both; only these lists are merged, the
    longer ones are skipped. Collisions are counted on whole signatures, in blocks of a list,
    and of those that pass a spanning set is emitted, one row per class and list at most.
 4. Components of these candidates are compared completely and exactly: full sets meet in
    blocks of a component, and of the links found again a spanning set is emitted.
 5. Components of the links, spread to all members of the classes, are the result.
 
-Two documents at the threshold of 0.85 miss stage 3 with a chance below 2e-6, and less above.
+The threshold is an argument, and the collisions asked for follow from it (28 at 0.85, 24 at
+0.80), so that two documents at it miss stage 3 with a chance below 2e-6, and less above.
 Rows emitted grow with the documents, never with pairs; comparisons inside a list or
 component of n classes are n * n / 2, in tasks of two blocks each.
 
@@ -26,6 +27,8 @@ repeat id and text share their result; texts of any length are shingled whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,9 @@ from jobstrata.llm.graph import components
 
 SHINGLE = 5
 COORDINATES = 48
-MATCHES = 28
-# Links: intersection * 100 >= PERCENT * union.
+# The chance of a miss at the threshold that is let pass.
+MISS = 2e-6
+# Links: intersection * 100 >= percent * union; this unless the caller says another.
 PERCENT = 85
 # Classes in a block of a list or component, and shingles in a block of a component.
 BLOCK, BLOCK_SHINGLES = 512, 1 << 20
@@ -49,6 +53,17 @@ _PLACES = mix64(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\v\f\r" else b for b in range(256))
 
 
+def matches_at(percent: int) -> int:
+    """The most collisions that two documents at the threshold miss with a chance of ``MISS``
+    at most."""
+    p, missed = percent / 100, 0.0
+    for n in range(COORDINATES):
+        missed += comb(COORDINATES, n) * p**n * (1 - p) ** (COORDINATES - n)
+        if missed > MISS:
+            return max(n, 1)
+    return COORDINATES
+
+
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashed shingles of all texts, each text's distinct ones in rising order, and the
     numbers of them."""
@@ -177,7 +192,7 @@ def _spanning(nodes: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _colliding(matches: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys = ["list", "block_a", "block_b"]
     for table in _groups(batches, keys):
         bounds = _bounds(table, keys)
@@ -203,7 +218,7 @@ def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for column in grid.T:
                 left = column[a]
                 same += (left == column[b]) & (left >= 0)
-            near = same >= MATCHES
+            near = same >= matches
             found.append((a[near], b[near]))
         a, b = (np.concatenate(c) for c in zip(*found)) if found else (here[:0], here[:0])
         yield _spanning(nodes, _roots(len(nodes), a, b))
@@ -226,8 +241,9 @@ def _blocked(rows: DataFrame, key: str, blocks) -> DataFrame:
     )
 
 
-def candidates(classes: DataFrame) -> DataFrame:
+def candidates(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) that connect all classes with enough collisions."""
+    matches = matches_at(percent)
     posted = classes.select("node", F.posexplode("signature").alias("place", "value")).select(
         "node",
         F.shiftleft(F.col("place").cast("long"), 32)
@@ -239,18 +255,18 @@ def candidates(classes: DataFrame) -> DataFrame:
         posted.join(lists, "key")
         .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("length", "key"))).alias("lists"))
-        .where(F.size("lists") >= MATCHES)
+        .where(F.size("lists") >= matches)
     )
     shared = stored(shared, "postings")
-    # Rarest first: of the postings that can matter, all but the last MATCHES - 1.
-    prefix = F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1)
+    # Rarest first: of the postings that can matter, all but the last matches - 1.
+    prefix = F.slice("lists", F.lit(1), F.size("lists") - matches + 1)
     keys = F.transform("lists", lambda x: x["key"]).alias("keys")
     posted = shared.select("node", F.explode(prefix).alias("at"), keys)
     rows = posted.select(
         "node", F.col("at.key").alias("list"), F.col("at.length").alias("length"), "keys"
     )
     dealt = _blocked(rows, "list", F.ceil(F.col("length") / BLOCK)).drop("length")
-    return map_arrow(dealt, _colliding, "a long, b long")
+    return map_arrow(dealt, partial(_colliding, matches), "a long, b long")
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +306,7 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return common
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys = ["part", "block_a", "block_b"]
     for table in _groups(batches, keys):
         bounds = _bounds(table, keys)
@@ -305,7 +321,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs = []
             for i in range(len(sets) - 1):
                 both = common[i, i + 1 :].astype(np.float64)
-                near = 100 * both >= PERCENT * (size[i] + size[i + 1 :] - both)
+                near = 100 * both >= percent * (size[i] + size[i + 1 :] - both)
                 pairs.append(np.flatnonzero(near) + i + 1)
             a = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
             b = np.concatenate(pairs)
@@ -313,7 +329,9 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _spanning(nodes[x:y], _roots(y - x, a, b))
 
 
-def links(docs: DataFrame, parts: DataFrame, sizes: DataFrame) -> DataFrame:
+def links(
+    docs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int = PERCENT
+) -> DataFrame:
     """Pairs (a, b) that connect all linked classes; ``parts`` has the candidates' components
     (node, root), ``sizes`` the number of shingles per node."""
     sized = parts.join(sizes, "node").select("node", F.col("root").alias("part"), "n_shingles")
@@ -331,11 +349,12 @@ def links(docs: DataFrame, parts: DataFrame, sizes: DataFrame) -> DataFrame:
         "node long, part long, blocks long, shingles binary",
     )
     dealt = _blocked(sets, "part", F.col("blocks")).drop("blocks")
-    return map_arrow(dealt, _linked, "a long, b long")
+    return map_arrow(dealt, partial(_linked, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document, linked from a Jaccard
+    similarity of ``percent`` hundredths on."""
     signed = stored(
         map_arrow(
             docs.select("doc_id", "text"),
@@ -349,9 +368,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(
         some.groupBy(*identity, "signature").agg(F.min("doc_id").alias("node")), "classes"
     )
-    parts = stored(components(candidates(classes)), "candidates")
+    parts = stored(components(candidates(classes, percent)), "candidates")
     sizes = classes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"))
-    roots = stored(components(links(docs, parts, sizes)), "roots")
+    roots = stored(components(links(docs, parts, sizes, percent)), "roots")
     placed = classes.select(*identity, "node").join(roots, "node", "left")
     member = placed.select(
         *[F.col(c).alias(f"_{c}") for c in identity], F.coalesce("root", "node").alias("root")

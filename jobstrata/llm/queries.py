@@ -234,7 +234,7 @@ FROM sets s JOIN smallest m ON s.doc_id = m.x""",
 )
 def op2_neardup(spark, sf_dir):
     """Components of near-duplicate documents."""
-    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), 85)
 
 
 @_register("op6_surrogates")

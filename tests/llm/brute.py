@@ -14,7 +14,7 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
 
 
-def near_components(docs):
+def near_components(docs, percent=85):
     """doc_id -> smallest reachable doc_id, over {doc_id: text}."""
     sets = {d: shingles(t) for d, t in docs.items()}
     root = {d: d for d in docs}
@@ -26,7 +26,7 @@ def near_components(docs):
 
     for a, b in combinations(sorted(d for d in docs if sets[d]), 2):
         common = len(sets[a] & sets[b])
-        if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+        if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
             low, high = sorted((find(a), find(b)))
             root[high] = low
     return {d: find(d) for d in docs}

@@ -138,6 +138,23 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
     assert got == brute.near_components(docs)
 
 
+def test_near_duplicates_down_to_80(spark):
+    """One changed word of 60 leaves 51 of 61 shingles, 0.836; one of 40 leaves 31 of 41."""
+    docs = {}
+    for i, n in enumerate([60] * 40 + [40] * 3):
+        words = prose(n, 1000 + i).split()
+        docs[2 * i] = " ".join(words)
+        docs[2 * i + 1] = " ".join([*words[: n // 2], "changed", *words[n // 2 + 1 :]])
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    at = lambda *p: {
+        r.doc_id: r.component_id for r in neardup.near_duplicates(df, *p).collect()
+    }
+    assert at(80) == brute.near_components(docs, 80)
+    assert at(80) == {d: d - d % 2 if d < 80 else d for d in docs}
+    assert at() == at(85) == brute.near_components(docs) == {d: d for d in docs}
+    assert (neardup.matches_at(85), neardup.matches_at(80)) == (28, 24)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(60, 50), (50, 55), (50, 60), (7, 7)]
     got = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
