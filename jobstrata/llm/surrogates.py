@@ -5,16 +5,18 @@ digits of a phone, card or social security number, the lower-case form of an add
 text itself otherwise. Every identity gets one surrogate everywhere, made from a keyed digest
 of it, so mentions of one thing still agree (coreference):
 
-- numbers keep punctuation, length and country code; cards keep their first digit and their
-  check sum; IP addresses stay addresses;
+- numbers keep punctuation, length and country code, which is read off the digits, so that
+  all spellings of a number have the same; cards keep their first digit and their check sum;
+  IP addresses stay addresses;
 - e-mail addresses keep their shape, one domain always becoming the same other domain;
 - keys, passwords and tokens keep length, case and alphabet (hexadecimal or not);
 - names after a title keep it, and get given and family names of the title's gender and of
   the script they are written in (Latin, Greek, Cyrillic).
 
-Surrogates are checked against one another and against all originals of their type: of
-several identities with one surrogate the smallest keeps it, the others are drawn again, as
-is a surrogate that is itself an original, until all are distinct.
+Surrogates are checked as they are written, numbers by their digits, against one another and
+against all originals of their type: of several identities with one surrogate the smallest
+keeps it, the others are drawn again, as is a surrogate that is itself an original, until all
+are distinct.
 
 Only DataFrame functions are used. Distinct mentions, far fewer than rows, are checked;
 texts are matched with their surrogates by document, and only texts with a mention move.
@@ -64,6 +66,11 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # A secret behind its label.
 _VALUE = r"^(.*[=:]\s*[\"']?)(.*)$"
 _NUMBERS = ("phone", "card", "ssn")
+# Country codes of telephone numbers; none begins another.
+_CODE = (
+    r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+    r"|2[1-689]\d|3[578]\d|42\d|50\d|59\d|6[7-9]\d|8[03578-9]\d|9[679]\d"
+)
 # Given names by script and gender.
 GIVEN = {
     ("latin", "male"): "Adam Bruno Carl David Emil Felix Hugo Ivan Jonas Karl Leon Martin Oscar",
@@ -114,8 +121,11 @@ def _kind(mention: Column) -> Column:
 
 
 def _identity(kind: Column, mention: Column) -> Column:
+    # With a plus, digits begin with a country code.
+    plus = F.when(mention.startswith("+"), "+").otherwise("")
     return (
-        F.when(kind.isin(*_NUMBERS), _plain_digits(mention))
+        F.when(kind == "phone", F.concat(plus, _plain_digits(mention)))
+        .when(kind.isin(*_NUMBERS), _plain_digits(mention))
         .when(kind == "email", F.lower(mention))
         .when(kind == "secret", F.regexp_extract(mention, _VALUE, 2))
         .otherwise(mention)
@@ -201,11 +211,14 @@ def _surrogate(kind: Column, identity: Column, attempt: Column, key: str) -> Col
         F.substring(identity, 1, 1),
         F.substring(shaped, F.lit(2), F.length(identity) - 2),
     )
+    code = F.regexp_extract(identity, rf"^(\+(?:{_CODE}))", 1)
+    phone = F.concat(code, F.substring(shaped, F.length(code) + 1, F.length(shaped)))
     check = F.pmod(10 - _luhn_sum(F.concat(body, F.lit("0")), True) % 10, F.lit(10))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", F.concat(body, check.cast("string")))
+        .when(kind == "phone", phone)
         .when(kind == "key", F.concat(F.lit("AKIA"), F.substring(shaped, 5, 16)))
         .when(kind == "name", _name(identity, digest, attempt))
         .otherwise(shaped)
@@ -213,41 +226,43 @@ def _surrogate(kind: Column, identity: Column, attempt: Column, key: str) -> Col
 
 
 def _rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
-    """A surrogate in the form of a mention: the digits of numbers put in their places, behind
-    a country code that stays, and secrets behind their labels."""
-    code = F.regexp_extract(mention, r"^(\+\d{1,3})(?=[ .(-])", 1)
-    head, skipped = F.length(code), F.length(_plain_digits(code))
-    rest = F.substring(mention, head + 1, F.length(mention))
+    """A surrogate in the form of a mention: the digits of numbers put in their places, and
+    secrets behind their labels."""
+    digits = _plain_digits(surrogate)
     filled = F.transform(
-        F.split(rest, ""),
+        F.split(mention, ""),
         lambda c, i: F.when(
             c.rlike(r"^\d$"),
             F.substring(
-                surrogate,
-                skipped + F.length(_plain_digits(F.substring(rest, F.lit(1), i + 1))),
+                digits,
+                F.length(_plain_digits(F.substring(mention, F.lit(1), i + 1))),
                 F.lit(1),
             ),
         ).otherwise(c),
     )
-    number = F.concat(code, F.array_join(filled, ""))
+    number = F.array_join(filled, "")
     secret = F.concat(F.regexp_extract(mention, _VALUE, 1), surrogate)
     return (
         F.when(kind.isin(*_NUMBERS), number).when(kind == "secret", secret).otherwise(surrogate)
     )
 
 
+def _written(name: str) -> Column:
+    """What a value is compared by: the digits of a phone, with or without a plus."""
+    return F.when(F.col("kind") == "phone", _plain_digits(F.col(name))).otherwise(F.col(name))
+
+
 def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
     """kind, identity and surrogate of distinct (kind, identity)."""
     state = identities.select("kind", "identity", F.lit(0).alias("attempt"))
     while True:
         made = _surrogate(F.col("kind"), F.col("identity"), F.col("attempt"), key)
         state = stored(state.select("kind", "identity", "attempt", made.alias("surrogate")), "pii")
-        owners = state.groupBy("kind", "surrogate").agg(F.min("identity").alias("owner"))
-        originals = state.select(
-            "kind", F.col("identity").alias("surrogate"), F.lit(1).alias("real")
-        )
-        judged = state.join(owners, ["kind", "surrogate"]).join(
-            originals, ["kind", "surrogate"], "left"
+        drawn = state.withColumn("written", _written("surrogate"))
+        owners = drawn.groupBy("kind", "written").agg(F.min("identity").alias("owner"))
+        originals = state.select("kind", _written("identity").alias("written")).distinct()
+        judged = drawn.join(owners, ["kind", "written"]).join(
+            originals.withColumn("real", F.lit(1)), ["kind", "written"], "left"
         )
         again = (F.col("owner") != F.col("identity")) | F.col("real").isNotNull()
         judged = judged.withColumn("again", again)

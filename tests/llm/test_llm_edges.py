@@ -376,6 +376,24 @@ def test_surrogates_keep_form(spark):
     assert surrogates.replace_personal_data(df, "other").first().text != one.text
 
 
+def test_phones_are_distinct_as_written(spark):
+    """Four digits behind a country code, in two spellings of each number."""
+    rng = random.Random(8)
+    free = sorted(rng.sample(range(10_000), 1000))
+    rows = [(i, f"+999 {n // 100:02d} {n % 100:02d} or +999{n:04d}") for i, n in enumerate(free)]
+    rows.append((1000, "+12125550100, +1 212-555-0100, +1 (212) 555-0100, +44 20 7946 0000"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.replace_personal_data(df, "key").collect()}
+    digits = lambda s: "".join(c for c in s if c.isdigit())
+    pairs = [tuple(map(digits, got[i].split(" or "))) for i in range(1000)]
+    assert all(a == b and a.startswith("999") and len(a) == 7 for a, b in pairs)
+    new = {a for a, _ in pairs}
+    assert len(new) == 1000 and not new & {f"999{n:04d}" for n in free}
+    one, *same, other = got[1000].split(", ")
+    assert one.startswith("+1") and one != "+12125550100" and other.startswith("+44 ")
+    assert {digits(s) for s in same} == {digits(one)}
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """With a digest that collides at first, names are drawn again until all differ."""
     given = [x + y for x in "ABCDEFGHIJKLMNOP" for y in ("be", "co", "du", "fi", "go")]
