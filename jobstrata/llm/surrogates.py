@@ -42,6 +42,42 @@ TITLES = {
     "female": "Mrs Ms Miss Frau Señora Sra Madame Mme Signora Κυρία Госпожа",
 }
 _TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in titles.split()) + r")\.?"
+# The last sign of a secret.
+_END = r"[^\s\"'.,;:)\]}>]"
+# Lengths of account numbers by country.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _grouped_ibans() -> str:
+    """Account numbers in groups of four; their ends are known by their countries alone."""
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        last = f" [A-Z0-9]{{{rest}}}" if rest else ""
+        either = countries.replace(" ", "|")
+        forms.append(f"(?:{either})\\d{{2}}(?: [A-Z0-9]{{4}}){{{groups}}}{last}")
+    return "|".join(forms)
+
+
 # By name of type; the first that matches a mention is its type.
 PATTERNS = {
     # Begins where a word does, so that long words are read once.
@@ -49,22 +85,27 @@ PATTERNS = {
     r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_WORD}(?: {_WORD})?",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": rf"(?i:{_LABELS})\s{{0,3}}[=:]\s{{0,3}}[\"']?"
-    r"(?=[^\s\"']*\d)[A-Za-z0-9+/_-]{6,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    # Up to the next blank or quote, without the marks that end a clause: four signs with a
+    # letter or digit behind an equals sign, six with a digit behind a colon.
+    "secret": rf"(?i:{_LABELS})(?:\s{{0,3}}[=:]\s{{0,3}}[\"']?(?=[^\s\"']*\d)[^\s\"']{{5,}}{_END}"
+    rf"|\s{{0,3}}=[ \t]{{0,3}}[\"']?(?=[^\s\"']*[\p{{L}}\p{{N}}])[^\s\"'=][^\s\"']{{2,}}{_END})",
+    "iban": r"(?<![A-Za-z0-9])(?:[A-Z]{2}\d{2}[A-Z0-9]{11,30}"
+    rf"|{_grouped_ibans()})(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?:(?<!\w)\+\d{1,3}[ .-]?)?(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
     r"|(?<!\w)\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-    r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
+    r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+    r"|(?<!\w)(?<!\d[.-])(?:1-)?\d{3}-\d{3}-\d{4}(?!\w|[.-]\d)"
+    r"|(?<!\w)(?<!\d[.-])(?:1\.)?\d{3}\.\d{3}\.\d{4}(?!\w|[.-]\d)",
     "card": r"(?<![A-Za-z0-9])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}"
     r"|\d{4}[ -]\d{6}[ -]\d{5})(?![A-Za-z0-9])",
 }
 # What a text with an entity has at least.
-HINT = rf"[@0-9]|AKIA|{_TITLE} \p{{Lu}}"
+HINT = rf"[@0-9]|AKIA|{_TITLE} \p{{Lu}}|(?i:{_LABELS})\s{{0,3}}="
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # A secret behind its label.
-_VALUE = r"^(.*[=:]\s*[\"']?)(.*)$"
+_VALUE = rf"^((?i:{_LABELS})\s*[=:]\s*[\"']?)(.*)$"
 _NUMBERS = ("phone", "card", "ssn")
 # Country codes of telephone numbers; none begins another.
 _CODE = (
@@ -122,11 +163,12 @@ def _kind(mention: Column) -> Column:
 
 def _identity(kind: Column, mention: Column) -> Column:
     # With a plus, digits begin with a country code.
-    plus = F.when(mention.startswith("+"), "+").otherwise("")
+    plus = F.when(mention.rlike(r"^(?:\+|1[.-])"), "+").otherwise("")
     return (
         F.when(kind == "phone", F.concat(plus, _plain_digits(mention)))
         .when(kind.isin(*_NUMBERS), _plain_digits(mention))
         .when(kind == "email", F.lower(mention))
+        .when(kind == "iban", F.replace(mention, F.lit(" ")))
         .when(kind == "secret", F.regexp_extract(mention, _VALUE, 2))
         .otherwise(mention)
     )
@@ -149,6 +191,9 @@ def _reshaped(text: Column, digest: Column) -> Column:
             .when(c.rlike("^[0-9]$"), of("0123456789"))
             .when(c.rlike("^[a-z]$"), of("abcdefghijklmnopqrstuvwxyz"))
             .when(c.rlike("^[A-Z]$"), of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+            .when(c.rlike(r"^\p{N}$"), of("0123456789"))
+            .when(c.rlike(r"^\p{Lu}$"), of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+            .when(c.rlike(r"^\p{L}$"), of("abcdefghijklmnopqrstuvwxyz"))
             .otherwise(c)
         )
 
@@ -226,16 +271,19 @@ def _surrogate(kind: Column, identity: Column, attempt: Column, key: str) -> Col
 
 
 def _rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
-    """A surrogate in the form of a mention: the digits of numbers put in their places, and
+    """A surrogate in the form of a mention: the signs of numbers put in their places, and
     secrets behind their labels."""
-    digits = _plain_digits(surrogate)
+
+    def signs(text):
+        return F.regexp_replace(text, "[^A-Z0-9]", "")
+
     filled = F.transform(
         F.split(mention, ""),
         lambda c, i: F.when(
-            c.rlike(r"^\d$"),
+            c.rlike("^[A-Z0-9]$"),
             F.substring(
-                digits,
-                F.length(_plain_digits(F.substring(mention, F.lit(1), i + 1))),
+                signs(surrogate),
+                F.length(signs(F.substring(mention, F.lit(1), i + 1))),
                 F.lit(1),
             ),
         ).otherwise(c),
@@ -243,7 +291,9 @@ def _rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
     number = F.array_join(filled, "")
     secret = F.concat(F.regexp_extract(mention, _VALUE, 1), surrogate)
     return (
-        F.when(kind.isin(*_NUMBERS), number).when(kind == "secret", secret).otherwise(surrogate)
+        F.when(kind.isin(*_NUMBERS, "iban"), number)
+        .when(kind == "secret", secret)
+        .otherwise(surrogate)
     )
 
 

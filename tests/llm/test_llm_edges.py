@@ -394,6 +394,41 @@ def test_phones_are_distinct_as_written(spark):
     assert {digits(s) for s in same} == {digits(one)}
 
 
+def test_surrogates_of_more_forms(spark):
+    """Every form is replaced whole, and near misses stay."""
+    forms = [
+        ("call ", "212-555-0100", "."),
+        ("call ", "212.555.0100", ", "),
+        ("call ", "1-212-555-0100", ""),
+        ("password=", "P@ssw0rd!", " x"),
+        ('password="', "correcthorse", '" x'),
+        ("api_key = ", "Ab3dEf9!xyz", ","),
+        ("token: ", "Ab3dEf9!xyz", " x"),
+        ("pwd=", "пароль", ""),
+        ("IBAN ", "DE89 3704 0044 0532 0130 00", " EUR"),
+        ("IBAN ", "DE89370400440532013000", "."),
+        ("IBAN ", "AT61 1904 3002 3457 3201", " PAID"),
+    ]
+    misses = [
+        "212-555-01001", "1212-555-0100", "9.212.555.0100", "212-555.0100", "2024-555-010",
+        "password == other", "password=********", "password: correcthorse", "pwd=abc",
+        "DE89 3704", "XY89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130",
+    ]
+    rows = [(i, "".join(f)) for i, f in enumerate(forms)]
+    rows += [(100 + i, text) for i, text in enumerate(misses)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.replace_personal_data(df, "key").collect()}
+    new = {}
+    for i, (head, value, tail) in enumerate(forms):
+        assert got[i].startswith(head) and got[i].endswith(tail), got[i]
+        new[value] = got[i][len(head) : len(got[i]) - len(tail)]
+        assert len(new[value]) == len(value)
+        kept = [a for a, b in zip(value, new[value]) if a == b and a.isalnum()]
+        assert len(kept) <= len(value) // 2, (value, new[value])
+    assert new[forms[8][1]].replace(" ", "") == new[forms[9][1]]
+    assert [got[100 + i] for i in range(len(misses))] == misses
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """With a digest that collides at first, names are drawn again until all differ."""
     given = [x + y for x in "ABCDEFGHIJKLMNOP" for y in ("be", "co", "du", "fi", "go")]
