@@ -8,7 +8,8 @@ of it, so mentions of one thing still agree (coreference):
 - numbers keep punctuation, length and country code, which is read off the digits, so that
   all spellings of a number have the same; cards keep their first digit and their check sum;
   IP addresses stay addresses;
-- e-mail addresses keep their shape, one domain always becoming the same other domain;
+- e-mail addresses keep their shape, one domain always becoming the same other domain, and
+  different ones different domains;
 - keys, passwords and tokens keep length, case and alphabet (hexadecimal or not);
 - names after a title keep it, and get given and family names of the title's gender and of
   the script they are written in (Latin, Greek, Cyrillic).
@@ -16,7 +17,10 @@ of it, so mentions of one thing still agree (coreference):
 Surrogates are checked as they are written, numbers by their digits, against one another and
 against all originals of their type: of several identities with one surrogate the smallest
 keeps it, the others are drawn again, as is a surrogate that is itself an original, until all
-are distinct.
+are distinct. Domains are identities of their own in this. Where a form has too few values,
+phones, social security numbers, secrets, local parts and domains get a sign more with every
+draw after the first ``PATIENCE``, as names do with every draw. The other forms are fixed: if
+``MOST_DRAWS`` do not find a free value, an error says so.
 
 Only DataFrame functions are used. Distinct mentions, far fewer than rows, are checked;
 texts are matched with their surrogates by document, and only texts with a mention move.
@@ -107,6 +111,7 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # A secret behind its label.
 _VALUE = rf"^((?i:{_LABELS})\s*[=:]\s*[\"']?)(.*)$"
 _NUMBERS = ("phone", "card", "ssn")
+PATIENCE, MOST_DRAWS = 4, 200
 # Country codes of telephone numbers; none begins another.
 _CODE = (
     r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
@@ -236,21 +241,24 @@ def _name(identity: Column, digest: Column, attempt: Column) -> Column:
     return result
 
 
-def _surrogate(kind: Column, identity: Column, attempt: Column, key: str) -> Column:
+def _surrogate(
+    kind: Column, identity: Column, new_domain: Column, attempt: Column, key: str
+) -> Column:
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, attempt.cast("string"), identity), 256)
-    shaped = _reshaped(identity, digest)
-    # The domain depends on the domain alone.
-    at = F.instr(identity, "@")
-    domain = F.substring(identity, at + 1, F.length(identity))
-    top = F.regexp_extract(domain, r"(\.[a-z]{2,})$", 1)
-    inner = F.substring(domain, F.lit(1), F.length(domain) - F.length(top))
-    domain_digest = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), domain), 256)
-    email = F.concat(
-        _reshaped(F.substring(identity, F.lit(1), at - 1), digest),
-        F.lit("@"),
-        _reshaped(inner, domain_digest),
-        top,
+    more = F.greatest(attempt - PATIENCE, F.lit(0))
+    filler = F.when(kind.isin("phone", "ssn"), "0").when(
+        kind.isin("secret", "email", "domain"), "a"
     )
+    # What of an identity is made anew: all, the local part, or all before the last dot.
+    top = F.when(kind == "domain", F.regexp_extract(identity, r"(\.[a-z]{2,})$", 1))
+    base = (
+        F.when(kind == "email", F.substring_index(identity, "@", 1))
+        .when(kind == "domain", F.substring(identity, F.lit(1), F.length(identity) - F.length(top)))
+        .otherwise(identity)
+    )
+    longer = F.concat(base, F.coalesce(F.repeat(filler, more), F.lit("")))
+    shaped = _reshaped(longer, digest)
+    email = F.concat(shaped, F.lit("@"), new_domain)
     octets = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: _pick(digest, i, 254) + 1)
     body = F.concat(
         F.substring(identity, 1, 1),
@@ -261,6 +269,7 @@ def _surrogate(kind: Column, identity: Column, attempt: Column, key: str) -> Col
     check = F.pmod(10 - _luhn_sum(F.concat(body, F.lit("0")), True) % 10, F.lit(10))
     return (
         F.when(kind == "email", email)
+        .when(kind == "domain", F.concat(shaped, top))
         .when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", F.concat(body, check.cast("string")))
         .when(kind == "phone", phone)
@@ -288,7 +297,10 @@ def _rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
             ),
         ).otherwise(c),
     )
-    number = F.array_join(filled, "")
+    # A longer surrogate goes on behind the last place.
+    places = F.length(signs(mention))
+    surplus = F.substring(signs(surrogate), places + 1, F.length(surrogate))
+    number = F.concat(F.array_join(filled, ""), surplus)
     secret = F.concat(F.regexp_extract(mention, _VALUE, 1), surrogate)
     return (
         F.when(kind.isin(*_NUMBERS, "iban"), number)
@@ -302,12 +314,13 @@ def _written(name: str) -> Column:
     return F.when(F.col("kind") == "phone", _plain_digits(F.col(name))).otherwise(F.col(name))
 
 
-def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
-    """kind, identity and surrogate of distinct (kind, identity)."""
-    state = identities.select("kind", "identity", F.lit(0).alias("attempt"))
-    while True:
-        made = _surrogate(F.col("kind"), F.col("identity"), F.col("attempt"), key)
-        state = stored(state.select("kind", "identity", "attempt", made.alias("surrogate")), "pii")
+def _drawn(identities: DataFrame, key: str) -> DataFrame:
+    """kind, identity and surrogate of distinct (kind, identity, new_domain)."""
+    names = ("kind", "identity", "new_domain")
+    state = identities.select(*names, F.lit(0).alias("attempt"))
+    for _ in range(MOST_DRAWS):
+        made = _surrogate(*map(F.col, names), F.col("attempt"), key)
+        state = stored(state.select(*names, "attempt", made.alias("surrogate")), "pii")
         drawn = state.withColumn("written", _written("surrogate"))
         owners = drawn.groupBy("kind", "written").agg(F.min("identity").alias("owner"))
         originals = state.select("kind", _written("identity").alias("written")).distinct()
@@ -319,8 +332,23 @@ def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
         if not judged.where("again").limit(1).count():
             return state.select("kind", "identity", "surrogate")
         state = judged.select(
-            "kind", "identity", (F.col("attempt") + F.col("again").cast("int")).alias("attempt")
+            *names, (F.col("attempt") + F.col("again").cast("int")).alias("attempt")
         )
+    raise ValueError(f"no free surrogates after {MOST_DRAWS} draws")
+
+
+def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
+    """kind, identity and surrogate of distinct (kind, identity)."""
+    none = F.lit(None).cast("string")
+    domain = F.when(F.col("kind") == "email", F.substring_index("identity", "@", -1))
+    rows = identities.select("kind", "identity", domain.alias("domain"))
+    domains = rows.where("domain IS NOT NULL").select(
+        F.lit("domain").alias("kind"), F.col("domain").alias("identity"), none.alias("new_domain")
+    )
+    known = _drawn(domains.distinct(), key).select(
+        F.col("identity").alias("domain"), F.col("surrogate").alias("new_domain")
+    )
+    return _drawn(rows.join(known, "domain", "left"), key)
 
 
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:

@@ -429,6 +429,27 @@ def test_surrogates_of_more_forms(spark):
     assert [got[100 + i] for i in range(len(misses))] == misses
 
 
+def test_full_forms_get_longer(spark):
+    """Where every value of a form is taken, surrogates are a sign longer."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [f"{c}@mail.example.com q@{c}.com" for c in letters]
+    texts += [f"+9 99 {n:02d} secret=-----{n % 10}" for n in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.replace_personal_data(df, "key").collect()}
+    old, new = [" ".join(x).split() for x in (texts, [got[i] for i in range(len(texts))])]
+    assert len(old) == len(new)
+    for start in (0, 1):
+        mails = new[start:52:2]
+        assert len(set(mails)) == 26 and not set(mails) & set(old)
+    assert len({m.split("@")[1] for m in new[0:52:2]}) == 1
+    domains = {m.split("@")[1] for m in new[1:52:2]}
+    assert len(domains) == 26 and not domains & {f"{c}.com" for c in letters}
+    phones = {t.split(" secret")[0] for i, t in got.items() if i >= 26}
+    assert len(phones) == 100 and not phones & {t.split(" secret")[0] for t in texts[26:]}
+    secrets = {t.split("secret=")[1] for i, t in got.items() if i >= 26}
+    assert len(secrets) == 10 and not secrets & {f"-----{n}" for n in range(10)}
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """With a digest that collides at first, names are drawn again until all differ."""
     given = [x + y for x in "ABCDEFGHIJKLMNOP" for y in ("be", "co", "du", "fi", "go")]
