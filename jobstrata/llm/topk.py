@@ -9,6 +9,9 @@ read to the end, the scores of the rest are resolved. A block of queries reads i
 together, so each bound is a product of two matrices. Values are whole numbers and all
 arithmetic is exact.
 
+Bounds are looked at once, at the one depth of ``DEPTHS``; a query with more than ``FEW`` of the
+rows undecided there is scored against all rows of the block, by brute force.
+
 Defined cases: vectors that are null, empty or hold null or non-finite components take no
 part, nor do rows without an id; ties go to the smaller id; a query's own id is no candidate;
 repeated rows count as often as they occur; only vectors of equal length are compared; scores
