@@ -1,11 +1,12 @@
-"""Removal of repeated runs of lines, found by winnowing over line hashes.
+"""Removal of repeated runs of lines, found by grouping all line windows by their content.
 
 A window is the shortest run of lines from a line on, or up to a line, with ``least`` words
-in all. Its fingerprint is the smallest line hash in it, the winnowing rule: any two equal
+in all. Its fingerprint is the smallest line hash in it, as in winnowing: any two equal
 runs of ``least`` words share whole windows and so fingerprints. Positions are joined on the
 fingerprint together with a hash of the lines on both sides of it up to the window's ends,
 so what joins is already extended both ways; windows of one run overlap or touch, and their
-union is the run. Every line of a window whose content occurred earlier is deleted. Earlier
+union is the run. No position is left out, so this is no selection as in winnowing proper: the
+content decides alone, at up to two rows a line. Every line of a window whose content occurred earlier is deleted. Earlier
 means a smaller doc_id, or the same document further up.
 
 The outcome: a line goes if and only if it lies in a run of at least ``least`` words that
