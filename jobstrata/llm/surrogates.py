@@ -94,14 +94,14 @@ PATTERNS = {
     "secret": rf"(?i:{_LABELS})(?:\s{{0,3}}[=:]\s{{0,3}}[\"']?(?=[^\s\"']*\d)[^\s\"']{{5,}}{_END}"
     rf"|\s{{0,3}}=[ \t]{{0,3}}[\"']?(?=[^\s\"']*[\p{{L}}\p{{N}}])[^\s\"'=][^\s\"']{{2,}}{_END})",
     "iban": r"(?<![A-Za-z0-9])(?:[A-Z]{2}\d{2}[A-Z0-9]{11,30}"
-    rf"|{_grouped_ibans()})(?![A-Za-z0-9])",
+    rf"|(?=[A-Z]{{2}}\d\d )(?:{_grouped_ibans()}))(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?:(?<!\w)\+\d{1,3}[ .-]?)?(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
     r"|(?<!\w)\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
     r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-    r"|(?<!\w)(?<!\d[.-])(?:1-)?\d{3}-\d{3}-\d{4}(?!\w|[.-]\d)"
-    r"|(?<!\w)(?<!\d[.-])(?:1\.)?\d{3}\.\d{3}\.\d{4}(?!\w|[.-]\d)",
+    r"|(?=\d)(?<!\w)(?<!\d[.-])(?:(?:1-)?\d{3}-\d{3}-\d{4}|(?:1\.)?\d{3}\.\d{3}\.\d{4})"
+    r"(?!\w|[.-]\d)",
     "card": r"(?<![A-Za-z0-9])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}"
     r"|\d{4}[ -]\d{6}[ -]\d{5})(?![A-Za-z0-9])",
 }
