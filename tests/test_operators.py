@@ -7,7 +7,7 @@ from jobstrata.contract import CURATED, FUNCTIONAL, GROUP_COLUMNS, RAW
 from jobstrata.operators import aggregates, exploration, projections, quality
 from jobstrata.plans.standin import postings
 
-from conftest import SMALL_DATA
+from small_data import SMALL_DATA
 
 KEY = {
     "posting_year": "2020",

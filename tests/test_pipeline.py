@@ -14,7 +14,7 @@ from jobstrata.plans.pipeline import export_gold, load, run_pipeline
 from jobstrata.plans.standin import postings
 from jobstrata.sources import readers
 
-from conftest import SMALL_DATA
+from small_data import SMALL_DATA
 
 
 @pytest.fixture(scope="module")

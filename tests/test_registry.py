@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-from conftest import SMALL_DATA
+from small_data import SMALL_DATA
 from jobstrata.plans import registry
 from jobstrata.plans.standin import TABLES
 
