@@ -96,3 +96,33 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(ends) or not ends[-1]:
         return np.zeros(0, np.int64)
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+
+
+# A key with more than this part of all rows is kept out of the shuffle of a join.
+HOT_PART = 1000
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, times: str) -> DataFrame:
+    """``left`` with the row of ``right`` for its ``key``, if any.
+
+    ``right`` has one row per key and in ``times`` the number of rows of ``left`` with it, and
+    is stored. At most ``HOT_PART`` keys can hold more than one in ``HOT_PART`` of those rows;
+    these are broadcast, and their rows of ``left`` pass the shuffle under keys of their own.
+    """
+    total = right.agg(F.sum(times)).first()[0] or 0
+    others = [c for c in right.columns if c not in (key, times)]
+    held = right.select(
+        F.col(key).alias("_key"), F.struct(*others).alias("_held"), F.col(times).alias("_times")
+    )
+    hot = held.where(F.col("_times") * HOT_PART > total).select("_key", "_held")
+    cold = held.where(F.col("_times") * HOT_PART <= total)
+    cold = cold.select("_key", F.lit(-1).cast("long").alias("_spread"), F.col("_held").alias("_cold"))
+    first = left.join(F.broadcast(hot), F.col(key) == F.col("_key"), "left").drop("_key")
+    spread = F.when(F.col("_held").isNull(), -1).otherwise(F.monotonically_increasing_id())
+    second = first.withColumn("_at", spread).join(
+        cold, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_spread")), "left"
+    )
+    either = F.coalesce("_held", "_cold")
+    return second.select(
+        *[F.col(f"`{c}`") for c in left.columns], *[either[c].alias(c) for c in others]
+    )

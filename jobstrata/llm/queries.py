@@ -18,6 +18,7 @@ from jobstrata.llm import (
     surrogates,
     tokens,
     topk,
+    url_filters,
     warc,
 )
 from jobstrata.llm.common import read_table
@@ -242,3 +243,52 @@ def op6_surrogates(spark, sf_dir):
     """All documents with surrogates for personal data."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.replace_personal_data(docs, "documents-2024")
+
+
+SITES = {
+    "net/": "block",
+    "example.net/en/": "allow",
+    "example.com/de/": "block",
+    "org/fr/": "allow",
+}
+# Words of hosts and paths that are not wanted where no site decides.
+PATTERNS = {
+    f"^{word}^": "block"
+    for word in ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "track", "xxx")
+}
+
+
+@_register(
+    "op13_urls",
+    r"""
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), sites(rule, site, start, verdict) AS (
+    VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+           ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
+), judged AS (
+    SELECT p.*, (SELECT arg_max(struct_pack(rule := s.rule, verdict := s.verdict), length(s.rule))
+                 FROM sites s WHERE ('.' || p.host) LIKE ('%.' || s.site)
+                   AND starts_with(p.path, s.start)) AS best
+    FROM parts p
+), patterned AS (
+    SELECT *, list_min([w for w in ['^adult^', '^ads^', '^bets^', '^casino^', '^pills^', '^porn^',
+                                    '^spam^', '^track^', '^xxx^']
+        if regexp_matches(host || path, '(?i)(^|[^A-Za-z0-9])' || trim(w, '^')
+                                        || '([^A-Za-z0-9]|$)')]) AS blocking
+    FROM judged
+)
+SELECT page_id, host, path, best.rule AS rule,
+       coalesce(best.verdict, CASE WHEN blocking IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+       CASE WHEN best IS NULL THEN blocking END AS pattern
+FROM patterned""",
+)
+def op13_urls(spark, sf_dir):
+    """Verdicts on the URLs of all pages."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filters.judge(pages, url_filters.rule_table(spark, SITES, PATTERNS))
+    return judged.drop("url")

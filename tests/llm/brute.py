@@ -117,3 +117,38 @@ def check_sequences(rows, ids_of, length=4096):
     assert max(totals, default=0) <= length
     assert sum(t < length for t in totals) <= 1
     return documents
+
+
+def url_verdict(url, sites, patterns):
+    """host, path, deciding site and verdict of one URL: every rule is tried."""
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        path = re.match(r"[^?#]*", rest[len(host) :]).group()
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+    best = None
+    for rule in sites:
+        name, slash, start = rule.partition("/")
+        name = name.lower()
+        if (host == name or host.endswith("." + name)) and path.startswith(slash + start):
+            if best is None or (-len(rule), rule) < (-len(best), best):
+                best = rule
+    if best is not None:
+        return host, path, best, sites[best]
+
+    def fits(pattern):
+        front, back = "", ""
+        if pattern.startswith("||"):
+            front, pattern = r"\A(?:[^/]*\.)?", pattern[2:]
+        elif pattern.startswith("|"):
+            front, pattern = r"\A", pattern[1:]
+        if pattern.endswith("|"):
+            back, pattern = r"\Z", pattern[:-1]
+        edge = r"(?:\A|[^A-Za-z0-9]|\Z)"
+        signs = {"*": ".*", "^": edge}
+        body = "".join(signs.get(c, re.escape(c)) for c in pattern)
+        return re.search(front + body + back, host + path, re.S | re.I | re.A)
+
+    verdicts = {v for p, v in patterns.items() if fits(p)}
+    return host, path, None, "block" if verdicts == {"block"} else "allow"
