@@ -116,11 +116,14 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, times: str) -> Dat
     )
     hot = held.where(F.col("_times") * HOT_PART > total).select("_key", "_held")
     cold = held.where(F.col("_times") * HOT_PART <= total)
-    cold = cold.select("_key", F.lit(-1).cast("long").alias("_spread"), F.col("_held").alias("_cold"))
+    cold = cold.select(
+        "_key", F.lit(-1).cast("long").alias("_spread"), F.col("_held").alias("_cold")
+    )
     first = left.join(F.broadcast(hot), F.col(key) == F.col("_key"), "left").drop("_key")
     spread = F.when(F.col("_held").isNull(), -1).otherwise(F.monotonically_increasing_id())
+    # Many keys are shuffled, not broadcast on the size of their compressed files.
     second = first.withColumn("_at", spread).join(
-        cold, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_spread")), "left"
+        cold.hint("merge"), (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_spread")), "left"
     )
     either = F.coalesce("_held", "_cold")
     return second.select(
