@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.llm import (
+    alignment,
     language,
     lines,
     mixing,
@@ -292,3 +293,11 @@ def op13_urls(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filters.judge(pages, url_filters.rule_table(spark, SITES, PATTERNS))
     return judged.drop("url")
+
+
+@_register("op12_alignment")
+def op12_alignment(spark, sf_dir):
+    """Byte-level and piece tokens of every document, aligned, with corpus-wide counts."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(docs, *paths, keep=["doc_id"])

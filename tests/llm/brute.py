@@ -152,3 +152,61 @@ def url_verdict(url, sites, patterns):
 
     verdicts = {v for p, v in patterns.items() if fits(p)}
     return host, path, None, "block" if verdicts == {"block"} else "allow"
+
+
+def aligned(texts, path_a, path_b):
+    """Rows of the alignment of each text, token by token from the libraries' own output."""
+    import hashlib
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(path_a)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+    shown = list(range(33, 127)) + list(range(161, 173)) + list(range(174, 256))
+    byte_of = {chr(x): x for x in shown}
+    byte_of |= {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
+    made, counts, best = [], {}, {}
+    for text in texts:
+        whole = (" " + (text or "")).encode()
+        left = right = []
+        if text:
+            ids = a.encode(" " + text, add_special_tokens=False).ids
+            left = [(i, bytes(byte_of[c] for c in a.id_to_token(i))) for i in ids]
+            for i in b.encode(text):
+                piece = b.id_to_piece(i)
+                raw = bytes([int(piece[3:5], 16)]) if b.is_byte(i) else None
+                right = [*right, (i, raw or piece.replace("▁", " ").encode())]
+            if whole != b"".join(t for _, t in left) or whole != b"".join(t for _, t in right):
+                left = right = []
+        groups, links, x, y = [], [], 0, 0
+        while x < len(left):
+            ga, gb = [left[x]], [right[y]]
+            size_a, size_b = len(left[x][1]), len(right[y][1])
+            while size_a != size_b:
+                if size_a < size_b:
+                    x += 1
+                    ga.append(left[x])
+                    size_a += len(left[x][1])
+                else:
+                    y += 1
+                    gb.append(right[y])
+                    size_b += len(right[y][1])
+            x, y = x + 1, y + 1
+            groups.append("|".join(",".join(str(i) for i, _ in g) for g in (ga, gb)))
+            links.append((ga[-1][0], gb[-1][0]))
+            counts[links[-1]] = counts.get(links[-1], 0) + 1
+        sha = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
+        made.append((len(left), len(right), len(groups), links, sha))
+    for (_, i), n in counts.items():
+        best[i] = max(best.get(i, 0), n)
+    return [
+        (
+            *(n_a, n_b, n_groups, len(links)),
+            sum(counts[p] == best[p[1]] for p in links),
+            sum(counts[p] for p in links),
+            sha,
+        )
+        for n_a, n_b, n_groups, links, sha in made
+    ]
