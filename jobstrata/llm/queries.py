@@ -19,6 +19,7 @@ from jobstrata.llm import (
     surrogates,
     tokens,
     topk,
+    trie,
     url_filters,
     warc,
 )
@@ -301,3 +302,52 @@ def op12_alignment(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return alignment.align(docs, *paths, keep=["doc_id"])
+
+
+@_register(
+    "op11_trie",
+    """
+WITH own AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                              coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+    SELECT c, list(struct_pack(role := role, text := text) ORDER BY place) AS t
+    FROM own GROUP BY c
+), heads AS (
+    SELECT c, t, xor(list_reduce(list_prepend(4294967295::BIGINT,
+            [ascii(d)::BIGINT for d in string_split(CAST(c AS VARCHAR), '')]),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                lambda x, step: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 AS h
+    FROM turns
+), whole AS (
+    SELECT a.c, list_concat(coalesce(b.t[1:a.h], []), a.t[a.h + 1:]) AS t
+    FROM heads a LEFT JOIN turns b ON b.c = a.c - a.c % 5
+), paths AS (
+    SELECT c, t, unnest(range(len(t) + 1)) AS d FROM whole
+), nodes AS (
+    SELECT t[1:d] AS key, d, min(c) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(CASE WHEN len(t) = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')
+               AS ends
+    FROM paths GROUP BY t[1:d], d
+), children AS (
+    SELECT key[1:d - 1] AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), weighed AS (
+    SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+           CASE WHEN n.d > 0 THEN (n.n_convs - 1) * strlen(n.key[n.d].text) ELSE 0 END AS weight
+    FROM nodes n LEFT JOIN children k ON n.key = k.key
+), below AS (
+    SELECT p.t[1:p.d] AS key, sum(w.weight) AS saved,
+           count(CASE WHEN w.n_children = 0 THEN 1 END) AS leaves
+    FROM weighed w JOIN paths p ON w.conv_id = p.c AND p.d <= w.d GROUP BY 1
+)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
+       b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+       sha256(w.ends) AS ends_sha256
+FROM weighed w JOIN below b ON w.key = b.key
+LEFT JOIN nodes p ON w.d > 0 AND p.key = w.key[1:w.d - 1]""",
+)
+def op11_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all conversations, rebuilt to begin alike."""
+    return trie.prefix_trie(*trie.rebuilt(read_table(spark, sf_dir, "conversations")))

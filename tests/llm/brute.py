@@ -210,3 +210,43 @@ def aligned(texts, path_a, path_b):
         )
         for n_a, n_b, n_groups, links, sha in made
     ]
+
+
+def conversation_nodes(rows, share=5, most=9):
+    """Rows of the trie of rebuilt conversations, from (conv_id, turn, role, text)."""
+    import hashlib
+    import zlib
+
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts)] for c, ts in own.items()}
+    whole = {}
+    for c, turns in own.items():
+        head = zlib.crc32(str(c).encode()) % most
+        lender = c - (c % share if c >= 0 else -(-c % share))
+        whole[c] = tuple(own.get(lender, [])[:head] + turns[head:])
+    members = {}
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    out = []
+    for key, cs in members.items():
+        below = [k for k in members if k[: len(key)] == key]
+        leaves = [k for k in below if not any(m[:-1] == k for m in members if m)]
+        saved = sum((len(members[k]) - 1) * len(k[-1][1].encode()) for k in below if k)
+        ends = ",".join(str(c) for c in sorted(c for c in cs if len(whole[c]) == len(key)))
+        out.append(
+            (
+                min(cs),
+                len(key),
+                min(members[key[:-1]]) if key else None,
+                len(cs),
+                sum(1 for m in members if m and m[:-1] == key),
+                len(leaves),
+                saved,
+                hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return out

@@ -13,7 +13,7 @@ import corpus_pipeline
 from jobstrata.llm import queries
 
 DATA = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages")
+TABLES = ("documents", "embeddings", "pages", "conversations")
 
 
 @pytest.fixture(scope="module")
