@@ -41,7 +41,7 @@ from jobstrata.llm.tokens import _byte_signs
 from jobstrata.llm.units import Remembered, coded, spaced, unit_starts
 
 # Text handled at once; a longer one is handled in stretches of about this size.
-STRETCH_BYTES = 2 << 20
+STRETCH_BYTES = 1 << 20
 # Pairs that a task adds up before it combines them.
 PAIRS_HELD = 2_000_000
 _BLANK = "▁"

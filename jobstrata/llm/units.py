@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Units that a worker remembers; beyond, it starts anew.
-UNITS_KEPT = 400_000
+UNITS_KEPT = 250_000
 # Longer units are encoded each time they are met.
 LONGEST_KEPT = 64
 
