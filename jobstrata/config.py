@@ -43,7 +43,11 @@ class LakeConfig:
 
     With ``use_catalog`` every layer is a database with tables; otherwise a table is a
     folder below the layer's path. ``reset`` drops a layer's database before it is built.
-    ``on_mismatch`` is ``"raise"`` or ``"warn"``: what to do when a sink's row count differs.
+    ``verify`` is ``"content"`` or ``"count"``: whether the fingerprint of all values or only the
+    number of rows of every sink is compared with what was written to it, and ``on_mismatch`` is
+    ``"raise"`` or ``"warn"``: what to do where they differ.
+    With ``incremental`` the aggregate of a table whose landing partitions are replaced one by
+    one is merged from states of the partitions, and only changed ones are read again.
     ``keep_rejects`` stores malformed source lines beside the raw table, and more than
     ``most_malformed_rows`` of them refuse the load.
     """
@@ -58,8 +62,10 @@ class LakeConfig:
     reset: bool = False
     landing_format: str = "avro"
     on_mismatch: str = "raise"
+    verify: str = "content"
     keep_rejects: bool = False
     most_malformed_rows: int | None = None
+    incremental: bool = False
     multi_line_source: bool = False
     single_csv: bool = False
     plain_csv: bool = False

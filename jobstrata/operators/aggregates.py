@@ -143,6 +143,35 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def impact_input(raw: DataFrame) -> tuple[DataFrame, Column]:
+    """Postings with numbers and tier, and the column whose median is taken."""
+    parsed = with_numbers(raw, MEASURE_COLUMNS)
+    tier = risk_tier(number(RISK_SCORE), FUNCTIONAL_RISK)
+    return parsed.withColumn("risk_category", tier), number("salary_usd")
+
+
+def impact_parts() -> dict[str, Column]:
+    """Additive aggregates of the functional table, over :func:`impact_input`."""
+    return {
+        **mean_parts(),
+        "job_count": F.count(F.lit(1)),
+        "flagged": F.count(is_flagged(F.col("ai_mentioned"))),
+        "unique_job_titles": F.count("job_title"),
+    }
+
+
+def impact_table(summary: DataFrame) -> DataFrame:
+    """The functional table from added up parts and the median."""
+    computed = {
+        **{out: mean_of_parts(out, places) for out, (_, places) in MEANS.items()},
+        "median_salary_usd": rounded(F.col("median"), 2),
+        "pct_ai_mentioned": rounded(share_percent(F.col("flagged"), F.col("job_count")), 2),
+    }
+    return summary.select(
+        *[computed.get(name, F.col(name)).alias(name) for name in FUNCTIONAL.names]
+    )
+
+
 def impact_aggregate(
     raw: DataFrame,
     *,
@@ -155,27 +184,15 @@ def impact_aggregate(
     histogram share one shuffle. See :func:`nonnull_titles` for ``unique_job_titles`` and
     :func:`grouped_percentiles` for ``known_rows`` and ``single_pass_rows``.
     """
-    parsed = with_numbers(raw, MEASURE_COLUMNS)
-    tier = risk_tier(number(RISK_SCORE), FUNCTIONAL_RISK)
-    summary = grouped_percentiles(
-        parsed.withColumn("risk_category", tier),
-        GROUP_COLUMNS,
-        number("salary_usd"),
-        {"median": 0.5},
-        {
-            **mean_parts(),
-            "job_count": F.count(F.lit(1)),
-            "flagged": F.count(is_flagged(F.col("ai_mentioned"))),
-            "unique_job_titles": F.count("job_title"),
-        },
-        known_rows=known_rows,
-        single_pass_rows=single_pass_rows,
-    )
-    computed = {
-        **{out: mean_of_parts(out, places) for out, (_, places) in MEANS.items()},
-        "median_salary_usd": rounded(F.col("median"), 2),
-        "pct_ai_mentioned": rounded(share_percent(F.col("flagged"), F.col("job_count")), 2),
-    }
-    return summary.select(
-        *[computed.get(name, F.col(name)).alias(name) for name in FUNCTIONAL.names]
+    rows, salary = impact_input(raw)
+    return impact_table(
+        grouped_percentiles(
+            rows,
+            GROUP_COLUMNS,
+            salary,
+            {"median": 0.5},
+            impact_parts(),
+            known_rows=known_rows,
+            single_pass_rows=single_pass_rows,
+        )
     )

@@ -23,7 +23,7 @@ second pass when the histogram shows that no group has more than ``GROUP_ROWS``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -217,32 +217,85 @@ def grouped_percentiles(
         return single.select(
             *keys, *picked, "value_count", "value_min", "value_max", *(sums or {})
         )
-    wanted = list(fractions.values())
-    valued = df.withColumn("_cell", _log_cell(value))
-    extra = {f"_sum_{name}": column for name, column in (sums or {}).items()}
-    histogram = materialise(
-        valued.groupBy(*keys, "_cell").agg(
+    histogram = materialise(cell_counts(df, keys, value, sums or {}))
+    groups = _groups(histogram, keys, list(sums or {}))
+    group_rows = min(single_pass_rows, GROUP_ROWS)
+    if group_rows and (groups.agg(F.max("value_count")).first()[0] or 0) <= group_rows:
+        second = df.groupBy(*keys).agg(builtin.alias("_all"))
+        return _merged(groups, second, keys, F.max("_all").alias("_all")).select(
+            *keys, *picked, "value_count", "value_min", "value_max", *(sums or {})
+        )
+    return located_percentiles(
+        histogram,
+        lambda cells: df,
+        keys,
+        value,
+        fractions,
+        list(sums or {}),
+        window_rows=window_rows,
+        broadcast_bytes=broadcast_bytes,
+    )
+
+
+def cell_counts(
+    df: DataFrame, keys: Sequence[str], value: Column, sums: Mapping[str, Column]
+) -> DataFrame:
+    """The histogram: per group and logarithmic cell the rows with a value, the lowest and the
+    highest one, and every additive aggregate of ``sums``. Histograms of parts of a table
+    merge by :func:`merged_counts`."""
+    valued = df.withColumn("_value", value)
+    value = F.col("_value")
+    return (
+        valued.withColumn("_cell", _log_cell(value))
+        .groupBy(*keys, "_cell")
+        .agg(
             F.count(value).alias("_n"),
             F.min(value).alias("_lo"),
             F.max(value).alias("_hi"),
-            *[column.alias(name) for name, column in extra.items()],
+            *[column.alias(f"_sum_{name}") for name, column in sums.items()],
         )
     )
-    groups = histogram.groupBy(*keys).agg(
+
+
+def merged_counts(counts: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Histograms of several parts as one; ``names`` are those of the additive aggregates."""
+    return counts.groupBy(*keys, "_cell").agg(
+        F.sum("_n").alias("_n"),
+        F.min("_lo").alias("_lo"),
+        F.max("_hi").alias("_hi"),
+        *[F.sum(f"_sum_{name}").alias(f"_sum_{name}") for name in names],
+    )
+
+
+def _groups(histogram: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    return histogram.groupBy(*keys).agg(
         F.sum("_n").alias("value_count"),
         F.min("_lo").alias("value_min"),
         F.max("_hi").alias("value_max"),
-        *[F.sum(name).alias(name) for name in extra],
+        *[F.sum(f"_sum_{name}").alias(name) for name in names],
     )
-    finished = ["value_count", "value_min", "value_max"] + [
-        F.col(f"_sum_{name}").alias(name) for name in (sums or {})
-    ]
-    group_rows = min(single_pass_rows, GROUP_ROWS)
-    if group_rows and (groups.agg(F.max("value_count")).first()[0] or 0) <= group_rows:
-        second = df.groupBy(*keys).agg(builtin.alias("_all"))
-        return _merged(groups, second, keys, F.max("_all").alias("_all")).select(
-            *keys, *picked, *finished
-        )
+
+
+def located_percentiles(
+    histogram: DataFrame,
+    rows_of: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    value: Column,
+    fractions: Mapping[str, float],
+    names: Sequence[str] = (),
+    *,
+    window_rows: int = WINDOW_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The result of :func:`grouped_percentiles` from a stored histogram.
+
+    ``rows_of`` gives the input rows for a second read, or those of them that can lie in the
+    cells that it is called with; ``value`` is as for :func:`cell_counts`.
+    """
+    keys = list(keys)
+    wanted = list(fractions.values())
+    groups = _groups(histogram, keys, names)
+    finished = ["value_count", "value_min", "value_max", *names]
     total = F.sum("_n").over(Window.partitionBy(*keys))
     ranked = _keep_ranked(
         histogram.where("_n > 0")
@@ -257,7 +310,9 @@ def grouped_percentiles(
     answered = [ranked.where(~open_cell).select(*keys, "_ranks", F.col("_lo").alias("_value"))]
     size = _size(ranked.where(open_cell), keys)
     if size["widest"] is not None:
-        rows = valued.where("_value IS NOT NULL").select(*keys, "_cell", "_value")
+        rows = rows_of(ranked.where(open_cell)).withColumn("_value", value)
+        rows = rows.withColumn("_cell", _log_cell(F.col("_value")))
+        rows = rows.where("_value IS NOT NULL").select(*keys, "_cell", "_value")
         points = _points(rows, ranked.where(open_cell), keys, size, broadcast_bytes)
         while size["widest"] is not None and size["widest"] > window_rows:
             finer, points = _split(materialise(points), keys)

@@ -7,7 +7,10 @@ the write itself.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,9 @@ from pyspark.sql import types as T
 from jobstrata import config as names
 from jobstrata.config import HIVE_AVRO, LakeConfig, TableConfig
 from jobstrata.contract import FUNCTIONAL, load_avro_contract, string_schema
+from jobstrata.operators import states
 from jobstrata.operators.aggregates import impact_aggregate
+from jobstrata.operators.fingerprint import Fingerprint, fingerprint_of, watched
 from jobstrata.operators.projections import (
     align_by_position,
     curated_postings,
@@ -35,34 +40,68 @@ from jobstrata.workspace import scratch
 
 @dataclass(frozen=True)
 class StepReport:
-    """What a step wrote, and what a later read of it found where the step checks that."""
+    """What a step wrote, and what a later read of its sink found."""
 
     layer: str
     table: str
     rows_written: int
     rows_read_back: int | None = None
     malformed_rows: int = 0
+    content: Fingerprint | None = None
+    content_read_back: Fingerprint | None = None
 
     @property
     def matches(self) -> bool:
-        return self.rows_read_back in (None, self.rows_written)
+        """Whether the sink was read back and holds what was written."""
+        return self.rows_read_back == self.rows_written and self.content_read_back == self.content
 
 
-def refuse_mismatch(report: StepReport, cfg: LakeConfig) -> None:
-    """Raise where a step's sink holds other than what was written to it, or, with
-    ``on_mismatch="warn"``, warn."""
-    if report.matches:
-        return
-    problem = (
-        f"{report.layer} {report.table}: {report.rows_written} rows written, "
-        f"{report.rows_read_back} found"
-    )
+def _problem(report: StepReport) -> str:
+    where = f"{report.layer} {report.table}: {report.rows_written} rows written, "
+    if report.rows_read_back is None:
+        return where + "not read back"
+    if report.rows_read_back != report.rows_written:
+        return where + f"{report.rows_read_back} found"
+    return where + "as many found, but with other values"
+
+
+def _refuse(problem: str, cfg: LakeConfig) -> None:
     if cfg.on_mismatch == "warn":
         warnings.warn(problem)
     else:
         raise ValueError(problem)
 
 
+def refuse_mismatch(report: StepReport, cfg: LakeConfig) -> None:
+    """Raise where a step's sink holds other than what was written to it, or, with
+    ``on_mismatch="warn"``, warn."""
+    if not report.matches:
+        _refuse(_problem(report), cfg)
+
+
+def refuse_difference(before: StepReport, after: StepReport, cfg: LakeConfig) -> None:
+    """The same for a step that copies the rows of the one before."""
+    if (before.rows_written, before.content) != (after.rows_written, after.content):
+        _refuse(
+            f"{after.layer} {after.table}: {after.rows_written} rows copied, which are not the "
+            f"{before.rows_written} of {before.layer} {before.table}",
+            cfg,
+        )
+
+
+def _watched(df: DataFrame, cfg: LakeConfig) -> tuple[DataFrame, Callable[[], Fingerprint | None]]:
+    """Rows to be written, and their fingerprint where contents are compared."""
+    return watched(df) if cfg.verify == "content" else (df, lambda: None)
+
+
+def _read_back(report: StepReport, stored: DataFrame) -> StepReport:
+    """The report with what ``stored``, the sink as it is read, holds."""
+    if report.content is None:
+        return replace(report, rows_read_back=stored.count())
+    found = fingerprint_of(stored)
+    return replace(report, rows_read_back=found.rows, content_read_back=found)
+
+
 def _prepare(spark: SparkSession, cfg: LakeConfig, layer: str) -> None:
     if cfg.use_catalog:
         catalog.ensure_database(spark, cfg.database(layer), cfg.layer_path(layer))
@@ -123,6 +162,7 @@ def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Step
         scanned.observe(seen, F.count(MALFORMED_LINE).alias("malformed"))
         .drop(MALFORMED_LINE)
     )
+    rows, content = _watched(rows, cfg)
     path = cfg.table_path(names.WORKLOAD, table.name)
     if cfg.use_catalog:
         target = cfg.table(names.WORKLOAD, table.name)
@@ -130,22 +170,29 @@ def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Step
         written = catalog.insert_overwrite(rows, target)
     else:
         written = writers.write_lossless_csv(rows, path)
-    return StepReport(
-        names.WORKLOAD, table.name, written, malformed_rows=seen.get["malformed"]
+    report = StepReport(
+        names.WORKLOAD,
+        table.name,
+        written,
+        malformed_rows=seen.get["malformed"],
+        content=content(),
     )
+    return _read_back(report, load(spark, cfg, names.WORKLOAD, table))
 
 
 def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
     """Raw layer into the landing table of the contract, whole or partition by partition."""
     _prepare(spark, cfg, names.LANDING)
-    rows = load(spark, cfg, names.WORKLOAD, table)
+    source = load(spark, cfg, names.WORKLOAD, table)
+    rows, content = _watched(source, cfg)
     keys = tuple(name.lower() for name in table.partitioned_by)
     dynamic = table.dynamic_partitions
     path = cfg.table_path(names.LANDING, table.name)
     if not cfg.use_catalog:
         rows = partition_last(align_by_position(rows, _landing_contract(table)), *keys)
         written = writers.write_folder(rows, path, cfg.landing_format, keys, dynamic=dynamic)
-        return StepReport(names.LANDING, table.name, written)
+        report = StepReport(names.LANDING, table.name, written, content=content())
+        return _read_back(report, _landed(spark, cfg, table, source))
     schema = table.schema
     if table.contract_path:
         schema = load_avro_contract(spark, table.contract_path, table.schema)
@@ -166,18 +213,35 @@ def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
     written = catalog.insert_overwrite(rows, target, keys, dynamic=dynamic, settings=settings)
     if cfg.landing_format in ("avro", HIVE_AVRO):
         catalog.require_avro(spark, target)
-    return StepReport(names.LANDING, table.name, written)
+    report = StepReport(names.LANDING, table.name, written, content=content())
+    return _read_back(report, _landed(spark, cfg, table, source))
+
+
+def _landed(
+    spark: SparkSession, cfg: LakeConfig, table: TableConfig, source: DataFrame
+) -> DataFrame:
+    """Landing rows of the last load, with columns in the order of ``source``."""
+    landing = load(spark, cfg, names.LANDING, table)
+    landing = landing.select(*[F.col(f"`{name.lower()}`") for name in source.columns])
+    keys = [name.lower() for name in table.partitioned_by]
+    if not (keys and table.dynamic_partitions):
+        return landing
+    # Other partitions are older.
+    loaded = source.select(*[F.col(name).alias(f"_{name}") for name in keys]).distinct()
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys]
+    return landing.join(loaded, reduce(and_, same), "left_semi")
 
 
 def _store_parquet(
     spark: SparkSession, cfg: LakeConfig, layer: str, name: str, df: DataFrame
 ) -> StepReport:
     _prepare(spark, cfg, layer)
+    df, content = _watched(df, cfg)
     if cfg.use_catalog:
         written = writers.save_parquet_table(df, cfg.table(layer, name))
     else:
         written = writers.write_folder(df, cfg.table_path(layer, name))
-    return StepReport(layer, name, written)
+    return StepReport(layer, name, written, content=content())
 
 
 def build_curated(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
@@ -190,16 +254,28 @@ def build_curated(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
 def build_functional(
     spark: SparkSession, cfg: LakeConfig, table: TableConfig, landing_rows: int | None = None
 ) -> StepReport:
-    """Landing into the aggregate; ``landing_rows`` is the row count of landing, if known."""
+    """Landing into the aggregate, whose groups have to hold all rows of landing;
+    ``landing_rows`` is their number, if known."""
     landing = load(spark, cfg, names.LANDING, table)
+    keys = [name.lower() for name in table.partitioned_by]
     with scratch(spark):
-        aggregate = impact_aggregate(landing, known_rows=landing_rows)
+        if cfg.incremental and keys and table.dynamic_partitions:
+            folder = cfg.table_path(names.LANDING, table.name)
+            kept = cfg.table_path(names.FUNCTIONAL, f"{cfg.aggregate(table)}_states")
+            states.refresh_states(landing, folder, kept, keys)
+            aggregate = states.impact_from_states(landing, folder, kept, keys)
+        else:
+            aggregate = impact_aggregate(landing, known_rows=landing_rows)
         report = _store_parquet(spark, cfg, names.FUNCTIONAL, cfg.aggregate(table), aggregate)
-    return _read_back(report, load(spark, cfg, names.FUNCTIONAL, table))
-
-
-def _read_back(report: StepReport, stored: DataFrame) -> StepReport:
-    return replace(report, rows_read_back=stored.count())
+    functional = load(spark, cfg, names.FUNCTIONAL, table)
+    counted = functional.agg(F.sum("job_count")).first()[0] or 0
+    if landing_rows is not None and counted != landing_rows:
+        _refuse(
+            f"{names.FUNCTIONAL} {report.table}: groups of {counted} rows, but landing has "
+            f"{landing_rows}",
+            cfg,
+        )
+    return _read_back(report, functional)
 
 
 def export_gold(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
@@ -207,23 +283,31 @@ def export_gold(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Ste
     functional = refuse_empty(load(spark, cfg, names.FUNCTIONAL, table), "functional table")
     name = cfg.aggregate(table)
     path = cfg.table_path(names.GOLD, f"{name}_csv")
-    written = writers.export_csv(
-        functional, path, plain=cfg.plain_csv, single_file=cfg.single_csv
-    )
-    report = StepReport(names.GOLD, f"{name}_csv", written)
+    if cfg.plain_csv:
+        functional = _plain(functional)
+    rows, content = _watched(functional, cfg)
+    written = writers.export_csv(rows, path, plain=cfg.plain_csv, single_file=cfg.single_csv)
+    report = StepReport(names.GOLD, f"{name}_csv", written, content=content())
     stored = readers.read_csv_export(spark, path, FUNCTIONAL, plain=cfg.plain_csv)
     return _read_back(report, stored)
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """Rows as a plain export can hold them: an empty text is null."""
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.select(
+        *[F.nullif(F.col(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in df.columns]
+    )
+
+
 def publish_documents(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
     """Functional table to the document collection, straight from the table."""
     functional = refuse_empty(load(spark, cfg, names.FUNCTIONAL, table), "functional table")
     name = cfg.aggregate(table)
     path = cfg.table_path(names.GOLD, name) if cfg.document_format == "json" else None
     options = cfg.document_options
-    written = writers.write_documents(
-        functional, cfg.document_format, path=path, options=options
-    )
+    rows, content = _watched(functional, cfg)
+    written = writers.write_documents(rows, cfg.document_format, path=path, options=options)
     stored = readers.read_documents(
         spark,
         cfg.document_format,
@@ -231,7 +315,9 @@ def publish_documents(spark: SparkSession, cfg: LakeConfig, table: TableConfig)
         schema=FUNCTIONAL if path else None,
         options=options,
     )
-    return _read_back(StepReport(names.GOLD, name, written), stored)
+    # A store may hand out other columns beside, in another order and of wider types.
+    stored = stored.select(*[F.col(f.name).cast(f.dataType) for f in FUNCTIONAL.fields])
+    return _read_back(StepReport(names.GOLD, name, written, content=content()), stored)
 
 
 STEPS = (
@@ -246,7 +332,7 @@ STEPS = (
 
 def run_pipeline(spark: SparkSession, cfg: LakeConfig) -> list[StepReport]:
     """Run every step over every configured table, layer by layer."""
-    reports, landed = [], {}
+    reports, landed, copied = [], {}, {}
     for layer, step in STEPS:
         if cfg.reset and cfg.use_catalog and layer != names.GOLD:
             catalog.ensure_database(spark, cfg.database(layer), cfg.layer_path(layer), reset=True)
@@ -260,5 +346,8 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig) -> list[StepReport]:
                 whole = not (table.partitioned_by and table.dynamic_partitions)
                 landed[table.name] = report.rows_written if whole else None
             refuse_mismatch(report, cfg)
+            if step is build_landing:
+                refuse_difference(copied[table.name], report, cfg)
+            copied[table.name] = report
             reports.append(report)
     return reports

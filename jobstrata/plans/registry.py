@@ -6,6 +6,7 @@ Every query reads the whole stand-in postings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,14 @@ from jobstrata.functions import (
     to_double,
     to_year,
 )
-from jobstrata.operators import aggregates, exploration, projections, quality
+from jobstrata.operators import (
+    aggregates,
+    exploration,
+    fingerprint,
+    projections,
+    quality,
+    states,
+)
 from jobstrata.plans import catalog_queries
 from jobstrata.plans.pipeline import load, run_pipeline
 from jobstrata.plans.standin import posting_bound, postings, postings_sql
@@ -156,6 +164,20 @@ def impact_aggregate_unknown_rows(spark, sf_dir):
     return aggregates.impact_aggregate(postings(spark, sf_dir))
 
 
+@_register("impact_incremental", _IMPACT + "\n-- from states per partition")
+def impact_incremental(spark, sf_dir):
+    """The functional table from stored states of a landing table in two loads, of which the
+    second replaces a partition that the first one left incomplete."""
+    rows, keys = postings(spark, sf_dir), ["city"]
+    landing, kept = new_path(spark, "landing"), new_path(spark, "states")
+    late = F.col("city") == "city_3"
+    for load_rows in (rows.where(~late | (F.col("industry") == "building")), rows.where(late)):
+        writers.write_folder(load_rows, landing, "parquet", keys)
+        table = spark.read.schema(RAW).parquet(landing)
+        states.refresh_states(table, landing, kept, keys)
+    return states.impact_from_states(table, landing, kept, keys)
+
+
 @_register("curated_postings", _curated_select())
 def curated_postings(spark, sf_dir):
     return _curated(spark, sf_dir)
@@ -310,6 +332,39 @@ def write_reconcile(spark, sf_dir):
     return quality.reconcile(written, spark.read.parquet(path))
 
 
+@_register(
+    "content_reconcile",
+    """
+SELECT sink, count(*) AS source_rows, count(*) AS sink_rows, true AS counts_match,
+       sink = 'copied' AS contents_match
+FROM postings CROSS JOIN (VALUES ('copied'), ('exchanged'), ('changed'), ('moved')) AS s(sink)
+GROUP BY sink""",
+)
+def content_reconcile(spark, sf_dir):
+    """All postings against sinks with as many rows: a copy in another order, one with two
+    columns exchanged, one with a value changed, and one with values moved between rows."""
+    rows = postings(spark, sf_dir)
+    path = new_path(spark, "copied")
+    writers.write_lossless_csv(rows.repartition(7, "job_title"), path)
+    copied = readers.read_lossless_csv(spark, path, RAW)
+    swap = {"country": F.col("region"), "region": F.col("country")}
+    first = rows.agg(F.min("job_id")).first()[0]
+    one = F.when(F.col("job_id") == first, "Lima").otherwise(F.col("city"))
+    # Two rows of equal sums per column: industries of one city go to another and back.
+    other = F.when(F.col("city") == "city_1", "city_2").when(F.col("city") == "city_2", "city_1")
+    sinks = {
+        "copied": copied,
+        "exchanged": rows.withColumns(swap),
+        "changed": rows.withColumn("city", one),
+        "moved": rows.withColumn("city", F.coalesce(other, "city")),
+    }
+    compared = [
+        fingerprint.comparison(rows, sink).withColumn("sink", F.lit(name))
+        for name, sink in sinks.items()
+    ]
+    return reduce(DataFrame.unionByName, compared)
+
+
 @_register(
     "sample_rows",
     "SELECT least(count(*), 10) AS sampled_rows, CAST(0 AS BIGINT) AS foreign_rows FROM postings",
