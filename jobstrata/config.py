@@ -42,7 +42,8 @@ class LakeConfig:
     """Where the layers live and how they are written.
 
     With ``use_catalog`` every layer is a database with tables; otherwise a table is a
-    folder below the layer's path. ``reset`` drops a layer's database before it is built.
+    folder below the layer's path. ``reset`` builds every table of a layer anew, beside the old one, which
+    stays in use until then, and drops the layer's other tables at the end.
     ``verify`` is ``"content"`` or ``"count"``: whether the fingerprint of all values or only the
     number of rows of every sink is compared with what was written to it, and ``on_mismatch`` is
     ``"raise"`` or ``"warn"``: what to do where they differ.

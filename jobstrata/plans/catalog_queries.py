@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from jobstrata.contract import (
 from jobstrata.functions import to_double
 from jobstrata.operators import aggregates, projections, quality
 from jobstrata.plans.standin import postings
-from jobstrata.sources import catalog, writers
+from jobstrata.sources import catalog, publish, writers
 from jobstrata.workspace import materialise, new_path
 
 _COUNTS = "SELECT industry, city, count(*) AS job_count FROM postings\nWHERE {} GROUP BY ALL"
@@ -137,6 +138,25 @@ def layer_reset(spark, sf_dir):
     return counted.withColumn("tables_after", F.lit(after).cast("long"))
 
 
+def reset_after_failure(spark, sf_dir):
+    """A table of all postings, read after a rebuild of it has failed half-way."""
+    with _database(spark) as database:
+        table, path = f"{database}.postings", new_path(spark, "postings")
+        rows = postings(spark, sf_dir)
+
+        def build(df):
+            return lambda name, folder: writers.save_parquet_table(df, name, folder)
+
+        publish.rebuild(spark, table, path, build(rows))
+        fails = F.when(F.col("city") == "city_3", F.raise_error(F.lit("a bad row")))
+        try:
+            spoiled = rows.withColumn("city", F.coalesce(fails.cast("string"), "city"))
+            publish.rebuild(spark, table, path, build(spoiled))
+        except PySparkException:
+            return materialise(spark.table(table))
+    raise AssertionError("the rebuild was to fail")
+
+
 def table_listing(spark, sf_dir):
     """A table per company size, listed by name."""
     with _database(spark) as database:
@@ -229,6 +249,7 @@ def add(register, curated_sql: str, text_sql: str) -> None:
             "SELECT count(*) AS rows_before, CAST(1 AS BIGINT) AS tables_before, "
             "CAST(0 AS BIGINT) AS tables_after FROM postings",
         ),
+        (reset_after_failure, "SELECT * FROM postings"),
         (
             table_listing,
             "SELECT DISTINCT 'jobs_' || lower(company_size) AS table_name FROM postings",

@@ -34,7 +34,7 @@ from jobstrata.operators.quality import (
     row_arity,
     scan_with_arity,
 )
-from jobstrata.sources import catalog, readers, writers
+from jobstrata.sources import catalog, publish, readers, writers
 from jobstrata.workspace import scratch
 
 
@@ -107,13 +107,28 @@ def _prepare(spark: SparkSession, cfg: LakeConfig, layer: str) -> None:
         catalog.ensure_database(spark, cfg.database(layer), cfg.layer_path(layer))
 
 
+def _built(
+    spark: SparkSession, cfg: LakeConfig, layer: str, name: str, build: Callable[[str, str], int]
+) -> int:
+    """Write a layer's table by ``build``, which is given its name and folder: in place, or, with
+    ``reset``, beside the old one, which it replaces at the end."""
+    target, folder = cfg.table(layer, name), cfg.table_path(layer, name)
+    if cfg.reset:
+        return publish.rebuild(spark, target, folder, build)
+    return build(target, folder)
+
+
 def _landing_contract(table: TableConfig) -> T.StructType:
     return string_schema(name.lower() for name in table.schema.names)
 
 
+def _stored_name(cfg: LakeConfig, layer: str, table: TableConfig) -> str:
+    return cfg.aggregate(table) if layer == names.FUNCTIONAL else table.name
+
+
 def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -> DataFrame:
     """The stored table of a layer."""
-    name = cfg.aggregate(table) if layer == names.FUNCTIONAL else table.name
+    name = _stored_name(cfg, layer, table)
     if cfg.use_catalog:
         return spark.table(cfg.table(layer, name))
     path = cfg.table_path(layer, name)
@@ -165,9 +180,12 @@ def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Step
     rows, content = _watched(rows, cfg)
     path = cfg.table_path(names.WORKLOAD, table.name)
     if cfg.use_catalog:
-        target = cfg.table(names.WORKLOAD, table.name)
-        catalog.create_text_table(spark, target, path, table.schema)
-        written = catalog.insert_overwrite(rows, target)
+
+        def build(target: str, folder: str) -> int:
+            catalog.create_text_table(spark, target, folder, table.schema)
+            return catalog.insert_overwrite(rows, target)
+
+        written = _built(spark, cfg, names.WORKLOAD, table.name, build)
     else:
         written = writers.write_lossless_csv(rows, path)
     report = StepReport(
@@ -196,23 +214,27 @@ def build_landing(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> S
     schema = table.schema
     if table.contract_path:
         schema = load_avro_contract(spark, table.contract_path, table.schema)
-    target = cfg.table(names.LANDING, table.name)
-    settings = {}
-    if cfg.landing_format == HIVE_AVRO:
-        if keys and not dynamic:
-            # Hive replaces the partitions that it writes, whatever the setting.
-            raise ValueError("a partitioned Hive table can't be overwritten as a whole")
-        settings = catalog.HIVE_AVRO_SETTINGS
-        catalog.create_hive_avro_table(
-            spark, target, path, schema, schema_url=table.contract_path, partitioned_by=keys
-        )
-    else:
-        catalog.create_source_table(
-            spark, target, path, schema, cfg.landing_format, partitioned_by=keys
-        )
-    written = catalog.insert_overwrite(rows, target, keys, dynamic=dynamic, settings=settings)
-    if cfg.landing_format in ("avro", HIVE_AVRO):
-        catalog.require_avro(spark, target)
+    hive = cfg.landing_format == HIVE_AVRO
+    if hive and keys and not dynamic:
+        # Hive replaces the partitions that it writes, whatever the setting.
+        raise ValueError("a partitioned Hive table can't be overwritten as a whole")
+
+    def build(target: str, folder: str) -> int:
+        layout = {"partitioned_by": keys}
+        if hive:
+            layout["schema_url"] = table.contract_path
+            catalog.create_hive_avro_table(spark, target, folder, schema, **layout)
+        else:
+            catalog.create_source_table(
+                spark, target, folder, schema, cfg.landing_format, **layout
+            )
+        settings = catalog.HIVE_AVRO_SETTINGS if hive else {}
+        n = catalog.insert_overwrite(rows, target, keys, dynamic=dynamic, settings=settings)
+        if hive or cfg.landing_format == "avro":
+            catalog.require_avro(spark, target)
+        return n
+
+    written = _built(spark, cfg, names.LANDING, table.name, build)
     report = StepReport(names.LANDING, table.name, written, content=content())
     return _read_back(report, _landed(spark, cfg, table, source))
 
@@ -238,7 +260,11 @@ def _store_parquet(
     _prepare(spark, cfg, layer)
     df, content = _watched(df, cfg)
     if cfg.use_catalog:
-        written = writers.save_parquet_table(df, cfg.table(layer, name))
+
+        def build(target: str, folder: str) -> int:
+            return writers.save_parquet_table(df, target, folder if cfg.reset else None)
+
+        written = _built(spark, cfg, layer, name, build)
     else:
         written = writers.write_folder(df, cfg.table_path(layer, name))
     return StepReport(layer, name, written, content=content())
@@ -261,6 +287,8 @@ def build_functional(
     with scratch(spark):
         if cfg.incremental and keys and table.dynamic_partitions:
             folder = cfg.table_path(names.LANDING, table.name)
+            if cfg.use_catalog:
+                folder = publish.location_of(spark, cfg.table(names.LANDING, table.name))
             kept = cfg.table_path(names.FUNCTIONAL, f"{cfg.aggregate(table)}_states")
             states.refresh_states(landing, folder, kept, keys)
             aggregate = states.impact_from_states(landing, folder, kept, keys)
@@ -334,8 +362,6 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig) -> list[StepReport]:
     """Run every step over every configured table, layer by layer."""
     reports, landed, copied = [], {}, {}
     for layer, step in STEPS:
-        if cfg.reset and cfg.use_catalog and layer != names.GOLD:
-            catalog.ensure_database(spark, cfg.database(layer), cfg.layer_path(layer), reset=True)
         for table in cfg.tables:
             if step is build_functional:
                 report = step(spark, cfg, table, landing_rows=landed[table.name])
@@ -350,4 +376,7 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig) -> list[StepReport]:
                 refuse_difference(copied[table.name], report, cfg)
             copied[table.name] = report
             reports.append(report)
+        if cfg.reset and cfg.use_catalog and layer != names.GOLD:
+            made = [_stored_name(cfg, layer, table) for table in cfg.tables]
+            publish.drop_others(spark, cfg.database(layer), made)
     return reports

@@ -15,17 +15,19 @@ from jobstrata.sources.readers import LOSSLESS_CSV
 from jobstrata.sources.writers import ROWS_PER_TEXT_FILE, counted_write
 
 
-def _name(identifier: str) -> str:
+def quoted(identifier: str) -> str:
+    """An identifier as SQL takes it."""
     return ".".join(f"`{part}`" for part in identifier.split("."))
 
 
-def _text(value: str) -> str:
+def literal(value: str) -> str:
+    """A text as SQL takes it."""
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
 
 def _pairs(properties: dict[str, str]) -> str:
-    return ", ".join(f"{_text(key)} = {_text(value)}" for key, value in properties.items())
+    return ", ".join(f"{literal(key)} = {literal(value)}" for key, value in properties.items())
 
 
 # What Hive takes from the session when it writes: output codec and dynamic partitions.
@@ -53,8 +55,8 @@ def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
 def ensure_database(spark: SparkSession, database: str, location: str, *, reset=False) -> None:
     """Create a layer's database at ``location``; ``reset`` first drops it with its tables."""
     if reset:
-        spark.sql(f"DROP DATABASE IF EXISTS {_name(database)} CASCADE")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)} LOCATION {_text(location)}")
+        spark.sql(f"DROP DATABASE IF EXISTS {quoted(database)} CASCADE")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION {literal(location)}")
 
 
 def register_view(df: DataFrame, view: str) -> None:
@@ -66,19 +68,19 @@ def create_text_table(
 ) -> None:
     """External all-string ``,`` text table. Values are quoted, so commas, quotes, newlines,
     blanks, empty strings and nulls read back as written."""
-    columns = ", ".join(f"{_name(field.name)} STRING" for field in schema.fields)
+    columns = ", ".join(f"{quoted(field.name)} STRING" for field in schema.fields)
     limits = {"multiLine": "true", "maxRecordsPerFile": str(ROWS_PER_TEXT_FILE)}
     options = _pairs({**LOSSLESS_CSV, **limits})
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_name(table)} ({columns}) "
-        f"USING csv OPTIONS ({options}) LOCATION {_text(location)}"
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}) "
+        f"USING csv OPTIONS ({options}) LOCATION {literal(location)}"
     )
 
 
 def _columns_sql(schema: T.StructType, partitioned_by: Sequence[str]) -> tuple[list[str], str]:
     types = {field.name.lower(): field.dataType.simpleString() for field in schema.fields}
-    body = [f"{_name(name)} {kind}" for name, kind in types.items() if name not in partitioned_by]
-    keys = ", ".join(f"{_name(name)} {types[name]}" for name in partitioned_by)
+    body = [f"{quoted(name)} {kind}" for name, kind in types.items() if name not in partitioned_by]
+    keys = ", ".join(f"{quoted(name)} {types[name]}" for name in partitioned_by)
     return body, f" PARTITIONED BY ({keys})" if partitioned_by else ""
 
 
@@ -104,8 +106,8 @@ def hive_avro_ddl(
         record = table.split(".")[-1]
         properties["avro.schema.literal"] = avro_contract(T.StructType(data_fields), record)
     return (
-        f"CREATE TABLE IF NOT EXISTS {_name(table)} ({', '.join(body)}){partition_clause} "
-        f"STORED AS AVRO LOCATION {_text(location)} TBLPROPERTIES ({_pairs(properties)})"
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({', '.join(body)}){partition_clause} "
+        f"STORED AS AVRO LOCATION {literal(location)} TBLPROPERTIES ({_pairs(properties)})"
     )
 
 
@@ -133,13 +135,13 @@ def create_source_table(
     partitioned_by: Sequence[str] = (),
 ) -> None:
     """External Snappy table on a Spark data source, such as ``avro`` or ``parquet``."""
-    types = [f"{_name(f.name.lower())} {f.dataType.simpleString()}" for f in schema.fields]
-    keys = ", ".join(_name(name) for name in partitioned_by)
+    types = [f"{quoted(f.name.lower())} {f.dataType.simpleString()}" for f in schema.fields]
+    keys = ", ".join(quoted(name) for name in partitioned_by)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_name(table)} ({', '.join(types)}) USING {fmt} "
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({', '.join(types)}) USING {fmt} "
         f"OPTIONS ('compression' = 'snappy') "
         + (f"PARTITIONED BY ({keys}) " if keys else "")
-        + f"LOCATION {_text(location)}"
+        + f"LOCATION {literal(location)}"
     )
 
 
@@ -170,15 +172,15 @@ def insert_overwrite(
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {_name(database)}")
+    return spark.sql(f"SHOW TABLES IN {quoted(database)}")
 
 
 def list_partitions(spark: SparkSession, table: str) -> DataFrame:
-    return spark.sql(f"SHOW PARTITIONS {_name(table)}")
+    return spark.sql(f"SHOW PARTITIONS {quoted(table)}")
 
 
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.sql(f"DESCRIBE FORMATTED {_name(table)}")
+    return spark.sql(f"DESCRIBE FORMATTED {quoted(table)}")
 
 
 def describe_value(spark: SparkSession, table: str, entry: str) -> str | None:

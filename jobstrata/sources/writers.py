@@ -72,10 +72,15 @@ def write_folder(
     return counted_write(df, write)
 
 
-def save_parquet_table(df: DataFrame, table: str) -> int:
-    """A managed Parquet table."""
+def save_parquet_table(df: DataFrame, table: str, path: str | None = None) -> int:
+    """A managed Parquet table, or an external one at ``path``."""
+    options = {"path": path} if path else {}
     return counted_write(
-        df, lambda writer: writer.mode("overwrite").format("parquet").saveAsTable(table)
+        df,
+        lambda writer: writer.mode("overwrite")
+        .format("parquet")
+        .options(**options)
+        .saveAsTable(table),
     )
 
 
