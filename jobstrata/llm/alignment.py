@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.llm.common import map_arrow, ranges, stored, text_batches
 from jobstrata.llm.tokens import _byte_signs
-from jobstrata.llm.units import Remembered, coded, spaced, unit_starts
+from jobstrata.llm.units import Remembered, coded, joined, spaced, unit_starts
 
 # Text handled at once; a longer one is handled in stretches of about this size.
 STRETCH_BYTES = 1 << 20
@@ -89,28 +89,29 @@ class Pair:
     def _alone(self, unit: str) -> list[int]:
         return [self.blank] if unit == " " else self.b.encode(unit[1:])
 
-    def _encoded_a(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded_a(self, units: pa.Array, words: list[str]) -> tuple[np.ndarray, ...]:
         def whole(text: str) -> list[int]:
             return self.a.encode(text, add_special_tokens=False).ids
 
-        return _joined(units, whole, whole, self.bytes_a, 4096)
+        return joined(units, words, whole, whole, self.bytes_a, 4096)
 
-    def _encoded_b(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded_b(self, units: pa.Array, words: list[str]) -> tuple[np.ndarray, ...]:
         """Ids of B; a unit that B does not spell as it is has the single id -1."""
 
-        def checked(unit: str) -> list[int]:
-            ids = self._alone(unit)
-            return ids if self._spells(ids, unit.encode()) else [-1]
+        def alone(unit: str) -> list[int]:
+            ids = [self.blank] if unit == " " else self.b.encode(unit[1:])
+            return ids if self._spells(ids, unit) else [-1]
 
         def whole(text: str) -> list[int] | None:
             ids = self.b.encode(text[1:])
-            return ids if self._spells(ids, text.encode()) else None
+            return ids if self._spells(ids, text) else None
 
-        return _joined(units, whole, checked, self.bytes_b, 256)
+        return joined(units, words, whole, alone, self.bytes_b, 512)
 
-    def _spells(self, ids: list[int], raw: bytes) -> bool:
+    def _spells(self, ids: list[int], text: str) -> bool:
         taken = self.spelled_b.take(pa.array(ids, pa.int64()))
-        return b"".join(taken.to_pylist()) == raw
+        size = int(self.bytes_b[ids].sum())
+        return taken.buffers()[2].to_pybytes()[:size] == text.encode()
 
     def chains(self, eA: np.ndarray, eB: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terminals, as positions in B, of A's and of B's tokens by the ends of both."""
@@ -175,29 +176,6 @@ class Pair:
         }
 
 
-def _joined(units, whole, alone, widths, most) -> tuple[np.ndarray, np.ndarray]:
-    """Flat ids and their number per unit. Units that end with a sign other than white space are
-    encoded many at once by ``whole`` and cut by the bytes that their ids spell; the others,
-    and those of a failed call, by ``alone``."""
-    ids: list[np.ndarray | None] = [None] * len(units)
-    plain = [i for i, u in enumerate(units) if not u[-1:].isspace()]
-    for a in range(0, len(plain), most):
-        part = plain[a : a + most]
-        told = whole("".join(units[i] for i in part))
-        if told is None:
-            continue
-        told = np.array(told, np.int32)
-        sizes = np.fromiter((len(units[i].encode()) for i in part), np.int64, len(part))
-        cuts = np.searchsorted(np.cumsum(widths[told]), np.cumsum(sizes)) + 1
-        for i, x, y in zip(part, [0, *cuts[:-1].tolist()], cuts.tolist()):
-            ids[i] = told[x:y]
-    for i, found in enumerate(ids):
-        if found is None:
-            ids[i] = np.array(alone(units[i]), np.int32)
-    lengths = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-    return (np.concatenate(ids) if ids else np.zeros(0, np.int32)), lengths
-
-
 _PAIRS: dict[tuple, Pair] = {}
 
 

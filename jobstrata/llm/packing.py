@@ -14,7 +14,9 @@ an empty table gives no sequences.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,24 +26,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstrata.llm.common import map_arrow, ranges, stored, text_batches
+from jobstrata.llm.units import Remembered
 
 OPEN_WINDOWS = 16
 # Tasks, or groups of the level below, whose open windows are merged in one task.
 FAN_IN = 16
-# Bounds of the words that a worker remembers, as written and in plain form.
-WRITTEN_KEPT, PLAIN_KEPT = 100_000, 300_000
 _PIECE = (
     "start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, "
     "node long, open boolean"
 )
 
 
-class Words:
-    """Token ids of texts, word by word; splitting at blanks does not change them.
-
-    Most words are plain Latin letters, perhaps with a full stop or comma. The tokenizer
-    lowers and separates those, so they share the ids of their lower-case letters.
-    """
+# How a tokenizer reads texts for which ``Words`` holds: fixed values.
+_WORD_FORM = {
+    "normalizers": ["NFC", "Replace", "Lowercase"],
+    "blanks": {"Regex": r"\s+"},
+    "words": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+}
+
+
+def reads_words(path: str) -> bool:
+    """Whether a tokenizer file lowers its texts and takes words and signs apart at blanks, so
+    that ids of words follow each other as the words do."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    steps = (told.get("normalizer") or {}).get("normalizers", [])
+    splits = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if [s["type"] for s in steps] != _WORD_FORM["normalizers"] or len(splits) != 2:
+        return False
+    return (
+        steps[1]["pattern"] == _WORD_FORM["blanks"]
+        and steps[1]["content"] == " "
+        and splits[0].get("pattern") == _WORD_FORM["words"]
+        and (splits[0].get("behavior"), splits[0].get("invert")) == ("Removed", True)
+        and splits[1]["type"] == "ByteLevel"
+        and not splits[1]["use_regex"]
+        and not splits[1]["add_prefix_space"]
+        and not any(set(t["content"]) & set(" \n") for t in told["added_tokens"])
+    )
+
+
+def _joined(parts: list, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts in a row, each followed by ``end_id``, and where texts begin."""
+    bounds = np.r_[0, np.cumsum(lengths + 1)]
+    out = np.empty(bounds[-1], np.uint32)
+    last = np.zeros(len(out), bool)
+    last[bounds[1:] - 1] = True
+    out[last] = end_id
+    if parts:
+        out[~last] = np.concatenate(parts)
+    return out, bounds
+
+
+class Whole:
+    """Token ids of whole texts, by a tokenizer of any form."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -49,83 +87,100 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {"": b""}
-        self.stops = {s: self._encoded([s])[0] if s else b"" for s in ("", ".", ",")}
-
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a in range(0, len(words), 4096):
-            told = self.tokenizer.encode_batch(words[a : a + 4096], add_special_tokens=False)
-            out += [np.array(t.ids, np.uint32).tobytes() for t in told]
-        return out
-
-    def _joined(self, words: list[str]) -> list[bytes]:
-        """The same for words that are one unit of the tokenizer each, many in one call."""
-        out: list[bytes] = []
-        for a in range(0, len(words), 2048):
-            part = words[a : a + 2048]
-            told = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            unit = np.array(told.word_ids, np.int64)
-            cuts = (4 * np.searchsorted(unit, np.arange(len(part) + 1))).tolist()
-            raw = np.array(told.ids, np.uint32).tobytes()
-            out += [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
-        return out
-
-    def _spelled(self, words: list[str]) -> list[bytes]:
-        known, plain = self.known, self.plain
-        out = [known.get(w) for w in words]
-        letters: list[tuple[int, str, str]] = []
-        others: list[int] = []
-        for i, ids in enumerate(out):
-            if ids is not None:
-                continue
-            word = words[i]
-            stop = word[-1:] if word[-1:] in (".", ",") else ""
-            core = word[: len(word) - len(stop)]
-            low = core.lower()
-            # Beyond U+024F letters are left to the tokenizer's own tables.
-            if low.isascii() and (low.isalpha() or not low):
-                letters.append((i, low, stop))
-            elif core.isalpha() and low.isalpha() and max(low) < "\u0250" > max(core):
-                letters.append((i, low, stop))
-            else:
-                others.append(i)
-        fresh = list({low for _, low, _ in letters if low not in plain})
-        new = dict(zip(fresh, self._joined(fresh), strict=True))
-        for i, low, stop in letters:
-            out[i] = (new[low] if low in new else plain[low]) + self.stops[stop]
-        for i, ids in zip(others, self._encoded([words[i] for i in others]), strict=True):
-            out[i] = ids
-        if len(plain) < PLAIN_KEPT:
-            plain.update((w, ids) for w, ids in new.items() if len(w) < 64)
-        if len(known) < WRITTEN_KEPT:
-            seen = [*(i for i, _, _ in letters), *others]
-            known.update((words[i], out[i]) for i in seen if len(words[i]) < 64)
-        return out
+
+    def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, each text's followed by ``end_id``, and where texts begin."""
+        words = pc.fill_null(texts, "").to_pylist()
+        told = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        parts = [np.array(t.ids, np.uint32) for t in told]
+        return _joined(parts, np.fromiter(map(len, parts), np.int64, len(parts)), end_id)
+
+
+class Words(Whole):
+    """Token ids word by word, for tokenizers that ``reads_words``.
+
+    Most words are letters, perhaps with a full stop or comma behind. The tokenizer lowers and
+    separates those, so they share the ids of their lower-case letters.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.letters = Remembered(self._letter_ids, np.uint32)
+        self.others = Remembered(self._other_ids, np.uint32)
+        told = self.tokenizer.encode_batch([".", ","], add_special_tokens=False)
+        self.stops = np.array([0, *(t.ids[0] for t in told)], np.uint32)
+
+    def _letter_ids(self, units: pa.Array, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Words of letters are one unit of the tokenizer each, so many go in one call."""
+        lengths = np.zeros(len(words), np.int64)
+        filled = np.flatnonzero(pc.binary_length(units).to_numpy(zero_copy_only=False))
+        parts = []
+        for a in range(0, len(filled), 4096):
+            part = filled[a : a + 4096]
+            text = " ".join([words[i] for i in part.tolist()])
+            told = self.tokenizer.encode(text, add_special_tokens=False)
+            parts.append(np.array(told.ids, np.uint32))
+            lengths[part] = np.bincount(np.array(told.word_ids, np.int64), minlength=len(part))
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        return flat, np.cumsum(lengths) - lengths, lengths
+
+    def _other_ids(self, units: pa.Array, words: list[str]) -> tuple[np.ndarray, ...]:
+        told = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        lengths = np.fromiter((len(t) for t in told), np.int64, len(told))
+        flat = np.fromiter(chain.from_iterable(t.ids for t in told), np.uint32, lengths.sum())
+        return flat, np.cumsum(lengths) - lengths, lengths
+
+    def _spelled(self, words: pa.Array) -> tuple[np.ndarray, ...]:
+        """Of different words: flat ids, begins and lengths there, and the stop behind."""
+        dot, comma = pc.ends_with(words, "."), pc.ends_with(words, ",")
+        stop = dot.to_numpy(zero_copy_only=False) + 2 * comma.to_numpy(zero_copy_only=False)
+        core = pc.if_else(pc.or_(dot, comma), pc.utf8_slice_codeunits(words, 0, -1), words)
+        low = pc.utf8_lower(core)
+        plain = pc.or_(pc.utf8_is_alpha(low), pc.equal(pc.binary_length(low), 0))
+        plain = plain.to_numpy(zero_copy_only=False) & ~(_far(core) | _far(low))
+        letters, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        cores = low.take(pa.array(letters)).dictionary_encode()
+        flat, begin, many = self.letters.rows(cores.dictionary)
+        place = cores.indices.to_numpy()
+        odd, odd_begin, odd_many = self.others.rows(words.take(pa.array(others)))
+        begins, lengths = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        begins[letters], lengths[letters] = begin[place], many[place]
+        begins[others], lengths[others] = len(flat) + odd_begin, odd_many
+        stop[others] = 0
+        return np.concatenate([flat, odd]), begins, lengths, stop
 
     def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text's followed by ``end_id``, and where texts begin."""
         plain = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         split = pc.split_pattern(plain, " ")
         words = split.flatten().dictionary_encode()
-        spelled = self._spelled(words.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(spelled), np.uint32)
-        lengths = np.fromiter((len(s) // 4 for s in spelled), np.int64, len(spelled))
-        begins = np.cumsum(lengths) - lengths
+        flat, begins, lengths, stop = self._spelled(words.dictionary)
         place = words.indices.to_numpy()
-        each = lengths[place]
-        tokens = flat[ranges(begins[place], each)]
+        core, behind = lengths[place], stop[place]
+        each = core + (behind > 0)
+        before = np.cumsum(each) - each
+        tokens = np.empty(int(each.sum()), np.uint32)
+        tokens[ranges(before, core)] = flat[ranges(begins[place], core)]
+        stopped = np.flatnonzero(behind)
+        tokens[before[stopped] + core[stopped]] = self.stops[behind[stopped]]
         in_text = np.diff(split.offsets.to_numpy())
-        before = np.r_[0, np.cumsum(each)]
-        text_end = before[np.cumsum(in_text)]
-        bounds = np.r_[0, text_end + np.arange(1, len(text_end) + 1)]
-        out = np.empty(len(tokens) + len(text_end), np.uint32)
-        last = np.zeros(len(out), bool)
-        last[bounds[1:] - 1] = True
-        out[last] = end_id
-        out[~last] = tokens
-        return out, bounds
+        through = np.r_[0, np.cumsum(each)][np.cumsum(in_text)]
+        return _joined([tokens], np.diff(through, prepend=0), end_id)
+
+
+def _far(words: pa.Array) -> np.ndarray:
+    """Words with a sign from U+0240 on, or with U+0130, whose small form has two signs; the
+    tokenizer's own tables are left to deal with these."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset :][: len(words) + 1]
+    data = words.buffers()[2]
+    found = np.zeros(len(words), bool)
+    if data is None or not len(words):
+        return found
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    far = raw >= 0xC9
+    far[:-1] |= (raw[:-1] == 0xC4) & (raw[1:] == 0xB0)
+    found[np.searchsorted(offsets - offsets[0], np.flatnonzero(far), "right") - 1] = True
+    return found
 
 
 class Packer:
@@ -206,14 +261,14 @@ class Packer:
         return pa.table({n: table[n] for n in order})
 
 
-_WORDS: dict[str, Words] = {}
+_WORDS: dict[str, Whole] = {}
 
 
 def _pack_task(
     batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int
 ) -> Iterator[pa.RecordBatch]:
     if path not in _WORDS:
-        _WORDS[path] = Words(path)
+        _WORDS[path] = Words(path) if reads_words(path) else Whole(path)
     task = TaskContext.get().partitionId()
     packer, held = Packer(length, task << 32), None
     for batch in text_batches(batches, "text", 3 << 20):

@@ -9,13 +9,15 @@ crosses such a place. Natural text has few different units, so each is encoded a
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Units that a worker remembers; beyond, it starts anew.
-UNITS_KEPT = 250_000
+# Units and numbers that a worker remembers; beyond, it starts anew.
+UNITS_KEPT = 300_000
+NUMBERS_KEPT = 4_000_000
 # Longer units are encoded each time they are met.
 LONGEST_KEPT = 64
 
@@ -68,11 +70,16 @@ def coded(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
 
 
 class Remembered:
-    """Rows of numbers per unit, made by ``encode`` (units -> flat numbers, lengths)."""
+    """Numbers per unit, made by ``encode`` and kept for later batches.
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind):
+    ``encode`` is given units as an array and as a list, and returns flat numbers, and where each
+    unit's begin there and how many they are.
+    """
+
+    def __init__(self, encode: Callable, kind, most: int = UNITS_KEPT):
         self.encode = encode
         self.kind = kind
+        self.most = most
         self._forget()
 
     def _forget(self) -> None:
@@ -82,43 +89,70 @@ class Remembered:
 
     def rows(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat numbers, and where each unit's begin and how many they are."""
-        if len(self.place) > UNITS_KEPT:
+        if len(self.place) > self.most or self.used > NUMBERS_KEPT:
             self._forget()
-        words = units.to_numpy(zero_copy_only=False).tolist()
-        known = self.place.get
-        found = np.fromiter((known(w, -1) for w in words), np.int64, len(words))
+        words = units.to_numpy(zero_copy_only=False)
+        known, n = self.place, len(words)
+        found = np.fromiter(map(known.get, words, repeat(-1)), np.int64, n)
         missing = np.flatnonzero(found < 0)
         if not len(missing):
             return self.flat[: self.used], self.begins[found], self.lengths[found]
-        fresh = [words[i] for i in missing.tolist()]
-        flat, lengths = self.encode(fresh)
+        fresh = words[missing].tolist()
+        taken = units.take(pa.array(missing))
+        flat, begins, lengths = self.encode(taken, fresh)
+        # Long units are not found again; what they took is given back when all is forgotten.
+        short = pc.less_equal(pc.binary_length(taken), LONGEST_KEPT).to_numpy(False)
         first = len(self.begins)
-        begins = self.used + np.cumsum(lengths) - lengths
-        if self.used + len(flat) > len(self.flat):
-            room = np.zeros(2 * (self.used + len(flat)), self.kind)
+        self.begins = np.concatenate([self.begins, self.used + begins])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        end = self.used + len(flat)
+        if end > len(self.flat):
+            room = np.zeros(2 * end, self.kind)
             room[: self.used] = self.flat[: self.used]
             self.flat = room
-        self.flat[self.used : self.used + len(flat)] = flat
+        self.flat[self.used : end] = flat
         found[missing] = first + np.arange(len(missing))
-        all_begins = np.concatenate([self.begins, begins])
-        all_lengths = np.concatenate([self.lengths, lengths])
-        out = self.flat[: self.used + len(flat)], all_begins[found], all_lengths[found]
-        # Only short units are kept; what long ones took is given back with the next batch.
-        if all(len(w) <= LONGEST_KEPT for w in fresh):
-            self.used += len(flat)
-            self.begins, self.lengths = all_begins, all_lengths
-            self.place.update(zip(fresh, range(first, first + len(fresh))))
+        out = self.flat[:end], self.begins[found], self.lengths[found]
+        self.used = end
+        numbers = range(first, first + len(fresh))
+        if short.all():
+            known.update(zip(fresh, numbers))
         else:
-            short = np.array([len(w) <= LONGEST_KEPT for w in fresh])
-            kept = np.repeat(short, lengths)
-            n = int(kept.sum())
-            held = out[0].copy()
-            self.flat[self.used : self.used + n] = flat[kept]
-            some = lengths[short]
-            self.begins = np.concatenate([self.begins, self.used + np.cumsum(some) - some])
-            self.lengths = np.concatenate([self.lengths, some])
-            self.used += n
-            some_units = [w for w, s in zip(fresh, short.tolist()) if s]
-            self.place.update(zip(some_units, range(first, first + len(some_units))))
-            out = held, out[1], out[2]
+            known.update((w, i) for w, i, s in zip(fresh, numbers, short.tolist()) if s)
         return out
+
+
+def joined(
+    units: pa.Array,
+    words: list[str],
+    whole: Callable[[str], list[int] | None],
+    alone: Callable[[str], list[int]],
+    widths: np.ndarray,
+    most: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of units, as ``Remembered`` takes them. Those that end with other than white space are
+    encoded ``most`` at once by ``whole`` and cut by the bytes that their ids spell, ``widths``;
+    the others, and those of a call that gives None, one by one by ``alone``."""
+    single = np.fromiter((w[-1:].isspace() for w in words), bool, len(words))
+    order = np.flatnonzero(~single)
+    sizes = pc.binary_length(units).to_numpy(zero_copy_only=False)
+    begins, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    parts, used = [], 0
+    for a in range(0, len(order), most):
+        part = order[a : a + most]
+        told = whole("".join([words[i] for i in part.tolist()]))
+        if told is None:
+            single[part] = True
+            continue
+        told = np.array(told, np.int32)
+        cuts = np.searchsorted(np.cumsum(widths[told]), np.cumsum(sizes[part])) + 1
+        lengths[part] = np.diff(cuts, prepend=0)
+        begins[part] = used + cuts - lengths[part]
+        parts.append(told)
+        used += len(told)
+    for i in np.flatnonzero(single).tolist():
+        told = np.array(alone(words[i]), np.int32)
+        begins[i], lengths[i] = used, len(told)
+        parts.append(told)
+        used += len(told)
+    return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), begins, lengths
