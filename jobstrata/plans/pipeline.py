@@ -34,7 +34,7 @@ from jobstrata.operators.quality import (
     row_arity,
     scan_with_arity,
 )
-from jobstrata.sources import catalog, publish, readers, writers
+from jobstrata.sources import catalog, documents, publish, readers, writers
 from jobstrata.workspace import scratch
 
 
@@ -332,7 +332,8 @@ def publish_documents(spark: SparkSession, cfg: LakeConfig, table: TableConfig)
     """Functional table to the document collection, straight from the table."""
     functional = refuse_empty(load(spark, cfg, names.FUNCTIONAL, table), "functional table")
     name = cfg.aggregate(table)
-    path = cfg.table_path(names.GOLD, name) if cfg.document_format == "json" else None
+    in_files = cfg.document_format in ("json", documents.NAME)
+    path = cfg.table_path(names.GOLD, name) if in_files else None
     options = cfg.document_options
     rows, content = _watched(functional, cfg)
     written = writers.write_documents(rows, cfg.document_format, path=path, options=options)

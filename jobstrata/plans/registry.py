@@ -38,7 +38,7 @@ from jobstrata.operators import (
 from jobstrata.plans import catalog_queries
 from jobstrata.plans.pipeline import load, run_pipeline
 from jobstrata.plans.standin import posting_bound, postings, postings_sql
-from jobstrata.sources import readers, writers
+from jobstrata.sources import documents, readers, writers
 from jobstrata.workspace import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -437,6 +437,19 @@ def documents_roundtrip(spark, sf_dir):
     return readers.read_documents(spark, path=path, schema=FUNCTIONAL)
 
 
+@_register("documents_source", _IMPACT + "\n-- a collection of files")
+def documents_source(spark, sf_dir):
+    """The functional table through a document collection, over an older one."""
+    path = new_path(spark, "collection")
+    rows = aggregates.impact_aggregate(
+        postings(spark, sf_dir), known_rows=posting_bound(spark, sf_dir)
+    )
+    older = rows.where("risk_category = 'HIGH'")
+    for written in (older, rows):
+        writers.write_documents(written, documents.NAME, path=path)
+    return readers.read_documents(spark, documents.NAME, path=path, schema=FUNCTIONAL)
+
+
 @_register("all_layers", _IMPACT)
 def all_layers(spark, sf_dir):
     """Source text through every layer; the functional table as stored. Landing is Parquet,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from jobstrata.contract import RAW
+from jobstrata.sources import documents
 
 # Both ways of the lossless text form. Every value is quoted; null is the bare sentinel
 # text, so a value equal to it would read back as null.
@@ -73,7 +74,10 @@ def read_documents(
     schema: T.StructType | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read a document collection; ``fmt`` names the connector, JSON lines by default."""
+    """Read a document collection; ``fmt`` names the connector, JSON lines by default, or
+    ``documents.NAME``, the collection of files that comes with the library."""
+    if fmt == documents.NAME:
+        documents.register(spark)
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
+from jobstrata.sources import documents
 from jobstrata.sources.readers import LOSSLESS_CSV, PLAIN_CSV
 
 # Bounds a text file, which is read by one task because quoted newlines are allowed.
@@ -110,7 +111,10 @@ def write_documents(
     path: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> int:
-    """A document collection; ``fmt`` names the connector, JSON lines by default."""
+    """A document collection; ``fmt`` names the connector, JSON lines by default, or
+    ``documents.NAME``."""
+    if fmt == documents.NAME:
+        documents.register(df.sparkSession)
 
     def write(writer: DataFrameWriter) -> None:
         writer = writer.format(fmt).mode("overwrite").options(**(options or {}))
