@@ -47,6 +47,8 @@ class LakeConfig:
     ``verify`` is ``"content"`` or ``"count"``: whether the fingerprint of all values or only the
     number of rows of every sink is compared with what was written to it, and ``on_mismatch`` is
     ``"raise"`` or ``"warn"``: what to do where they differ.
+    ``multi_line_source`` says that quoted values may hold newlines, and ``align_headers`` takes
+    each file's columns by its own header instead of refusing other orders.
     With ``incremental`` the aggregate of a table whose landing partitions are replaced one by
     one is merged from states of the partitions, and only changed ones are read again.
     ``keep_rejects`` stores malformed source lines beside the raw table, and more than
@@ -68,6 +70,7 @@ class LakeConfig:
     most_malformed_rows: int | None = None
     incremental: bool = False
     multi_line_source: bool = False
+    align_headers: bool = False
     single_csv: bool = False
     plain_csv: bool = False
     document_format: str = "json"

@@ -23,12 +23,13 @@ from jobstrata.contract import (
     string_schema,
 )
 from jobstrata.functions import to_double
-from jobstrata.operators import aggregates, projections, quality
+from jobstrata.operators import projections, quality
 from jobstrata.plans.standin import postings
 from jobstrata.sources import catalog, publish, writers
 from jobstrata.workspace import materialise, new_path
 
-_COUNTS = "SELECT industry, city, count(*) AS job_count FROM postings\nWHERE {} GROUP BY ALL"
+_ROWS = "SELECT * FROM postings WHERE {}"
+_NUMBERED = {name: f"column_{at}" for at, name in enumerate(RAW_COLUMNS, start=1)}
 _AGAIN = "city = 'city_3' AND industry = 'building'"
 _FILLED = "\nUNION ALL ".join(
     f"SELECT '{name}' AS column_name, count({name}) AS filled FROM postings"
@@ -47,12 +48,11 @@ def _database(spark: SparkSession) -> Iterator[str]:
 
 
 def _by_city(spark: SparkSession, sf_dir: str, database: str) -> tuple[str, DataFrame]:
-    """A table of industries partitioned by city, with its rows inserted."""
-    rows = postings(spark, sf_dir).select("city", "industry")
+    """A table of whole postings partitioned by city, with its rows inserted."""
+    rows = postings(spark, sf_dir)
     table = f"{database}.by_city"
-    schema = string_schema(["industry", "city"])
     path = new_path(spark, "by-city")
-    catalog.create_source_table(spark, table, path, schema, "parquet", partitioned_by=["city"])
+    catalog.create_source_table(spark, table, path, RAW, "parquet", partitioned_by=["city"])
     catalog.insert_overwrite(rows, table, ["city"])
     return table, rows
 
@@ -61,7 +61,7 @@ def _overwritten(spark: SparkSession, sf_dir: str, dynamic: bool) -> DataFrame:
     with _database(spark) as database:
         table, rows = _by_city(spark, sf_dir, database)
         catalog.insert_overwrite(rows.where(_AGAIN), table, ["city"], dynamic=dynamic)
-        return materialise(aggregates.group_count(spark.table(table), ["industry", "city"]))
+        return materialise(spark.table(table))
 
 
 def catalog_overwrite(spark, sf_dir):
@@ -101,10 +101,9 @@ def positional_insert(spark, sf_dir):
     """Columns of other names inserted by position."""
     with _database(spark) as database:
         table = f"{database}.positions"
-        schema = string_schema(["a", "b", "c"])
+        schema = string_schema(_NUMBERED.values())
         catalog.create_source_table(spark, table, new_path(spark, "positions"), schema, "parquet")
-        rows = postings(spark, sf_dir).select("job_id", "job_title", "industry")
-        catalog.insert_overwrite(rows, table)
+        catalog.insert_overwrite(postings(spark, sf_dir), table)
         return materialise(spark.table(table))
 
 
@@ -238,11 +237,16 @@ def add(register, curated_sql: str, text_sql: str) -> None:
     """Register every query above with its SQL."""
     kept = "city <> 'city_3' OR industry = 'building'"
     for query, sql in (
-        (catalog_overwrite, _COUNTS.format(kept)),
-        (static_overwrite, _COUNTS.format(_AGAIN)),
+        (catalog_overwrite, _ROWS.format(kept)),
+        (static_overwrite, _ROWS.format(_AGAIN)),
         (managed_table, curated_sql),
         (raw_text_table, text_sql),
-        (positional_insert, "SELECT job_id AS a, job_title AS b, industry AS c FROM postings"),
+        (
+            positional_insert,
+            "SELECT {} FROM postings".format(
+                ", ".join(f"{name} AS {other}" for name, other in _NUMBERED.items())
+            ),
+        ),
         (view_handover, "SELECT industry, count(*) AS jobs FROM postings GROUP BY 1"),
         (
             layer_reset,

@@ -33,8 +33,12 @@ from jobstrata.operators.quality import (
     refuse_empty,
     row_arity,
     scan_with_arity,
+    structure_problems,
 )
+from jobstrata.plans.journal import Journal, as_report, folder_version, inputs_hash
 from jobstrata.sources import catalog, documents, publish, readers, writers
+from jobstrata.sources.aligned_text import aligned_scan, file_headers
+from jobstrata.sources.split_text import scan_in_splits
 from jobstrata.workspace import scratch
 
 
@@ -141,6 +145,24 @@ def load(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -
     return spark.read.parquet(path)
 
 
+def _scanned(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> DataFrame:
+    """Source rows, after a look at the headers of all files."""
+    source, escape = cfg.source(table), table.quote_escape
+    if cfg.align_headers:
+        return aligned_scan(spark, source, table.schema, quote_escape=escape)
+    if cfg.multi_line_source:
+        headers = file_headers(spark, source, table.schema, quote_escape=escape)
+        for row in headers.collect():
+            problems = structure_problems(row["names"], table.schema)
+            if problems:
+                raise ValueError(f"header of {row['file']}: " + "; ".join(problems))
+        return scan_in_splits(spark, source, table.schema, quote_escape=escape)
+    problems = header_problems(spark, source, table.schema)
+    if problems:
+        raise ValueError(f"{source}: " + "; ".join(problems))
+    return scan_with_arity(spark, source, table.schema, quote_escape=escape)
+
+
 def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> StepReport:
     """Source text into the raw layer, every value as it stands.
 
@@ -149,16 +171,7 @@ def ingest_raw(spark: SparkSession, cfg: LakeConfig, table: TableConfig) -> Step
     their lines can be kept, and their number limited, by the settings.
     """
     source = cfg.source(table)
-    problems = header_problems(spark, source, table.schema, multi_line=cfg.multi_line_source)
-    if problems:
-        raise ValueError(f"{source}: " + "; ".join(problems))
-    scanned = scan_with_arity(
-        spark,
-        source,
-        table.schema,
-        multi_line=cfg.multi_line_source,
-        quote_escape=table.quote_escape,
-    )
+    scanned = _scanned(spark, cfg, table)
     limit = cfg.most_malformed_rows
     if limit is not None:
         malformed = row_arity(scanned).first()["malformed_rows"]
@@ -359,12 +372,83 @@ STEPS = (
 )
 
 
-def run_pipeline(spark: SparkSession, cfg: LakeConfig) -> list[StepReport]:
-    """Run every step over every configured table, layer by layer."""
+def _settings_of(step, cfg: LakeConfig, table: TableConfig) -> dict:
+    """What of the settings decides the result of a step."""
+    if step is ingest_raw:
+        return {
+            "schema": table.schema.json(),
+            "multi_line": cfg.multi_line_source,
+            "quote_escape": table.quote_escape,
+            "keep_rejects": cfg.keep_rejects,
+            "most_malformed_rows": cfg.most_malformed_rows,
+        }
+    if step is build_landing:
+        return {
+            "format": cfg.landing_format,
+            "keys": table.partitioned_by,
+            "dynamic": table.dynamic_partitions,
+            "contract": table.contract_path,
+        }
+    if step is export_gold:
+        return {"plain": cfg.plain_csv, "single": cfg.single_csv}
+    if step is publish_documents:
+        return {"format": cfg.document_format, "options": dict(cfg.document_options)}
+    return {}
+
+
+def _folder(spark: SparkSession, cfg: LakeConfig, layer: str, table: TableConfig) -> str:
+    """Where the table of a layer is stored now."""
+    name = _stored_name(cfg, layer, table)
+    target = cfg.table(layer, name)
+    if cfg.use_catalog and spark.catalog.tableExists(target):
+        return publish.location_of(spark, target)
+    return cfg.table_path(layer, name)
+
+
+def _inputs(spark: SparkSession, cfg: LakeConfig, step, table: TableConfig) -> str:
+    """A hash of what a step reads and how."""
+    if step is ingest_raw:
+        read = cfg.source(table)
+    else:
+        layer = {build_landing: names.WORKLOAD, build_functional: names.LANDING,
+                 build_curated: names.LANDING}.get(step, names.FUNCTIONAL)
+        read = _folder(spark, cfg, layer, table)
+    return inputs_hash(
+        read=folder_version(spark, read),
+        settings=_settings_of(step, cfg, table),
+        use_catalog=cfg.use_catalog,
+        verify=cfg.verify,
+    )
+
+
+def _output(spark: SparkSession, cfg: LakeConfig, layer: str, step, table: TableConfig) -> str:
+    if step is export_gold:
+        return cfg.table_path(names.GOLD, f"{cfg.aggregate(table)}_csv")
+    if step is publish_documents:
+        return cfg.table_path(names.GOLD, cfg.aggregate(table))
+    return _folder(spark, cfg, layer, table)
+
+
+def run_pipeline(
+    spark: SparkSession, cfg: LakeConfig, *, resume: bool = False
+) -> list[StepReport]:
+    """Run every step over every configured table, layer by layer.
+
+    With ``resume`` finished steps are written to a journal, and those are left out whose inputs
+    and settings are the ones of the last run and whose output is as that run left it.
+    """
+    journal = Journal(spark, f"{cfg.layer_path('journal')}/steps")
     reports, landed, copied = [], {}, {}
     for layer, step in STEPS:
         for table in cfg.tables:
-            if step is build_functional:
+            name, inputs, told = f"{step.__name__} {table.name}", "", None
+            if resume:
+                inputs = _inputs(spark, cfg, step, table)
+                output = _output(spark, cfg, layer, step, table)
+                told = journal.finished(name, inputs, output)
+            if told is not None:
+                report = as_report(StepReport, told)
+            elif step is build_functional:
                 report = step(spark, cfg, table, landing_rows=landed[table.name])
             else:
                 report = step(spark, cfg, table)
@@ -375,6 +459,9 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig) -> list[StepReport]:
             refuse_mismatch(report, cfg)
             if step is build_landing:
                 refuse_difference(copied[table.name], report, cfg)
+            if resume and told is None and report.matches:
+                output = _output(spark, cfg, layer, step, table)
+                journal.record(name, inputs, output, report)
             copied[table.name] = report
             reports.append(report)
         if cfg.reset and cfg.use_catalog and layer != names.GOLD:

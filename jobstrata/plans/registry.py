@@ -6,12 +6,15 @@ Every query reads the whole stand-in postings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.config import LakeConfig, TableConfig
+from jobstrata.config import GOLD, LakeConfig, TableConfig
 from jobstrata.contract import (
     FUNCTIONAL,
     GROUP_COLUMNS,
@@ -31,14 +34,18 @@ from jobstrata.operators import (
     aggregates,
     exploration,
     fingerprint,
+    inference,
     projections,
     quality,
+    sketches,
     states,
 )
 from jobstrata.plans import catalog_queries
 from jobstrata.plans.pipeline import load, run_pipeline
 from jobstrata.plans.standin import posting_bound, postings, postings_sql
 from jobstrata.sources import documents, readers, writers
+from jobstrata.sources.aligned_text import aligned_scan
+from jobstrata.sources.split_text import scan_in_splits
 from jobstrata.workspace import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,6 +302,24 @@ def group_median_refined(spark, sf_dir):
     return aggregates.group_median(_tiered(spark, sf_dir), single_pass_rows=0)
 
 
+@_register(
+    "group_median_sketch",
+    f"SELECT {_KEYS}, count(TRY_CAST(salary_usd AS DOUBLE)) AS n, true AS within FROM postings "
+    "GROUP BY ALL",
+)
+def group_median_sketch(spark, sf_dir):
+    """Medians from sketches that are made per city and merged: whether each is within the
+    stated rank error, told by all values of its group."""
+    rows = _tiered(spark, sf_dir)
+    parts = sketches.value_sketches(rows, ["city", *GROUP_COLUMNS], to_double(F.col("salary_usd")))
+    medians = sketches.quantiles(
+        sketches.merged_sketches(parts, GROUP_COLUMNS), GROUP_COLUMNS, {"median": 0.5}
+    )
+    return sketches.within_error(
+        rows, medians, GROUP_COLUMNS, to_double(F.col("salary_usd")), "median", 0.5
+    )
+
+
 @_register("group_count", f"SELECT {_KEYS}, count(*) AS job_count FROM postings GROUP BY ALL")
 def group_count(spark, sf_dir):
     return aggregates.group_count(_tiered(spark, sf_dir))
@@ -396,6 +421,105 @@ def raw_csv_scan(spark, sf_dir):
     )
 
 
+_BROKEN = _curated_select().replace("job_title,", "replace(job_title, ' ', chr(10)) AS job_title,")
+
+
+@_register("multiline_split_scan", _BROKEN)
+def multiline_split_scan(spark, sf_dir):
+    """Postings as one text file with newlines in its quoted titles, scanned in splits."""
+    titles = F.replace("job_title", F.lit(" "), F.lit("\n"))
+    rows = postings(spark, sf_dir).withColumn("job_title", titles)
+    path = _source_text(rows.coalesce(1), "broken-lines")
+    return projections.curated_postings(scan_in_splits(spark, path).select(*RAW_COLUMNS))
+
+
+@_register("aligned_headers", _curated_select() + "\n-- by each file's header")
+def aligned_headers(spark, sf_dir):
+    """Postings as text files per industry, each with an order of columns of its own."""
+    rows = materialise(postings(spark, sf_dir))
+    path = new_path(spark, "headers")
+    kinds = [r["industry"] for r in rows.select("industry").distinct().orderBy("industry").collect()]
+    for at, kind in enumerate(kinds):
+        order = [*RAW_COLUMNS[at:], *RAW_COLUMNS[:at]]
+        part = rows.where(F.col("industry") == kind).select(*order)
+        options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        part.write.mode("append").options(header=True, **options).csv(path)
+    return projections.curated_postings(aligned_scan(spark, path).select(*RAW_COLUMNS))
+
+
+_FITS = (
+    ("int", r"regexp_full_match({0}, '[+-]?[0-9]+') AND TRY_CAST({0} AS INTEGER) IS NOT NULL"),
+    ("bigint", r"regexp_full_match({0}, '[+-]?[0-9]+') AND TRY_CAST({0} AS BIGINT) IS NOT NULL"),
+    ("double", r"regexp_full_match({0}, '[+-]?[0-9]+(\.[0-9]+)?(E-?[0-9]+)?')"),
+    ("boolean", r"lower({0}) IN ('true', 'false')"),
+)
+
+
+def _inferred_sql() -> str:
+    each = []
+    for at, name in enumerate(RAW_COLUMNS, start=1):
+        value = f"nullif(trim({name}), '')"
+        fits = " ".join(
+            f"WHEN count(CASE WHEN {test.format(value)} THEN 1 END) = count({value}) THEN '{kind}'"
+            for kind, test in _FITS
+        )
+        each.append(
+            f"SELECT {at} AS position, '{name}' AS column_name, CASE {fits} ELSE 'string' END "
+            f"AS type, count({value}) AS filled FROM postings"
+        )
+    return "\nUNION ALL ".join(each)
+
+
+@_register("inferred_export", _inferred_sql())
+def inferred_export(spark, sf_dir):
+    """Column types of an export of all postings, told by all values of all its files."""
+    path = new_path(spark, "export")
+    writers.export_csv(postings(spark, sf_dir), path)
+    return inference.infer_types(readers.read_csv_export(spark, path, RAW))
+
+
+@_register("resumed_layers", _IMPACT + "\n-- after a failed run")
+def resumed_layers(spark, sf_dir):
+    """All layers, whose last step fails in a first run; the second one goes on from there."""
+    folder = new_path(spark, "resumed")
+    cfg = LakeConfig(
+        source_path=_source_text(postings(spark, sf_dir), "source"),
+        base_path=folder,
+        tables=(TableConfig(source_file=""),),
+        use_catalog=False,
+        landing_format="parquet",
+        document_format=documents.NAME,
+    )
+    try:
+        run_pipeline(spark, replace(cfg, document_format="no-such-format"), resume=True)
+    except (PySparkException, Py4JJavaError):
+        run_pipeline(spark, cfg, resume=True)
+    path = cfg.table_path(GOLD, cfg.aggregate_name)
+    return readers.read_documents(spark, documents.NAME, path=path, schema=FUNCTIONAL)
+
+
+@_register(
+    "schema_listing",
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS column_name, 'string' AS type, {at} AS position, "
+        f"count({name}) AS filled FROM postings"
+        for at, name in enumerate(RAW_COLUMNS, start=1)
+    ),
+)
+def schema_listing(spark, sf_dir):
+    """Name, type and position of every column, with its filled rows."""
+    return quality.schema_listing(postings(spark, sf_dir))
+
+
+@_register(
+    "preview_rows",
+    "SELECT * FROM postings ORDER BY {} LIMIT 5".format(", ".join(RAW_COLUMNS)),
+)
+def preview_rows(spark, sf_dir):
+    """The first five postings, over all columns."""
+    return quality.preview_rows(postings(spark, sf_dir), list(RAW_COLUMNS))
+
+
 def _loose_text_select() -> str:
     """All raw columns; numbers as numbers, as their text form differs between engines."""
     columns = [_number(name) if name in MEASURE_COLUMNS else name for name in RAW_COLUMNS]
@@ -413,20 +537,16 @@ def lossless_text_roundtrip(spark, sf_dir):
 
 @_register(
     "partition_overwrite",
-    """
-SELECT industry, city, count(*) AS job_count FROM postings
-WHERE city <> 'city_3' OR industry = 'building'
-GROUP BY ALL""",
+    "SELECT * FROM postings WHERE city <> 'city_3' OR industry = 'building'",
 )
 def partition_overwrite(spark, sf_dir):
     """A folder by city whose partition ``city_3`` is written again with one industry only."""
     path = new_path(spark, "partitions")
-    rows = projections.partition_last(postings(spark, sf_dir).select("city", "industry"), "city")
+    rows = projections.partition_last(postings(spark, sf_dir), "city")
     writers.write_folder(rows, path, partitioned_by=["city"])
     again = rows.where("city = 'city_3' AND industry = 'building'")
     writers.write_folder(again, path, partitioned_by=["city"])
-    stored = spark.read.schema(rows.schema).parquet(path)
-    return aggregates.group_count(stored, ["industry", "city"])
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @_register("documents_roundtrip", _IMPACT)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from jobstrata.contract import RAW
+from jobstrata.operators.inference import inferred_schema
 from jobstrata.sources import documents
 
 # Both ways of the lossless text form. Every value is quoted; null is the bare sentinel
@@ -58,12 +59,12 @@ def read_lossless_csv(spark: SparkSession, path: str, schema: T.StructType) -> D
 def read_csv_export(
     spark: SparkSession, pattern: str, schema: T.StructType | None, *, plain: bool = False
 ) -> DataFrame:
-    """Exported CSV by path or glob. Without a schema the types are inferred, at the cost of
-    a second pass over the text."""
-    reader = spark.read.options(**(PLAIN_CSV if plain else LOSSLESS_CSV), multiLine="true")
+    """Exported CSV by path or glob. Without a schema the types are inferred from all values of
+    all files, at the cost of a second pass over the text."""
+    options = {**(PLAIN_CSV if plain else LOSSLESS_CSV), "multiLine": "true"}
     if schema is None:
-        return reader.option("inferSchema", "true").csv(pattern)
-    return reader.schema(schema).csv(pattern)
+        schema = inferred_schema(spark.read.options(**options).csv(pattern))
+    return spark.read.options(**options).schema(schema).csv(pattern)
 
 
 def read_documents(
