@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.llm.common import stored
+from jobstrata.llm.common import join_counted, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has two columns of numbers, in any direction, repeated or not; loops and nulls
     are ignored. Alternating star steps: first all larger neighbours of a node are moved to
     the smallest node around it, then all smaller ones, until every node has one edge, to its
-    root. Each round is stored; only the number and a hash of the edges reach the driver.
+    root. Edges of nodes with very many are joined by broadcast, so that no task has them all. Each
+    round is stored; only the number and a hash of the edges reach the driver.
     """
     a, b = (F.col(f"`{c}`") for c in edges.columns)
     current = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -22,18 +23,19 @@ def components(edges: DataFrame) -> DataFrame:
     current = stored(current.where("u <> v").distinct(), "edges")
     while True:
         both = current.union(current.select("v", "u"))
-        lowest = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
-        lowest = lowest.select("w", F.least("w", "m").alias("m"))
+        lowest = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("times"))
+        lowest = stored(lowest.select("u", F.least("u", "m").alias("m"), "times"), "lowest")
         large = (
-            both.join(lowest, F.col("u") == F.col("w"))
+            join_counted(both, lowest, "u", "times")
             .where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        lowest = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        large = stored(large, "large")
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("times"))
         ends = F.explode(F.array("u", "v")).alias("u")
         small = (
-            large.join(lowest, F.col("u") == F.col("w"))
+            join_counted(large, stored(lowest, "lowest"), "u", "times")
             .select(ends, F.col("m").alias("v"))
             .where("u <> v")
             .distinct()
