@@ -1,21 +1,24 @@
-"""Removal of repeated runs of lines, found by grouping all line windows by their content.
+"""Removal of repeated runs of lines by winnowing over line hashes.
 
 A window is the shortest run of lines from a line on, or up to a line, with ``least`` words
-in all. Its fingerprint is the smallest line hash in it, as in winnowing: any two equal
-runs of ``least`` words share whole windows and so fingerprints. Positions are joined on the
-fingerprint together with a hash of the lines on both sides of it up to the window's ends,
-so what joins is already extended both ways; windows of one run overlap or touch, and their
-union is the run. No position is left out, so this is no selection as in winnowing proper: the
-content decides alone, at up to two rows a line. Every line of a window whose content occurred earlier is deleted. Earlier
-means a smaller doc_id, or the same document further up.
+in all. Every window selects the place of its smallest line hash, the first of equal ones; windows
+that overlap select mostly the same place, so a document has fewer selected places than
+lines. Two equal runs of ``least`` words hold equal windows and so selected places with equal
+hashes: that is guaranteed. Selected places are joined on their hash; one whose hash no other
+place has is in no repeated run and goes no further. From each of the others its windows extend,
+both ways, and are compared whole, by a hash of their lines: equal ones at an earlier place
+make a match. Windows of one run overlap or touch, and their union is the run. Every line of a
+window whose content occurred earlier is deleted. Earlier means a smaller doc_id, or the same
+document further up.
 
 The outcome: a line goes if and only if it lies in a run of at least ``least`` words that
 also occurs, line by line, at an earlier position. Lines without words do not count as lines
 of a run and go with the run around them.
 
 Only DataFrame functions are used. Texts are shuffled once, to be rebuilt; all else moves
-hashes and positions. A fingerprint's first position is found by a combined aggregate, and
-the others are linked to it alone, so a passage in n documents makes n rows.
+hashes and places. The first place of a window's content is found by a combined aggregate, and
+the others are linked to it alone, so a passage in n documents makes n rows; very common
+hashes and contents are joined by broadcast.
 
 Defined cases: a null text stays null, an empty one empty; a text all of whose lines go
 becomes empty; rows equal in doc_id and text are one document and all keep the same lines;
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobstrata.llm.common import as_row, stored, word_count
+from jobstrata.llm.common import as_row, join_counted, stored, word_count
 
 LEAST_WORDS = 50
 _KEY = ("doc_id", "text_hash")
@@ -56,44 +59,55 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def windows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """All windows: fingerprint, content hash, first and last place."""
+def selected_places(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """A row per place that windows select: its document, place and line hash, and those
+    windows with a hash of their content, first and last place."""
     document = Window.partitionBy(*_KEY)
     # From a line on: lines that begin before ``least`` words are reached; and up to a line.
     onward = document.orderBy("before").rangeBetween(0, least - 1)
     back = document.orderBy("through").rangeBetween(-(least - 1), 0)
+    place = F.col("place")
 
     def window(frame, first, last):
         return F.struct(
-            F.min("hash").over(frame).alias("fingerprint"),
+            F.min(F.struct("hash", "place")).over(frame).alias("least"),
             F.xxhash64(F.collect_list("other_hash").over(frame)).alias("content"),
             F.sum("words").over(frame).alias("all_words"),
             first.alias("first"),
             last.alias("last"),
         )
 
-    place = F.col("place")
     # A line that is a window by itself is both; it is taken once.
     both = F.array(
         window(onward, place, F.max("place").over(onward)),
         F.when(F.col("words") < least, window(back, F.min("place").over(back), place)),
     )
-    paired = _lines(docs).select(*_KEY, both.alias("both"))
-    rows = paired.select(*_KEY, F.explode("both").alias("w"))
-    return rows.where(F.col("w.all_words") >= least).select(*_KEY, "w.*").drop("all_words")
+    rows = _lines(docs).select(*_KEY, both.alias("both")).select(*_KEY, F.explode("both").alias("w"))
+    return (
+        rows.where(F.col("w.all_words") >= least)
+        .groupBy(*_KEY, F.col("w.least.place").alias("place"), F.col("w.least.hash").alias("hash"))
+        .agg(F.collect_list(F.struct("w.content", "w.first", "w.last")).alias("windows"))
+    )
 
 
 def repeated_places(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Per document the places of lines in repeated runs."""
-    found = stored(windows(docs, least), "windows")
+    selected = stored(selected_places(docs, least), "selected")
+    hashes = selected.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    hashes = stored(hashes.withColumn("met", F.lit(True)), "met")
+    met = join_counted(selected, hashes, "hash", "times").where("met")
+    found = met.select(*_KEY, "hash", F.explode("windows").alias("w")).select(
+        *_KEY, F.struct("hash", "w.content").alias("content"), "w.first", "w.last"
+    )
+    found = stored(found, "windows")
     at = F.struct(*_KEY, "first")
     firsts = (
-        found.groupBy("fingerprint", "content")
+        found.groupBy("content")
         .agg(F.min(at).alias("original"), F.count(F.lit(1)).alias("times"))
         .where("times > 1")
-        .drop("times")
     )
-    later = found.join(firsts, ["fingerprint", "content"]).where(at != F.col("original"))
+    matched = join_counted(found, stored(firsts, "firsts"), "content", "times")
+    later = matched.where(F.col("original").isNotNull() & (at != F.col("original")))
     places = later.select(*_KEY, F.explode(F.sequence("first", "last")).alias("place"))
     return places.groupBy(*_KEY).agg(F.collect_set("place").alias("places"))
 
