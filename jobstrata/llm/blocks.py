@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 8192
 ROW_BLOCK = 16384
 _SIDES = "dim int, query_block long, row_block long, is_query boolean, id long, vec array<double>"
 
@@ -40,12 +40,19 @@ def vectors(table: DataFrame, zero: bool) -> DataFrame:
 
 
 def nearest(
-    rows: DataFrame, is_query: Column, work: Callable, limit: int, score: str, order: list[Column]
+    rows: DataFrame,
+    is_query: Column,
+    work: Callable,
+    limit: int,
+    score: str,
+    order: list[Column],
+    more: str = "",
 ) -> DataFrame:
     """Each query's ``limit`` first rows by ``order``: query_id, rank, vec_id, score.
 
     ``work`` gets the ids and vectors of a query block and of a row block and returns the
-    indices of queries and rows that may be among the first, with their scores. Rows that
+    indices of queries and rows that may be among the first, with their scores and, if ``more``
+    names it and its type, a further column. Rows that
     repeat count as often as they occur; of queries with one id the smallest vector counts.
     """
     numbers = rows.agg(
@@ -66,26 +73,28 @@ def nearest(
         dealt(rows, "row_block", row_blocks, "query_block", query_blocks, False)
     )
 
+    names = [more.split()[0]] if more else []
+
     def run(table: pa.Table) -> pa.Table:
         flags = table["is_query"].to_numpy()
         ids = table["id"].to_numpy()
         dim = table["dim"][0].as_py()
         flat = table["vec"].combine_chunks().flatten().to_numpy()
         matrix = flat.reshape(-1, dim)
-        query, row, value = work(ids[flags], matrix[flags], ids[~flags], matrix[~flags])
+        query, row, value, *added = work(ids[flags], matrix[flags], ids[~flags], matrix[~flags])
         return pa.table(
             {
                 "query_id": pa.array(ids[flags][query], pa.int64()),
                 "vec_id": pa.array(ids[~flags][row], pa.int64()),
                 "score": pa.array(value),
+                **{name: pa.array(column) for name, column in zip(names, added, strict=True)},
             }
         )
 
-    found = sides.groupBy("dim", "query_block", "row_block").applyInArrow(
-        run, f"query_id long, vec_id long, score {score}"
-    )
+    schema = f"query_id long, vec_id long, score {score}" + (f", {more}" if more else "")
+    found = sides.groupBy("dim", "query_block", "row_block").applyInArrow(run, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order, "vec_id"))
-    ranked = found.select("query_id", rank.alias("rank"), "vec_id", "score")
+    ranked = found.select("query_id", rank.alias("rank"), "vec_id", "score", *names)
     return ranked.where(F.col("rank") <= limit)
 
 

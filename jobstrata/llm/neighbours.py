@@ -9,7 +9,8 @@ double precision and kept in a heap per query. The result is exact.
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without an id; ties go to the smaller id; a query's own id is no
 candidate; repeated rows count as often as they occur; only vectors of equal length are
-compared; other columns are ignored.
+compared; distances whose squares are beyond a double are infinite, and so ties; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def _exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _block(limit: int):
-    def work(query_ids, queries, row_ids, rows):
+    def compute(query_ids, queries, row_ids, rows):
         small_q, scale_q, size_q, error_q = _quantised(queries)
         small_r, scale_r, size_r, error_r = _quantised(rows)
         # Products of int8 sum exactly in this type.
@@ -63,6 +64,8 @@ def _block(limit: int):
                 spread = error_q[q, None] + error_r[None, r]
                 upper = np.sqrt(np.maximum(square, 0) + slack) + spread
                 lower = np.sqrt(np.maximum(square - slack, 0)) - spread
+                # Squares beyond this type's range bound nothing.
+                lower[np.isnan(lower)], upper[np.isnan(upper)] = -np.inf, np.inf
                 own = query_ids[q, None] == row_ids[None, r]
                 upper[own] = np.inf
                 for i in range(len(upper)):
@@ -83,6 +86,10 @@ def _block(limit: int):
         score = np.array([x[0] for h in heaps for x in h], np.float64)
         return query, row, score
 
+    def work(*sides):
+        with np.errstate(over="ignore", invalid="ignore"):
+            return compute(*sides)
+
     return work
 
 

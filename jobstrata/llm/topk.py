@@ -1,16 +1,14 @@
 """Exact top-k inner products by aggregation of sorted lists without random access.
 
 Every component is a list of a block's rows in order of their value. A query reads each list
-from the end that its own component favours, all lists to the same depth. What it has read
-gives every row a lower bound (unread values are at best the list's other end) and an upper
-bound (unread values are at best the next value of the list). Rows whose upper bound is
-below the k-th lower bound cannot qualify; once few others are left, or the lists have been
-read to the end, the scores of the rest are resolved. A block of queries reads its lists
-together, so each bound is a product of two matrices. Values are whole numbers and all
-arithmetic is exact.
-
-Bounds are looked at once, at the one depth of ``DEPTHS``; a query with more than ``FEW`` of the
-rows undecided there is scored against all rows of the block, by brute force.
+from the end that its own component favours, all lists to the same depth, in growing steps. A
+step adds what is newly read to a running sum per row. That sum and what unread values can be,
+at worst the list's other end and at best the next value of the list, give each row a lower and
+an upper bound. Rows whose upper bound is below the k-th lower bound cannot qualify and are left
+out of further steps. A query stops when outsiders can't qualify, so that few rows are left, and
+the scores of these are resolved. At the full depth the running sums are the scores. A tile of queries reads its lists
+together, so each step is a product of matrices that hold only what is newly read. Values are
+whole numbers and all arithmetic is exact.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no
 part, nor do rows without an id; ties go to the smaller id; a query's own id is no candidate;
@@ -27,9 +25,9 @@ from pyspark.sql import functions as F
 from jobstrata.llm.blocks import first_in_rows, nearest, vectors
 
 # Depths to which lists are read before bounds are looked at, as shares of their length.
-DEPTHS = (0.8,)
-# A query stops reading when at most this share of the rows can still qualify.
-FEW = 0.1
+DEPTHS = (1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 15 / 16, 1)
+# So many rows, as a share, are few enough to be resolved instead of read on for.
+FEW = 1 / 32
 TILE = 256
 
 
@@ -39,17 +37,63 @@ def _number_type(queries: np.ndarray, rows: np.ndarray):
     return np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else object
 
 
-def _bounds(queries: np.ndarray, rows: np.ndarray, ordered: np.ndarray, depth: float):
-    """Lower and upper bounds of all scores with all lists read to ``depth``."""
-    last = min(len(rows) - 1, int(depth * len(rows)))
-    high, low = ordered[-1 - last], ordered[last]
-    most, least = ordered[-1], ordered[0]
+class _Lists:
+    """Sorted lists of a block and what a step newly reads of them, shared by all queries."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+        self.ordered = np.sort(rows, axis=0)
+        self.most, self.least = self.ordered[-1], self.ordered[0]
+
+    def cut(self, depth: float) -> tuple[np.ndarray, np.ndarray]:
+        """The last value read from the upper and from the lower end of each list; with it
+        all values equal to it are read."""
+        last = min(len(self.rows), int(np.ceil(depth * len(self.rows)))) - 1
+        return self.ordered[-1 - last], self.ordered[last]
+
+
+def _read(lists: _Lists, queries: np.ndarray, own: np.ndarray, limit: int, rounded: bool):
+    """Per query of a tile: the rows left when it stopped, their scores, and the depth."""
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    lower = up @ np.where(rows >= high, rows, least).T
-    lower += down @ np.where(rows <= low, rows, most).T
-    upper = up @ np.maximum(rows, high - 1).T
-    upper += down @ np.minimum(rows, low + 1).T
-    return lower, upper
+    alive = np.arange(len(lists.rows))
+    reading = np.arange(len(queries))
+    sums = np.zeros((len(queries), len(alive)), queries.dtype)
+    before = None
+    for depth in DEPTHS:
+        high, low = lists.cut(depth)
+        rows = lists.rows[alive]
+        above, below = rows >= high, rows <= low
+        fresh_above, fresh_below = above, below
+        if before is not None:
+            fresh_above, fresh_below = above & (rows < before[0]), below & (rows > before[1])
+        u, d = up[reading], down[reading]
+        sums = sums + u @ np.where(fresh_above, rows, 0).T + d @ np.where(fresh_below, rows, 0).T
+        unread_above, unread_below = (~above).astype(rows.dtype).T, (~below).astype(rows.dtype).T
+        # Unread whole numbers lie beyond the last one read.
+        lower = sums + (u * lists.least) @ unread_above + (d * lists.most) @ unread_below
+        upper = sums + (u * (high - 1)) @ unread_above + (d * (low + 1)) @ unread_below
+        other = ~own[np.ix_(reading, alive)]
+        open_rows = other
+        if len(alive) > limit:
+            ranked = np.where(other, lower.astype(np.float64), -np.inf)
+            border = np.partition(ranked, -limit, axis=1)[:, -limit]
+            if rounded:
+                # Sums beyond this type's exact range were rounded.
+                border -= np.abs(border) * 1e-12
+            open_rows = other & (upper >= border[:, None])
+        few = max(limit, FEW * len(lists.rows))
+        done = (open_rows.sum(1) <= few) | (depth == 1)
+        for at in np.flatnonzero(done).tolist():
+            left = np.flatnonzero(open_rows[at])
+            whole = depth == 1
+            yield int(reading[at]), alive[left], sums[at, left] if whole else None, depth
+        reading, sums, open_rows = reading[~done], sums[~done], open_rows[~done]
+        if not len(reading):
+            return
+        kept = open_rows.any(0)
+        if kept.sum() <= 0.9 * len(kept):
+            alive, sums = alive[kept], sums[:, kept]
+        before = high, low
 
 
 def _block(limit: int):
@@ -60,50 +104,34 @@ def _block(limit: int):
             exact = np.vectorize(int, otypes=[object])
             scaled_queries, scaled_rows = exact(scaled_queries), exact(scaled_rows)
         all_queries, all_rows = scaled_queries.astype(kind), scaled_rows.astype(kind)
-        ordered = np.sort(all_rows, axis=0) if len(all_rows) else all_rows
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        none = np.zeros(0, np.int64)
+        found = [(none, none, none, np.zeros(0))]
+        lists = _Lists(all_rows) if len(all_rows) else None
         for start in range(0, len(all_queries) if len(all_rows) else 0, TILE):
-            reading = np.arange(start, min(start + TILE, len(all_queries)))
-            for depth in (*DEPTHS, None):
-                part = all_queries[reading]
-                own = query_ids[reading][:, None] == row_ids[None, :]
-                if depth is None:
-                    # Read to the end: bounds meet in the scores.
-                    lower = upper = part @ all_rows.T
-                else:
-                    lower, upper = _bounds(part, all_rows, ordered, depth)
-                open_rows = ~own
-                if len(row_ids) > limit + 1:
-                    ranked = np.where(own, -np.inf, lower.astype(np.float64))
-                    border = np.partition(ranked, -limit, axis=1)[:, -limit]
-                    if kind is object:
-                        # Sums beyond this type's exact range were rounded.
-                        border -= np.abs(border) * 1e-12
-                    open_rows &= upper >= border[:, None]
-                done = open_rows.sum(1) <= max(FEW * len(row_ids), limit)
-                if depth is None:
-                    done[:] = True
-                query, row = np.nonzero(open_rows[done])
-                query = reading[done][query]
-                score = np.zeros(len(query), np.int64)
-                for a in range(0, len(query), 1 << 16):
-                    b = slice(a, a + (1 << 16))
-                    exact = (all_queries[query[b]] * all_rows[row[b]]).sum(1)
-                    if kind is object:
-                        exact = [max(-(2**63), min(2**63 - 1, x)) for x in exact]
-                    score[b] = exact
-                keep = first_in_rows(query, row_ids, row, ~score, limit)
-                found.append((query[keep], row[keep], score[keep]))
-                reading = reading[~done]
-                if not len(reading):
-                    break
+            part = all_queries[start : start + TILE]
+            own = query_ids[start : start + TILE, None] == row_ids[None, :]
+            for at, left, score, depth in _read(lists, part, own, limit, kind is object):
+                if score is None:
+                    score = (part[at] * all_rows[left]).sum(1)
+                if kind is object:
+                    score = [max(-(2**63), min(2**63 - 1, x)) for x in score]
+                score = np.array(score).astype(np.int64)
+                query = np.full(len(left), start + at)
+                keep = first_in_rows(query, row_ids, left, ~score, limit)
+                depths = np.full(len(keep), depth)
+                found.append((query[keep], left[keep], score[keep], depths))
         return tuple(np.concatenate(c) for c in zip(*found))
 
     return work
 
 
-def top_inner_products(table: DataFrame, is_query: Column, limit: int) -> DataFrame:
+def top_inner_products(
+    table: DataFrame, is_query: Column, limit: int, with_depth: bool = False
+) -> DataFrame:
     """query_id, rank, vec_id and score of each query's ``limit`` largest inner products of
-    floor(64 * component); ``is_query`` is a condition on ``id``."""
+    floor(64 * component); ``is_query`` is a condition on ``id``. ``with_depth`` adds how far
+    the query had read its lists in the block of the row, as a share."""
     rows = vectors(table, zero=True)
-    return nearest(rows, is_query, _block(limit), limit, "long", [F.col("score").desc()])
+    order = [F.col("score").desc()]
+    found = nearest(rows, is_query, _block(limit), limit, "long", order, "depth double")
+    return found if with_depth else found.drop("depth")

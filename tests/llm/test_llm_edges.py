@@ -315,6 +315,49 @@ def test_top_products(spark, vectors):
     assert topk.top_inner_products(vectors.limit(0), query, 3).count() == 0
 
 
+def test_distances_beyond_a_double(spark):
+    """Squares that overflow make ties at infinity; every row is still a neighbour."""
+    rows = [(i, [1e155 * (i + 1), -1e155]) for i in range(12)] + [(20, [1.0, 2.0]), (21, [1.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest_neighbours(df, F.col("id").isin(0, 20), 4).collect()
+    told = {q: [(r.vec_id, r.score) for r in sorted(got) if r.query_id == q] for q in (0, 20)}
+    inf = float("inf")
+    assert told[0] == [(1, inf), (2, inf), (3, inf), (4, inf)]
+    assert told[20] == [(21, 1.0), (0, inf), (1, inf), (2, inf)]
+
+
+def test_lists_are_read_in_steps(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    steps = topk.top_inner_products(table, F.col("id") % 20 == 0, 20, with_depth=True)
+    assert {r.depth for r in steps.select("depth").distinct().collect()} <= set(topk.DEPTHS)
+    # Rows that stand out end a query early.
+    rng = np.random.default_rng(2)
+    rows = np.abs(rng.normal(size=(3000, 8)))
+    rows[:30] *= 40
+    ids = np.arange(3000)
+    depth = topk._block(5)(ids[:20], rows[:20], ids, rows)[3]
+    assert depth.max() < 1 and depth.min() == topk.DEPTHS[0]
+
+
+def test_hubs_are_split(spark):
+    """A star and a chain, in which no join is dealt by the hub."""
+    from jobstrata.llm.graph import components
+
+    star = [(0, i) for i in range(1, 3000)] + [(5000 + i, 5001 + i) for i in range(40)]
+    found = components(spark.createDataFrame(star, "a long, b long")).collect()
+    root = {r.node: r.root for r in found}
+    assert len(found) == len(root) == 3041
+    assert {root[i] for i in range(3000)} == {0} and {root[5000 + i] for i in range(41)} == {5000}
+
+
+def test_winnowing_selects_fewer_places_than_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    selected = lines.selected_places(docs)
+    every = lines._lines(docs).count()
+    assert 0 < selected.count() < every
+    assert selected.select("doc_id", "text_hash", "place").distinct().count() == selected.count()
+
+
 def test_nearest(spark, vectors):
     got = neighbours.nearest_neighbours(vectors, F.col("id") == 0, 10).collect()
     assert [(r.rank, r.vec_id) for r in sorted(got)] == [(1, 1), (2, 2), (3, 3), (4, 3)]
@@ -330,7 +373,7 @@ def test_blocks_equal_brute_force(scale):
     rows[rows.any(1) == 0] = scale
     ids = np.arange(500)
     limit = 7
-    query, row, score = topk._block(limit)(ids[:40], rows[:40], ids, rows)
+    query, row, score, depth = topk._block(limit)(ids[:40], rows[:40], ids, rows)
     whole = [[int(x) for x in r] for r in np.floor(64 * rows)]
     for q in range(40):
         every = sorted((-sum(a * b for a, b in zip(whole[q], whole[r])), r) for r in ids if r != q)

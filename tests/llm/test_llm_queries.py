@@ -119,7 +119,7 @@ def test_pipeline_stages(spark, texts):
     assert by_id("line_dedup") == {
         d: t for d, (t, n) in shorter.items() if not n or brute.WORD.search(t)
     }
-    component = brute.near_components(by_id("line_dedup"))
+    component = brute.near_components(by_id("line_dedup"), 80)
     assert set(by_id("near_dedup")) == {d for d, c in component.items() if d == c}
     mixed = kept["mixing_sources"].collect()
     copies = Counter(r.doc_id for r in mixed)
