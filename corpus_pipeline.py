@@ -12,7 +12,7 @@ from jobstrata.llm.queries import packed_digest
 # Below this belief in its language a document is not used.
 MIN_LANGUAGE_SCORE = 0.34
 # From this similarity on, in hundredths, documents are near-duplicates.
-NEAR_PERCENT = 85
+NEAR_PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
