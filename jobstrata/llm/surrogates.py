@@ -11,11 +11,16 @@ of it, so mentions of one thing still agree (coreference):
 - e-mail addresses keep their shape, one domain always becoming the same other domain, and
   different ones different domains;
 - keys, passwords and tokens keep length, case and alphabet (hexadecimal or not);
-- names after a title keep it, and get given and family names of the title's gender and of
-  the script they are written in (Latin, Greek, Cyrillic).
+- names after a title keep it as it is written, and get given and family names of the title's
+  gender and of the script they are written in (Latin, Greek, Cyrillic). One name and gender is
+  one person, whatever the title; where a document has a full name behind a title, it is
+  replaced without one, too. A family name alone is a person of its own.
 
-Surrogates are checked as they are written, numbers by their digits, against one another and
-against all originals of their type: of several identities with one surrogate the smallest
+A phone without a country code is the same as the one number with a code that the corpus has with
+these digits, if there is exactly one.
+
+Surrogates are checked as they are written, phones by the digits behind their country code,
+against one another and against all originals of their type: of several identities with one surrogate the smallest
 keeps it, the others are drawn again, as is a surrogate that is itself an original, until all
 are distinct. Domains are identities of their own in this. Where a form has too few values,
 phones, social security numbers, secrets, local parts and domains get a sign more with every
@@ -39,13 +44,21 @@ from jobstrata.llm.common import as_row, stored
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _LABELS = r"(?:password|passwd|pwd|token|secret|api[_-]?key)"
-_WORD = r"\p{Lu}\p{Ll}+"
+# A word of a name: O'Neil, McCoy, Jean-Luc; and what may stand before a family name.
+_WORD = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+)?(?:[-'’]\p{Lu}\p{Ll}+)*"
+# Particles of family names.
+_PARTICLE = "(?:van|von|der|den|de|del|della|di|da|dos|du|la|le|bin|ibn|al|el|ten|ter|zu)"
+_PART = rf"(?:{_PARTICLE} ){{0,3}}{_WORD}"
 # Titles that tell a gender.
 TITLES = {
     "male": "Mr Herr Señor Sr Monsieur Signor Κύριος Господин",
     "female": "Mrs Ms Miss Frau Señora Sra Madame Mme Signora Κυρία Госпожа",
 }
-_TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in titles.split()) + r")\.?"
+# Longer titles first, as some begin with others.
+_TITLE = "(?:{})".format(
+    "|".join(sorted(" ".join(TITLES.values()).split(), key=lambda t: (-len(t), t)))
+)
+_TITLE += r"\.?"
 # The last sign of a secret.
 _END = r"[^\s\"'.,;:)\]}>]"
 # Lengths of account numbers by country.
@@ -87,7 +100,7 @@ PATTERNS = {
     # Begins where a word does, so that long words are read once.
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,320}+@"
     r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_WORD}(?: {_WORD})?",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_PART}(?: {_PART})?(?![\p{{L}}\p{{N}}])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     # Up to the next blank or quote, without the marks that end a clause: four signs with a
     # letter or digit behind an equals sign, six with a digit behind a colon.
@@ -106,7 +119,10 @@ PATTERNS = {
     r"|\d{4}[ -]\d{6}[ -]\d{5})(?![A-Za-z0-9])",
 }
 # What a text with an entity has at least.
-HINT = rf"[@0-9]|AKIA|{_TITLE} \p{{Lu}}|(?i:{_LABELS})\s{{0,3}}="
+HINT = (
+    rf"@|\d{{3}}|\+\d|\d\.\d|[A-Z]{{2}}\d\d|AKIA|{_TITLE} (?:{_PARTICLE} |\p{{Lu}})"
+    rf"|(?i:{_LABELS})\s{{0,3}}[=:]"
+)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # A secret behind its label.
 _VALUE = rf"^((?i:{_LABELS})\s*[=:]\s*[\"']?)(.*)$"
@@ -175,10 +191,25 @@ def _identity(kind: Column, mention: Column) -> Column:
         .when(kind == "email", F.lower(mention))
         .when(kind == "iban", F.replace(mention, F.lit(" ")))
         .when(kind == "secret", F.regexp_extract(mention, _VALUE, 2))
+        .when(kind == "name", F.concat_ws(" ", _gender(mention), _untitled(mention)))
         .otherwise(mention)
     )
 
 
+def _gender(mention: Column) -> Column:
+    title = F.rtrim(F.regexp_extract(mention, f"^({_TITLE}) ", 1), F.lit("."))
+    return F.when(title.isin(*TITLES["female"].split()), "female").otherwise("male")
+
+
+def _untitled(mention: Column) -> Column:
+    return F.regexp_replace(mention, f"^{_TITLE} ", "")
+
+
+def _is_full(name: Column) -> Column:
+    """Whether a name has a given and a family name."""
+    return name.rlike(r"^\p{Lu}\S* (?:.* )?\p{Lu}")
+
+
 def _pick(digest: Column, place: Column, n: int | Column) -> Column:
     return F.pmod(F.xxhash64(digest, place), F.lit(n) if isinstance(n, int) else n).cast("int")
 
@@ -221,22 +252,22 @@ def _family(syllables: list[str], digest: Column, attempt: Column) -> Column:
 
 
 def _name(identity: Column, digest: Column, attempt: Column) -> Column:
-    title = F.regexp_extract(identity, f"^({_TITLE})", 1)
-    female = F.rtrim(title, F.lit(".")).isin(*TITLES["female"].split())
-    rest = F.substring(identity, F.length(title) + 2, F.length(identity))
+    """A name of the gender, script and parts of an identity, without a title."""
+    female = F.startswith(identity, F.lit("female "))
+    rest = F.substring(identity, F.instr(identity, " ") + 1, F.length(identity))
     script = (
-        F.when(rest.rlike(r"^\p{IsGreek}"), "greek")
-        .when(rest.rlike(r"^\p{IsCyrillic}"), "cyrillic")
+        F.when(rest.rlike(r"\p{IsGreek}"), "greek")
+        .when(rest.rlike(r"\p{IsCyrillic}"), "cyrillic")
         .otherwise("latin")
     )
-    full = rest.contains(" ")
+    full = _is_full(rest)
     result = F.lit(None).cast("string")
     for name, syllables in SYLLABLES.items():
         given = F.when(female, _listed(GIVEN[name, "female"], digest, 1)).otherwise(
             _listed(GIVEN[name, "male"], digest, 1)
         )
         family = _family(syllables.split(), digest, attempt)
-        both = F.concat_ws(" ", title, F.when(full, given), family)
+        both = F.concat_ws(" ", F.when(full, given), family)
         result = F.when(script == name, both).otherwise(result)
     return result
 
@@ -280,8 +311,8 @@ def _surrogate(
 
 
 def _rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
-    """A surrogate in the form of a mention: the signs of numbers put in their places, and
-    secrets behind their labels."""
+    """A surrogate in the form of a mention: the signs of numbers put in their places, secrets
+    behind their labels, names behind their titles, addresses with capitals where they were."""
 
     def signs(text):
         return F.regexp_replace(text, "[^A-Z0-9]", "")
@@ -302,41 +333,89 @@ def _rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
     surplus = F.substring(signs(surrogate), places + 1, F.length(surrogate))
     number = F.concat(F.array_join(filled, ""), surplus)
     secret = F.concat(F.regexp_extract(mention, _VALUE, 1), surrogate)
+    title = F.regexp_extract(mention, f"^({_TITLE}) ", 1)
+    capitals = F.transform(
+        F.split(surrogate, ""),
+        lambda c, i: F.when(F.get(F.split(mention, ""), i).rlike("^[A-Z]$"), F.upper(c)).otherwise(c),
+    )
     return (
         F.when(kind.isin(*_NUMBERS, "iban"), number)
         .when(kind == "secret", secret)
+        .when(kind == "name", F.concat_ws(" ", title, surrogate))
+        .when(kind == "email", F.array_join(capitals, ""))
         .otherwise(surrogate)
     )
 
 
 def _written(name: str) -> Column:
-    """What a value is compared by: the digits of a phone, with or without a plus."""
-    return F.when(F.col("kind") == "phone", _plain_digits(F.col(name))).otherwise(F.col(name))
+    """What a value is compared by: of a phone the digits behind the country code, which may
+    be written alone, of a name the name itself."""
+    value = F.col(name)
+    return (
+        F.when(F.col("kind") == "phone", _plain_digits(_national(value)))
+        .when(F.col("kind") == "name", F.regexp_replace(value, "^(?:fe)?male ", ""))
+        .otherwise(value)
+    )
+
+
+def _national(identity: Column) -> Column:
+    return F.regexp_replace(identity, rf"^\+(?:{_CODE})", "")
 
 
 def _drawn(identities: DataFrame, key: str) -> DataFrame:
-    """kind, identity and surrogate of distinct (kind, identity, new_domain)."""
+    """kind, identity and surrogate of distinct (kind, identity, new_domain). Those that lose
+    are drawn again, and compared with what all others have by then."""
     names = ("kind", "identity", "new_domain")
-    state = identities.select(*names, F.lit(0).alias("attempt"))
+    state = stored(identities.select(*names, F.lit(0).alias("attempt")), "pii")
+    originals = state.select("kind", _written("identity").alias("written")).distinct()
+    originals = stored(originals.withColumn("real", F.lit(True)), "pii")
+    kept = None
     for _ in range(MOST_DRAWS):
         made = _surrogate(*map(F.col, names), F.col("attempt"), key)
-        state = stored(state.select(*names, "attempt", made.alias("surrogate")), "pii")
-        drawn = state.withColumn("written", _written("surrogate"))
+        drawn = state.withColumn("surrogate", made).withColumn("written", _written("surrogate"))
+        drawn = stored(drawn, "pii")
         owners = drawn.groupBy("kind", "written").agg(F.min("identity").alias("owner"))
-        originals = state.select("kind", _written("identity").alias("written")).distinct()
         judged = drawn.join(owners, ["kind", "written"]).join(
-            originals.withColumn("real", F.lit(1)), ["kind", "written"], "left"
+            originals, ["kind", "written"], "left"
         )
         again = (F.col("owner") != F.col("identity")) | F.col("real").isNotNull()
+        if kept is not None:
+            taken = kept.select("kind", "written", F.lit(True).alias("taken"))
+            judged = judged.join(taken, ["kind", "written"], "left")
+            again |= F.col("taken").isNotNull()
         judged = judged.withColumn("again", again)
-        if not judged.where("again").limit(1).count():
-            return state.select("kind", "identity", "surrogate")
-        state = judged.select(
-            *names, (F.col("attempt") + F.col("again").cast("int")).alias("attempt")
+        judged = stored(
+            judged.select(*names, "attempt", "surrogate", "written", "again"), "pii"
         )
+        won = judged.where("NOT again").select("kind", "identity", "surrogate", "written")
+        kept = won if kept is None else kept.unionByName(won)
+        state = judged.where("again").select(*names, (F.col("attempt") + 1).alias("attempt"))
+        if state.isEmpty():
+            return kept.select("kind", "identity", "surrogate")
     raise ValueError(f"no free surrogates after {MOST_DRAWS} draws")
 
 
+def _one_number(entities: DataFrame) -> DataFrame:
+    """Phones without a country code as the one number that the corpus has with one, if there
+    is exactly one; ``short`` says which these are."""
+    phone = F.col("kind") == "phone"
+    coded = F.startswith(F.col("identity"), F.lit("+"))
+    whole = (
+        entities.where(phone & coded)
+        .groupBy(_national(F.col("identity")).alias("_digits"))
+        .agg(F.min("identity").alias("_whole"), F.max("identity").alias("_other"))
+        .where(F.col("_whole") == F.col("_other"))
+        .select("_digits", "_whole")
+    )
+    bare = F.when(phone & ~coded, F.col("identity"))
+    return entities.join(whole, bare == F.col("_digits"), "left").select(
+        "kind",
+        "mention",
+        F.coalesce("_whole", "identity").alias("identity"),
+        F.col("_whole").isNotNull().alias("short"),
+    )
+
+
 def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
     """kind, identity and surrogate of distinct (kind, identity)."""
     none = F.lit(None).cast("string")
@@ -364,19 +443,29 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     )
     entities = mentions.where("kind IS NOT NULL").select(
         "kind", "mention", _identity(F.col("kind"), F.col("mention")).alias("identity")
-    ).distinct()
+    )
+    entities = stored(_one_number(entities.distinct()), "entities")
     known = distinct_surrogates(entities.select("kind", "identity").distinct(), key)
+    value = F.when(F.col("short"), _national(F.col("surrogate"))).otherwise(F.col("surrogate"))
+    name = _untitled(F.col("mention"))
     rendered = entities.join(known, ["kind", "identity"]).select(
         "kind",
         "mention",
-        _rendered(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("surrogate"),
+        _rendered(F.col("kind"), F.col("mention"), value).alias("surrogate"),
+        F.when(
+            (F.col("kind") == "name") & _is_full(name),
+            F.struct(name.alias("name"), F.col("surrogate").alias("other")),
+        ).alias("person"),
     )
     # In order of place, the surrogate or null for what stays.
     placed = F.sort_array(F.collect_list(F.struct("place", "surrogate")))
     by_document = (
         mentions.join(rendered, ["kind", "mention"], "left")
         .groupBy("doc_id", "text_hash")
-        .agg(F.transform(placed, lambda x: x["surrogate"]).alias("new"))
+        .agg(
+            F.transform(placed, lambda x: x["surrogate"]).alias("new"),
+            F.sort_array(F.collect_set("person")).alias("persons"),
+        )
         .where(F.exists("new", lambda x: x.isNotNull()))
     )
     rows = docs.select(as_row(docs), F.xxhash64("text").alias("hash"))
@@ -386,14 +475,31 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
         "left",
     )
     found = F.regexp_extract_all("row.text", F.lit(ANY), F.lit(0))
+    def bare(person):
+        return F.concat(
+            F.lit(r"(?<![\p{L}\p{N}])"), person["name"], F.lit(r"(?![\p{L}\p{N}])")
+        )
+
+    def renamed(piece):
+        return F.aggregate(
+            F.col("persons"),
+            piece,
+            lambda text, person: F.regexp_replace(text, bare(person), person["other"]),
+        )
+
+    between = F.split("row.text", ANY, -1)
     mixed = F.zip_with(
-        F.split("row.text", ANY, -1),
+        F.when(F.size("persons") > 0, F.transform(between, renamed)).otherwise(between),
         F.zip_with(found, "new", lambda old, new: F.coalesce(new, old)),
         lambda piece, value: F.concat(piece, F.coalesce(value, F.lit(""))),
     )
     same = F.col("new").isNull()
     text = F.when(same, F.col("row.text")).otherwise(F.array_join(mixed, ""))
-    count = F.size(F.filter("new", lambda x: x.isNotNull()))
+    rest = F.array_join(between, "\x1f")
+    repeats = F.aggregate(
+        F.col("persons"), F.lit(0), lambda n, person: n + F.regexp_count(rest, bare(person))
+    )
+    count = F.size(F.filter("new", lambda x: x.isNotNull())) + repeats
     return matched.select(
         *[
             text.alias(c) if c == "text" else F.col(f"row.`{c}`")

@@ -408,7 +408,9 @@ def test_surrogates_keep_form(spark):
     assert one.text == other.text and one.n_entities == 14
     word = one.text.split()
     old = text.split()
-    assert word[0] == word[1] and word[0].endswith(".com") and word[0] != old[1]
+    # One address; capitals stay where they were written.
+    assert word[0].lower() == word[1] and word[0][0].isupper() and word[0] != old[1]
+    assert word[0].endswith(".com")
     digits = lambda s: "".join(c for c in s if c.isdigit())
     assert digits("".join(word[2:5])) == digits("".join(word[5:9])) != digits("".join(old[2:5]))
     assert word[2] == "+1" and "".join(word[9:13]) == word[13] != old[13]
