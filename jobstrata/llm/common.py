@@ -49,13 +49,18 @@ def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
 
 
 def text_batches(
-    batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
+    batches: Iterator[pa.RecordBatch],
+    column: str,
+    limit: int = BATCH_BYTES,
+    rows: int | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``limit`` bytes of ``column``, as for ``texts_of``."""
+    """The same rows in batches of about ``limit`` bytes of ``column``, as for ``texts_of``, and
+    of at most ``rows`` rows."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(texts_of(batch, column)), 0).to_numpy(False)
         group = np.cumsum(sizes, dtype=np.int64) // limit
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+        steps = np.arange(0, batch.num_rows, rows or max(batch.num_rows, 1))
+        cuts = np.unique(np.r_[steps, np.flatnonzero(np.diff(group)) + 1, batch.num_rows]).tolist()
         for start, end in zip(cuts[:-1], cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)

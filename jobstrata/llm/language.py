@@ -51,6 +51,10 @@ UNKNOWN = "und"
 PER_LANGUAGE = 400
 # Bound of the rows that one family's SVM sees.
 FAMILY_ROWS = 3000
+# Bound of the labels that are learned, the most frequent ones: families times labels are fitted.
+MOST_LABELS = 1000
+# Texts that are counted at once, and signs of a longer text.
+BATCH_ROWS, PIECE = 256, 1 << 18
 
 
 def family_of(lang: str) -> str:
@@ -68,18 +72,12 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def _counts(texts: list[str | None]) -> np.ndarray:
-    """A row of feature counts per text; all zero without a letter."""
-    out = np.zeros((len(texts), FEATURES), np.float32)
-    lowered = [(t or "").lower() for t in texts]
-    blank = "  "
-    code = np.frombuffer(
-        (blank + blank.join(lowered) + blank).encode("utf-32-le", "surrogatepass"), np.uint32
-    )
+def _cells(text: str) -> list[np.ndarray]:
+    """Per order the feature of the gram that begins at each sign; one more than all for a
+    gram without a letter."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[code]
     sign = np.where(letter, code, 32).astype(np.uint64)
-    lengths = np.array([len(t) for t in lowered], np.int64)
-    starts = 2 + np.concatenate(([0], np.cumsum(lengths + 2)[:-1])) if len(texts) else lengths
     cells = []
     gram, seen = sign, letter
     with np.errstate(over="ignore"):
@@ -91,12 +89,42 @@ def _counts(texts: list[str | None]) -> np.ndarray:
             mixed = (gram + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
             cell = (mixed >> np.uint64(64 - 13)).astype(np.int64)
             cells.append(np.where(seen, cell, FEATURES))
+    return cells
+
+
+def _counted(cell: np.ndarray) -> np.ndarray:
+    return np.bincount(cell, minlength=FEATURES + 1)[:FEATURES]
+
+
+def _long_counts(text: str) -> np.ndarray:
+    """Feature counts of one lower-case text, taken in pieces, so that memory does not grow
+    with it. A piece holds the signs behind it that its last grams need."""
+    padded = f" {text} "
+    out = np.zeros(FEATURES, np.int64)
+    for a in range(0, len(padded), PIECE):
+        for cell in _cells(padded[a : a + PIECE + ORDERS - 1]):
+            out += _counted(cell[:PIECE])
+    return out
+
+
+def _counts(texts: list[str | None]) -> np.ndarray:
+    """A row of feature counts per text; all zero without a letter."""
+    out = np.zeros((len(texts), FEATURES), np.float32)
+    lowered = [(t or "").lower() for t in texts]
+    for row, text in enumerate(lowered):
+        if len(text) > PIECE:
+            out[row], lowered[row] = _long_counts(text), ""
+    blank = "  "
+    lengths = np.array([len(t) for t in lowered], np.int64)
+    starts = 2 + np.concatenate(([0], np.cumsum(lengths + 2)[:-1])) if len(texts) else lengths
+    cells = _cells(blank + blank.join(lowered) + blank)
     for row, (start, length) in enumerate(zip(starts, lengths)):
         for order, cell in enumerate(cells):
             # Grams may begin or end in the one blank beside the text.
             first = max(start - order, start - 1)
             part = cell[first : start + length + (1 if order else 0) - order]
-            out[row] += np.bincount(part, minlength=FEATURES + 1)[:FEATURES]
+            if length:
+                out[row] += _counted(part)
     return out
 
 
@@ -107,7 +135,7 @@ def _features(texts: list[str | None]) -> np.ndarray:
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_batches(batches, "text", 1 << 20):
+    for batch in text_batches(batches, "text", 1 << 20, BATCH_ROWS):
         rows = _features(batch.column("text").to_pylist())
         cells = [np.flatnonzero(r).astype(np.uint32) for r in rows]
         yield pa.record_batch(
@@ -154,7 +182,8 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
     known = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     # Per label, hashes below a limit that leaves about twice as many; the window that picks
     # the smallest then sees only those, however common the label.
-    limits = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    counted = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    limits = stored(counted.orderBy(F.desc("rows"), "lang").limit(MOST_LABELS), "languages")
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         known.select("doc_id", "lang", uniform("sample", F.col("doc_id")).alias("draw"))
@@ -213,7 +242,7 @@ def _predict(
     names = list(weights)
     matrix = np.stack([weights[n] for n in names]).T if names else np.zeros((FEATURES, 0))
     place = {n: i for i, n in enumerate(names)}
-    for batch in text_batches(batches, column, 1 << 20):
+    for batch in text_batches(batches, column, 1 << 20, BATCH_ROWS):
         rows = _features(texts_of(batch, column).to_pylist())
         found = rows.any(1)
         margins = rows @ matrix
