@@ -5,24 +5,32 @@ length are equal, the record with the largest id stays a response and the others
 revisits of it. Archives are then written with fresh headers, payloads only in responses,
 and read back: revisits find their payload's length through the response they refer to.
 
-Archives are gzip files of WARC/1.1 records below one folder. Records are dealt to files by a
-hash of their id, so many that a file holds about ``FILE_BYTES`` of payload.
+Archives are files of WARC/1.1 records below one folder, each record a gzip member of its own
+behind a warcinfo record, so that a reader can begin at any record. Tasks write files of about
+``FILE_BYTES`` under names that no reader looks for; the commit of the write gives them their
+names, so files of lost tasks and of aborted writes don't count. The folder has to be one that
+the driver and all executors reach by a plain path or a URI that Arrow's file systems know.
 
 Defined cases: a null payload is empty; payloads shorter than the limit are always responses;
 of repeated rows with one id and payload all are responses if any is; a null id is smaller
-than any other; other columns but url are ignored; an empty table gives no records.
+than any other; record ids are made of id and digest, so rows that repeat both share one; other
+columns but url are ignored; an empty table gives no records.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from jobstrata.llm.common import map_arrow, stored
+from jobstrata.sources.documents import Folder
 from jobstrata.workspace import new_path
 
 FILE_BYTES = 16 << 20
@@ -31,6 +39,8 @@ REVISITS_FROM = 1000
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVED = "2024-01-01T00:00:00Z"
 _END = "\r\n"
+# Before the name of a file that is not committed yet.
+_HIDDEN = "_"
 
 
 def headers(pages: DataFrame) -> DataFrame:
@@ -55,11 +65,12 @@ def resolved(heads: DataFrame, least: int = REVISITS_FROM) -> DataFrame:
 
 
 def _urn(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
+    page = F.coalesce(page_id.cast("string"), F.lit(""))
+    return F.concat(F.lit("<urn:page:"), page, F.lit(":"), F.col("payload_digest"), F.lit(">"))
 
 
 def _record(revisit: Column) -> Column:
-    """A whole record but the two line ends after it."""
+    """A whole record with the two line ends after it."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     http = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
     block = F.when(revisit, http).otherwise(F.concat(http, payload))
@@ -84,14 +95,85 @@ def _record(revisit: Column) -> Column:
         F.octet_length(block).cast("string"),
         F.lit(_END + _END),
         block,
+        F.lit(_END + _END),
     )
 
 
+def _info(name: str) -> bytes:
+    """The record that begins a file."""
+    block = f"software: jobstrata{_END}format: WARC File Format 1.1{_END}".encode()
+    head = (
+        f"WARC/1.1{_END}WARC-Type: warcinfo{_END}WARC-Record-ID: <urn:file:{name}>{_END}"
+        f"WARC-Date: {ARCHIVED}{_END}WARC-Filename: {name}{_END}"
+        f"Content-Type: application/warc-fields{_END}Content-Length: {len(block)}{_END}{_END}"
+    )
+    return head.encode() + block + (_END + _END).encode()
+
+
+def _member(record: bytes) -> bytes:
+    packer = zlib.compressobj(wbits=31)
+    return packer.compress(record) + packer.flush()
+
+
+@dataclass
+class Files(WriterCommitMessage):
+    """Names that a task has written under, without what hides them."""
+
+    names: list[str]
+
+
+class ArchiveWriter(DataSourceArrowWriter):
+    """Files of records, one gzip member each, that appear with the commit."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Files:
+        folder, names, file, size = Folder(self.path), [], None, 0
+        folder.files.create_dir(folder.path, recursive=True)
+        try:
+            for batch in iterator:
+                for record in batch.column(0):
+                    if file is None:
+                        names.append(f"part-{uuid.uuid4().hex}.warc.gz")
+                        file = folder.files.open_output_stream(
+                            folder.at(_HIDDEN + names[-1]), compression=None
+                        )
+                        size = file.write(_member(_info(names[-1])))
+                    size += file.write(_member(record.as_py()))
+                    if size >= FILE_BYTES:
+                        file.close()
+                        file = None
+        except BaseException:
+            folder.remove([_HIDDEN + name for name in names])
+            raise
+        finally:
+            if file is not None:
+                file.close()
+        return Files(names)
+
+    def commit(self, messages: list[Files | None]) -> None:
+        folder = Folder(self.path)
+        for name in (n for message in messages if message for n in message.names):
+            folder.files.move(folder.at(_HIDDEN + name), folder.at(name))
+
+    def abort(self, messages: list[Files | None]) -> None:
+        names = [_HIDDEN + n for message in messages if message for n in message.names]
+        Folder(self.path).remove(names)
+
+
+class Archives(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "warc_archives"
+
+    def writer(self, schema, overwrite: bool) -> ArchiveWriter:
+        return ArchiveWriter(self.options["path"])
+
+
 def write_archives(pages: DataFrame, path: str, least: int = REVISITS_FROM) -> None:
     """Archives of all pages below ``path``."""
     heads = stored(headers(pages), "warc-headers")
-    size = heads.agg(F.sum("payload_bytes")).first()[0] or 0
-    files = max(1, size // FILE_BYTES)
     originals = stored(resolved(heads, least), "warc-originals")
     payload = F.coalesce(F.col("html"), F.lit(""))
     page = pages.select("page_id", "url", "html").withColumns(
@@ -108,13 +190,27 @@ def write_archives(pages: DataFrame, path: str, least: int = REVISITS_FROM) -> N
         "left",
     )
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
-    records = matched.select("page_id", "payload_digest", _record(revisit).alias("record"))
-    dealt = records.repartition(files, F.xxhash64("page_id", "payload_digest")).select("record")
-    dealt.write.options(lineSep=_END + _END, compression="gzip").text(path)
+    records = matched.select(_record(revisit).cast("binary").alias("record"))
+    pages.sparkSession.dataSource.register(Archives)
+    records.write.format(Archives.name()).mode("append").save(path)
+
+
+def record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
+    """The record that begins at byte ``at`` of an archive: header fields in lower case, the
+    block, and where the next one begins."""
+    unpacker, parts = zlib.decompressobj(wbits=31), []
+    while not unpacker.eof:
+        if at >= len(data):
+            raise ValueError("the archive ends inside a record")
+        chunk = data[at : at + (1 << 16)]
+        parts.append(unpacker.decompress(chunk))
+        at += len(chunk)
+    fields, block = next(_parse(b"".join(parts)))
+    return fields, block, at - len(unpacker.unused_data)
 
 
 def _parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Records of one archive: header fields in lower case, and the block."""
+    """Unpacked records: header fields in lower case, and the block."""
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
@@ -130,8 +226,8 @@ def _parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _page_number(urn: str | None) -> int | None:
-    digits = (urn or "")[len("<urn:page:") : -1]
-    return int(digits) if digits else None
+    number = (urn or "")[len("<urn:page:") :].partition(":")[0]
+    return int(number) if number else None
 
 
 _READ = "page_id long, url string, record_type string, refers_to long, digest string, html string"
@@ -141,8 +237,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content"):
             columns: list[list] = [[] for _ in range(6)]
-            for fields, block in _parse(zlib.decompress(content.as_py(), wbits=31)):
+            data, at = content.as_py(), 0
+            while at < len(data):
+                fields, block, at = record_at(data, at)
                 kind = fields["warc-type"]
+                if kind == "warcinfo":
+                    continue
                 payload = block[block.index(b"\r\n\r\n") + 4 :]
                 row = (
                     _page_number(fields["warc-record-id"]),
@@ -164,7 +264,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_archives(spark, path: str) -> DataFrame:
     """All records: page_id, url, record_type, refers_to, digest as stated, html (null in
     revisits). Tasks hold one file each."""
-    files = spark.read.format("binaryFile").load(f"{path}/*.gz").select("content")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz")
+    files = reader.load(path).select("content")
     return map_arrow(files, _read, _READ)
 
 

@@ -280,6 +280,52 @@ def test_archives(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_are_read_from_any_record(spark, folder):
+    """Each record is a gzip member of its own, behind a warcinfo record."""
+    import glob
+    import gzip
+
+    rows = [(i, f"u{i}", f"page {i} " * 300) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages.repartition(2), folder)
+    found = {}
+    for name in glob.glob(f"{folder}/*.warc.gz"):
+        data = open(name, "rb").read()
+        at, offsets = 0, []
+        while at < len(data):
+            offsets.append(at)
+            at = warc.record_at(data, at)[2]
+        first = warc.record_at(data, 0)[0]
+        assert first["warc-type"] == "warcinfo" and name.endswith(first["warc-filename"])
+        whole = [block for _, block in warc._parse(gzip.decompress(data))]
+        for at, block in reversed(list(zip(offsets, whole))[1:]):
+            fields, again, _ = warc.record_at(data, at)
+            assert again == block
+            found[fields["warc-record-id"]] = block
+        with pytest.raises(ValueError, match="ends inside"):
+            warc.record_at(data[:-3], offsets[-1])
+    assert len(found) == 40
+    assert not glob.glob(f"{folder}/_*")
+
+
+def test_archives_of_aborted_writes_do_not_count(spark, folder):
+    pages = spark.range(50).select(
+        F.col("id").alias("page_id"),
+        F.lit("u").alias("url"),
+        F.when(F.col("id") == 49, F.raise_error(F.lit("lost")).cast("string"))
+        .otherwise("x")
+        .alias("html"),
+    )
+    writer = warc.ArchiveWriter(folder)
+    import pyarrow as pa
+
+    done = writer.write(iter([pa.record_batch({"record": pa.array([b"a"])})]))
+    writer.abort([done, None])
+    with pytest.raises(Exception, match="lost"):
+        warc.write_archives(pages, folder)
+    assert warc.read_archives(spark, folder).count() == 0
+
+
 VECTORS = [
     (0, [1.0, 0.0]),
     (1, [0.5, 0.5]),
@@ -503,3 +549,47 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     df = spark.createDataFrame(names, "doc_id long, text string")
     got = [r.text for r in surrogates.replace_personal_data(df, "key").collect()]
     assert len(set(got)) == len(names) and not set(got) & {t for _, t in names}
+
+
+def test_many_short_texts_take_little_memory():
+    """Ten thousand texts of fifteen signs in one batch of a worker."""
+    import subprocess
+    import sys
+
+    code = """
+import resource
+import pyarrow as pa
+from jobstrata.llm import language
+from jobstrata.llm.common import text_batches
+language._letters()
+batch = pa.record_batch({"text": pa.array(["abc defgh ijklm"] * 10_000)})
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n = 0
+for part in text_batches(iter([batch]), "text", 1 << 20, language.BATCH_ROWS):
+    n += len(language._features(part.column("text").to_pylist()))
+print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    n, grown = map(int, done.stdout.split()[-2:])
+    assert n == 10_000 and grown < 200
+
+
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    from jobstrata.llm import language
+
+    texts = ["Ab cd, éf " * 40, "", "x", None, "añb" * 333, "a" * 64]
+    whole = language._counts(texts)
+    for piece in (7, 64, 101):
+        monkeypatch.setattr(language, "PIECE", piece)
+        assert (language._counts(texts) == whole).all()
+
+
+def test_the_most_frequent_labels_are_learned(spark, monkeypatch):
+    from jobstrata.llm import language
+
+    rows = [(i, f"{'the cat' if i % 2 else 'der hund'} {i}", "en" if i % 2 else "de") for i in range(80)]
+    rows += [(100 + i, "zz", f"dirty{i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language, "MOST_LABELS", 2)
+    model = language.train(docs)
+    assert sorted(lang for members in model["families"].values() for lang in members) == ["de", "en"]
