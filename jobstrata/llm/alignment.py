@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstrata.llm.common import map_arrow, ranges, stored, text_batches
-from jobstrata.llm.tokens import _byte_signs
+from jobstrata.llm.tokens import _byte_signs, require_byte_level
 from jobstrata.llm.units import Remembered, coded, joined, spaced, unit_starts
 
 # Text handled at once; a longer one is handled in stretches of about this size.
@@ -57,6 +57,7 @@ class Pair:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        require_byte_level(path_a)
         self.a = Tokenizer.from_file(path_a)
         self.a.no_truncation()
         self.a.no_padding()
@@ -68,6 +69,10 @@ class Pair:
             spelled[i] = bytes(sign[c] for c in token if c in sign)
         self.bytes_a = np.array([len(s) for s in spelled], np.int64)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        marked = any(_BLANK in p.lstrip(_BLANK) for p in pieces)
+        told = "".join(pieces[i] for i in self.b.encode("a  b "))
+        if marked or told != f"{_BLANK}a{_BLANK * 2}b{_BLANK}":
+            raise ValueError(f"{path_b} has other pieces than ones that begin at blanks")
         self.spelled_b = pa.array(
             [
                 bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode()

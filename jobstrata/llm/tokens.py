@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobstrata.llm.common import map_arrow, text_batches
+from jobstrata.llm.units import Remembered
 
 # Symbols of the first transducer.
 _SYMBOLS = "letter s r v l e number space blank quote other end".split()
@@ -41,7 +42,7 @@ NONE, LETTERS, NUMBERS, OTHERS, ONE_SPACE, ONE_BLANK, RUN_SPACE, RUN_BLANK, Q, Q
 HERE, BEFORE = 1, 2
 CHUNK = 512
 # Bounds of what a worker remembers; past them it starts anew.
-STATES_KEPT, WORDS_KEPT = 150_000, 400_000
+STATES_KEPT = 150_000
 
 
 def _step(state: int, symbol: int) -> tuple[int, int]:
@@ -138,7 +139,6 @@ class WordTransducer:
         self.tokens = {spell(t) for t in vocabulary if all(c in sign for c in t)}
         self.beginnings = {t[:n] for t in self.tokens for n in range(1, len(t) + 1)}
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.words: dict[bytes, int] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -205,35 +205,41 @@ class WordTransducer:
         return number, change
 
     def count(self, word: bytes) -> int:
-        total = self.words.get(word)
-        if total is None:
-            if len(self.states) > STATES_KEPT:
-                self._forget()
-            total = state = 0
-            moves = self.moves
-            for byte in word:
-                state, change = moves[state].get(byte) or self._move(state, byte)
-                total += change
-            if len(self.words) > WORDS_KEPT:
-                self.words = {}
-            if len(word) < 64:
-                self.words[word] = total
+        if len(self.states) > STATES_KEPT:
+            self._forget()
+        total = state = 0
+        moves = self.moves
+        for byte in word:
+            state, change = moves[state].get(byte) or self._move(state, byte)
+            total += change
         return total
 
 
+def require_byte_level(path: str) -> dict:
+    """What a tokenizer file says; one that does not take texts apart by bytes and the words of
+    ``word_starts``, as they stand, is refused."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    form = told.get("pre_tokenizer") or {}
+    byte_level = form.get("type") == "ByteLevel" and form.get("use_regex", True)
+    if told.get("normalizer") or not byte_level or form.get("add_prefix_space"):
+        raise ValueError(f"{path} is no byte-level tokenizer of texts as they stand")
+    return told
+
+
 class Compiled:
     """Both transducers of a tokenizer file, and its character classes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            told = json.load(file)
+        told = require_byte_level(path)
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         specials = [t["content"] for t in told["added_tokens"]]
         by_length = sorted(specials, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, by_length))) if specials else None
         self.word = WordTransducer(told["model"]["vocab"], told["model"]["merges"])
+        self.known = Remembered(self._word_counts, np.int64)
         self.symbol = np.full(0x110000, 255, np.uint8)
         for sign, symbol in zip("stmdrvle '", (S, S, S, S, R, V, L, E, SPACE, QUOTE)):
             self.symbol[ord(sign)] = symbol
@@ -249,6 +255,10 @@ class Compiled:
             else:
                 self.symbol[code] = BLANK
 
+    def _word_counts(self, units: pa.Array, words: list[bytes]) -> tuple[np.ndarray, ...]:
+        counts = np.fromiter(map(self.word.count, words), np.int64, len(words))
+        return counts, np.arange(len(words)), np.ones(len(words), np.int64)
+
     def counts(self, texts: list[str | None]) -> np.ndarray:
         pieces, owner = [], []
         total = np.zeros(len(texts), np.int64)
@@ -276,10 +286,8 @@ class Compiled:
             len(begins),
             [None, pa.py_buffer(bounds), pa.py_buffer(joined.encode("utf-8"))],
         ).dictionary_encode()
-        each = np.fromiter(
-            map(self.word.count, words.dictionary.to_pylist()), np.int64, len(words.dictionary)
-        )
-        found = each[words.indices.to_numpy()]
+        flat, begin, _ = self.known.rows(words.dictionary)
+        found = flat[begin][words.indices.to_numpy()]
         found[symbols[begins] == END] = 0
         piece = np.searchsorted(ends, begins)
         total += np.bincount(

@@ -62,3 +62,13 @@ def test_pieces_of_any_tokenizer(spark, path):
     ids = dict(zip(texts, library(path, texts.values(), 7)))
     pieces = packing.pack(docs, path, 512, 7).withColumn("ids_crc32", F.crc32("ids"))
     assert set(brute.check_sequences(pieces.collect(), ids, 512)) == set(texts)
+
+
+def test_other_forms_of_tokenizers_are_refused():
+    from jobstrata.llm import alignment, tokens
+
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    with pytest.raises(ValueError, match="no byte-level tokenizer"):
+        tokens.Compiled(WORD_FILE)
+    with pytest.raises(ValueError, match="no byte-level tokenizer"):
+        alignment.Pair(WORD_FILE, pieces)
