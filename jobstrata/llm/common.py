@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -66,13 +67,20 @@ def text_batches(
                 yield batch.slice(start, end - start)
 
 
+def give_back() -> None:
+    """Free memory back to the system: a worker goes on to other tasks, and waits between."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, make: Callable, schema: str | T.StructType, *args) -> DataFrame:
     """``mapInArrow`` with a worker made from plain arguments inside the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from make(batches, *args)
-        # A worker goes on to other tasks; what this one held is given back.
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -31,6 +31,8 @@ from jobstrata.llm.units import Remembered
 OPEN_WINDOWS = 16
 # Tasks, or groups of the level below, whose open windows are merged in one task.
 FAN_IN = 16
+# Words of each kind that a worker remembers, and bytes of text that it handles at once.
+WORDS_KEPT, TEXT_BYTES = 200_000, 2 << 20
 _PIECE = (
     "start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, "
     "node long, open boolean"
@@ -45,15 +47,16 @@ _WORD_FORM = {
 }
 
 
-def reads_words(path: str) -> bool:
-    """Whether a tokenizer file lowers its texts and takes words and signs apart at blanks, so
-    that ids of words follow each other as the words do."""
-    with open(path, encoding="utf-8") as file:
-        told = json.load(file)
-    steps = (told.get("normalizer") or {}).get("normalizers", [])
-    splits = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+def reads_words(tokenizer) -> bool:
+    """Whether a tokenizer lowers its texts and takes words and signs apart at blanks, so that
+    ids of words follow each other as the words do."""
+    if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
+        return False
+    steps = json.loads(tokenizer.normalizer.__getstate__()).get("normalizers", [])
+    splits = json.loads(tokenizer.pre_tokenizer.__getstate__()).get("pretokenizers", [])
     if [s["type"] for s in steps] != _WORD_FORM["normalizers"] or len(splits) != 2:
         return False
+    added = (token.content for token in tokenizer.get_added_tokens_decoder().values())
     return (
         steps[1]["pattern"] == _WORD_FORM["blanks"]
         and steps[1]["content"] == " "
@@ -62,7 +65,7 @@ def reads_words(path: str) -> bool:
         and splits[1]["type"] == "ByteLevel"
         and not splits[1]["use_regex"]
         and not splits[1]["add_prefix_space"]
-        and not any(set(t["content"]) & set(" \n") for t in told["added_tokens"])
+        and not any(set(content) & set(" \n") for content in added)
     )
 
 
@@ -81,10 +84,8 @@ def _joined(parts: list, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray,
 class Whole:
     """Token ids of whole texts, by a tokenizer of any form."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
@@ -103,10 +104,10 @@ class Words(Whole):
     separates those, so they share the ids of their lower-case letters.
     """
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.letters = Remembered(self._letter_ids, np.uint32)
-        self.others = Remembered(self._other_ids, np.uint32)
+    def __init__(self, tokenizer):
+        super().__init__(tokenizer)
+        self.letters = Remembered(self._letter_ids, np.uint32, WORDS_KEPT)
+        self.others = Remembered(self._other_ids, np.uint32, WORDS_KEPT)
         told = self.tokenizer.encode_batch([".", ","], add_special_tokens=False)
         self.stops = np.array([0, *(t.ids[0] for t in told)], np.uint32)
 
@@ -168,6 +169,13 @@ class Words(Whole):
         return _joined([tokens], np.diff(through, prepend=0), end_id)
 
 
+def spelled_by(path: str) -> Whole:
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return Words(tokenizer) if reads_words(tokenizer) else Whole(tokenizer)
+
+
 def _far(words: pa.Array) -> np.ndarray:
     """Words with a sign from U+0240 on, or with U+0130, whose small form has two signs; the
     tokenizer's own tables are left to deal with these."""
@@ -268,10 +276,10 @@ def _pack_task(
     batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int
 ) -> Iterator[pa.RecordBatch]:
     if path not in _WORDS:
-        _WORDS[path] = Words(path) if reads_words(path) else Whole(path)
+        _WORDS[path] = spelled_by(path)
     task = TaskContext.get().partitionId()
     packer, held = Packer(length, task << 32), None
-    for batch in text_batches(batches, "text", 3 << 20):
+    for batch in text_batches(batches, "text", TEXT_BYTES):
         tokens, bounds = _WORDS[path].ids(batch.column("text"), end_id)
         # Documents of the windows still open come before those of this batch.
         keys = batch.column("doc_id")

@@ -228,7 +228,7 @@ def test_packing_merges_in_levels(spark, monkeypatch):
 def test_words_equal_the_library():
     signs = [*"ast1!.,éñ中́²😀İßſ\n\t \0", "  ", "<|endoftext|>", "'s", "A.", "Ωs", "ŉ", "ǅ"]
     texts = ["".join(R.choice(signs) for _ in range(R.randint(0, 14))) for _ in range(4000)]
-    ids, bounds = packing.Words(WORD_BPE).ids(pa.array(texts), 2)
+    ids, bounds = packing.spelled_by(WORD_BPE).ids(pa.array(texts), 2)
     told = Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)
     for a, b, t in zip(bounds[:-1], bounds[1:], told):
         assert ids[a:b].tolist() == [*t.ids, 2]

@@ -22,8 +22,10 @@ def library(path, texts, end_id=2):
     return [[*t.ids, end_id] for t in told]
 
 
-def packed(maker, path, texts):
-    ids, bounds = maker(path).ids(pa.array(texts, pa.string()), 2)
+def packed(kind, path, texts):
+    maker = packing.spelled_by(path)
+    assert type(maker) is kind
+    ids, bounds = maker.ids(pa.array(texts, pa.string()), 2)
     assert ids.dtype == np.uint32
     return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
 
@@ -37,14 +39,13 @@ def drawn(n=3000):
 
 def test_words_and_whole_texts_equal_the_library():
     texts = drawn()
-    assert packing.reads_words(WORD_FILE) and not packing.reads_words(BYTE_FILE)
     assert packed(packing.Words, WORD_FILE, texts) == library(WORD_FILE, texts)
     assert packed(packing.Whole, BYTE_FILE, texts) == library(BYTE_FILE, texts)
     assert packed(packing.Words, WORD_FILE, []) == []
 
 
 def test_forgetting_words_changes_nothing(monkeypatch):
-    words = packing.Words(WORD_FILE)
+    words = packing.spelled_by(WORD_FILE)
     words.letters.most = words.others.most = 50
     monkeypatch.setattr(units, "LONGEST_KEPT", 3)
     texts = drawn(600)
