@@ -28,7 +28,7 @@ from jobstrata.llm.blocks import first_in_rows, nearest, vectors
 DEPTHS = (1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 15 / 16, 1)
 # So many rows, as a share, are few enough to be resolved instead of read on for.
 FEW = 1 / 32
-TILE = 256
+TILE = 512
 
 
 def _number_type(queries: np.ndarray, rows: np.ndarray):
@@ -38,62 +38,75 @@ def _number_type(queries: np.ndarray, rows: np.ndarray):
 
 
 class _Lists:
-    """Sorted lists of a block and what a step newly reads of them, shared by all queries."""
+    """Sorted lists of a block and what is read of them, shared by all queries."""
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
         self.ordered = np.sort(rows, axis=0)
         self.most, self.least = self.ordered[-1], self.ordered[0]
+        self.steps: dict[float, tuple] = {}
 
-    def cut(self, depth: float) -> tuple[np.ndarray, np.ndarray]:
-        """The last value read from the upper and from the lower end of each list; with it
-        all values equal to it are read."""
-        last = min(len(self.rows), int(np.ceil(depth * len(self.rows)))) - 1
-        return self.ordered[-1 - last], self.ordered[last]
+    def read(self, depth: float) -> tuple[np.ndarray, ...]:
+        """The last value read from the upper and from the lower end of each list, and which
+        rows are read from either; with a value all that equal it are read."""
+        if depth not in self.steps:
+            last = min(len(self.rows), int(np.ceil(depth * len(self.rows)))) - 1
+            high, low = self.ordered[-1 - last], self.ordered[last]
+            self.steps[depth] = high, low, self.rows >= high, self.rows <= low
+        return self.steps[depth]
 
 
 def _read(lists: _Lists, queries: np.ndarray, own: np.ndarray, limit: int, rounded: bool):
     """Per query of a tile: the rows left when it stopped, their scores, and the depth."""
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    kind = queries.dtype
     alive = np.arange(len(lists.rows))
     reading = np.arange(len(queries))
-    sums = np.zeros((len(queries), len(alive)), queries.dtype)
-    before = None
+    sums = np.zeros((len(queries), len(alive)), kind)
+    was_above = was_below = np.zeros((1, queries.shape[1]), bool)
+    few = max(limit, FEW * len(lists.rows))
     for depth in DEPTHS:
-        high, low = lists.cut(depth)
-        rows = lists.rows[alive]
-        above, below = rows >= high, rows <= low
-        fresh_above, fresh_below = above, below
-        if before is not None:
-            fresh_above, fresh_below = above & (rows < before[0]), below & (rows > before[1])
+        high, low, above, below = lists.read(depth)
+        rows = lists.rows
+        if len(alive) < len(rows):
+            rows, above, below = rows[alive], above[alive], below[alive]
         u, d = up[reading], down[reading]
-        sums = sums + u @ np.where(fresh_above, rows, 0).T + d @ np.where(fresh_below, rows, 0).T
-        unread_above, unread_below = (~above).astype(rows.dtype).T, (~below).astype(rows.dtype).T
-        # Unread whole numbers lie beyond the last one read.
-        lower = sums + (u * lists.least) @ unread_above + (d * lists.most) @ unread_below
-        upper = sums + (u * (high - 1)) @ unread_above + (d * (low + 1)) @ unread_below
+        sums = sums + u @ (rows * (above & ~was_above)).T + d @ (rows * (below & ~was_below)).T
         other = ~own[np.ix_(reading, alive)]
         open_rows = other
         if len(alive) > limit:
-            ranked = np.where(other, lower.astype(np.float64), -np.inf)
+            lower = sums
+            if depth < 1:
+                unread_above, unread_below = (~above).astype(kind).T, (~below).astype(kind).T
+                lower = sums + (u * lists.least) @ unread_above + (d * lists.most) @ unread_below
+            told = lower.astype(np.float64) if rounded else lower
+            ranked = np.where(other, told, told.dtype.type(-np.inf))
             border = np.partition(ranked, -limit, axis=1)[:, -limit]
             if rounded:
                 # Sums beyond this type's exact range were rounded.
                 border -= np.abs(border) * 1e-12
-            open_rows = other & (upper >= border[:, None])
-        few = max(limit, FEW * len(lists.rows))
+            if depth < 1:
+                # Unread whole numbers lie beyond the last one read. While rows that were not
+                # read at all can qualify, bounds of the others are not worth a look.
+                beyond = (u * (high - 1)).sum(1) + (d * (low + 1)).sum(1)
+                told = np.flatnonzero((beyond < border).astype(bool))
+                upper = (u[told] * (high - 1)) @ unread_above + (d[told] * (low + 1)) @ unread_below
+                upper = upper + sums[told]
+                open_rows = other.copy()
+                open_rows[told] &= (upper >= border[told, None]).astype(bool)
+            else:
+                open_rows = other & (sums >= border[:, None]).astype(bool)
         done = (open_rows.sum(1) <= few) | (depth == 1)
         for at in np.flatnonzero(done).tolist():
             left = np.flatnonzero(open_rows[at])
-            whole = depth == 1
-            yield int(reading[at]), alive[left], sums[at, left] if whole else None, depth
+            yield int(reading[at]), alive[left], sums[at, left] if depth == 1 else None, depth
         reading, sums, open_rows = reading[~done], sums[~done], open_rows[~done]
         if not len(reading):
             return
         kept = open_rows.any(0)
         if kept.sum() <= 0.9 * len(kept):
-            alive, sums = alive[kept], sums[:, kept]
-        before = high, low
+            alive, sums, above, below = alive[kept], sums[:, kept], above[kept], below[kept]
+        was_above, was_below = above, below
 
 
 def _block(limit: int):
