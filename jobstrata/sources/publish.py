@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import SparkSession
 
 from jobstrata.sources import catalog
+from jobstrata.workspace import remove
 
 # What is appended to a table's name while it is built, and while it is replaced.
 BUILT, REPLACED = "__next", "__old"
@@ -27,11 +28,6 @@ def location_of(spark: SparkSession, table: str) -> str:
     return found
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def _layout(spark: SparkSession, table: str) -> tuple:
     columns = spark.catalog.listColumns(table)
     names = [(c.name, c.dataType, c.isPartition) for c in columns]
@@ -47,14 +43,14 @@ def recover(spark: SparkSession, table: str) -> None:
             folder = location_of(spark, old)
             spark.sql(f"DROP TABLE {catalog.quoted(old)}")
             if folder != location_of(spark, table):
-                _remove(spark, folder)
+                remove(spark, folder)
         else:
             spark.sql(f"ALTER TABLE {catalog.quoted(old)} RENAME TO {catalog.quoted(table)}")
     if spark.catalog.tableExists(built):
         folder = location_of(spark, built)
         spark.sql(f"DROP TABLE {catalog.quoted(built)}")
         if not spark.catalog.tableExists(table) or folder != location_of(spark, table):
-            _remove(spark, folder)
+            remove(spark, folder)
 
 
 def publish(spark: SparkSession, table: str) -> None:
@@ -79,7 +75,7 @@ def publish(spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE {catalog.quoted(old)}")
     spark.catalog.refreshTable(table)
     if before != location_of(spark, table):
-        _remove(spark, before)
+        remove(spark, before)
 
 
 def rebuild(
@@ -98,7 +94,7 @@ def rebuild(
     except BaseException:
         if spark.catalog.tableExists(built):
             spark.sql(f"DROP TABLE {catalog.quoted(built)}")
-        _remove(spark, fresh)
+        remove(spark, fresh)
         raise
     publish(spark, table)
     return written
@@ -114,6 +110,6 @@ def drop_others(spark: SparkSession, database: str, kept: Iterable[str]) -> list
         table = f"{database}.{row['tableName']}"
         folder = location_of(spark, table)
         spark.sql(f"DROP TABLE {catalog.quoted(table)}")
-        _remove(spark, folder)
+        remove(spark, folder)
         gone.append(row["tableName"])
     return gone

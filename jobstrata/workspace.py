@@ -43,8 +43,13 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _SCRATCH.reset(outer)
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches; one that is not there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:
