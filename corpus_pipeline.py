@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobstrata.llm import language, lines, mixing, neardup
 from jobstrata.llm.common import read_table, stored, word_count
 from jobstrata.llm.queries import packed_digest
+from jobstrata.workspace import new_path, remove, scratch
 
 # Below this belief in its language a document is not used.
 MIN_LANGUAGE_SCORE = 0.34
@@ -61,8 +62,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, from the documents table."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages in order, from the documents table. What a stage needs beside its output goes
+    with its end, and its output once the next stage's is stored."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
