@@ -159,3 +159,16 @@ def test_surrogates_replace_every_mention(spark, texts):
         assert len(set(pairs.values())) == len(pairs) and not set(pairs) & set(pairs.values())
     changed = [r for r in rows if r.text != texts[r.doc_id]]
     assert changed and all(r.n_entities > 0 for r in changed)
+
+
+def test_a_run_leaves_only_what_its_result_needs(spark, folder, monkeypatch):
+    """Outputs of stages go once the next one is stored, and their own steps with them."""
+    import os
+
+    from jobstrata import workspace
+
+    monkeypatch.setattr(workspace, "work_folder", lambda spark: folder)
+    pieces = corpus_pipeline.run(spark, DATA)
+    left = {name.split("-")[0] for name in os.listdir(folder)}
+    assert left <= {"mixing_sources", "packed"}
+    assert pieces.count() > 100
