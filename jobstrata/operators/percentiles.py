@@ -142,15 +142,15 @@ def _points(
 ) -> DataFrame:
     """Distinct values with counts inside ``cells``.
 
-    Cells that are too large together to be broadcast as rows may still fit as hashes. These
-    drop most rows before the shuffle; the join behind it is exact.
+    Cells that are too large together to be broadcast as rows may still fit as hashes. Either
+    drops most rows before the shuffle, which moves keys, cell and value alone; what is known of
+    the cell is joined behind it.
     """
     at = [*keys, "_cell"]
     count = F.count(F.lit(1)).alias("_n")
     if size["bytes"] <= broadcast_bytes:
-        inside = _in_cells(rows, cells, at, size, broadcast_bytes)
-        return inside.groupBy(*keys, "_lo", "_hi", "_below", "_ranks", "_value").agg(count)
-    if size["cells"] * HASH_BYTES <= broadcast_bytes:
+        rows = _join_on(rows, F.broadcast(cells.select(*at)), at, "left_semi")
+    elif size["cells"] * HASH_BYTES <= broadcast_bytes:
         hashes = cells.select(F.xxhash64(*at).alias("_hash")).distinct()
         rows = rows.join(F.broadcast(hashes), F.xxhash64(*at) == F.col("_hash"), "left_semi")
     distinct = rows.groupBy(*at, "_value").agg(count)
