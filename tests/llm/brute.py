@@ -250,3 +250,122 @@ def conversation_nodes(rows, share=5, most=9):
             )
         )
     return out
+
+
+def _luhn(digits):
+    total = 0
+    for place, sign in enumerate(reversed(digits)):
+        value = int(sign) * (2 if place % 2 else 1)
+        total += value - 9 if value > 9 else value
+    return total % 10 == 0
+
+
+def personal_mentions(text):
+    """(start, end, kind, identity) of the forms that the test tables have, found by walking
+    along the text: addresses, +1 phones, secrets behind labels, IP addresses, card numbers."""
+    local = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+    found = []
+    for at in (i for i, c in enumerate(text) if c == "@"):
+        start = at
+        while start and text[start - 1] in local:
+            start -= 1
+        end = at + 1
+        while end < len(text) and (text[end] in local or text[end] == "-") and text[end] not in "_%+":
+            end += 1
+        labels = text[at + 1 : end].split(".")
+        while labels and not (labels[-1].isalpha() and len(labels[-1]) > 1):
+            labels.pop()
+        if start < at and len(labels) > 1:
+            end = at + 1 + len(".".join(labels))
+            found.append((start, end, "email", text[start:end].lower()))
+    for at in (i for i, c in enumerate(text) if text.startswith("+1 (", i)):
+        number = text[at : at + 17]
+        if len(number) == 17 and number[7:9] == ") " and number[12] == "-":
+            digits = "".join(c for c in number if c.isdigit())
+            if len(digits) == 11 and not text[at + 17 : at + 18].isdigit():
+                found.append((at, at + 17, "phone", digits))
+    for label in ("password", "passwd", "pwd", "token", "secret", "api_key", "api-key", "apikey"):
+        at = text.lower().find(label)
+        while at >= 0:
+            rest = text[at + len(label) :]
+            sign = rest.lstrip(" ")
+            value = sign[1:].lstrip(" ")
+            if sign[:1] in ("=", ":") and value:
+                quoted = value[0] in "\"'"
+                body = value[quoted:]
+                body = re.match(r"[^\s\"']*", body).group().rstrip(".,;:)]}>")
+                start = text.index(body, at + len(label)) if body else at
+                long_one = len(body) >= 6 and any(c.isdigit() for c in body)
+                if long_one or sign[0] == "=" and len(body) >= 4 and any(c.isalnum() for c in body):
+                    found.append((start, start + len(body), "secret", body))
+            at = text.lower().find(label, at + 1)
+    at = 0
+    while at < len(text):
+        end = at
+        while end < len(text) and (text[end] in "0123456789."):
+            end += 1
+        run = text[at:end].rstrip(".")
+        parts = run.split(".")
+        before, after = text[at - 1 : at], text[at + len(run) : at + len(run) + 1]
+        octets = {str(n) for n in range(256)} | {f"0{n}" for n in range(10)}
+        if len(parts) == 4 and set(parts) <= octets:
+            found.append((at, at + len(run), "ip", run))
+        beside = any(c.isascii() and c.isalnum() for c in (before, after))
+        if run.isdigit() and 13 <= len(run) <= 19 and _luhn(run) and not beside:
+            found.append((at, at + len(run), "card", run))
+        at = max(end, at + 1)
+    # What lies inside another mention is part of it.
+    return [
+        m
+        for m in sorted(found)
+        if not any(o[0] <= m[0] and m[1] <= o[1] and o != m for o in found)
+    ]
+
+
+def language_features(text, orders=3, cells=1 << 13):
+    """Square roots of the shares of hashed character n-grams, gram by gram; blanks stand for
+    what is no letter, and grams without a letter don't count."""
+    import math
+
+    low = f" {(text or '').lower()} "
+    counts = {}
+    for order in range(orders):
+        for start in range(len(low) - order):
+            gram = low[start : start + order + 1]
+            if not any(c.isalpha() for c in gram):
+                continue
+            value = 0
+            for c in gram:
+                value = (value * 0x100000001B3 + (ord(c) if c.isalpha() else 32)) % 2**64
+            cell = ((value + order) * 0x9E3779B97F4A7C15 % 2**64) * cells >> 64
+            counts[cell] = counts.get(cell, 0) + 1
+    total = sum(counts.values())
+    return {cell: math.sqrt(n / total) for cell, n in counts.items()}
+
+
+def language_of(text, model):
+    """The label and belief by the families' and pairs' weights, vote by vote."""
+    import math
+
+    features = language_features(text)
+    if not features:
+        return "und", 0.0
+
+    def chance(task):
+        margin = sum(float(model["weights"][task][cell]) * x for cell, x in features.items())
+        return 1 / (1 + math.exp(-3 * max(-20, min(20, margin))))
+
+    families = model["families"]
+    alone = len(families) == 1
+    sure = {f: 1.0 if alone else chance(f"f:{f}") for f in families}
+    family = max(families, key=lambda f: sure[f])
+    members = families[family]
+    votes, belief = {m: 0 for m in members}, {m: 0.0 for m in members}
+    for i, a in enumerate(members):
+        for b in members[i + 1 :]:
+            for_a = chance(f"p:{a}:{b}")
+            votes[a if for_a >= 0.5 else b] += 1
+            belief[a] += for_a
+            belief[b] += 1 - for_a
+    best = max(members, key=lambda m: (votes[m], belief[m]))
+    return best, sure[family] * (belief[best] / (len(members) - 1) if len(members) > 1 else 1.0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from jobstrata.llm import queries
+from jobstrata.llm import language, queries
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "conversations")
@@ -57,6 +57,18 @@ def test_language_of_held_out_documents(spark):
     assert found.count() == docs.count()
 
 
+def test_languages_equal_a_plain_vote(spark, texts):
+    """Features gram by gram, margins and votes one by one, from the learned weights."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = language.learn(docs)
+    found = language.identify(docs, model, ["doc_id"]).collect()
+    short = [r for r in found if len(texts[r.doc_id] or "") < 3000]
+    assert len(short) > 100
+    for r in short:
+        lang, score = brute.language_of(texts[r.doc_id], model)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-4)
+
+
 def _sizes(text):
     return len(brute.WORD.findall(text or ""))
 

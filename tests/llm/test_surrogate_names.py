@@ -2,9 +2,10 @@
 
 import re
 
+import brute
 import pytest
 
-from jobstrata.llm import surrogates
+from jobstrata.llm import queries, surrogates
 
 SAMPLES = {
     "latin": ("Anna", "Lee"),
@@ -101,3 +102,39 @@ def test_small_spaces_are_drawn_to_the_end(spark):
     (new,) = replaced(spark, " ".join(f"{c}@x.org" for c in locals_))
     found = new.split()
     assert len(set(found)) == 26 and not set(found) & {f"{c}@x.org" for c in locals_}
+
+
+def test_whole_table_against_a_plain_detector(spark):
+    """Every mention that a walk along the texts finds is replaced, one identity by one other,
+    in its form, and nothing else is touched."""
+    data = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    known, mentions, kinds = {}, 0, set()
+    for row in queries.QUERIES["op6_surrogates"](spark, data).collect():
+        text = texts[row.doc_id]
+        if text is None:
+            assert row.text is None
+            continue
+        found = brute.personal_mentions(text)
+        assert row.n_entities == len(found), (row.doc_id, found)
+        cuts = [0, *(x for m in found for x in m[:2]), len(text)]
+        pieces = [re.escape(text[a:b]) for a, b in zip(cuts[::2], cuts[1::2])]
+        match = re.fullmatch("(.+?)".join(pieces), row.text, re.S)
+        assert match
+        for (start, end, kind, identity), new in zip(found, match.groups()):
+            old, form = text[start:end], lambda s: re.sub(r"[A-Za-z]", "a", re.sub(r"\d", "0", s))
+            made = re.sub(r"\D", "", new) if kind == "phone" else new.lower() if kind == "email" else new
+            assert known.setdefault((kind, identity), made) == made
+            if kind in ("phone", "card", "secret"):
+                assert form(new) == form(old) or kind == "secret" and len(new) == len(old)
+            if kind == "phone":
+                assert new.startswith("+1 (")
+            if kind == "card":
+                assert brute._luhn(new) and new[0] == old[0]
+            if kind == "ip":
+                assert all(0 < int(p) < 255 for p in new.split("."))
+            mentions += 1
+            kinds.add(kind)
+    assert mentions > 60 and kinds == {"email", "phone", "secret", "ip", "card"}
+    assert len(set(known.items())) == len({(k[0], v) for k, v in known.items()})
+    assert not {(k, v) for (k, _), v in known.items()} & set(known)
