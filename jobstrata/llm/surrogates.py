@@ -28,7 +28,8 @@ draw after the first ``PATIENCE``, as names do with every draw. The other forms
 ``MOST_DRAWS`` do not find a free value, an error says so.
 
 Only DataFrame functions are used. Distinct mentions, far fewer than rows, are checked;
-texts are matched with their surrogates by document, and only texts with a mention move.
+texts are matched with their surrogates by document, and only texts with a mention move. Very
+common mentions and domains are kept out of the shuffles that bring them their surrogates.
 
 Defined cases: null texts stay null; texts without entities stay as they are; rows equal in
 doc_id and text are treated alike; a null doc_id is a document like any other; other columns
@@ -40,7 +41,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.llm.common import as_row, stored
+from jobstrata.llm.common import as_row, join_counted, stored
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _LABELS = r"(?:password|passwd|pwd|token|secret|api[_-]?key)"
@@ -397,7 +398,7 @@ def _drawn(identities: DataFrame, key: str) -> DataFrame:
 
 def _one_number(entities: DataFrame) -> DataFrame:
     """Phones without a country code as the one number that the corpus has with one, if there
-    is exactly one; ``short`` says which these are."""
+    is exactly one; ``short`` says which these are. ``entities`` are stored."""
     phone = F.col("kind") == "phone"
     coded = F.startswith(F.col("identity"), F.lit("+"))
     whole = (
@@ -407,12 +408,17 @@ def _one_number(entities: DataFrame) -> DataFrame:
         .where(F.col("_whole") == F.col("_other"))
         .select("_digits", "_whole")
     )
-    bare = F.when(phone & ~coded, F.col("identity"))
-    return entities.join(whole, bare == F.col("_digits"), "left").select(
-        "kind",
-        "mention",
-        F.coalesce("_whole", "identity").alias("identity"),
-        F.col("_whole").isNotNull().alias("short"),
+    bare = entities.where(phone & ~coded).join(whole, F.col("identity") == F.col("_digits"), "left")
+    # All else has nothing to look up and stays out of the join.
+    others = entities.where(~phone | coded).withColumn("short", F.lit(False))
+    return others.unionByName(
+        bare.select(
+            "kind",
+            "mention",
+            F.coalesce("_whole", "identity").alias("identity"),
+            "times",
+            F.col("_whole").isNotNull().alias("short"),
+        )
     )
 
 
@@ -420,14 +426,17 @@ def distinct_surrogates(identities: DataFrame, key: str) -> DataFrame:
     """kind, identity and surrogate of distinct (kind, identity)."""
     none = F.lit(None).cast("string")
     domain = F.when(F.col("kind") == "email", F.substring_index("identity", "@", -1))
-    rows = identities.select("kind", "identity", domain.alias("domain"))
-    domains = rows.where("domain IS NOT NULL").select(
+    rows = stored(identities.select("kind", "identity", domain.alias("domain")), "identities")
+    emails = rows.where("domain IS NOT NULL")
+    counted = stored(emails.groupBy("domain").agg(F.count(F.lit(1)).alias("times")), "domains")
+    domains = counted.select(
         F.lit("domain").alias("kind"), F.col("domain").alias("identity"), none.alias("new_domain")
     )
-    known = _drawn(domains.distinct(), key).select(
-        F.col("identity").alias("domain"), F.col("surrogate").alias("new_domain")
-    )
-    return _drawn(rows.join(known, "domain", "left"), key)
+    drawn = _drawn(domains, key).select("identity", F.col("surrogate").alias("new_domain"))
+    known = counted.join(drawn, F.col("domain") == F.col("identity")).drop("identity")
+    placed = join_counted(emails, stored(known, "new-domains"), "domain", "times")
+    others = rows.where("domain IS NULL").withColumn("new_domain", none)
+    return _drawn(placed.unionByName(others), key)
 
 
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
@@ -441,26 +450,38 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     mentions = stored(
         exploded.withColumn("kind", _kind(F.col("mention"))).distinct(), "mentions"
     )
-    entities = mentions.where("kind IS NOT NULL").select(
-        "kind", "mention", _identity(F.col("kind"), F.col("mention")).alias("identity")
+    counted = mentions.where("kind IS NOT NULL").groupBy("kind", "mention")
+    entities = counted.agg(F.count(F.lit(1)).alias("times")).select(
+        "kind", "mention", _identity(F.col("kind"), F.col("mention")).alias("identity"), "times"
     )
-    entities = stored(_one_number(entities.distinct()), "entities")
+    entities = stored(_one_number(stored(entities, "counted")), "entities")
     known = distinct_surrogates(entities.select("kind", "identity").distinct(), key)
     value = F.when(F.col("short"), _national(F.col("surrogate"))).otherwise(F.col("surrogate"))
     name = _untitled(F.col("mention"))
+    entity = F.struct("kind", "mention").alias("entity")
     rendered = entities.join(known, ["kind", "identity"]).select(
-        "kind",
-        "mention",
+        entity,
+        "times",
         _rendered(F.col("kind"), F.col("mention"), value).alias("surrogate"),
         F.when(
             (F.col("kind") == "name") & _is_full(name),
             F.struct(name.alias("name"), F.col("surrogate").alias("other")),
         ).alias("person"),
     )
+    at = ("doc_id", "text_hash", "place")
+    told = join_counted(
+        mentions.where("kind IS NOT NULL").select(*at, entity),
+        stored(rendered, "rendered"),
+        "entity",
+        "times",
+    ).drop("entity")
+    stays = mentions.where("kind IS NULL").select(
+        *at, *[F.lit(None).cast(told.schema[c].dataType).alias(c) for c in ("surrogate", "person")]
+    )
     # In order of place, the surrogate or null for what stays.
     placed = F.sort_array(F.collect_list(F.struct("place", "surrogate")))
     by_document = (
-        mentions.join(rendered, ["kind", "mention"], "left")
+        told.unionByName(stays)
         .groupBy("doc_id", "text_hash")
         .agg(
             F.transform(placed, lambda x: x["surrogate"]).alias("new"),
