@@ -551,6 +551,39 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len(set(got)) == len(names) and not set(got) & {t for _, t in names}
 
 
+def test_common_mentions_are_joined_alike(spark, monkeypatch):
+    """Mentions and domains get the same surrogates by broadcast and by shuffle; a number without
+    a valid check sum stays, and every document counts what it holds."""
+    from jobstrata.llm import common
+
+    rows = [
+        (i, "mail a@hot.org, not 4000000000000000")
+        if i % 3 == 0
+        else (i, f"mail u{i}@hot.org or v@d{i}.net, call 212-555-01{i:02} or +1 212-555-01{i:02}")
+        for i in range(30)
+    ]
+    df = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+
+    def told(part):
+        monkeypatch.setattr(common, "HOT_PART", part)
+        found = surrogates.replace_personal_data(df, "key").collect()
+        return {r.doc_id: (r.text, r.n_entities) for r in found}
+
+    shuffled, sent = told(1), told(10**9)
+    assert shuffled == sent and len(sent) == 31 and sent[None] == (None, 0)
+    common_ones = {sent[i] for i in range(0, 30, 3)}
+    assert len(common_ones) == 1
+    text, count = common_ones.pop()
+    assert count == 1 and "a@hot.org" not in text and text.endswith("not 4000000000000000")
+    others = [sent[i] for i in range(30) if i % 3]
+    assert {n for _, n in others} == {4} and len({t for t, _ in others}) == 20
+    domain = text.split("@")[1].split(",")[0]
+    for i in (i for i in range(30) if i % 3):
+        words = sent[i][0].split()
+        assert words[1].endswith(f"@{domain}") and words[5][-8:] == words[8][-8:]
+        assert not {f"u{i}@hot.org", f"v@d{i}.net,", f"212-555-01{i:02}"} & set(words)
+
+
 def test_many_short_texts_take_little_memory():
     """Ten thousand texts of fifteen signs in one batch of a worker."""
     import subprocess
