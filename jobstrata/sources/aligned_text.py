@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from jobstrata.contract import RAW
 from jobstrata.operators.quality import MALFORMED_LINE
-from jobstrata.sources.split_text import parsed, records
+from jobstrata.sources.split_text import marked_lines, parsed, records
 from jobstrata.workspace import materialise
 
 # Headers are broadcast up to this size, which is measured; more are joined by shuffle.
@@ -27,11 +27,18 @@ def _numbered(width: int) -> list[str]:
 
 
 def file_headers(
-    spark: SparkSession, path: str, contract: T.StructType = RAW, *, quote_escape: str = "\\"
+    spark: SparkSession,
+    path: str,
+    contract: T.StructType = RAW,
+    *,
+    quote_escape: str = "\\",
+    marked: DataFrame | None = None,
 ) -> DataFrame:
     """file, its header's names in lower case, where each column of the contract is (null:
     nowhere), and the names that are missing, not in the contract, and given twice."""
-    text = records(spark, path, header=False, quote_escape=quote_escape, first_only=True)
+    text = records(
+        spark, path, header=False, quote_escape=quote_escape, first_only=True, marked=marked
+    )
     text = materialise(text, "headers")
     # No header has more names than commas and one.
     commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
@@ -67,7 +74,10 @@ def aligned_scan(
 ) -> DataFrame:
     """All rows in the order of the contract, with ``malformed_line`` as in
     ``quality.scan_with_arity``. A header that gives a name of the contract twice is refused."""
-    headers = materialise(file_headers(spark, path, contract, quote_escape=quote_escape))
+    # Lines are put in order once, for headers and rows.
+    marked = marked_lines(spark, path, quote_escape=quote_escape)
+    headers = file_headers(spark, path, contract, quote_escape=quote_escape, marked=marked)
+    headers = materialise(headers)
     wanted = F.array(*[F.lit(name.lower()) for name in contract.names])
     twice = headers.where(F.arrays_overlap("twice", wanted)).select("file", "twice").first()
     if twice is not None:
@@ -81,13 +91,17 @@ def aligned_scan(
     )
     if (sizes["bytes"] or 0) <= BROADCAST_BYTES:
         places = F.broadcast(places)
-    rows = records(spark, path, quote_escape=quote_escape).where("value <> ''")
+    rows = records(spark, path, quote_escape=quote_escape, marked=marked).where("value <> ''")
     joined = rows.join(places, F.col("file") == F.col("_file"))
     # Headers differ in few widths; each is a parse of its own, so that arity is told by it.
-    values, malformed = F.lit(None), F.lit(None)
-    for width in sizes["widths"] or [1]:
+    # A parse is a column, so that it is done once a row and not once a value.
+    widths = sizes["widths"] or [1]
+    for width in widths:
         row = parsed("value", _numbered(width), quote_escape)
-        here = F.col("width") == width
+        joined = joined.withColumn(f"_row{width}", F.when(F.col("width") == width, row))
+    values, malformed = F.lit(None), F.lit(None)
+    for width in widths:
+        here, row = F.col("width") == width, F.col(f"_row{width}")
         values = F.when(here, F.array(*[row[c] for c in _numbered(width)])).otherwise(values)
         malformed = F.when(here, row[MALFORMED_LINE]).otherwise(malformed)
     placed = joined.select(values.alias("values"), malformed.alias(MALFORMED_LINE), "places")
