@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from jobstrata.contract import avro_contract
 from jobstrata.operators.projections import lowercase_columns, partition_last
 from jobstrata.sources.readers import LOSSLESS_CSV
-from jobstrata.sources.writers import ROWS_PER_TEXT_FILE, counted_write
+from jobstrata.sources.writers import ROWS_PER_TEXT_FILE, TEXT_CODEC, counted_write
 
 
 def quoted(identifier: str) -> str:
@@ -66,11 +66,11 @@ def register_view(df: DataFrame, view: str) -> None:
 def create_text_table(
     spark: SparkSession, table: str, location: str, schema: T.StructType
 ) -> None:
-    """External all-string ``,`` text table. Values are quoted, so commas, quotes, newlines,
+    """External all-string ``,`` text table with Snappy output. Values are quoted, so commas, quotes, newlines,
     blanks, empty strings and nulls read back as written."""
     columns = ", ".join(f"{quoted(field.name)} STRING" for field in schema.fields)
     limits = {"multiLine": "true", "maxRecordsPerFile": str(ROWS_PER_TEXT_FILE)}
-    options = _pairs({**LOSSLESS_CSV, **limits})
+    options = _pairs({**LOSSLESS_CSV, **limits, "compression": TEXT_CODEC})
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}) "
         f"USING csv OPTIONS ({options}) LOCATION {literal(location)}"
