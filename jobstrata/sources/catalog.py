@@ -151,6 +151,7 @@ def insert_overwrite(
     partitioned_by: Sequence[str] = (),
     *,
     dynamic: bool = True,
+    few_values: bool = False,
     settings: Mapping[str, str] | None = None,
 ) -> int:
     """Overwrite a table by position and return the rows written; a different number of
@@ -158,13 +159,15 @@ def insert_overwrite(
 
     With partition columns and ``dynamic`` only the partitions present in ``df`` are
     replaced, otherwise the whole table is. Rows are rebalanced by partition value, which
-    AQE splits where one value is large. ``settings`` hold for the write alone; a Hive table
+    AQE splits where one value is large; with ``few_values`` they are not shuffled, and each
+    task writes a file per value that it holds. ``settings`` hold for the write alone; a Hive table
     needs ``HIVE_AVRO_SETTINGS``, and replaces only partitions present in ``df`` either way.
     """
     df = lowercase_columns(df)
     keys = [name.lower() for name in partitioned_by]
     if keys:
-        df = partition_last(df, *keys).hint("rebalance", *keys)
+        df = partition_last(df, *keys)
+        df = df if few_values else df.hint("rebalance", *keys)
     mode = "dynamic" if keys and dynamic else "static"
     values = {"spark.sql.sources.partitionOverwriteMode": mode, **(settings or {})}
     with _settings(df.sparkSession, values):
