@@ -215,19 +215,21 @@ def empty_refused(spark, sf_dir):
 
 
 def header_check(spark, sf_dir):
-    """A folder of text files per industry, one of them with two columns exchanged: files
-    seen and files refused."""
+    """A text file per industry, each a folder of parts, one of them with two columns exchanged:
+    files seen and files refused, which one part is enough for."""
     path = new_path(spark, "headers")
     rows = materialise(postings(spark, sf_dir))
     order = list(RAW_COLUMNS)
     exchanged = [{"country": "region", "region": "country"}.get(name, name) for name in order]
-    odd = F.col("industry") == "building"
-    parts = (("odd", exchanged, rows.where(odd)), ("even", order, rows.where(~odd)))
-    for name, columns, part in parts:
-        text = part.select(*columns, F.col("industry").alias("kind")).repartition("kind")
-        writer = text.sortWithinPartitions("kind").write.partitionBy("kind")
-        writer.options(header=True, quoteAll=True).csv(f"{path}/{name}")
-    files = quality.header_check(spark, path)
+    kinds = [r["industry"] for r in rows.select("industry").distinct().orderBy("industry").collect()]
+    for at, kind in enumerate(kinds):
+        part = rows.where(F.col("industry").eqNullSafe(kind))
+        text = part.select(*(exchanged if kind == "building" else order))
+        writer = text.write.options(header=True, quoteAll=True, compression="snappy")
+        writer.csv(f"{path}/{at}.csv")
+    parts = quality.header_check(spark, path)
+    folder = F.regexp_extract("file", "/([^/]+)/[^/]+$", 1)
+    files = parts.groupBy(folder.alias("file")).agg(F.min("agrees").alias("agrees"))
     return files.agg(
         F.count("*").alias("files"), F.count(F.when(~F.col("agrees"), 1)).alias("refused")
     )
