@@ -53,7 +53,7 @@ def _by_city(spark: SparkSession, sf_dir: str, database: str) -> tuple[str, Data
     table = f"{database}.by_city"
     path = new_path(spark, "by-city")
     catalog.create_source_table(spark, table, path, RAW, "parquet", partitioned_by=["city"])
-    catalog.insert_overwrite(rows, table, ["city"])
+    catalog.insert_overwrite(rows, table, ["city"], few_values=True)
     return table, rows
 
 
