@@ -76,12 +76,11 @@ def static_overwrite(spark, sf_dir):
 
 def managed_table(spark, sf_dir):
     """The curated table as a managed Parquet table, written twice."""
+    rows = materialise(postings(spark, sf_dir))
     with _database(spark) as database:
         table = f"{database}.curated"
         for _ in range(2):
-            writers.save_parquet_table(
-                projections.curated_postings(postings(spark, sf_dir)), table
-            )
+            writers.save_parquet_table(projections.curated_postings(rows), table)
         return materialise(spark.table(table))
 
 
@@ -141,7 +140,7 @@ def reset_after_failure(spark, sf_dir):
     """A table of all postings, read after a rebuild of it has failed half-way."""
     with _database(spark) as database:
         table, path = f"{database}.postings", new_path(spark, "postings")
-        rows = postings(spark, sf_dir)
+        rows = materialise(postings(spark, sf_dir))
 
         def build(df):
             return lambda name, folder: writers.save_parquet_table(df, name, folder)
