@@ -25,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.llm.common import map_arrow, ranges, stored, text_batches
+from jobstrata.llm.common import give_back, map_arrow, ranges, stored, text_batches
 from jobstrata.llm.units import Remembered
 
 OPEN_WINDOWS = 16
 # Tasks, or groups of the level below, whose open windows are merged in one task.
 FAN_IN = 16
 # Words of each kind that a worker remembers, and bytes of text that it handles at once.
-WORDS_KEPT, TEXT_BYTES = 200_000, 2 << 20
+WORDS_KEPT, TEXT_BYTES = 200_000, 1 << 20
 _PIECE = (
     "start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, "
     "node long, open boolean"
@@ -276,7 +276,11 @@ def _pack_task(
     batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int
 ) -> Iterator[pa.RecordBatch]:
     if path not in _WORDS:
+        # What earlier steps and the tokenizer's file took and no longer use is given back, so
+        # that workers of one executor don't hold it beside their words.
+        give_back()
         _WORDS[path] = spelled_by(path)
+        give_back()
     task = TaskContext.get().partitionId()
     packer, held = Packer(length, task << 32), None
     for batch in text_batches(batches, "text", TEXT_BYTES):

@@ -73,3 +73,16 @@ def test_other_forms_of_tokenizers_are_refused():
         tokens.Compiled(WORD_FILE)
     with pytest.raises(ValueError, match="no byte-level tokenizer"):
         alignment.Pair(WORD_FILE, pieces)
+
+
+def test_memory_is_given_back_around_the_tokenizers_file(monkeypatch):
+    order = []
+    monkeypatch.setattr(packing, "_WORDS", {})
+    monkeypatch.setattr(packing, "give_back", lambda: order.append("back"))
+    monkeypatch.setattr(packing, "spelled_by", lambda path: order.append(path))
+    monkeypatch.setattr(
+        packing, "TaskContext", type("C", (), {"get": lambda: None or type("T", (), {"partitionId": lambda: 0})})
+    )
+    for _ in range(2):
+        assert list(packing._pack_task(iter(()), "file", 8, 2)) == []
+    assert order == ["back", "file", "back"]
