@@ -21,7 +21,12 @@ from jobstrata.functions import (
     share_percent,
     to_double,
 )
-from jobstrata.operators.percentiles import SINGLE_PASS_ROWS, grouped_percentiles
+from jobstrata.operators.percentiles import (
+    SINGLE_PASS_ROWS,
+    grouped_percentiles,
+    reads_once,
+    stored_rows,
+)
 from jobstrata.operators.projections import RISK_SCORE
 
 # Output column -> (input column, decimals).
@@ -38,6 +43,10 @@ def with_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Add every measure as a number, so that text is parsed once however often the number is
     used. Malformed text is null. Read the columns with :func:`number`."""
     df = df.withColumns({f"_double_{name}": to_double(F.col(name)) for name in names})
+    return _with_decimals(df, names)
+
+
+def _with_decimals(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns({f"_decimal_{name}": _fitting(number(name)) for name in names})
 
 
@@ -110,10 +119,11 @@ def group_median(
 
     ``known_rows`` and ``single_pass_rows`` as in :func:`grouped_percentiles`.
     """
+    rows = df.select(*keys, to_double(F.col("salary_usd")).alias("_salary"))
     medians = grouped_percentiles(
-        df,
+        stored_rows(rows, known_rows, single_pass_rows),
         keys,
-        to_double(F.col("salary_usd")),
+        F.col("_salary"),
         {"median": 0.5},
         known_rows=known_rows,
         single_pass_rows=single_pass_rows,
@@ -180,11 +190,18 @@ def impact_aggregate(
 ) -> DataFrame:
     """The 14-column functional table over raw postings.
 
-    Keys are the raw texts and the functional risk tier. Means, counts and the median's
-    histogram share one shuffle. See :func:`nonnull_titles` for ``unique_job_titles`` and
-    :func:`grouped_percentiles` for ``known_rows`` and ``single_pass_rows``.
+    Keys are the raw texts and the functional risk tier. Means and counts share one shuffle.
+    Where the input is read several times, its keys and parsed numbers are stored first. See
+    :func:`nonnull_titles` for ``unique_job_titles`` and :func:`grouped_percentiles` for
+    ``known_rows`` and ``single_pass_rows``.
     """
     rows, salary = impact_input(raw)
+    if not reads_once(known_rows, single_pass_rows):
+        # Titles are only counted, and decimals are cheaper made again than stored.
+        titled = F.when(F.col("job_title").isNotNull(), True).alias("job_title")
+        numbers = [number(name) for name in MEASURE_COLUMNS]
+        rows = rows.select(*GROUP_COLUMNS, *numbers, "ai_mentioned", titled)
+        rows = _with_decimals(stored_rows(rows, known_rows, single_pass_rows), MEASURE_COLUMNS)
     return impact_table(
         grouped_percentiles(
             rows,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jobstrata.contract import MEASURE_COLUMNS, YEAR_COLUMN
 from jobstrata.functions import share_percent
 from jobstrata.operators.aggregates import mean_of_parts, mean_parts, rounded, with_numbers
-from jobstrata.operators.percentiles import SINGLE_PASS_ROWS, grouped_percentiles
+from jobstrata.operators.percentiles import SINGLE_PASS_ROWS, grouped_percentiles, stored_rows
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 NUMERIC_COLUMNS = (YEAR_COLUMN, *MEASURE_COLUMNS)
@@ -25,7 +25,7 @@ def salary_distribution(
 ) -> DataFrame:
     """Box-plot statistics of the salary per industry, exact quartiles."""
     boxes = grouped_percentiles(
-        curated,
+        stored_rows(curated.select("industry", "salary_usd"), known_rows, single_pass_rows),
         ["industry"],
         F.col("salary_usd"),
         QUARTILES,

@@ -16,9 +16,13 @@ ranks are located in steps:
 A cell whose lowest and highest value are equal is answered from the histogram. The result
 equals ``percentile`` (linear interpolation) on every group, nulls left out.
 
+Before these steps one aggregate by group takes counts, sums, lowest and highest values, and
+the groups are numbered. While they can be broadcast, rows are known by the number of their group
+and a value from there on, so no step hashes, sorts or shuffles the keys themselves.
+
 The built-in still does the work wherever its buffer is proven small: in a single pass when
 the caller knows that the whole input has at most ``single_pass_rows`` rows, and in the
-second pass when the histogram shows that no group has more than ``GROUP_ROWS``.
+second pass when the counts show that no group has more than ``GROUP_ROWS``.
 """
 
 from __future__ import annotations
@@ -178,6 +182,19 @@ def _interpolated(at: Column, total: Column, fraction: float) -> Column:
     return F.when(low == high, low).otherwise(between)
 
 
+def reads_once(known_rows: int | None, single_pass_rows: int = SINGLE_PASS_ROWS) -> bool:
+    """Whether :func:`grouped_percentiles` reads its input once."""
+    return known_rows is not None and known_rows <= single_pass_rows
+
+
+def stored_rows(
+    df: DataFrame, known_rows: int | None, single_pass_rows: int = SINGLE_PASS_ROWS
+) -> DataFrame:
+    """``df``, from the work folder where :func:`grouped_percentiles` reads it several times, so
+    that it is computed once."""
+    return df if reads_once(known_rows, single_pass_rows) else materialise(df, "rows")
+
+
 def grouped_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -192,13 +209,14 @@ def grouped_percentiles(
 ) -> DataFrame:
     """One row per group: ``keys``, one exact percentile per entry of ``fractions``, the
     non-null count ``value_count``, ``value_min`` and ``value_max``, and every additive
-    aggregate of ``sums``, which shares the histogram's scan and shuffle.
+    aggregate of ``sums``, which shares the scan and shuffle of the counts.
 
     ``known_rows`` is an upper bound of the input rows where the caller has one, such as a
     Parquet footer count or the count of the write before. Without one, or above
-    ``single_pass_rows``, ``df`` is read twice, so it must give the same rows each time, and
-    the histogram is materialised in the checkpoint folder. ``single_pass_rows=0`` takes the
-    located way whatever the size.
+    ``single_pass_rows``, ``df`` is read up to three times, so it must give the same rows each
+    time and should be cheap to read (see :func:`stored_rows`), and the groups and the histogram
+    are materialised in the checkpoint folder. ``single_pass_rows=0`` takes the located way whatever
+    the size.
     """
     keys = list(keys)
     df = df.withColumn("_value", value)
@@ -206,35 +224,41 @@ def grouped_percentiles(
     # One buffer of values per group, however many fractions.
     builtin = F.percentile(value, F.array(*map(F.lit, map(float, fractions.values()))))
     picked = [F.col("_all")[at].alias(name) for at, name in enumerate(fractions)]
-    if known_rows is not None and known_rows <= single_pass_rows:
-        single = df.groupBy(*keys).agg(
-            builtin.alias("_all"),
-            F.count(value).alias("value_count"),
-            F.min(value).alias("value_min"),
-            F.max(value).alias("value_max"),
-            *[column.alias(name) for name, column in (sums or {}).items()],
-        )
-        return single.select(
-            *keys, *picked, "value_count", "value_min", "value_max", *(sums or {})
-        )
-    histogram = materialise(cell_counts(df, keys, value, sums or {}))
-    groups = _groups(histogram, keys, list(sums or {}))
-    group_rows = min(single_pass_rows, GROUP_ROWS)
-    if group_rows and (groups.agg(F.max("value_count")).first()[0] or 0) <= group_rows:
-        second = df.groupBy(*keys).agg(builtin.alias("_all"))
-        return _merged(groups, second, keys, F.max("_all").alias("_all")).select(
-            *keys, *picked, "value_count", "value_min", "value_max", *(sums or {})
-        )
-    return located_percentiles(
-        histogram,
-        lambda cells: df,
-        keys,
-        value,
-        fractions,
-        list(sums or {}),
-        window_rows=window_rows,
-        broadcast_bytes=broadcast_bytes,
+    totals = {
+        "value_count": F.count(value),
+        "value_min": F.min(value),
+        "value_max": F.max(value),
+        **(sums or {}),
+    }
+    summed = [column.alias(name) for name, column in totals.items()]
+    if reads_once(known_rows, single_pass_rows):
+        single = df.groupBy(*keys).agg(builtin.alias("_all"), *summed)
+        return single.select(*keys, *picked, *totals)
+    groups = materialise(
+        df.groupBy(*keys).agg(*summed).withColumn("_group", F.monotonically_increasing_id())
     )
+    size = _size(groups.withColumn("_n", F.col("value_count")), keys)
+    if size["bytes"] <= broadcast_bytes:
+        at = ["_group"]
+        df = _join_on(df, F.broadcast(groups.select(*keys, *at)), keys)
+    else:
+        at, groups = keys, groups.drop("_group")
+    rows = df.select(*at, "_value")
+    group_rows = min(single_pass_rows, GROUP_ROWS)
+    if group_rows and (size["widest"] or 0) <= group_rows:
+        found = rows.groupBy(*at).agg(builtin.alias("_all")).select(*at, *picked)
+    else:
+        found = located_percentiles(
+            materialise(cell_counts(rows, at, value, {})),
+            lambda cells: rows,
+            at,
+            value,
+            fractions,
+            window_rows=window_rows,
+            broadcast_bytes=broadcast_bytes,
+        ).select(*at, *fractions)
+    shares = [F.max(name).alias(name) for name in fractions]
+    return _merged(groups, found, at, *shares).select(*keys, *fractions, *totals)
 
 
 def cell_counts(

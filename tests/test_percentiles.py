@@ -92,6 +92,23 @@ def test_equals_the_builtin(table, expected, limits):
     assert _plain(got) == expected
 
 
+def test_small_groups_too_many_to_be_broadcast(table, expected):
+    rows = {"rows": F.count(F.lit(1))}
+    got = grouped_percentiles(table, KEYS, F.col("v"), SHARES, rows, broadcast_bytes=0)
+    assert _plain(got) == expected
+
+
+@pytest.mark.parametrize("broadcast_bytes, key", [(1 << 20, "_group"), (0, "a")])
+def test_values_are_gathered_by_the_number_of_their_group(table, broadcast_bytes, key):
+    """The built-in does not sort the keys themselves while the groups can be broadcast."""
+    got = grouped_percentiles(
+        table, KEYS, F.col("v"), SHARES, broadcast_bytes=broadcast_bytes
+    )
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [line for line in plan.splitlines() if "percentile(" in line and "Aggregate" in line]
+    assert len(gathered) == 1 and f"Aggregate [{key}#" in gathered[0]
+
+
 def test_ranks_come_back_without_a_join(table):
     """Groups and picked ranks meet in one aggregate: no join above it, and so no second
     shuffle of null-safe keys."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from small_data import SMALL_DATA
 from jobstrata.contract import RAW
-from jobstrata.operators import quality
+from jobstrata.operators import aggregates, projections, quality
 from jobstrata.plans import catalog_queries, registry, standin
 from jobstrata.sources import aligned_text, readers, writers
 
@@ -105,6 +105,27 @@ def test_postings_of_two_writes_are_joined_once(spark, monkeypatch, name):
     assert len(calls) == 1 and stored[0][0].columns == RAW.names
 
 
+@pytest.mark.parametrize("way", [{"known_rows": 1 << 30}, {}, {"single_pass_rows": 0}])
+def test_an_aggregate_reads_its_input_once(spark, way):
+    """Means, counts and medians come from stored keys and numbers, whichever way they go."""
+    rows = standin.postings(spark, SMALL_DATA)
+    for got in (aggregates.impact_aggregate(rows, **way), aggregates.group_median(
+        projections.with_risk_tier(rows), **way
+    )):
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "_group" in plan and "l_orderkey" not in plan
+
+
+def test_a_single_file_of_a_large_table_joins_postings_once(spark, monkeypatch):
+    small = registry.QUERIES["csv_export_single"](spark, SMALL_DATA).collect()
+    monkeypatch.setattr(registry, "posting_bound", lambda *args: 1 << 30)
+    calls = spied(writers, "export_csv", monkeypatch)
+    large = registry.QUERIES["csv_export_single"](spark, SMALL_DATA).collect()
+    assert sorted(map(repr, large)) == sorted(map(repr, small))
+    plan = calls[0][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan
+
+
 def test_a_sample_is_looked_up_by_its_few_ids(spark, monkeypatch):
     stored = spied(registry, "materialise", monkeypatch)
     row = registry.QUERIES["sample_rows"](spark, SMALL_DATA).first()
